@@ -92,14 +92,6 @@ def resolve_key(
     )
 
 
-def content_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
-    """True if any pair of values differs; NULL equals NULL."""
-    same = F.lit(True)
-    for a, b in zip(left, right, strict=True):
-        same = same & a.eqNullSafe(b)
-    return ~same
-
-
 def content_anti_join(
     staged: DataFrame,
     target: DataFrame,

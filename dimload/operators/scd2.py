@@ -26,10 +26,10 @@ from ..functions.scalars import (
 )
 from .joins import MATCH, find_column, first_match, fits_broadcast, match_one, quoted, require_columns, without
 from .keys import assign_surrogate_keys
-from .lookup import content_anti_join, content_differs, insert_only, resolve_key
+from .lookup import content_anti_join, insert_only, resolve_key
 from .overlay import replaced
 from .shape import align, union_rows
-from .skew import HotKeys
+from .skew import HotKeys, find_hot_keys
 
 
 @dataclass(frozen=True)
@@ -100,18 +100,19 @@ def initial_load(
     order_by: Sequence[str | Column] | None = None,
     *,
     parents_unique: bool = False,
-    hot: HotKeys | None = None,
+    hot_parents: HotKeys | None = None,
 ) -> Loaded:
     """First versions of natural keys the target does not have.
 
     Several staged rows of one key are reduced to the first in ``order_by``;
     without ``order_by`` all of them are loaded. Rows whose parent is unknown
-    are returned as rejected and take no surrogate key.
+    are returned as rejected and take no surrogate key. ``hot_parents`` spreads
+    parent ids that hold a large share of the staged rows.
     """
     if order_by:
         staged = first_match(staged, layout.natural_key, order_by)
     new = insert_only(staged, target, layout.natural_key)
-    accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot)
+    accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
     ready = _first_versions(accepted, batch_ts, layout, target)
     ready = ready.select(*[quoted(c) for c in ready.columns if find_column(target, c)])
     keyed = assign_surrogate_keys(ready, base, layout.surrogate, layout.natural_key)
@@ -146,14 +147,19 @@ def _typed(ts, target, column) -> Column:
     return timestamp_literal(ts).cast(target.schema[column].dataType)
 
 
-def content_changed(layout: Scd2Layout, incoming: DataFrame, stored: DataFrame) -> Column:
-    """For rows joined by ``match_one``: does any content column differ?"""
-    columns = require_columns(incoming, layout.content, "staged rows")
-    types = [stored.schema[c].dataType for c in require_columns(stored, layout.content, "stored rows")]
-    return content_differs(
-        [quoted(c) for c in layout.content],
-        [F.col(f"{MATCH}.`{c}`").cast(t) for c, t in zip(columns, types)],
-    )
+CONTENT = "__content"
+
+
+def _content(rows: DataFrame, layout: Scd2Layout, like: DataFrame) -> Column:
+    """The content columns as one value, with the types they have in ``like``.
+
+    Comparing one value keeps the predicate on one attribute. As 14 separate
+    comparisons, Catalyst would derive a constraint for every mix of renamed and
+    original columns, which takes it minutes.
+    """
+    columns = require_columns(rows, layout.content, "rows")
+    types = [like.schema[c].dataType for c in require_columns(like, layout.content, "stored rows")]
+    return F.struct(*[quoted(c).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(zip(columns, types))])
 
 
 def new_versions(
@@ -175,9 +181,10 @@ def new_versions(
     the staged column ``effective``) and its version is one higher. ``incoming``
     has one row per natural key.
     """
-    joined = match_one(current, incoming, layout.natural_key, "inner", unique=True, hot=hot)
+    side = incoming.withColumn(CONTENT, _content(incoming, layout, current)) if changed_only else incoming
+    joined = match_one(current, side, layout.natural_key, "inner", unique=True, hot=hot)
     if changed_only:
-        joined = joined.where(content_changed(layout, incoming, current))
+        joined = joined.where(~_content(current, layout, current).eqNullSafe(F.col(f"{MATCH}.{CONTENT}")))
     batch = batch_number(timestamp_literal(batch_ts))
     opened = {
         layout.begin: plus_days(_closing_time(batch_ts, effective), begin_offset_days),
@@ -269,6 +276,7 @@ def scd2_merge(
     begin_offset_days: int = 1,
     parents_unique: bool = False,
     hot: HotKeys | None = None,
+    hot_parents: HotKeys | None = None,
 ) -> Merged:
     """Close changed versions and add their successors.
 
@@ -276,7 +284,7 @@ def scd2_merge(
     ``order_by``. Staged keys without a current version are left to
     ``initial_load``. ``hot`` spreads natural keys that hold a large share of
     ``target`` (for ``expire_all`` rules, where the history takes part in the
-    join).
+    join), ``hot_parents`` parent ids that hold a large share of ``staged``.
 
     ``compat`` names a set of ``RULES``. The default closes only what it
     replaces: the current version, if its content differs from the staged one
@@ -295,15 +303,18 @@ def scd2_merge(
             changed_only=False, effective=effective, begin_offset_days=begin_offset_days,
         )
         if rules.compare == "global":
-            versions = content_anti_join(versions, target, layout.content, scope="global")
-        added, rejected = _with_parent(versions, parents, layout, parents_unique)
+            versions = content_anti_join(
+                versions, target, layout.content, scope="global",
+                hot=find_hot_keys(incoming, layout.content),
+            )
+        added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         closing = incoming.select(*[quoted(c) for c in keys + ([effective] if effective else [])])
     else:
         versions = new_versions(
             current, incoming, layout, batch_ts,
             changed_only=rules.compare != "none", effective=effective, begin_offset_days=begin_offset_days,
         )
-        accepted, rejected = _with_parent(versions, parents, layout, parents_unique)
+        accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         added = assign_surrogate_keys(accepted, base, layout.surrogate, keys)
         closing = added.select(*[quoted(c) for c in keys])
         if effective:

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
         .appName("dimload-tests")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.default.parallelism", "2")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

@@ -1,0 +1,205 @@
+"""The loads on tables with the real columns, in their run order."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from dimload.operators import registry_base
+from dimload.plans import ADDRESS_SCHEMA, CUSTOMER_SCHEMA, Tables, feeds, jobs
+from dimload.plans.layout import (
+    ACCOUNT,
+    ADDRESS_COPIES,
+    ADDRESS_FLAGS,
+    CONTACT_COPIES,
+    CONTACT_COUNTS,
+    CONTACT_FLAGS,
+    DELETED_ACCOUNT,
+    ORGANISATION_COPIES,
+)
+
+UNKNOWN = 999999999999
+DAY1, DAY2, DAY3 = "2019-11-20 10:00:00", "2019-11-21 10:00:00", "2019-11-22 10:00:00"
+ORGANISATION = [ACCOUNT, "ROW_CREATED_DATE", "BILL_SHIP_ADDR_SYNC_FLAG", *ORGANISATION_COPIES]
+CONTACT = [ACCOUNT, *CONTACT_COPIES, *CONTACT_FLAGS, *CONTACT_COUNTS]
+HISTORY = [ACCOUNT, DELETED_ACCOUNT, "RECORD_TYPE", "ROW_CREATED_DATE"]
+ADDRESS = [ACCOUNT, "ADDRESS_NAME", "ROW_CREATED_DATE", *ADDRESS_COPIES, "ZIP_CODE", *ADDRESS_FLAGS, "FILE_SET_DATE"]
+
+
+def text_table(spark, name, columns, rows):
+    """A table of text columns; each row gives some of them."""
+    data = [tuple(r.get(c) for c in columns) for r in rows]
+    df = spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    df.write.saveAsTable(name)
+
+
+@pytest.fixture
+def tables(spark):
+    t = Tables()
+    for name, schema in ((t.customer_dim, CUSTOMER_SCHEMA), (t.address_dim, ADDRESS_SCHEMA)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.createDataFrame([], schema).write.saveAsTable(name)
+    spark.sql(f"DROP TABLE IF EXISTS {t.registry}")
+    spark.createDataFrame(
+        [(t.customer_registry_name, 100), (t.address_registry_name, 500)], "TABLE_NAME string, MAX_VALUE_KEY long"
+    ).write.saveAsTable(t.registry)
+    text_table(spark, t.organisation, ORGANISATION, [organisation("11"), organisation("12", phone="8135550000")])
+    text_table(
+        spark, t.contact, CONTACT,
+        [{ACCOUNT: "11", "FIRST_NAME": "Ann", "PROMO_FLAG": "Y", "NO_REFUND_FLAG": "N", "CALL_TAG_COUNT": "3"}],
+    )
+    text_table(
+        spark, t.history, HISTORY,
+        [
+            {ACCOUNT: "12", "RECORD_TYPE": "Removed Block", "ROW_CREATED_DATE": "2019-11-01 00:00:00"},
+            {ACCOUNT: "11", DELETED_ACCOUNT: "99", "RECORD_TYPE": "Merged Account", "ROW_CREATED_DATE": "2019-11-02 00:00:00"},
+            {ACCOUNT: "11", "RECORD_TYPE": "Other", "ROW_CREATED_DATE": "2019-11-03 00:00:00"},
+        ],
+    )
+    text_table(
+        spark, t.address, ADDRESS,
+        [address("11", "SHIPADDR0", "A st"), address("11", "BILLADDR1", "B st"), address("77", "MKTADDR", "Z st")],
+    )
+    return t
+
+
+def organisation(account, phone="7275551234", **more):
+    return {ACCOUNT: account, "ROW_CREATED_DATE": "2019-10-01 08:00:00", "PRIMARY_PHONE_NUM": phone,
+            "BILL_SHIP_ADDR_SYNC_FLAG": "", **more}
+
+
+def address(account, name, line, created="20191001080000", **more):
+    return {ACCOUNT: account, "ADDRESS_NAME": name, "ROW_CREATED_DATE": created, "ADDRESS_LINE_1": line,
+            "ZIP_CODE": "12345-6789", "DISABLE_CLEANSING_FLAG": "N", **more}
+
+
+def by(spark, table, *key):
+    return {tuple(r[k] for k in key) if len(key) > 1 else r[key[0]]: r.asDict() for r in spark.table(table).collect()}
+
+
+def test_run_order(spark, tables):
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert {k: v["CUSTOMER_KEY"] for k, v in customers.items()} == {11: 101, 12: 102}
+    assert customers[12]["DERIVED_AREA_CODE"] == 813
+    assert customers[11]["SOURCE_CREATE_DT"] == datetime(2019, 10, 1, 8)
+    assert customers[11]["BILLSHIP_ADDR_SYNC_IND"] == 0 and customers[11]["PURGED_IND"] == 0
+    assert customers[11]["PRIMARY_ADDRESS_KEY"] == UNKNOWN and customers[11]["FIRST_NAME"] is None
+    assert customers[11]["INS_BATCH_NBR"] == customers[11]["UPD_BATCH_NBR"] == 20191120100000
+    assert registry_base(spark.table(t.registry), t.customer_registry_name) == 102
+
+    jobs.insert_customers(spark, DAY2)  # the same feed again adds nothing
+    assert by(spark, t.customer_dim, "CUSTOMER_ID") == customers
+    assert registry_base(spark.table(t.registry), t.customer_registry_name) == 102
+
+    rejected = jobs.insert_addresses(spark, DAY1, created="compact")
+    assert [r["CUSTOMER_ID"] for r in rejected.collect()] == [77]
+    addresses = by(spark, t.address_dim, "CUSTOMER_ID", "ADDR_NAME")
+    assert {k: v["CUSTOMER_ADDRESS_KEY"] for k, v in addresses.items()} == {(11, "BILLADDR1"): 501, (11, "SHIPADDR0"): 502}
+    one = addresses[11, "SHIPADDR0"]
+    assert (one["CUSTOMER_KEY"], one["POSTAL_ZIP"], one["POSTAL_ZIP4"]) == (101, "12345", "-6789")
+    assert (one["ADDR_CLEANSING_IND"], one["ADDR_FRAUD_IND"], one["PRIVACY_IND"]) == (1, 0, 0)
+    assert one["ETL_END_EFFECTIVE_DT"] == datetime(2099, 12, 31)
+    jobs.insert_addresses(spark, DAY2, created="compact")
+    assert by(spark, t.address_dim, "CUSTOMER_ID", "ADDR_NAME") == addresses
+
+    jobs.refresh_customers(spark, DAY2)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    ann, purged = customers[11], customers[12]
+    assert (ann["FIRST_NAME"], ann["DYN_MSG_PROMO_IND"], ann["ALLOW_REFUND_IND"], ann["CALL_TAG_CNT"]) == ("Ann", 1, 0, 3)
+    assert (ann["MERGED_IND"], ann["MERGED_SOURCE_ACCT_ID"], ann["MERGED_DT"]) == (1, 99, datetime(2019, 11, 2))
+    assert (purged["PURGED_IND"], purged["PURGED_DT"], purged["MERGED_IND"]) == (1, datetime(2019, 11, 1), 0)
+    assert (ann["PRIMARY_ADDRESS_KEY"], ann["BILLING_ADDRESS_KEY"], ann["MKTADDR_ADDRESS_KEY"]) == (502, 501, UNKNOWN)
+    assert ann["UPD_BATCH_NBR"] == 20191121100000 and ann["INS_BATCH_NBR"] == 20191120100000
+
+    text_table(
+        spark, t.address, ADDRESS,
+        [address("11", "SHIPADDR0", "New st"), address("11", "BILLADDR1", "B st"), address("12", "SHIPADDR0", "C st")],
+    )
+    rejected = jobs.update_addresses(spark, DAY3)
+    assert rejected.count() == 0
+    versions = by(spark, t.address_dim, "CUSTOMER_ADDRESS_KEY")
+    assert set(versions) == {501, 502, 503}
+    assert versions[501] == {**addresses[11, "BILLADDR1"]}
+    assert (versions[502]["ETL_CURRENT_IND"], versions[502]["ETL_END_EFFECTIVE_DT"]) == (0, datetime(2019, 11, 22, 10))
+    assert (versions[503]["ADDR_LINE1_TXT"], versions[503]["ETL_VERSION_NBR"]) == ("New st", 2)
+    assert registry_base(spark.table(t.registry), t.address_registry_name) == 503
+    jobs.update_addresses(spark, DAY3)
+    assert by(spark, t.address_dim, "CUSTOMER_ADDRESS_KEY") == versions
+
+    jobs.set_address_keys(spark, DAY3)
+    ann = by(spark, t.customer_dim, "CUSTOMER_ID")[11]
+    assert (ann["PRIMARY_ADDRESS_KEY"], ann["BILLING_ADDRESS_KEY"], ann["UPD_BATCH_NBR"]) == (503, 501, 20191122100000)
+
+
+def test_single_feed_refreshes(spark, tables):
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    jobs.refresh_from_contact(spark, DAY2)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert customers[11]["FIRST_NAME"] == "Ann" and customers[11]["UPD_BATCH_NBR"] == 20191121100000
+    assert customers[12]["UPD_BATCH_NBR"] == 20191120100000
+
+    text_table(spark, t.contact, CONTACT, [{ACCOUNT: "12", "FIRST_NAME": "Bob"}])
+    text_table(spark, t.organisation, ORGANISATION, [organisation("12", phone="9995550000")])
+    jobs.refresh_from_contact(spark, DAY3, on_missing="null", stamp_all=True)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert customers[11]["FIRST_NAME"] is None and customers[12]["FIRST_NAME"] == "Bob"
+    assert {c["UPD_BATCH_NBR"] for c in customers.values()} == {20191122100000}
+    assert customers[11]["PRIMARY_PHONE_NUMBER"] == "7275551234"
+
+    jobs.refresh_from_organisation(spark, DAY3)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert customers[12]["DERIVED_AREA_CODE"] == 999 and customers[11]["DERIVED_AREA_CODE"] == 727
+    jobs.refresh_from_organisation(spark, DAY3, on_missing="null")
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert customers[11]["DERIVED_AREA_CODE"] is None and customers[11]["UPD_BATCH_NBR"] is None
+
+    before = customers
+    jobs.mark_history(spark)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert customers[12]["PURGED_IND"] == 1 and customers[11]["MERGED_SOURCE_ACCT_ID"] == 99
+    assert customers[12]["UPD_BATCH_NBR"] == before[12]["UPD_BATCH_NBR"]
+    jobs.mark_history(spark, merge_source="same")
+    assert by(spark, t.customer_dim, "CUSTOMER_ID")[11]["MERGED_SOURCE_ACCT_ID"] == 11
+
+
+def test_upsert_customers(spark, tables):
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    jobs.refresh_from_contact(spark, DAY1)
+    text_table(spark, t.organisation, ORGANISATION, [organisation("11", phone="3215550000"), organisation("13")])
+    jobs.upsert_customers(spark, DAY2)
+    customers = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert {k: v["CUSTOMER_KEY"] for k, v in customers.items()} == {11: 103, 12: 102, 13: 104}
+    assert customers[11]["FIRST_NAME"] is None and customers[11]["DERIVED_AREA_CODE"] == 321
+    assert registry_base(spark.table(t.registry), t.customer_registry_name) == 104
+
+
+def test_duplicate_staged_customers(spark, tables):
+    staged = spark.table(tables.organisation)
+    staged = staged.union(staged.where(F.col(ACCOUNT) == "11"))
+    target = spark.table(tables.customer_dim)
+    kept = jobs.customers_to_insert(staged, target, 0, DAY1)
+    assert sorted((r["CUSTOMER_ID"], r["CUSTOMER_KEY"]) for r in kept.collect()) == [(11, 1), (11, 2), (12, 3)]
+    first = jobs.customers_to_insert(staged, target, 0, DAY1, on_duplicate="first")
+    assert sorted((r["CUSTOMER_ID"], r["CUSTOMER_KEY"]) for r in first.collect()) == [(11, 1), (12, 2)]
+
+
+@pytest.mark.parametrize("source,key,origin", [("deleted", 11, 99), ("survivor", 99, 11), ("same", 11, 11)])
+def test_merge_direction(spark, tables, source, key, origin):
+    (row,) = feeds.merge_feed(spark.table(tables.history), source).collect()
+    assert (row["CUSTOMER_ID"], row["MERGED_SOURCE_ACCT_ID"]) == (key, origin)
+
+
+def test_effective_date_of_the_feed(spark, tables):
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    jobs.insert_addresses(spark, DAY1, created="compact")
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", "New st", FILE_SET_DATE="2019-11-19 00:00:00")])
+    jobs.update_addresses(spark, DAY2, effective="FILE_SET_DATE", compat="reference_without_compare")
+    rows = by(spark, t.address_dim, "ADDR_LINE1_TXT")
+    assert rows["A st"]["ETL_END_EFFECTIVE_DT"] == datetime(2019, 11, 19)
+    assert rows["New st"]["ETL_BEGIN_EFFECTIVE_DT"] == datetime(2019, 11, 20)

@@ -99,6 +99,7 @@ def test_hot_keys_finds_the_hot_key_only(spark):
 def test_hot_rows_are_spread_over_tasks(spark):
     big = spark.range(0, 20000, 1, 40).select(F.lit(1).cast("long").alias("k"), "id")
     small = spark.createDataFrame([(1, 2)], "k long, x int")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
     hot = find_hot_keys(big, ["k"])
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -106,6 +107,7 @@ def test_hot_rows_are_spread_over_tasks(spark):
         out = match_one(big, small, ["k"], unique=True, hot=hot)
         per_task = out.groupBy(F.spark_partition_id()).count().collect()
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sum(r["count"] for r in per_task) == 20000
