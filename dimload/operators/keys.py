@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut_lineage
-from .joins import quoted, require_columns
+from .joins import quoted, require_columns, sql_name
 
 # monotonically_increasing_id: task number above bit 33, place in the task below.
 PLACE_BITS = 33
@@ -41,9 +41,7 @@ def row_numbers(df: DataFrame, column: str, order_by: Sequence[str | Column] | N
     # One row per task: its size is the number of tasks, not of rows.
     numbered = placed.withColumn("__task", task).join(F.broadcast(before), "__task")
     place = F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    return numbered.select(
-        *[quoted(c) for c in df.columns], (F.col("__before") + place + 1).alias(column)
-    )
+    return numbered.withColumn(column, F.col("__before") + place + 1).drop("__at", "__task", "__before")
 
 
 def assign_surrogate_keys(
@@ -53,11 +51,9 @@ def assign_surrogate_keys(
     order_by: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """Add (or replace) ``key`` with ``base + 1, base + 2, …``, without gaps."""
-    columns = [c for c in df.columns if c.lower() != key.lower()]
-    numbered = row_numbers(df.select(*[quoted(c) for c in columns]), "__number", order_by)
-    return numbered.select(
-        (F.lit(base).cast("bigint") + F.col("__number")).alias(key), *[quoted(c) for c in columns]
-    )
+    numbered = row_numbers(df.drop(key), "__number", order_by)
+    columns = [sql_name(c) for c in numbered.columns if c != "__number"]
+    return numbered.selectExpr(f"{int(base)}L + __number AS {sql_name(key)}", *columns)
 
 
 def largest_key(df: DataFrame, key: str, base: int = 0) -> int:

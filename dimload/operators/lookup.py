@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import MATCH, match_one, quoted, require_columns
+from .joins import MATCH, match_one, quoted, require_columns, sql_name, without
 from .overlay import replaced
 from .skew import HotKeys
 
@@ -61,12 +61,9 @@ def lookup_overlay(
         rows, incoming, keys, "inner", order_by=order_by, latest=latest, unique=unique, hot=hot
     )
     if winner == "incoming":
-        return joined.select(*replaced(rows, incoming, keys))
-    have = {c.lower() for c in rows.columns}
-    return joined.select(
-        *[quoted(c) for c in rows.columns],
-        *[F.col(f"{MATCH}.`{c}`").alias(c) for c in incoming.columns if c.lower() not in have],
-    )
+        return joined.selectExpr(*replaced(rows, incoming, keys))
+    added = [sql_name(c) for c in without(incoming, rows.columns)]
+    return joined.selectExpr(*[sql_name(c) for c in rows.columns], *[f"{MATCH}.{c} AS {c}" for c in added])
 
 
 def resolve_key(
@@ -87,8 +84,8 @@ def resolve_key(
     joined = match_one(rows, reference, on, "left", order_by=order_by, unique=unique, hot=hot)
     found = F.col(MATCH).isNotNull()
     return Resolved(
-        joined.where(found).select(*replaced(rows, reference, on)),
-        joined.where(~found).select(*[quoted(c) for c in rows.columns], F.lit(reason).alias(REJECT_REASON)),
+        joined.where(found).selectExpr(*replaced(rows, reference, on)),
+        joined.where(~found).drop(MATCH).withColumn(REJECT_REASON, F.lit(reason)),
     )
 
 

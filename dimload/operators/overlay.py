@@ -8,12 +8,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import MATCH, match_one, quoted, without
+from .joins import MATCH, match_one, require_columns, sql_name, without
 from .skew import HotKeys
 
 
-def replaced(left: DataFrame, right: DataFrame, keys: Sequence[str], erase: bool = False) -> list[Column]:
-    """Output columns of an overlay, from a frame joined by ``match_one``.
+def replaced(left: DataFrame, right: DataFrame, keys: Sequence[str], erase: bool = False) -> list[str]:
+    """Output expressions of an overlay, for a frame joined by ``match_one``.
 
     All left columns come in their order, then those only the right side has.
     A matched row takes every right value, also NULL, cast to the left type.
@@ -21,19 +21,18 @@ def replaced(left: DataFrame, right: DataFrame, keys: Sequence[str], erase: bool
     """
     lowered = {k.lower() for k in keys}
     incoming = {c.lower(): c for c in right.columns if c.lower() not in lowered}
-    matched = F.col(MATCH).isNotNull()
     out = []
     for field in left.schema.fields:
         theirs = incoming.pop(field.name.lower(), None)
-        mine = quoted(field.name)
+        mine = sql_name(field.name)
         if theirs is None:
             out.append(mine)
             continue
-        value = F.col(f"{MATCH}.`{theirs}`").cast(field.dataType)
+        value = f"CAST({MATCH}.{sql_name(theirs)} AS {field.dataType.simpleString()})"
         if not erase:
-            value = F.when(matched, value).otherwise(mine)
-        out.append(value.alias(field.name))
-    return out + [F.col(f"{MATCH}.`{c}`").alias(c) for c in incoming.values()]
+            value = f"CASE WHEN {MATCH} IS NOT NULL THEN {value} ELSE {mine} END"
+        out.append(f"{value} AS {mine}")
+    return out + [f"{MATCH}.{sql_name(c)} AS {sql_name(c)}" for c in incoming.values()]
 
 
 def overlay(
@@ -58,7 +57,7 @@ def overlay(
         left, right, keys, "left",
         order_by=order_by, latest=latest, unique=unique, null_safe=null_safe, hot=hot,
     )
-    return joined.select(*replaced(left, right, keys))
+    return joined.selectExpr(*replaced(left, right, keys))
 
 
 @dataclass(frozen=True)
@@ -117,13 +116,8 @@ def refresh(
     joined = match_one(
         target, feed, keys, "left", order_by=order_by, latest=latest, unique=unique, hot=hot
     )
-    out = joined.select(*replaced(target, feed, keys, erase=erase))
+    out = joined.selectExpr(*replaced(target, feed, keys, erase=erase))
     if erase and also_erase:
-        lowered = {c.lower() for c in also_erase}
-        out = out.select(
-            *[
-                F.lit(None).cast(f.dataType).alias(f.name) if f.name.lower() in lowered else quoted(f.name)
-                for f in out.schema.fields
-            ]
-        )
+        names = require_columns(target, also_erase, "target")
+        out = out.withColumns({n: F.lit(None).cast(target.schema[n].dataType) for n in names})
     return out

@@ -63,14 +63,13 @@ def role_keys(
     joined = match_one(target, picked, [key], "left", unique=True)
     slot = {r: F.col(f"{MATCH}.__role{i}") for i, r in enumerate(roles)}
     filled = {
-        column.lower(): F.coalesce(*[slot[r] for r in choices], quoted(column))
-        for column, choices in assign.items()
+        column: F.coalesce(*[slot[r] for r in choices], quoted(column)) for column, choices in assign.items()
     }
     for column, stamped in (stamp or {}).items():
-        filled[column.lower()] = F.when(F.col(MATCH).isNotNull(), stamped).otherwise(quoted(column))
-    return joined.select(
-        *[
-            filled[f.name.lower()].cast(f.dataType).alias(f.name) if f.name.lower() in filled else quoted(f.name)
-            for f in target.schema.fields
-        ]
-    )
+        filled[column] = F.when(F.col(MATCH).isNotNull(), stamped).otherwise(quoted(column))
+    return joined.withColumns(_typed(target, filled)).drop(MATCH)
+
+
+def _typed(target: DataFrame, values: Mapping[str, Column]) -> dict[str, Column]:
+    names = require_columns(target, list(values), "target")
+    return {n: v.cast(target.schema[n].dataType) for n, v in zip(names, values.values())}

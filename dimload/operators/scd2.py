@@ -24,7 +24,7 @@ from ..functions.scalars import (
     to_second,
     void_flag,
 )
-from .joins import MATCH, find_column, first_match, fits_broadcast, match_one, quoted, require_columns, without
+from .joins import MATCH, first_match, fits_broadcast, match_one, quoted, require_columns, without
 from .keys import assign_surrogate_keys
 from .lookup import content_anti_join, insert_only, resolve_key
 from .overlay import replaced
@@ -114,7 +114,7 @@ def initial_load(
     new = insert_only(staged, target, layout.natural_key)
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
     ready = _first_versions(accepted, batch_ts, layout, target)
-    ready = ready.select(*[quoted(c) for c in ready.columns if find_column(target, c)])
+    ready = ready.drop(*without(ready, target.columns))
     keyed = assign_surrogate_keys(ready, base, layout.surrogate, layout.natural_key)
     return Loaded(align(keyed, target.schema), rejected)
 
@@ -195,11 +195,11 @@ def new_versions(
         layout.ins_batch: batch,
         layout.upd_batch: batch,
     }
-    feed = incoming.select(*[quoted(c) for c in without(incoming, [*opened, *([effective] if effective else [])])])
-    overlaid = dict(zip(current.columns, replaced(current, feed, layout.natural_key)))
-    for name, value in opened.items():
-        overlaid[name] = value.cast(current.schema[name].dataType).alias(name)
-    return joined.select(*overlaid.values())
+    feed = incoming.drop(*opened, *([effective] if effective else []))
+    typed = {name: value.cast(current.schema[name].dataType) for name, value in opened.items()}
+    # Columns only the feed has come last and are left out.
+    out = replaced(current, feed, layout.natural_key)[: len(current.columns)]
+    return joined.withColumns(typed).selectExpr(*out)
 
 
 def _closing_time(batch_ts, effective) -> Column:
@@ -246,14 +246,11 @@ def expire(
     def closed(rows: DataFrame, side: DataFrame) -> DataFrame:
         joined = match_one(rows, side, keys, "left", unique=True, hot=None if small else hot)
         hit = F.col(MATCH).isNotNull() & (F.lit(True) if all_versions else is_current)
-        return joined.select(
-            *[
-                F.when(hit, values[f.name].cast(f.dataType)).otherwise(quoted(f.name)).alias(f.name)
-                if f.name in values
-                else quoted(f.name)
-                for f in rows.schema.fields
-            ]
-        )
+        closed_values = {
+            name: F.when(hit, value.cast(target.schema[name].dataType)).otherwise(quoted(name))
+            for name, value in values.items()
+        }
+        return joined.withColumns(closed_values).drop(MATCH)
 
     if small:
         return closed(stored, F.broadcast(closing))

@@ -8,12 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import match_one, quoted
+from .joins import match_one, sql_name
 
 
 def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
     """Select ``{output: input column or expression}``."""
-    return df.select(*[(quoted(e) if isinstance(e, str) else e).alias(o) for o, e in columns.items()])
+    return df.select(
+        *[
+            F.expr(f"{sql_name(e)} AS {sql_name(o)}") if isinstance(e, str) else e.alias(o)
+            for o, e in columns.items()
+        ]
+    )
 
 
 def align(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -25,11 +30,11 @@ def align(df: DataFrame, schema: T.StructType) -> DataFrame:
     out = []
     for field in schema.fields:
         mine = have.pop(field.name.lower(), None)
-        value = F.lit(None) if mine is None else quoted(mine)
-        out.append(value.cast(field.dataType).alias(field.name))
+        value = "NULL" if mine is None else sql_name(mine)
+        out.append(f"CAST({value} AS {field.dataType.simpleString()}) AS {sql_name(field.name)}")
     if have:
         raise ValueError(f"the table has no columns {sorted(have.values())}")
-    return df.select(*out)
+    return df.selectExpr(*out)
 
 
 def union_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
