@@ -26,7 +26,9 @@ from .customers import history
 from .joins import registry
 from .registry import BATCH_TS, TestTables, plain_times, query
 
-NOBODY = F.lit(None).cast("string")
+
+def no_text():
+    return F.lit(None).cast("string")
 
 
 def organisation(t):
@@ -38,7 +40,7 @@ def organisation(t):
             ACCOUNT: F.col("c_custkey").cast("string"),
             "ROW_CREATED_DATE": F.lit("2019-10-01 08:00:00"),
             "BILL_SHIP_ADDR_SYNC_FLAG": F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise("1"),
-            **{c: NOBODY for c in ORGANISATION_COPIES},
+            **{c: no_text() for c in ORGANISATION_COPIES},
             "PRIMARY_PHONE_NUM": F.concat(F.substring("c_name", 16, 3), digits),
             "GUID": "c_name",
             "ALT_PHONE1_TYPE": "c_mktsegment",
@@ -52,9 +54,9 @@ def contact(t):
         t.events,
         {
             ACCOUNT: F.col("user_id").cast("string"),
-            **{c: NOBODY for c in CONTACT_COPIES},
-            **{c: NOBODY for c in CONTACT_FLAGS},
-            **{c: NOBODY for c in CONTACT_COUNTS},
+            **{c: no_text() for c in CONTACT_COPIES},
+            **{c: no_text() for c in CONTACT_FLAGS},
+            **{c: no_text() for c in CONTACT_COUNTS},
             "CUSTOMER_SINCE_DATE": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
             "FIRST_NAME": "event_type",
             "LAST_NAME": F.nullif(F.col("event_type"), F.lit("view")),
@@ -92,28 +94,27 @@ def stored_customers(rows):
     )
 
 
-ROLE = (
-    F.when(F.col("o_orderpriority") == "1-URGENT", SHIPPING)
-    .when(F.col("o_orderpriority") == "2-HIGH", BILLING)
-    .when(F.col("o_orderpriority") == "3-MEDIUM", MARKETING)
-    .otherwise(F.col("o_orderpriority"))
-)
-
-
 def addresses(t):
     """Orders as an address extract; several rows per customer and name."""
+    priority = F.col("o_orderpriority")
+    role = (
+        F.when(priority == "1-URGENT", SHIPPING)
+        .when(priority == "2-HIGH", BILLING)
+        .when(priority == "3-MEDIUM", MARKETING)
+        .otherwise(priority)
+    )
     return project(
         t.orders,
         {
             ACCOUNT: F.col("o_custkey").cast("string"),
-            "ADDRESS_NAME": ROLE,
+            "ADDRESS_NAME": role,
             "ROW_CREATED_DATE": F.date_format("o_orderdate", "yyyyMMddHHmmss"),
-            **{c: NOBODY for c in ADDRESS_COPIES},
+            **{c: no_text() for c in ADDRESS_COPIES},
             "ADDRESS_LINE_1": F.col("o_orderkey").cast("string"),
             "CITY": "o_orderstatus",
             "ZIP_CODE": F.lpad(F.col("o_orderkey").cast("string"), 9, "0"),
             "DISABLE_CLEANSING_FLAG": F.when(F.col("o_orderstatus") == "O", "N"),
-            **{c: NOBODY for c in ADDRESS_FLAGS if c != "DISABLE_CLEANSING_FLAG"},
+            **{c: no_text() for c in ADDRESS_FLAGS if c != "DISABLE_CLEANSING_FLAG"},
         },
     )
 

@@ -112,6 +112,7 @@ def match_one(
     unique: bool = False,
     null_safe: bool = False,
     hot: HotKeys | None = None,
+    also_equal: Sequence[str] = (),
 ) -> DataFrame:
     """Join each left row with at most one right row.
 
@@ -126,7 +127,13 @@ def match_one(
     struct, which is never NULL itself, so this costs no second shuffle.
 
     ``hot`` spreads frequent left keys, see ``find_hot_keys``.
+
+    ``also_equal`` names columns that have to agree too but do not decide where
+    a row goes: a left side already partitioned by ``keys`` stays where it is.
+    ``right`` then has one row per ``keys`` and ``also_equal`` together.
     """
+    if also_equal and not (unique and how in ("left", "inner")):
+        raise ValueError("also_equal needs a unique right side and a left or inner join")
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join {how}")
     lkeys = require_columns(left, keys, "left side")
@@ -153,7 +160,12 @@ def match_one(
             right = right.distinct()
     elif unique:
         payload = [c for c in right.columns if c not in rkeys and c not in rnames] or [rkeys[0]]
-        right = right.selectExpr(*[sql_name(k) for k in rnames], f"{sql_struct(payload)} AS {MATCH}")
+        further = [
+            f"{sql_name(c)} AS __e{i}" for i, c in enumerate(require_columns(right, also_equal, "right side"))
+        ]
+        right = right.selectExpr(
+            *[sql_name(k) for k in rnames], *further, f"{sql_struct(payload)} AS {MATCH}"
+        )
     else:
         right = _reduced(right, rkeys, order_by, latest, rnames, carry=rnames)
 
@@ -168,5 +180,9 @@ def match_one(
         right = right.withColumn("__rsalt", hot.all_salts(inside))
         on.append(F.col(SALT) == F.col("__rsalt"))
 
+    for i, name in enumerate(require_columns(left, also_equal, "left side")):
+        # Written as two bounds because an equality would become a join key.
+        on += [quoted(name) <= F.col(f"__e{i}"), quoted(name) >= F.col(f"__e{i}")]
+
     joined = left.join(right, on, how)
     return joined.selectExpr(*[sql_name(c) for c in names], *([MATCH] if how in ("left", "inner") else []))

@@ -17,8 +17,9 @@ def pick_by_role(
     role: str,
     roles: Sequence[str],
     order_by: Sequence[str | Column] | None = None,
+    within: str | None = None,
 ) -> DataFrame:
-    """One row per key with the value of each role's first row, NULL if none.
+    """One row per key (and ``within``) with the value of each role's first row, NULL if none.
 
     Without ``order_by`` the largest value of a role is taken: with surrogate
     keys as values, the row added last.
@@ -37,7 +38,7 @@ def pick_by_role(
 
     return (
         rows.where(quoted(role).isin(list(roles)))
-        .groupBy(quoted(key))
+        .groupBy(*([quoted(within)] if within else []), quoted(key))
         .agg(*[pick(r).alias(f"__role{i}") for i, r in enumerate(roles)])
     )
 
@@ -51,16 +52,24 @@ def role_keys(
     assign: Mapping[str, Sequence[str]],
     order_by: Sequence[str | Column] | None = None,
     stamp: Mapping[str, Column] | None = None,
+    within: str | None = None,
 ) -> DataFrame:
     """Set foreign keys of ``target`` from the roles of ``rows``.
 
     ``assign`` lists, for each target column, the roles that may fill it, best
     first. A column none of whose roles exists stays as it is. ``stamp`` sets
     further columns in every target row that has at least one of the roles.
+
+    ``within`` names a column of both sides that ``key`` determines, such as the
+    business key behind a surrogate key. Rows are then brought together by it,
+    so a target just joined on ``within`` is not shuffled again.
     """
     roles = list(dict.fromkeys(r for choices in assign.values() for r in choices))
-    picked = pick_by_role(rows, key, value, role, roles, order_by)
-    joined = match_one(target, picked, [key], "left", unique=True)
+    picked = pick_by_role(rows, key, value, role, roles, order_by, within)
+    if within:
+        joined = match_one(target, picked, [within], "left", unique=True, also_equal=[key])
+    else:
+        joined = match_one(target, picked, [key], "left", unique=True)
     slot = {r: F.col(f"{MATCH}.__role{i}") for i, r in enumerate(roles)}
     filled = {
         column: F.coalesce(*[slot[r] for r in choices], quoted(column)) for column, choices in assign.items()

@@ -24,6 +24,7 @@ from ..functions.scalars import (
     to_second,
     void_flag,
 )
+from ..sources.scratch import cut_lineage
 from .joins import MATCH, first_match, fits_broadcast, match_one, quoted, require_columns, without
 from .keys import assign_surrogate_keys
 from .lookup import content_anti_join, insert_only, resolve_key
@@ -111,7 +112,8 @@ def initial_load(
     """
     if order_by:
         staged = first_match(staged, layout.natural_key, order_by)
-    new = insert_only(staged, target, layout.natural_key)
+    # Written once: the new rows are numbered in two passes and split twice.
+    new = cut_lineage(insert_only(staged, target, layout.natural_key))
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
     ready = _first_versions(accepted, batch_ts, layout, target)
     ready = ready.drop(*without(ready, target.columns))
@@ -241,7 +243,8 @@ def expire(
         layout.current: F.lit(0),
         layout.upd_batch: batch_number(timestamp_literal(batch_ts)),
     }
-    is_current = F.coalesce(quoted(layout.current) == 1, F.lit(False))
+    is_current = quoted(layout.current) == 1
+    is_history = (quoted(layout.current) != 1) | quoted(layout.current).isNull()
 
     def closed(rows: DataFrame, side: DataFrame) -> DataFrame:
         joined = match_one(rows, side, keys, "left", unique=True, hot=None if small else hot)
@@ -256,7 +259,7 @@ def expire(
         return closed(stored, F.broadcast(closing))
     if all_versions:
         return closed(stored, closing)
-    return closed(stored.where(is_current), closing).unionByName(stored.where(~is_current))
+    return closed(stored.where(is_current), closing).unionByName(stored.where(is_history))
 
 
 def scd2_merge(
@@ -293,6 +296,8 @@ def scd2_merge(
     incoming = first_match(staged, keys, order_by)
     current = target.where(quoted(layout.current) == 1)
 
+    # The new versions are written once, so the current rows are read once for
+    # them however often the (much smaller) versions are used below.
     if rules.number_first:
         incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
         versions = new_versions(
@@ -304,6 +309,7 @@ def scd2_merge(
                 versions, target, layout.content, scope="global",
                 hot=find_hot_keys(incoming, layout.content),
             )
+        versions = cut_lineage(versions)
         added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         closing = incoming.select(*[quoted(c) for c in keys + ([effective] if effective else [])])
     else:
@@ -311,7 +317,9 @@ def scd2_merge(
             current, incoming, layout, batch_ts,
             changed_only=rules.compare != "none", effective=effective, begin_offset_days=begin_offset_days,
         )
-        accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
+        accepted, rejected = _with_parent(
+            cut_lineage(versions), parents, layout, parents_unique, hot_parents
+        )
         added = assign_surrogate_keys(accepted, base, layout.surrogate, keys)
         closing = added.select(*[quoted(c) for c in keys])
         if effective:

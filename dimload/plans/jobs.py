@@ -122,14 +122,19 @@ def history_marked(
 
 
 def address_keys_set(
-    target: DataFrame, addresses: DataFrame, batch_ts: BatchTs, *, current_only: bool = True
+    target: DataFrame,
+    addresses: DataFrame,
+    batch_ts: BatchTs,
+    *,
+    current_only: bool = True,
+    within: str | None = None,
 ) -> DataFrame:
     """Customers with the keys of their shipping, billing and marketing address."""
     if current_only:
         addresses = addresses.where(F.col(ADDRESS_LAYOUT.current) == 1)
     return role_keys(
         target, addresses, CUSTOMER_KEY, ADDRESS_KEY, "ADDR_NAME", ADDRESS_ROLES,
-        stamp={feeds.UPDATED: feeds.batch(batch_ts)},
+        stamp={feeds.UPDATED: feeds.batch(batch_ts)}, within=within,
     )
 
 
@@ -146,8 +151,9 @@ def refreshed_customers(
 ) -> DataFrame:
     """All feeds laid over the customers, one after the other.
 
-    The four overlays by customer id share one shuffle of the customers; the
-    three address roles are folded into one row per customer first.
+    All overlays share one shuffle of the customers, by customer id. The three
+    address roles are folded into one row per customer first; they are compared
+    by customer key but brought together by customer id, which the key determines.
     """
     steps = [
         Feed(feeds.organisation_feed(organisation, batch_ts), ORGANISATION_ORDER),
@@ -155,7 +161,9 @@ def refreshed_customers(
         *purge_and_merge_feeds(history, batch_ts, merge_source),
     ]
     customers = overlay_chain(target, steps, CUSTOMER)
-    return address_keys_set(customers, addresses, batch_ts, current_only=current_only)
+    return address_keys_set(
+        customers, addresses, batch_ts, current_only=current_only, within=CUSTOMER[0]
+    )
 
 
 # Table to table

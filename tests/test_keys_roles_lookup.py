@@ -133,3 +133,17 @@ def test_upsert_replace(spark):
     staged = spark.createDataFrame([("new", 2), ("add", 3)], "v string, k long")
     out = upsert_replace(target, staged, ["k"])
     assert sorted(tuple(r) for r in out.collect()) == [(1, "a", "keep"), (2, "new", None), (3, "add", None)]
+
+
+def test_role_keys_within_the_business_key(spark):
+    target = spark.createDataFrame([(1, 11, UNKNOWN), (2, 12, UNKNOWN), (3, 13, UNKNOWN)], "ck long, id long, prim long")
+    # Customer 12 has an address of a key it no longer has.
+    rows = spark.createDataFrame(
+        [(1, 11, 5, "S"), (9, 12, 6, "S"), (2, 12, 7, "S"), (8, 13, 8, "S")], "ck long, id long, cak long, role string"
+    )
+    plain = role_keys(target, rows, "ck", "cak", "role", {"prim": ["S"]})
+    within = role_keys(target, rows, "ck", "cak", "role", {"prim": ["S"]}, within="id")
+    assert within.columns == plain.columns
+    assert {tuple(r) for r in within.collect()} == {tuple(r) for r in plain.collect()} == {
+        (1, 11, 5), (2, 12, 7), (3, 13, UNKNOWN)
+    }
