@@ -14,7 +14,7 @@ from .overlay import Feed, overlay, overlay_chain, refresh
 from .roles import pick_by_role, role_keys
 from .scd2 import Loaded, Merged, Scd2Layout, expire, initial_load, new_versions, scd2_merge
 from .shape import align, project, union_rows, upsert_replace, without_keys
-from .skew import HotKeys, find_hot_keys
+from .skew import HotKeys, find_hot_keys, spread
 
 __all__ = [
     "REJECT_REASON",
@@ -48,6 +48,7 @@ __all__ = [
     "role_keys",
     "row_numbers",
     "scd2_merge",
+    "spread",
     "union_rows",
     "upsert_replace",
     "with_registry_base",

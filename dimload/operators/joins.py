@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .skew import SALT, HotKeys
+from .skew import SALT, HotKeys, spread
 
 MATCH = "__match"
 
@@ -176,7 +176,7 @@ def match_one(
         inside = (
             [f"__r0.k{i}" for i in range(len(rkeys))] if null_safe else [f"__r{i}" for i in range(len(rkeys))]
         )
-        left = left.withColumn(SALT, hot.salt([sql_name(k) for k in lkeys]))
+        left = spread(left, lkeys, hot)
         right = right.withColumn("__rsalt", hot.all_salts(inside))
         on.append(F.col(SALT) == F.col("__rsalt"))
 

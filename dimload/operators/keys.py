@@ -20,9 +20,10 @@ def row_numbers(df: DataFrame, column: str, order_by: Sequence[str | Column] | N
 
     With ``order_by`` the rows are range-partitioned and sorted, so the numbers
     follow that order; it has to be a total order for repeatable numbers. Ranges
-    are cut by row count on all order columns, so one frequent value of the
-    first column does not make a large range. Without it the rows stay where
-    they are and nothing is shuffled.
+    are cut by row count on all order columns and, between equal rows, on the
+    task that read them, so neither a frequent value nor many copies of a row
+    make a large range. Without it the rows stay where they are and nothing is
+    shuffled.
 
     The rows are written to the checkpoint folder once. A row's number is then
     its place in its task plus the rows of the tasks before. Only one count per
@@ -30,7 +31,12 @@ def row_numbers(df: DataFrame, column: str, order_by: Sequence[str | Column] | N
     """
     if order_by:
         order = [quoted(o) if isinstance(o, str) else o for o in order_by]
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        df = (
+            df.withColumn("__tie", F.spark_partition_id())
+            .repartitionByRange(*order, "__tie")
+            .sortWithinPartitions(*order, "__tie")
+            .drop("__tie")
+        )
     placed = cut_lineage(df).withColumn("__at", F.monotonically_increasing_id())
     task = F.shiftright("__at", PLACE_BITS).cast("int")
     counts = placed.groupBy(task.alias("__task")).agg(F.count("*").alias("__n"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import MATCH, match_one, require_columns, sql_name, without
-from .skew import HotKeys
+from .skew import SALT, HotKeys, spread
 
 
 def replaced(left: DataFrame, right: DataFrame, keys: Sequence[str], erase: bool = False) -> list[str]:
@@ -76,18 +76,20 @@ def overlay_chain(
     keys: Sequence[str],
     *,
     null_safe: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Overlay several feeds on one key; a later feed wins on shared columns.
 
-    All joins use the same key, so the target is shuffled and sorted once
-    however many feeds there are.
+    All joins use the same key (and salt), so the target is shuffled and sorted
+    once however many feeds there are.
     """
+    out = spread(target, keys, hot)
     for feed in feeds:
-        target = overlay(
-            target, feed.rows, keys, feed.order_by,
-            latest=feed.latest, unique=feed.unique, null_safe=null_safe,
+        out = overlay(
+            out, feed.rows, keys, feed.order_by,
+            latest=feed.latest, unique=feed.unique, null_safe=null_safe, hot=hot,
         )
-    return target
+    return out if SALT in target.columns else out.drop(SALT)
 
 
 def refresh(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import MATCH, match_one, quoted, require_columns
+from .skew import HotKeys
 
 
 def pick_by_role(
@@ -53,6 +54,7 @@ def role_keys(
     order_by: Sequence[str | Column] | None = None,
     stamp: Mapping[str, Column] | None = None,
     within: str | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Set foreign keys of ``target`` from the roles of ``rows``.
 
@@ -62,14 +64,15 @@ def role_keys(
 
     ``within`` names a column of both sides that ``key`` determines, such as the
     business key behind a surrogate key. Rows are then brought together by it,
-    so a target just joined on ``within`` is not shuffled again.
+    so a target just joined on ``within`` is not shuffled again. ``hot`` spreads
+    frequent values of ``within`` (or ``key``) in the target.
     """
     roles = list(dict.fromkeys(r for choices in assign.values() for r in choices))
     picked = pick_by_role(rows, key, value, role, roles, order_by, within)
     if within:
-        joined = match_one(target, picked, [within], "left", unique=True, also_equal=[key])
+        joined = match_one(target, picked, [within], "left", unique=True, also_equal=[key], hot=hot)
     else:
-        joined = match_one(target, picked, [key], "left", unique=True)
+        joined = match_one(target, picked, [key], "left", unique=True, hot=hot)
     slot = {r: F.col(f"{MATCH}.__role{i}") for i, r in enumerate(roles)}
     filled = {
         column: F.coalesce(*[slot[r] for r in choices], quoted(column)) for column, choices in assign.items()

@@ -56,6 +56,17 @@ class HotKeys:
         return F.explode(F.sequence(F.lit(0), self.count_for(keys) - 1))
 
 
+def spread(df: DataFrame, keys: Sequence[str], hot: HotKeys | None) -> DataFrame:
+    """Add the salt column for several joins on the same keys, if any key is hot.
+
+    Joins that find the column use it and leave it in place, so they share one
+    shuffle of ``df``. Drop ``SALT`` after the last one.
+    """
+    if not hot or SALT in df.columns:
+        return df
+    return df.withColumn(SALT, hot.salt([f"`{k}`" for k in keys]))
+
+
 def find_hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.001) -> HotKeys:
     """Keys that hold at least ``min_share`` of the rows of ``df``.
 

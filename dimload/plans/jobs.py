@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators import (
     Feed,
+    HotKeys,
     advance_registry,
     assign_surrogate_keys,
     find_hot_keys,
@@ -26,14 +27,15 @@ from ..operators import (
     initial_load,
     insert_only,
     largest_key,
-    overlay,
     overlay_chain,
     refresh,
     registry_base,
     role_keys,
     scd2_merge,
+    spread,
     upsert_replace,
 )
+from ..operators.skew import SALT
 from ..sources import append, cut_lineage, replace, require_table
 from . import feeds
 from .layout import ADDRESS_LAYOUT, ADDRESS_ROLES, CONTACT_ALSO_ERASED, Tables
@@ -83,6 +85,7 @@ def contact_refreshed(
     *,
     on_missing: str = "keep",
     stamp_all: bool = False,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Customers with the contact extract's columns.
 
@@ -91,16 +94,23 @@ def contact_refreshed(
     """
     feed = feeds.contact_feed(staged, None if on_missing == "null" or stamp_all else batch_ts)
     out = refresh(
-        target, feed, CUSTOMER, CONTACT_ORDER, on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED
+        target, feed, CUSTOMER, CONTACT_ORDER,
+        on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED, hot=hot,
     )
     return feeds.stamp(out, batch_ts) if stamp_all else out
 
 
 def organisation_refreshed(
-    target: DataFrame, staged: DataFrame, batch_ts: BatchTs, *, on_missing: str = "keep"
+    target: DataFrame,
+    staged: DataFrame,
+    batch_ts: BatchTs,
+    *,
+    on_missing: str = "keep",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
+    """Customers with the organisation extract's columns; ``on_missing`` as above."""
     feed = feeds.organisation_feed(staged, batch_ts)
-    return refresh(target, feed, CUSTOMER, ORGANISATION_ORDER, on_missing=on_missing)
+    return refresh(target, feed, CUSTOMER, ORGANISATION_ORDER, on_missing=on_missing, hot=hot)
 
 
 def purge_and_merge_feeds(
@@ -115,10 +125,15 @@ def purge_and_merge_feeds(
 
 
 def history_marked(
-    target: DataFrame, history: DataFrame, *, batch_ts: BatchTs | None = None, merge_source: str = "deleted"
+    target: DataFrame,
+    history: DataFrame,
+    *,
+    batch_ts: BatchTs | None = None,
+    merge_source: str = "deleted",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Customers with their purge and merge events."""
-    return overlay_chain(target, purge_and_merge_feeds(history, batch_ts, merge_source), CUSTOMER)
+    return overlay_chain(target, purge_and_merge_feeds(history, batch_ts, merge_source), CUSTOMER, hot=hot)
 
 
 def address_keys_set(
@@ -128,13 +143,14 @@ def address_keys_set(
     *,
     current_only: bool = True,
     within: str | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Customers with the keys of their shipping, billing and marketing address."""
     if current_only:
         addresses = addresses.where(F.col(ADDRESS_LAYOUT.current) == 1)
     return role_keys(
         target, addresses, CUSTOMER_KEY, ADDRESS_KEY, "ADDR_NAME", ADDRESS_ROLES,
-        stamp={feeds.UPDATED: feeds.batch(batch_ts)}, within=within,
+        stamp={feeds.UPDATED: feeds.batch(batch_ts)}, within=within, hot=hot,
     )
 
 
@@ -148,6 +164,7 @@ def refreshed_customers(
     *,
     merge_source: str = "deleted",
     current_only: bool = True,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """All feeds laid over the customers, one after the other.
 
@@ -160,10 +177,10 @@ def refreshed_customers(
         Feed(feeds.contact_feed(contact, batch_ts), CONTACT_ORDER),
         *purge_and_merge_feeds(history, batch_ts, merge_source),
     ]
-    customers = overlay_chain(target, steps, CUSTOMER)
+    customers = overlay_chain(spread(target, CUSTOMER, hot), steps, CUSTOMER, hot=hot)
     return address_keys_set(
-        customers, addresses, batch_ts, current_only=current_only, within=CUSTOMER[0]
-    )
+        customers, addresses, batch_ts, current_only=current_only, within=CUSTOMER[0], hot=hot
+    ).drop(SALT)
 
 
 # Table to table
@@ -200,7 +217,8 @@ def refresh_from_contact(
 ) -> None:
     target = spark.table(tables.customer_dim)
     rows = contact_refreshed(
-        target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all
+        target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all,
+        hot=find_hot_keys(target, CUSTOMER),
     )
     replace(rows, tables.customer_dim)
 
@@ -209,7 +227,10 @@ def refresh_from_organisation(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, on_missing: str = "keep"
 ) -> None:
     target = spark.table(tables.customer_dim)
-    rows = organisation_refreshed(target, spark.table(tables.organisation), batch_ts, on_missing=on_missing)
+    rows = organisation_refreshed(
+        target, spark.table(tables.organisation), batch_ts, on_missing=on_missing,
+        hot=find_hot_keys(target, CUSTOMER),
+    )
     replace(rows, tables.customer_dim)
 
 
@@ -220,8 +241,10 @@ def mark_history(
     batch_ts: BatchTs | None = None,
     merge_source: str = "deleted",
 ) -> None:
+    target = spark.table(tables.customer_dim)
     rows = history_marked(
-        spark.table(tables.customer_dim), spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source
+        target, spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source,
+        hot=find_hot_keys(target, CUSTOMER),
     )
     replace(rows, tables.customer_dim)
 
@@ -234,8 +257,9 @@ def refresh_customers(
     merge_source: str = "deleted",
     current_only: bool = True,
 ) -> None:
+    target = spark.table(tables.customer_dim)
     rows = refreshed_customers(
-        spark.table(tables.customer_dim),
+        target,
         spark.table(tables.organisation),
         spark.table(tables.contact),
         spark.table(tables.history),
@@ -243,6 +267,7 @@ def refresh_customers(
         batch_ts,
         merge_source=merge_source,
         current_only=current_only,
+        hot=find_hot_keys(target, CUSTOMER),
     )
     replace(rows, tables.customer_dim)
 
@@ -250,8 +275,10 @@ def refresh_customers(
 def set_address_keys(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, current_only: bool = True
 ) -> None:
+    target = spark.table(tables.customer_dim)
     rows = address_keys_set(
-        spark.table(tables.customer_dim), spark.table(tables.address_dim), batch_ts, current_only=current_only
+        target, spark.table(tables.address_dim), batch_ts, current_only=current_only,
+        hot=find_hot_keys(target, [CUSTOMER_KEY]),
     )
     replace(rows, tables.customer_dim)
 

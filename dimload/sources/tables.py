@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
+from ..operators.joins import quoted
 from ..operators.shape import align, project
 
 
@@ -37,11 +38,26 @@ def scan(
     return project(df, columns)
 
 
+def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
+    """Number of buckets and bucket columns of a table; 0 if it has none."""
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    columns = facts.get("Bucket Columns", "[]").strip("[]")
+    return int(facts.get("Num Buckets", 0)), [c.strip(" `") for c in columns.split(",") if c.strip()]
+
+
 def append(df: DataFrame, table: str) -> None:
-    """Add rows to an existing table."""
+    """Add rows to an existing table.
+
+    Rows for a bucketed table are brought together by bucket first. Otherwise
+    every task would write a file into every bucket.
+    """
     spark = df.sparkSession
     require_table(spark, table)
-    align(df, spark.table(table).schema).write.insertInto(table)
+    rows = align(df, spark.table(table).schema)
+    buckets, columns = bucketing(spark, table)
+    if buckets:
+        rows = rows.repartition(buckets, *[quoted(c) for c in columns])
+    rows.write.insertInto(table)
 
 
 def _side_names(table: str) -> tuple[str, str, str]:

@@ -129,6 +129,26 @@ def test_chain_later_feed_wins(spark, left):
     }
 
 
+def test_spread_chain_equals_plain_chain_with_one_shuffle_of_the_target(spark):
+    target = spark.range(0, 3000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id")).alias("k"), "id", F.lit("old").alias("v")
+    )
+    steps = [
+        Feed(spark.range(100).selectExpr("id AS k", "'one' AS v"), unique=True),
+        Feed(spark.range(50).selectExpr("id AS k", "'two' AS v", "id AS w"), ["w"]),
+    ]
+    hot = find_hot_keys(target, ["k"])
+    assert hot
+    spread = overlay_chain(target, steps, ["k"], hot=hot)
+    assert spread.columns == ["k", "id", "v", "w"]
+    assert rows(spread) == rows(overlay_chain(target, steps, ["k"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = overlay_chain(target, steps, ["k"], hot=hot)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning(k#") == 1
+    assert text.count("Exchange hashpartitioning(__r0#") == 2
+
+
 def test_refresh_keep_and_null(spark, left):
     feed = spark.createDataFrame([(1, "new")], "k long, v string")
     keep = refresh(left, feed, ["k"], unique=True)

@@ -2,6 +2,7 @@ import pytest
 
 from dimload.operators import align, project, union_rows
 from dimload.sources import TableMissing, append, recover, replace, scan
+from dimload.sources.tables import bucketing
 
 
 @pytest.fixture
@@ -24,6 +25,12 @@ def test_append_fills_and_casts(spark, table):
     assert content(spark, table) == [(1, "a", None), (2, "b", None)]
 
 
+def test_append_writes_one_file_per_bucket(spark, table):
+    append(spark.range(0, 400, 1, 8).selectExpr("id AS k"), table)
+    assert bucketing(spark, table) == (4, ["K"])
+    assert spark.table(table).select("_metadata.file_path").distinct().count() == 4
+
+
 def test_target_must_exist(spark):
     for write in (append, replace):
         with pytest.raises(TableMissing):
