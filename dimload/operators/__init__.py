@@ -1,4 +1,4 @@
-from .joins import first_match, fits_broadcast, match_one
+from .joins import first_match, fits_broadcast, match_one, only_matching
 from .keys import advance_registry, assign_surrogate_keys, largest_key, row_numbers
 from .lookup import (
     REJECT_REASON,
@@ -10,7 +10,7 @@ from .lookup import (
     resolve_key,
     with_registry_base,
 )
-from .overlay import Feed, overlay, overlay_chain, refresh
+from .overlay import Feed, overlay, overlay_chain, refresh, settle
 from .roles import pick_by_role, role_keys
 from .scd2 import Loaded, Merged, Scd2Layout, expire, initial_load, new_versions, scd2_merge
 from .shape import align, project, union_rows, upsert_replace, without_keys
@@ -38,6 +38,7 @@ __all__ = [
     "lookup_overlay",
     "match_one",
     "new_versions",
+    "only_matching",
     "overlay",
     "overlay_chain",
     "pick_by_role",
@@ -48,6 +49,7 @@ __all__ = [
     "role_keys",
     "row_numbers",
     "scd2_merge",
+    "settle",
     "spread",
     "union_rows",
     "upsert_replace",

@@ -60,8 +60,10 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the frame, measured by running it, is small enough to copy."""
     width = F.lit(16 + 8 * len(df.columns))
     for field in df.schema.fields:
-        if isinstance(field.dataType, T.StringType):
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            return False
     return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= limit
 
 
@@ -186,3 +188,15 @@ def match_one(
 
     joined = left.join(right, on, how)
     return joined.selectExpr(*[sql_name(c) for c in names], *([MATCH] if how in ("left", "inner") else []))
+
+
+def only_matching(
+    df: DataFrame, few: DataFrame, keys: Sequence[str], null_safe: bool = False
+) -> DataFrame:
+    """The rows of a large frame whose key occurs in a small one.
+
+    ``few`` is copied to the executors, so ``df`` is read without a shuffle.
+    Pass only a frame that ``fits_broadcast``.
+    """
+    few = F.broadcast(few.select(*[quoted(k) for k in require_columns(few, keys, "small side")]))
+    return match_one(df, few, keys, "left_semi", unique=True, null_safe=null_safe)

@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import MATCH, match_one, quoted, require_columns, sql_name, without
+from .joins import MATCH, match_one, only_matching, quoted, require_columns, sql_name, without
 from .overlay import replaced
 from .skew import HotKeys
 
@@ -30,12 +30,18 @@ def insert_only(
     unique: bool = False,
     null_safe: bool = False,
     hot: HotKeys | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Staged rows whose key the target does not have yet.
 
     ``unique`` says the target has one row per key. Several staged rows of one
     new key are all returned.
+
+    ``small`` says the staged keys are known to fit in memory (see
+    ``fits_broadcast``); the target's keys are then not shuffled.
     """
+    if small:
+        target = only_matching(target, staged, keys, null_safe)
     return match_one(staged, target, keys, "left_anti", unique=unique, null_safe=null_safe, hot=hot)
 
 
@@ -74,13 +80,18 @@ def resolve_key(
     *,
     unique: bool = False,
     hot: HotKeys | None = None,
+    small: bool = False,
     reason: str = "key not found",
 ) -> Resolved:
     """Take the reference's columns (the foreign key) for each row.
 
     Whether a row is accepted depends on whether its key was found, not on the
-    value found. Accepted and rejected rows add up to the input.
+    value found. Accepted and rejected rows add up to the input. ``small`` says
+    the keys of ``rows`` are known to fit in memory; the reference is then not
+    shuffled.
     """
+    if small:
+        reference = only_matching(reference, rows, on)
     joined = match_one(rows, reference, on, "left", order_by=order_by, unique=unique, hot=hot)
     found = F.col(MATCH).isNotNull()
     return Resolved(
@@ -97,18 +108,22 @@ def content_anti_join(
     *,
     scope: str = "key",
     hot: HotKeys | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """Staged rows with content the target does not have.
 
     ``scope="key"`` compares with target rows of the same ``keys`` (pass only
     current rows to compare with the current version). ``scope="global"``
     compares with every target row, whatever its key. NULL equals NULL.
+    ``small`` says the staged columns compared are known to fit in memory.
     """
     if scope not in ("key", "global"):
         raise ValueError("scope is 'key' or 'global'")
     if scope == "key" and not keys:
         raise ValueError("scope 'key' needs keys")
     columns = (list(keys) if scope == "key" else []) + list(content)
+    if small:
+        target = only_matching(target, staged, columns, null_safe=True)
     return match_one(staged, target, columns, "left_anti", null_safe=True, hot=hot)
 
 

@@ -8,7 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import MATCH, match_one, require_columns, sql_name, without
+from ..sources.scratch import cut_lineage
+from .joins import MATCH, first_match, fits_broadcast, match_one, require_columns, sql_name, without
 from .skew import SALT, HotKeys, spread
 
 
@@ -70,6 +71,18 @@ class Feed:
     unique: bool = False
 
 
+def settle(feed: Feed, keys: Sequence[str]) -> Feed:
+    """Reduce a feed to one row per key, write it once and measure it.
+
+    A feed that turns out small is copied to the executors, and the target it is
+    laid over stays in place. Costs one write of the feed, which is worth it when
+    the target is much larger.
+    """
+    rows = feed.rows if feed.unique else first_match(feed.rows, keys, feed.order_by, feed.latest)
+    rows = cut_lineage(rows)
+    return Feed(F.broadcast(rows) if fits_broadcast(rows) else rows, unique=True)
+
+
 def overlay_chain(
     target: DataFrame,
     feeds: Sequence[Feed],

@@ -113,7 +113,9 @@ def initial_load(
     if order_by:
         staged = first_match(staged, layout.natural_key, order_by)
     # Written once: the new rows are numbered in two passes and split twice.
-    new = cut_lineage(insert_only(staged, target, layout.natural_key))
+    keys = require_columns(staged, layout.natural_key, "staged rows")
+    few = fits_broadcast(staged.select(*[quoted(k) for k in keys]))
+    new = cut_lineage(insert_only(staged, target, layout.natural_key, small=few))
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
     ready = _first_versions(accepted, batch_ts, layout, target)
     ready = ready.drop(*without(ready, target.columns))
@@ -123,9 +125,11 @@ def initial_load(
 
 def _with_parent(rows, parents, layout, unique, hot=None):
     parents = parents.select(*require_columns(parents, [layout.parent_id, layout.parent], "parents"))
-    # Of several parents of one id the lowest key is used.
+    # ``rows`` have been written before, so measuring them is cheap. Of several
+    # parents of one id the lowest key is used.
+    few = fits_broadcast(rows.select(quoted(layout.parent_id)))
     return resolve_key(
-        rows, parents, [layout.parent_id], [layout.parent], unique=unique, hot=hot,
+        rows, parents, [layout.parent_id], [layout.parent], unique=unique, hot=hot, small=few,
         reason=f"{layout.parent} not found",
     )
 
@@ -296,25 +300,34 @@ def scd2_merge(
     incoming = first_match(staged, keys, order_by)
     current = target.where(quoted(layout.current) == 1)
 
-    # The new versions are written once, so the current rows are read once for
-    # them however often the (much smaller) versions are used below.
+    # Staged rows and new versions are written once each and then measured. The
+    # target, much larger than both, is read once to find the versions and once
+    # to write the result, and is not shuffled for a small load.
     if rules.number_first:
         incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
+    else:
+        incoming = cut_lineage(incoming)
+    side = F.broadcast(incoming) if fits_broadcast(incoming) else incoming
+
+    if rules.number_first:
         versions = new_versions(
-            current, incoming, layout, batch_ts,
+            current, side, layout, batch_ts,
             changed_only=False, effective=effective, begin_offset_days=begin_offset_days,
         )
+        versions = cut_lineage(versions)
         if rules.compare == "global":
-            versions = content_anti_join(
-                versions, target, layout.content, scope="global",
-                hot=find_hot_keys(incoming, layout.content),
+            content = versions.select(*[quoted(c) for c in layout.content])
+            versions = cut_lineage(
+                content_anti_join(
+                    versions, target, layout.content, scope="global",
+                    hot=find_hot_keys(content, layout.content), small=fits_broadcast(content),
+                )
             )
-        versions = cut_lineage(versions)
         added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         closing = incoming.select(*[quoted(c) for c in keys + ([effective] if effective else [])])
     else:
         versions = new_versions(
-            current, incoming, layout, batch_ts,
+            current, side, layout, batch_ts,
             changed_only=rules.compare != "none", effective=effective, begin_offset_days=begin_offset_days,
         )
         accepted, rejected = _with_parent(

@@ -86,6 +86,8 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.001)
         )
         .groupBy("way")
         .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("sketch"), F.count("*").alias("n"))
+        # Grouped by a constant: no rows give no result rather than a bad sketch.
+        .groupBy(F.lit(0).alias("all"))
         .agg(
             F.expr(
                 f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {math.ceil(1 / min_share)})"
@@ -95,7 +97,7 @@ def find_hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.001)
         .first()
     )
     pieces: dict[int, list[int]] = {}
-    for item in top["top"] or []:
+    for item in top["top"] if top else []:
         share = item["count"] / top["n"]
         # A key that fills less than one shuffle partition needs no cutting.
         if share >= min_share and share * partitions > 1:

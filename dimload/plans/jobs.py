@@ -24,6 +24,7 @@ from ..operators import (
     assign_surrogate_keys,
     find_hot_keys,
     first_match,
+    fits_broadcast,
     initial_load,
     insert_only,
     largest_key,
@@ -32,6 +33,7 @@ from ..operators import (
     registry_base,
     role_keys,
     scd2_merge,
+    settle,
     spread,
     upsert_replace,
 )
@@ -63,7 +65,9 @@ def customers_to_insert(
     ``on_duplicate``: ``keep`` loads every staged row of a new customer, ``first``
     only one.
     """
-    new = insert_only(feeds.new_customers(staged, batch_ts), target, CUSTOMER, unique=True)
+    rows = feeds.new_customers(staged, batch_ts)
+    few = fits_broadcast(rows.select(*CUSTOMER))
+    new = insert_only(rows, target, CUSTOMER, unique=True, small=few)
     if on_duplicate == "first":
         new = first_match(new, CUSTOMER, ORGANISATION_ORDER)
     elif on_duplicate != "keep":
@@ -86,16 +90,18 @@ def contact_refreshed(
     on_missing: str = "keep",
     stamp_all: bool = False,
     hot: HotKeys | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Customers with the contact extract's columns.
 
     ``on_missing="null"`` erases contact columns of customers the extract lacks.
     ``stamp_all`` gives every customer the batch number, also untouched ones.
     """
-    feed = feeds.contact_feed(staged, None if on_missing == "null" or stamp_all else batch_ts)
+    rows = feeds.contact_feed(staged, None if on_missing == "null" or stamp_all else batch_ts)
+    (feed,) = _settle([Feed(rows, CONTACT_ORDER)], settled)
     out = refresh(
-        target, feed, CUSTOMER, CONTACT_ORDER,
-        on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED, hot=hot,
+        target, feed.rows, CUSTOMER, feed.order_by,
+        unique=feed.unique, on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED, hot=hot,
     )
     return feeds.stamp(out, batch_ts) if stamp_all else out
 
@@ -107,10 +113,14 @@ def organisation_refreshed(
     *,
     on_missing: str = "keep",
     hot: HotKeys | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Customers with the organisation extract's columns; ``on_missing`` as above."""
-    feed = feeds.organisation_feed(staged, batch_ts)
-    return refresh(target, feed, CUSTOMER, ORGANISATION_ORDER, on_missing=on_missing, hot=hot)
+    rows = feeds.organisation_feed(staged, batch_ts)
+    (feed,) = _settle([Feed(rows, ORGANISATION_ORDER)], settled)
+    return refresh(
+        target, feed.rows, CUSTOMER, feed.order_by, unique=feed.unique, on_missing=on_missing, hot=hot
+    )
 
 
 def purge_and_merge_feeds(
@@ -131,9 +141,15 @@ def history_marked(
     batch_ts: BatchTs | None = None,
     merge_source: str = "deleted",
     hot: HotKeys | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """Customers with their purge and merge events."""
-    return overlay_chain(target, purge_and_merge_feeds(history, batch_ts, merge_source), CUSTOMER, hot=hot)
+    steps = purge_and_merge_feeds(history, batch_ts, merge_source)
+    return overlay_chain(target, _settle(steps, settled), CUSTOMER, hot=hot)
+
+
+def _settle(steps: Sequence[Feed], settled: bool) -> list[Feed]:
+    return [settle(step, CUSTOMER) if settled else step for step in steps]
 
 
 def address_keys_set(
@@ -165,19 +181,21 @@ def refreshed_customers(
     merge_source: str = "deleted",
     current_only: bool = True,
     hot: HotKeys | None = None,
+    settled: bool = False,
 ) -> DataFrame:
     """All feeds laid over the customers, one after the other.
 
     All overlays share one shuffle of the customers, by customer id. The three
     address roles are folded into one row per customer first; they are compared
     by customer key but brought together by customer id, which the key determines.
+    ``settled`` writes and measures every feed first, see ``settle``.
     """
     steps = [
         Feed(feeds.organisation_feed(organisation, batch_ts), ORGANISATION_ORDER),
         Feed(feeds.contact_feed(contact, batch_ts), CONTACT_ORDER),
         *purge_and_merge_feeds(history, batch_ts, merge_source),
     ]
-    customers = overlay_chain(spread(target, CUSTOMER, hot), steps, CUSTOMER, hot=hot)
+    customers = overlay_chain(spread(target, CUSTOMER, hot), _settle(steps, settled), CUSTOMER, hot=hot)
     return address_keys_set(
         customers, addresses, batch_ts, current_only=current_only, within=CUSTOMER[0], hot=hot
     ).drop(SALT)
@@ -219,6 +237,7 @@ def refresh_from_contact(
     rows = contact_refreshed(
         target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all,
         hot=find_hot_keys(target, CUSTOMER),
+        settled=True,
     )
     replace(rows, tables.customer_dim)
 
@@ -230,6 +249,7 @@ def refresh_from_organisation(
     rows = organisation_refreshed(
         target, spark.table(tables.organisation), batch_ts, on_missing=on_missing,
         hot=find_hot_keys(target, CUSTOMER),
+        settled=True,
     )
     replace(rows, tables.customer_dim)
 
@@ -245,6 +265,7 @@ def mark_history(
     rows = history_marked(
         target, spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source,
         hot=find_hot_keys(target, CUSTOMER),
+        settled=True,
     )
     replace(rows, tables.customer_dim)
 
@@ -268,6 +289,7 @@ def refresh_customers(
         merge_source=merge_source,
         current_only=current_only,
         hot=find_hot_keys(target, CUSTOMER),
+        settled=True,
     )
     replace(rows, tables.customer_dim)
 

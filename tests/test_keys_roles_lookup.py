@@ -147,3 +147,29 @@ def test_role_keys_within_the_business_key(spark):
     assert {tuple(r) for r in within.collect()} == {tuple(r) for r in plain.collect()} == {
         (1, 11, 5), (2, 12, 7), (3, 13, UNKNOWN)
     }
+
+
+def test_small_sides_give_the_same_rows(spark):
+    target = spark.range(0, 300, 3).selectExpr("nullif(id, 0) AS k", "string(id % 5) AS a", "id * 10 AS fk")
+    staged = spark.range(0, 60).selectExpr("nullif(id, 0) AS k", "string(id % 7) AS a", "id AS n")
+
+    def same(one, two):
+        return sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+
+    for null_safe in (False, True):
+        assert same(
+            insert_only(staged, target, ["k"], null_safe=null_safe),
+            insert_only(staged, target, ["k"], null_safe=null_safe, small=True),
+        )
+    for scope in ("key", "global"):
+        assert same(
+            content_anti_join(staged, target, ["a"], ["k"], scope=scope),
+            content_anti_join(staged, target, ["a"], ["k"], scope=scope, small=True),
+        )
+    plain = resolve_key(staged, target.drop("a"), ["k"], ["fk"])
+    small = resolve_key(staged, target.drop("a"), ["k"], ["fk"], small=True)
+    assert same(plain.accepted, small.accepted) and same(plain.rejected, small.rejected)
+
+
+def test_hot_keys_of_no_rows(spark):
+    assert not find_hot_keys(spark.range(0), ["id"])

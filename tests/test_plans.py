@@ -5,7 +5,19 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from dimload.operators import Feed, assign_surrogate_keys, expire, overlay, overlay_chain, role_keys
+from dimload.operators import (
+    Feed,
+    assign_surrogate_keys,
+    expire,
+    fits_broadcast,
+    insert_only,
+    new_versions,
+    overlay,
+    overlay_chain,
+    resolve_key,
+    role_keys,
+    settle,
+)
 from dimload.plans import ADDRESS_LAYOUT, ADDRESS_SCHEMA
 from dimload.sources import append, scan
 
@@ -41,6 +53,38 @@ def test_a_chain_shuffles_the_target_once(spark, target, large):
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 4
 
 
+def test_settled_small_feeds_leave_the_target_in_place(spark, target, large):
+    steps = [settle(Feed(feed(spark, c), [f"ord_{c}"]), ["cust"]) for c in ("a", "b")]
+    text = plan(overlay_chain(target, steps, ["cust"]))
+    assert text.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in text
+
+
+def test_small_staged_rows_leave_the_target_in_place(spark, target, large):
+    staged = feed(spark, "a")
+    text = plan(insert_only(staged, target, ["cust"], unique=True, small=True))
+    # What the broadcast leaves of the target is shuffled, not the target itself.
+    assert re.search(r"BroadcastHashJoin .* LeftSemi", text)
+    text = plan(resolve_key(staged, target.select("cust", "ck"), ["cust"], ["ck"], small=True).accepted)
+    assert re.search(r"BroadcastHashJoin .* LeftSemi", text)
+
+
+def test_broadcast_incoming_rows_leave_current_rows_in_place(spark, large):
+    current = spark.createDataFrame([], ADDRESS_SCHEMA).union(
+        spark.range(10).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in ADDRESS_SCHEMA.fields])
+    )
+    incoming = current.select(*ADDRESS_LAYOUT.natural_key, *ADDRESS_LAYOUT.content)
+    text = plan(new_versions(current, F.broadcast(incoming), ADDRESS_LAYOUT, "2019-11-22 10:00:00"))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
+def test_size_is_measured(spark):
+    assert fits_broadcast(spark.range(100))
+    assert not fits_broadcast(spark.range(100), limit=1000)
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert not fits_broadcast(wide, limit=5000) and fits_broadcast(wide, limit=20000)
+    assert not fits_broadcast(wide.select(F.array("s")))
+
+
 def test_null_safe_keys_cost_no_further_exchange(spark, target, large):
     text = plan(overlay(target, feed(spark, "a"), ["cust"], ["ord_a"], null_safe=True))
     assert len(re.findall(r"Exchange hashpartitioning", text)) == 2
