@@ -180,6 +180,7 @@ def refreshed_customers(
     *,
     merge_source: str = "deleted",
     current_only: bool = True,
+    key_only: bool = False,
     hot: HotKeys | None = None,
     settled: bool = False,
 ) -> DataFrame:
@@ -188,7 +189,9 @@ def refreshed_customers(
     All overlays share one shuffle of the customers, by customer id. The three
     address roles are folded into one row per customer first; they are compared
     by customer key but brought together by customer id, which the key determines.
-    ``settled`` writes and measures every feed first, see ``settle``.
+    ``key_only`` compares the customer key alone, for keys handed out to several
+    customers; this shuffles the customers a second time. ``settled`` writes and
+    measures every feed first, see ``settle``.
     """
     steps = [
         Feed(feeds.organisation_feed(organisation, batch_ts), ORGANISATION_ORDER),
@@ -196,6 +199,8 @@ def refreshed_customers(
         *purge_and_merge_feeds(history, batch_ts, merge_source),
     ]
     customers = overlay_chain(spread(target, CUSTOMER, hot), _settle(steps, settled), CUSTOMER, hot=hot)
+    if key_only:
+        return address_keys_set(customers.drop(SALT), addresses, batch_ts, current_only=current_only)
     return address_keys_set(
         customers, addresses, batch_ts, current_only=current_only, within=CUSTOMER[0], hot=hot
     ).drop(SALT)
@@ -277,6 +282,7 @@ def refresh_customers(
     *,
     merge_source: str = "deleted",
     current_only: bool = True,
+    key_only: bool = False,
 ) -> None:
     target = spark.table(tables.customer_dim)
     rows = refreshed_customers(
@@ -288,6 +294,7 @@ def refresh_customers(
         batch_ts,
         merge_source=merge_source,
         current_only=current_only,
+        key_only=key_only,
         hot=find_hot_keys(target, CUSTOMER),
         settled=True,
     )

@@ -10,7 +10,6 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from ..operators.joins import quoted
 from ..operators.shape import align, project
 
 
@@ -49,14 +48,15 @@ def append(df: DataFrame, table: str) -> None:
     """Add rows to an existing table.
 
     Rows for a bucketed table are brought together by bucket first. Otherwise
-    every task would write a file into every bucket.
+    every task would write a file into every bucket. A bucket with very many
+    rows is split over several tasks and files.
     """
     spark = df.sparkSession
     require_table(spark, table)
     rows = align(df, spark.table(table).schema)
     buckets, columns = bucketing(spark, table)
     if buckets:
-        rows = rows.repartition(buckets, *[quoted(c) for c in columns])
+        rows = rows.hint("rebalance", buckets, *columns)
     rows.write.insertInto(table)
 
 

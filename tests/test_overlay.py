@@ -167,6 +167,14 @@ def test_lookup_overlay_both_directions(spark, left):
     assert rows(out) == [(1, "a", "old", 3), (1, "b", "old", 3)]
 
 
+def test_first_match_settles_ties_and_takes_expressions(spark):
+    df = spark.createDataFrame([(1, 5, "b"), (1, 5, "a"), (1, 3, "c"), (2, None, "z"), (2, 1, "y")], "k int, o int, v string")
+    assert rows(first_match(df, ["k"], [-F.col("o")])) == [(1, 5, "a"), (2, None, "z")]
+    assert rows(first_match(df, ["k"], ["o"], latest=True)) == [(1, 5, "b"), (2, 1, "y")]
+    maps = df.withColumn("m", F.create_map("v", "o"))
+    assert [r["m"] for r in first_match(maps, ["k"], ["o", "v"]).orderBy("k").collect()] == [{"c": 3}, {"z": None}]
+
+
 def test_first_match_keeps_columns_in_order(right):
     out = first_match(right, ["k"], ["ord"])
     assert out.columns == ["k", "v", "ord"]
