@@ -174,15 +174,11 @@ AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderdate < TIMESTAMP '2000-01-
 def insert_only_composite(spark, sf):
     t = TestTables(spark, sf)
     keys = ["o_custkey", "o_orderpriority"]
-    split = timestamp("2000-01-01")
+    split = F.lit("2000-01-01").cast("timestamp_ntz")
     new = t.orders.where(F.col("o_orderdate") >= split).select("o_orderkey", *keys)
     return insert_only(new, t.orders.where(F.col("o_orderdate") < split), keys, hot=find_hot_keys(new, keys))
 
 
-def timestamp(text):
-    return F.lit(text).cast("timestamp_ntz")
-
-
 @query("""
 SELECT user_id * 17 AS customer_id, event_id, c_nationkey AS nation_key
 FROM events JOIN customer ON user_id * 17 = c_custkey

@@ -26,6 +26,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from here on, also when executors are lost.
     """
     sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
+    if not sc.getCheckpointDir():
         sc.setCheckpointDir(scratch_dir(df.sparkSession))
     return df.checkpoint(eager=True)
