@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from dimload.operators import Scd2Layout, initial_load, scd2_merge
+from dimload.operators import Scd2Layout, find_hot_keys, initial_load, scd2_merge
 
 BATCH = "2019-11-22 10:00:00"
 NOW = datetime(2019, 11, 22, 10)
@@ -170,3 +170,31 @@ def test_initial_load(stored, staged, parents, spark):
     assert none.rows.count() == 0 and [r["id"] for r in none.rejected.collect()] == [14]
     empty = initial_load(staged, stored.limit(0), parents, 100, BATCH, LAYOUT, ["line1"])
     assert sorted(r["cak"] for r in empty.rows.collect()) == [101, 102, 103, 104]
+
+
+@pytest.mark.parametrize("compat", ["corrected", "reference", "reference_without_compare"])
+def test_a_third_of_all_rows_under_one_key(spark, compat):
+    """Hot keys are spread without changing a row of the result."""
+    n = 1200
+    stored = spark.range(0, n, 1, 6).selectExpr(
+        "id AS cak", "100 + id AS ck", "IF(id % 3 = 0, 7, id) AS id", "IF(id % 3 = 0, 'A', 'B') AS name", "'S' AS src",
+        "string(id % 11) AS line1", "timestamp'2019-01-01' AS begin", "timestamp'2099-12-31' AS `end`",
+        f"IF(id % 3 = 0 AND id < {n} - 3, 0, 1) AS cur", "int(id % 5) AS ver", "0 AS void", "1L AS ins", "1L AS upd",
+        "'p' AS private",
+    )
+    staged = spark.range(0, n, 1, 6).selectExpr(
+        "IF(id % 3 = 0, 7, id) AS id", "IF(id % 3 = 0, CONCAT('A', IF(id = 3, '', string(id))), 'B') AS name", "'S' AS src",
+        "string(id % 13) AS line1",
+    )
+    parents = spark.range(5, n).selectExpr("id", "id * 2 AS ck")
+    hot, hot_parents = find_hot_keys(stored, LAYOUT.natural_key), find_hot_keys(staged, ["id"])
+    assert hot and hot_parents
+    args = (stored, staged, parents, 5000, BATCH, LAYOUT, ["line1"])
+    plain = scd2_merge(*args, compat=compat)
+    spread = scd2_merge(*args, compat=compat, hot=hot, hot_parents=hot_parents)
+    for one, two in zip(plain, spread):
+        assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+    args = (staged, stored, parents, 5000, BATCH, LAYOUT, ["line1"])
+    for one, two in zip(initial_load(*args), initial_load(*args, hot_parents=hot_parents)):
+        assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.collect()), key=repr)
+    assert plain.table.count() >= n and plain.added.count() + plain.rejected.count() > 0
