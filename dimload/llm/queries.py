@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dimload.llm import quality_rules, simhash
-from dimload.llm.common import table
+from dimload.llm import language_id, mixing, quality_rules, simhash
+from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -24,6 +24,22 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.words_taken(*mixing.mix(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (fold("doc_id", 4) == 2).alias("held_out")
+    )
+    models = language_id.train(docs.where("not held_out"))
+    found = language_id.identify(docs.select("doc_id", "text", "held_out"), models)
+    return found.select("doc_id", "held_out", "language.lang_pred", "language.score", "language.accepted")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality_rules.judge(table(spark, sf_dir, "documents"))
