@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dimload.llm import language_id, mixing, quality_rules, simhash
+from dimload.llm import language_id, mixing, packing, quality_rules, simhash
 from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -18,6 +19,12 @@ def query(f):
     return f
 
 
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
