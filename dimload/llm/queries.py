@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from dimload.llm import language_id, mixing, packing, quality_rules, simhash
+from dimload.llm import embeddings, language_id, mixing, packing, quality_rules, simhash
 from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
