@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dimload.llm import embeddings, language_id, mixing, packing, quality_rules, simhash
+from dimload.llm import embeddings, language_id, mixing, packing, quality_rules, simhash, warc
 from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,26 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op4_warc_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(spark, written).select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
+ORACLE["op4_warc_packages"] = """
+SELECT page_id, octet_length(encode(body)) AS payload_bytes, sha256(body) AS payload_digest,
+       CASE WHEN octet_length(encode(body)) >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN octet_length(encode(body)) >= 100 AND page_id > first THEN first END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS body, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages)
+"""
+
+
 @query
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.93)
