@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import chat, embeddings, html_text, language_id, mixing, packing, quality_rules, simhash, warc
+from dimload.llm import chat, embeddings, html_text, language_id, mixing, packing, quality_classifier, quality_rules, simhash, warc
 from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,18 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = quality_classifier.quality_scores(docs, labels, learn=lambda doc_id: fold(doc_id, 5) != 0)
+    return found.select(
+        "doc_id",
+        (fold("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
