@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +41,29 @@ def share_below(key: Column, share: Column | float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("share")), F.lit(1 << 30)) < F.lit(float(1 << 30)) * share
 
 
-def utf8_list(batch_column) -> list:
-    """The values of an Arrow binary column, NULL as empty bytes."""
-    return [x or b"" for x in batch_column.to_pylist()]
-
-
-def segment_sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of consecutive segments that end (exclusively) at ``ends``."""
-    total = np.concatenate([np.zeros((1, *values.shape[1:]), values.dtype), np.cumsum(values, axis=0)])
-    return total[ends] - total[np.concatenate([[0], ends[:-1]])]
+def as_rows(docs: DataFrame, text: str, **named: str) -> DataFrame:
+    """Each row of ``docs`` in one struct ``row``, the key of its text as ``key``, and columns
+    of it under other names: nothing can clash with what the rows are joined to."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return rows.select("row", text_key(F.col("row")[text]).alias("key"), *[F.col("row")[c].alias(n) for n, c in named.items()])
+
+
+def back(rows: DataFrame, like: DataFrame, text: str, body: Column | None = None) -> DataFrame:
+    """The columns of ``like`` out of ``row``; ``body`` replaces the text, and its code points
+    ``n_chars`` where there is such a column."""
+    rows = rows if body is None else rows.withColumn("__body", body)
+    out = []
+    for c in like.columns:
+        if body is not None and c == text:
+            out.append(F.col("__body").alias(c))
+        elif body is not None and c == "n_chars":
+            out.append(F.length("__body").cast(like.schema[c].dataType).alias(c))
+        else:
+            out.append(F.col("row")[c].alias(c))
+    return rows.select(*out)
+
+
+def once(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with one row per key; they are only moved if some key repeats."""
+    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
+    return rows if repeated.isEmpty() else rows.dropDuplicates(keys)

@@ -220,7 +220,7 @@ def train(
     sample_docs: int = SAMPLE_DOCS,
     max_grams: int = MAX_GRAMS,
     quantile: float = 0.999,
-    slack: float = 0.5,
+    slack: float = 1.5,
 ) -> LanguageModels:
     """Models of the languages in ``docs``; rows without text or language are passed over.
 
@@ -300,3 +300,9 @@ def identify(docs: DataFrame, models: LanguageModels, text: str = "text", into:
     character; `und` for a NULL text or one without letters), ``score`` (0 to 1),
     ``entropy`` and ``accepted``. All other columns pass, one named ``into`` is replaced."""
     return docs.withColumn(into, identify_udf(models)(utf8(text)))
+
+
+def in_a_language(docs: DataFrame, models: LanguageModels, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is accepted in the language predicted, as they are."""
+    found = identify(docs, models, text, "__language").where("__language.accepted")
+    return found.drop("__language")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimload.llm.common import text_key, words
+from dimload.llm.common import as_rows, back, once, text_key, words
 from dimload.operators.keys import row_numbers
 from dimload.sources.scratch import cut_lineage
 
@@ -242,25 +242,11 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     parts = parts.select(
         F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_key").alias("__key"), "spans", whole.alias("whole")
     )
-    names = docs.columns
-    tagged = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    tagged = tagged.withColumn("key", text_key(F.col("row")[text]))
-    tagged = tagged.withColumn("id", F.col("row")[doc_id]).withColumn("src", F.col("row")[source])
-    repeated = tagged.groupBy("id", "src", "key").agg(F.count("*").alias("n")).where("n > 1")
-    tagged = tagged if repeated.isEmpty() else tagged.dropDuplicates(["id", "src", "key"])
+    rows = once(as_rows(docs, text, id=doc_id, src=source), ["id", "src", "key"])
     there = F.col("id").eqNullSafe(F.col("__id")) & F.col("src").eqNullSafe(F.col("__source")) & (F.col("key") == F.col("__key"))
-    both = tagged.join(parts, there)
+    both = rows.join(parts, there)
     units = F.regexp_extract_all(F.col("row")[text], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     both = both.withColumn("units", F.when(~F.col("whole"), units))
     cut = F.transform("spans", lambda s: F.slice("units", (s.word_from + 1).cast("int"), (s.word_to - s.word_from).cast("int")))
-    body = F.when(F.col("whole"), F.col("row")[text]).otherwise(F.regexp_replace(F.array_join(F.flatten(cut), ""), r"^[\x20\x09-\x0D]+", ""))
-    both = both.withColumn("__body", body)
-    out = []
-    for c in names:
-        if c == text:
-            out.append(F.col("__body").alias(c))
-        elif c == "n_chars":
-            out.append(F.length("__body").cast(docs.schema[c].dataType).alias(c))
-        else:
-            out.append(F.col("row")[c].alias(c))
-    return both.select(*out)
+    left = F.regexp_replace(F.array_join(F.flatten(cut), ""), r"^[\x20\x09-\x0D]+", "")
+    return back(both, docs, text, F.when(F.col("whole"), F.col("row")[text]).otherwise(left))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.common import WORD, text_key, words
+from dimload.llm.common import WORD, as_rows, back, text_key, words
 from dimload.sources.scratch import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
@@ -123,3 +123,14 @@ def without_lines(text: Column, removed: Column) -> Column:
     """The text without the lines whose hash is in ``removed``."""
     lines = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(removed, F.xxhash64(normalised(x))))
     return F.when(F.size(removed) == 0, text).otherwise(F.array_join(lines, "\n"))
+
+
+def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that are kept, without the lines to remove; a text that loses none
+    stays as it is, one that does gets its new ``n_chars``, if there is such a column."""
+    judged = judge(docs, doc_id, text, host, **limits).where("kept")
+    judged = judged.select(F.col("doc_id").alias("of_id"), F.col("host").alias("of_host"), F.col("text_key").alias("of_key"), "removed")
+    rows = as_rows(docs, text, id=doc_id, at=host)
+    same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("at").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key"))
+    both = rows.join(judged.dropDuplicates(["of_id", "of_host", "of_key"]), same)
+    return back(both, docs, text, without_lines(F.col("row")[text], F.col("removed")))
