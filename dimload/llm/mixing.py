@@ -21,20 +21,8 @@ BLOCK, SHARD, ROUNDS = 256, 256, 20
 MOST = 3
 #: About so many documents, or sources, are brought in line by one task at a time.
 CHUNK = 4_000
-_P = (1 << 31) - 1
-
-
-def _mix(x: Column, salt: Column) -> Column:
-    """A pseudorandom number below 2^31 - 1, in arithmetic that any SQL engine shares."""
-    a = (x % _P + salt % _P) * 48271 % _P
-    a = a.bitwiseXOR(F.shiftright(a, 15)) % _P * 69621 % _P
-    return a.bitwiseXOR(F.shiftright(a, 12)) % _P * 40692 % _P
-
-
-def _wide(x: Column, salt: Column) -> Column:
-    """A pseudorandom number below 2^62."""
-    x = x + F.floor(x / _P).cast("long") * 7919
-    return _mix(x, salt) * F.lit(1 << 31) + _mix(x + 104729, salt + 1299709)
+#: Slots that one task fills, about.
+SLOTS = 50_000
 
 
 def permuted(x: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Column:
@@ -42,9 +30,8 @@ def permuted(x: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Column:
     image about a random point change places or stay, by a coin both share."""
 
     def step(at: Column, r: Column) -> Column:
-        salt = key + r * 15485863
-        mirror = (_wide(r, key) % n + n - at) % n
-        coin = F.shiftright(_mix(F.greatest(at, mirror), salt), 9) % 2
+        mirror = (F.pmod(F.xxhash64(r, key), n) + n - at) % n
+        coin = F.xxhash64(F.greatest(at, mirror), r, key).bitwiseAND(F.lit(1).cast("long"))
         return F.when(coin == 1, mirror).otherwise(at)
 
     return F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(rounds).cast("long")), x, step)
@@ -151,7 +138,7 @@ def mix(
     known = sources.select("sid", F.col("source").alias("__source"))
     rows = rows.join(known, F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     chunks = max(1, n_docs // CHUNK)
-    rows = rows.withColumn("chunk", _mix(F.abs(F.coalesce(F.col("doc_id").cast("long"), F.lit(0))), F.lit(seed + 17)) % chunks)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)))
     rows = cut_lineage(_before(rows, "size", "start", ["sid"], ["doc_id", "size", "text_key"], "chunk").drop("chunk"))
 
     # Draws: each slot hits a number below all slots; cells of equal width name the sources there.
@@ -165,7 +152,7 @@ def mix(
     )
     spark = docs.sparkSession
     draws = spark.range(total).select(
-        F.floor(F.col("id") / shard).cast("long").alias("shard"), (_wide(F.col("id"), F.lit(seed + 31)) % max(1, total)).alias("hit")
+        F.floor(F.col("id") / shard).cast("long").alias("shard"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(1, total))).alias("hit")
     )
     draws = draws.withColumn("cell", F.floor(F.col("hit") / width)).join(cells, "cell")
     counts = draws.where("low <= hit and hit < high").groupBy("sid", "shard").agg(F.count("*").alias("n"))
@@ -179,7 +166,10 @@ def mix(
     balance = balance.withColumn("under", F.greatest(F.col("slots") - F.col("drawn"), F.lit(0)))
     balance = _before(balance, "over", "over_before", ["one"], ["sid"], "chunk")
     balance = cut_lineage(_before(balance, "under", "under_before", ["one"], ["sid"], "chunk"))
-    drawn = counts.select("sid", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
+    # A count becomes many slots: few bytes, much to do.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // SLOTS)
+    spread = counts.repartition(tasks, "sid", "shard")
+    drawn = spread.select("sid", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     drawn = drawn.join(balance.select("sid", "slots", "over_before"), "sid")
     spare = drawn.where("slot >= slots").select("shard", (F.col("over_before") + F.col("slot") - F.col("slots")).alias("g"))
     missing = balance.where("under > 0").select(
@@ -192,7 +182,7 @@ def mix(
     facts = sources.select("sid", "source_size", "quota", "blocks", "full")
     placed = placed.join(facts, "sid").withColumn("pass", F.floor(F.col("slot") / F.col("blocks")).cast("long"))
     placed = placed.withColumn("place", F.col("slot") - F.col("pass") * F.col("blocks"))
-    key = F.col("sid") * 1009 + F.col("pass") * 9176 + F.lit(seed + 53)
+    key = F.xxhash64("sid", "pass", F.lit(seed))
     taken = placed.select(
         "shard",
         "sid",
