@@ -62,9 +62,9 @@ _TOKEN = re.compile(
 _HINTING = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[a-z]+")
 
-#: A token: its kind, its number of words (0 for a tag), the words if they may be
-#: wanted, whether a block begins at it.
-Token = tuple[str, int, str, bool]
+#: A token: its kind, its number of words (0 for a tag), the words, whether a block begins
+#: at it, whether it stands in a main element.
+Token = tuple[str, int, str, bool, bool]
 
 
 def _hinted(rest: str, in_main: bool) -> bool:
@@ -78,25 +78,19 @@ def _hinted(rest: str, in_main: bool) -> bool:
     return False
 
 
-def tokens(page: str) -> Iterator[tuple[Token, bool]]:
-    """The page as tokens, each with whether it stands in a main element.
+def tokens(page: str) -> Iterator[Token]:
+    """The page as tokens.
 
-    Kinds: ``word:main``, ``word:plain``, ``word:link`` (plain, in a link) and
-    ``word:boilerplate``; ``tag:<name>``. Raw text of scripts and the like is left out."""
+    Kinds: ``word:plain``, ``word:link`` (in a link) and ``word:boilerplate``, and
+    ``tag:<name>``. Raw text of scripts and the like is left out."""
     stack: list[tuple[str, bool, bool]] = []  # name, in boilerplate, in main
     boilerplate = main = False
     links = at = 0
 
-    def text(raw: str):
+    def text(raw: str) -> Token:
         found = html.unescape(raw)
-        count = len(found.split())
-        if boilerplate:
-            kind = "word:boilerplate"
-        elif main:
-            kind = "word:main"
-        else:
-            kind = "word:link" if links else "word:plain"
-        return (kind, count, found, False), main
+        kind = "word:boilerplate" if boilerplate else "word:link" if links else "word:plain"
+        return kind, len(found.split()), found, False, main
 
     end, lower = len(page), None
     while at < end:
@@ -110,7 +104,7 @@ def tokens(page: str) -> Iterator[tuple[Token, bool]]:
         if match["name"] is None:
             continue
         name = match["name"].lower()
-        yield (f"tag:{name}", 0, "", name in BLOCKS), main
+        yield f"tag:{name}", 0, "", name in BLOCKS, main
         if match["close"]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
@@ -137,26 +131,24 @@ def tokens(page: str) -> Iterator[tuple[Token, bool]]:
             # A header in the article is its own.
             plain = name not in BOILERPLATE or name == "header" and inside
             boiler = bool(stack) and stack[-1][1] or hinted or not plain
-            stack.append((name, boiler, not boiler and (inside or name in MAIN)))
+            stack.append((name, boiler, inside or name in MAIN and not boiler))
             links += name == "a"
         boilerplate, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
 
 
 def kind_counts(page: str) -> tuple[Counter, Counter]:
-    """How often each kind of token stands inside the main element, and outside."""
+    """How many words and tags of each kind stand in the main element, and outside."""
     inside, outside = Counter(), Counter()
-    for (kind, words, _, _), main in tokens(page):
-        if kind.startswith("word:"):
-            # Inside and outside are what is learned: a word is known by what is around it.
-            if words:
-                (inside if main else outside)[kind] += words
-        else:
-            (inside if main else outside)[kind] += 1
-    return inside, outside
+    for kind, words, _, _, main in tokens(page):
+        (inside if main else outside)[kind] += words if kind[0] == "w" else 1
+    return +inside, +outside
 
 
 #: Weights where no page marks its main element.
-DEFAULT = {"word:main": 1.0, "word:plain": 0.5, "word:link": 0.1, "word:boilerplate": -1.0, "tag:": -0.5}
+DEFAULT = {"word:plain": 1.0, "word:link": 0.1, "word:boilerplate": -1.0, "tag:": -0.5}
+#: In a marked main element words score as plain ones (1 at least), links and all; what is
+#: left out there, and tags, cost next to nothing, so a long advert doesn't part the article.
+MARKED, PASSED_OVER = 1.0, -0.001
 
 
 def weights_from(inside: dict[str, int], outside: dict[str, int]) -> dict[str, float]:
@@ -168,27 +160,34 @@ def weights_from(inside: dict[str, int], outside: dict[str, int]) -> dict[str, f
     for kind in set(inside) | set(outside):
         odds = math.log((inside.get(kind, 0) + 1) / n_in) - math.log((outside.get(kind, 0) + 1) / n_out)
         odds = max(-3.0, min(3.0, odds))
-        if kind.startswith("word:") and kind != "word:boilerplate":
-            out[kind] = max(0.1, odds)
-        else:
-            out[kind] = min(-0.05, -0.05 if odds > 0 else odds)
+        out[kind] = max(0.1, odds) if kind in ("word:plain", "word:link") else min(-0.05, odds)
     out["word:boilerplate"] = min(out["word:boilerplate"], -0.5)
     return out
 
 
+def score(token: Token, weights: dict[str, float], marked: bool = False) -> float:
+    """``marked``: some words of the page stand in a main element; those outside count as boilerplate."""
+    kind, words, _, _, main = token
+    if kind[0] == "t":
+        return PASSED_OVER if main else weights.get(kind, weights["tag:"])
+    if not main:
+        return words * weights["word:boilerplate" if marked else kind]
+    return words * (PASSED_OVER if kind == "word:boilerplate" else max(MARKED, weights["word:plain"]))
+
+
 def extract(page: str, weights: dict[str, float]) -> str:
     """The blocks of the best region, white space as one space, one block a line."""
-    line = [t for t, _ in tokens(page)]
+    line = list(tokens(page))
+    marked = any(t[4] and t[1] and t[0] != "word:boilerplate" for t in line)
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
-    rest = weights["tag:"]
-    for i, (kind, words, _, _) in enumerate(line):
-        total += weights.get(kind, rest) * (words if kind[0] == "w" else 1)
+    for i, token in enumerate(line):
+        total += score(token, weights, marked)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, best_at = total, (start, i + 1)
     blocks, block = [], []
-    for kind, words, text, breaks in line[slice(*best_at)]:
+    for kind, _, text, breaks, _ in line[slice(*best_at)]:
         if breaks:
             blocks.append(block)
             block = []

@@ -80,10 +80,15 @@ def statistics(text: bytes) -> np.ndarray:
     )
 
 
-@F.pandas_udf("array<double>")
-def statistics_udf(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in texts:
-        yield pd.Series([statistics(x or b"") for x in batch])
+def statistics_udf():
+    """A column function from the bytes of a text to its statistics."""
+
+    @F.pandas_udf("array<double>")
+    def count(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in texts:
+            yield pd.Series([statistics(x or b"") for x in batch])
+
+    return count
 
 
 def isotonic(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -230,7 +235,7 @@ def quality_scores(
 
     Statistics are computed once and written to the checkpoint folder; they, not texts,
     are joined to the labels."""
-    rows = docs.select(F.col(doc_id).alias("doc_id"), statistics_udf(utf8(text)).alias("statistics"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), statistics_udf()(utf8(text)).alias("statistics"))
     rows = cut_lineage(rows)
     known = labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).alias("labelled"))
     known = known.agg(F.avg(label).alias("label"))

@@ -1,0 +1,89 @@
+from collections import defaultdict
+
+import pytest
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from dimload.llm import mixing, simhash
+
+from corpus_data import prose
+from test_mixing import plain_targets
+from test_quality_rules import plain_measures
+from test_simhash import plain_fingerprint
+
+
+def test_stages():
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality rules", "language ID", "SimHash near-dedup", "mixing sources", "best-fit packing",
+    ]
+
+
+@pytest.fixture(scope="module")
+def folder(tmp_path_factory, odd_docs):
+    folder = tmp_path_factory.mktemp("corpus")
+    odd_docs.write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def test_every_stage_by_brute_force(spark, folder, rows):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs.collect()
+        stage(spark, docs, folder).write.parquet(f"{folder}/{k}")
+        docs = spark.read.parquet(f"{folder}/{k}")
+        after = docs.collect()
+        if k < 4:
+            assert docs.columns == columns
+        if name == "quality rules":
+            good = [r for r in before if (m := plain_measures(r.text))[0] >= 50 and 100 * m[4] <= 50 * m[0]]
+            assert sorted((str(r.doc_id), r.text) for r in after) == sorted((str(r.doc_id), r.text) for r in good)
+        if name == "language ID":
+            # The same syllables throughout: nothing of them is rejected.
+            assert sorted(map(str, after)) == sorted(map(str, before))
+        if name == "SimHash near-dedup":
+            prints = [plain_fingerprint(r.text) for r in after]
+            assert len(set(prints)) == len(prints)
+            assert {plain_fingerprint(r.text) for r in before} >= set(prints)
+        if name == "mixing sources":
+            sizes, taken = defaultdict(int), defaultdict(int)
+            for r in before:
+                sizes[r.source] += len(r.text.encode().split())
+            for r in after:
+                taken[r.source] += len(r.text.encode().split())
+            want = plain_targets(sizes)
+            assert all(abs(taken[s] - want[s]) <= 0.5 for s in sizes)
+        if name == "best-fit packing":
+            pieces = defaultdict(int)
+            for r in after:
+                pieces[r.sequence_id] += r.length
+            assert max(pieces.values()) <= 2048 and {str(r.doc_id) for r in after} == {str(r.doc_id) for r in before}
+
+
+def test_run(spark, folder):
+    assert corpus_pipeline.ORACLE_SQL is None
+    assert corpus_pipeline.run(spark, folder).count() > 0
+
+
+def test_empty_and_null_tables(spark, no_docs, tmp_path):
+    schema = no_docs.schema
+    for k, rows in enumerate(([], [(None, None, None, None, None)] * 3)):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        assert corpus_pipeline.run(spark, f"{tmp_path}/{k}").count() == 0
+    # Stages that keep what the rules would reject.
+    nulls = spark.createDataFrame([(None, None, None, None, None)] * 3 + [(1, "", "en", None, 0)], schema)
+    assert simhash.one_of_each(nulls).count() == 1
+    assert mixing.mixed_documents(nulls).count() == 0
+    assert corpus_pipeline.sequences(spark, nulls, "").where(F.col("length") == 1).count() == 4
+
+
+def test_hot_group(spark, tmp_path):
+    """A third of the rows are copies of one text, in one source: one of them stays."""
+    rows = [(i, prose(i, 90), "en", f"s{i % 3}", 1) for i in range(60)] + [(100 + i, prose(1000, 90), "en", "s0", 1) for i in range(30)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path))
+    kept = {r.doc_id for r in docs.collect()}
+    assert len(kept & set(range(100, 130))) == 1 and len(kept & set(range(60))) >= 58

@@ -1,0 +1,85 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from dimload.llm import quality_classifier as qc
+
+from corpus_data import prose
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Prose, and three kinds of junk."""
+    docs = []
+    for i in range(240):
+        text = prose(i, 80 + i % 50)
+        bad = i % 4 == 0
+        if bad:
+            text = [text.upper(), text.replace(" ", "### "), "same again " * 60][i // 4 % 3]
+        docs.append((i, text, int(not bad)))
+    return spark.createDataFrame(docs, "doc_id long, text string, quality int")
+
+
+def test_held_out_accuracy(labelled):
+    learn = lambda c: F.crc32(c.cast("string").cast("binary")) % 5 != 0
+    found = qc.quality_scores(labelled.drop("quality"), labelled.drop("text"), learn=learn)
+    both = found.join(labelled, "doc_id").where(~learn(F.col("doc_id"))).collect()
+    assert len(both) > 30
+    good, bad = [r.score for r in both if r.quality], [r.score for r in both if not r.quality]
+    assert np.mean([[g > b for b in bad] for g in good]) > 0.95
+    assert np.mean([(r.score >= 0.3) == bool(r.quality) for r in both]) > 0.9
+    assert all(0 <= r.score <= 1 for r in both)
+
+
+def test_odd_documents(spark, odd_docs, rows, no_docs):
+    labels = [(i, int(i % 3 > 0), 0) for i in range(20)] + [(7, 0, 0), (None, 1, 0), (3, None, 1), (999, 1, 0)]
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int").withColumn("label", F.lit("extra"))
+    found = qc.quality_scores(odd_docs, labels).collect()
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
+    assert all(0 <= r.score <= 1 for r in found)
+    assert len({r.score for r in found if r.doc_id in (200, 201, 202)}) == 1  # no words
+    assert {r.score for r in qc.quality_scores(odd_docs, labels.limit(0)).collect()} == {0.5}
+    assert qc.quality_scores(no_docs, labels).count() == 0
+    one = qc.quality_scores(odd_docs, labels.where("quality = 1")).collect()
+    assert all(r.score > 0.9 for r in one)
+
+
+def test_only_the_text_counts(spark, labelled):
+    labels = labelled.drop("text")
+    docs = labelled.drop("quality")
+    other = docs.select((F.col("doc_id") + 10_000).alias("doc_id"), "text")
+    found = qc.quality_scores(docs.unionByName(other), labels).collect()
+    scores = {r.doc_id: r.score for r in found}
+    assert all(scores[i] == pytest.approx(scores[i + 10_000]) for i in range(240))
+
+
+def test_normal_equations(spark, labelled):
+    """Sums over tasks give what one solution over all rows gives."""
+    rows = labelled.select(qc.statistics_udf()(F.col("text").cast("binary")).alias("statistics"), F.col("quality").alias("label"), (F.col("doc_id") % 2).alias("half"))
+    model = qc.train(rows.repartition(7))
+    x, y = (np.array(v) for v in zip(*((r.statistics, r.label) for r in rows.collect())))
+    z = model.features(x)
+    penalty = np.eye(z.shape[1]) * qc.RIDGE * len(z)
+    penalty[-1, -1] = 1e-9
+    assert np.allclose(model.weights[:, 0], np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-6)
+    assert (np.diff(model.calibrated) >= 0).all()
+
+
+def test_kernel():
+    rnd = np.random.default_rng(0)
+    n = len(qc.STATISTICS)
+    frequency, phase = rnd.normal(size=(n, 20_000)) / np.sqrt(n), rnd.uniform(0, 2 * np.pi, 20_000)
+    model = qc.QualityModel(np.zeros(n), np.ones(n), frequency, phase, None, None, None)
+    a, b = rnd.normal(size=(2, n))
+    z = model.features(np.stack([a, b]))[:, :-1]
+    assert z[0] @ z[1] == pytest.approx(np.exp(-((a - b) ** 2).sum() / n / 2), abs=0.03)
+
+
+def test_isotonic():
+    rnd = np.random.default_rng(1)
+    values, weights = rnd.normal(size=30), rnd.integers(1, 5, 30).astype(float)
+    got = qc.isotonic(values, weights)
+    # The minimax formula.
+    mean = lambda i, j: (values[i : j + 1] * weights[i : j + 1]).sum() / weights[i : j + 1].sum()
+    want = [max(min(mean(i, j) for j in range(k, 30)) for i in range(k + 1)) for k in range(30)]
+    assert np.allclose(got, want)
