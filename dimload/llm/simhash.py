@@ -97,7 +97,10 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 2, largest: int =
     if max_bits not in (0, 1, 2):
         raise ValueError("two segments with one wildcard find fingerprints at most two bits apart")
     other = F.when(F.col("key") < F.lit(32 << 32), F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp"))
-    rows = fingerprints.select("fp", F.explode(_variants(F.col("fp"), _segments(0, 64))).alias("key"))
+    # A few bytes a fingerprint become a thousand: not too many of them in a task.
+    tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = fingerprints.select("fp").repartition(tasks, "fp")
+    rows = rows.select("fp", F.explode(_variants(F.col("fp"), _segments(0, 64))).alias("key"))
     keys, found = ["key"], []
     low_word = F.col("rest").bitwiseAND(F.lit(0xFFFFFFFF))
     width = 32
