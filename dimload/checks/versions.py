@@ -289,11 +289,18 @@ def scd2_initial(spark, sf):
     return loaded(spark, sf).rows
 
 
+SUPERSEDED = """
+SELECT customer_id, addr_name, line1, line2, amount, source_nbr, 'another staged row of the key is used' AS REJECT_REASON
+FROM s ANTI JOIN staged USING (customer_id, addr_name, source_nbr)
+"""
+
+
 @query(f"""
 WITH {STAGED}, {STORED}, {PARENTS}
 SELECT staged.*, 'customer_key not found' AS REJECT_REASON
 FROM staged ANTI JOIN parents USING (customer_id)
 WHERE NOT EXISTS (SELECT 1 FROM stored t WHERE t.customer_id = staged.customer_id AND t.addr_name = staged.addr_name)
+UNION ALL {SUPERSEDED}
 """)
 def scd2_initial_rejects(spark, sf):
     return loaded(spark, sf).rejected
@@ -359,15 +366,78 @@ def scd2_merge_corrected(spark, sf):
     return merged(spark, sf).table
 
 
+NOT_STORED = """
+SELECT customer_id, addr_name, line1, line2, amount, 'no stored version' AS REJECT_REASON
+FROM staged ANTI JOIN stored USING (customer_id, addr_name)
+"""
+
+
 @query(f"""
 WITH {STORED}, {STAGED}, {PARENTS}
 SELECT customer_id, addr_name, s.line1, s.line2, s.amount, 'customer_key not found' AS REJECT_REASON
 FROM cur c JOIN staged s USING (customer_id, addr_name) ANTI JOIN parents p USING (customer_id) WHERE {CHANGED}
+UNION ALL {NOT_STORED}
+UNION ALL SELECT * EXCLUDE (source_nbr) FROM ({SUPERSEDED})
 """)
 def scd2_merge_rejects(spark, sf):
     return merged(spark, sf).rejected.select("customer_id", "addr_name", "line1", "line2", "amount", "REJECT_REASON")
 
 
+@query(f"""
+WITH {STORED}, {STAGED}
+{NOT_STORED}
+UNION ALL
+SELECT customer_id, addr_name, s.line1, s.line2, s.amount, NULL FROM cur c JOIN staged s USING (customer_id, addr_name) WHERE NOT {CHANGED}
+""")
+def scd2_unmatched(spark, sf):
+    """Staged rows that a merge has no use for: keys not stored, and rows that change nothing."""
+    found = merged(spark, sf)
+    columns = ["customer_id", "addr_name", "line1", "line2", "amount"]
+    unknown = found.rejected.where("REJECT_REASON = 'no stored version'").select(*columns, "REJECT_REASON")
+    return unknown.unionByName(found.unchanged.select(*columns, F.lit(None).cast("string").alias("REJECT_REASON")))
+
+
+@query(f"""
+WITH {STORED}, {STAGED}, {PARENTS},
+closed AS (SELECT * REPLACE (CAST(CASE WHEN addr_name IN ('1-URGENT', '2-HIGH') THEN 0 ELSE current_ind END AS INTEGER) AS current_ind) FROM stored),
+latest AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, addr_name ORDER BY version_nbr DESC, address_key DESC) AS rn
+           FROM closed WHERE addr_name IN ('1-URGENT', '2-HIGH')) WHERE rn = 1),
+next AS (SELECT customer_id, addr_name, s.line1, s.line2, s.amount, {NEW} FROM closed c JOIN staged s USING (customer_id, addr_name)
+         WHERE c.current_ind = 1 AND {CHANGED}
+         UNION ALL SELECT customer_id, addr_name, s.line1, s.line2, s.amount, {NEW} FROM latest c JOIN staged s USING (customer_id, addr_name))
+SELECT {BASE} + row_number() OVER (ORDER BY customer_id, addr_name) AS address_key, p.customer_key, next.*
+FROM next JOIN parents p USING (customer_id)
+""")
+def scd2_reopen(spark, sf):
+    """Keys whose versions are all closed get a new one after the last."""
+    t = TestTables(spark, sf)
+    rows, stored = staged_rows(t), stored_versions(t)
+    gone = F.col("addr_name").isin("1-URGENT", "2-HIGH")
+    stored = stored.withColumn("current_ind", F.when(gone, 0).otherwise(F.col("current_ind")))
+    return scd2_merge(
+        stored, rows, parents(t), registry_base(registry(t), "EUROPE"), BATCH_TS, LAYOUT, ["source_nbr"], parents_unique=True
+    ).added
+
+
+@query(f"""
+WITH {STORED}, {PARENTS},
+s AS (SELECT * REPLACE (CASE WHEN source_nbr % 4 <> 0 THEN source_nbr END AS source_nbr) FROM ({STAGED_ROWS})),
+staged AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, addr_name
+             ORDER BY source_nbr DESC NULLS LAST, line1 DESC, line2 DESC NULLS LAST, amount DESC) AS rn FROM s) WHERE rn = 1),
+{DELTA}
+SELECT {TABLE} FROM delta
+""")
+def scd2_merge_latest(spark, sf):
+    """Of several staged rows the last one; one without a number only where there is no other."""
+    t = TestTables(spark, sf)
+    number = F.when(F.col("source_nbr") % 4 != 0, F.col("source_nbr"))
+    rows = staged_rows(t).withColumn("source_nbr", number)
+    return scd2_merge(
+        stored_versions(t), rows, parents(t), registry_base(registry(t), "EUROPE"), BATCH_TS, LAYOUT, ["source_nbr"],
+        latest=True, parents_unique=True,
+    ).added
+
+
 def reference_sql(unseen):
     return f"""
 WITH {STORED}, {STAGED}, {PARENTS},

@@ -45,30 +45,40 @@ def unknown_key() -> Column:
     return F.lit(UNKNOWN_KEY).cast("bigint")
 
 
+def _strict(c: Column, value: Column, kind: str) -> Column:
+    """``value``, which must not be NULL where ``c`` is not. The check is in the plan, so
+    bad text fails a load whatever ``spark.sql.ansi.enabled`` says."""
+    message = F.concat(F.lit("not a "), F.lit(kind), F.lit(": "), c.cast("string"))
+    return F.when(c.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+
+
 def text_to_long(c: ColumnOrName, strict: bool = True, allow_hex: bool = False) -> Column:
     """Text to bigint. Bad text fails the load, or gives NULL if not ``strict``.
 
     ``allow_hex`` also reads ``0x1A`` style text.
     """
     c = col(c)
-    number = c.cast("bigint") if strict else c.try_cast("bigint")
+    number = c.try_cast("bigint")
     if not allow_hex:
-        return number
+        return _strict(c, number, "number") if strict else number
     digits = F.regexp_extract(c, r"^\s*[+-]?0[xX]([0-9a-fA-F]+)\s*$", 1)
     magnitude = F.conv(digits, 16, 10).cast("bigint")
     signed = F.when(F.ltrim(c).startswith("-"), -magnitude).otherwise(magnitude)
-    return F.when(F.length(digits) > 0, signed).otherwise(number)
+    either = F.when(F.length(digits) > 0, signed).otherwise(number)
+    return _strict(c, either, "number") if strict else either
 
 
 def text_to_timestamp(c: ColumnOrName, strict: bool = True) -> Column:
     c = col(c)
-    return c.cast("timestamp") if strict else c.try_cast("timestamp")
+    value = c.try_cast("timestamp")
+    return _strict(c, value, "timestamp") if strict else value
 
 
 def parse_compact(c: ColumnOrName, strict: bool = True) -> Column:
     """``20191105120203`` to a timestamp."""
-    parse = F.to_timestamp if strict else F.try_to_timestamp
-    return parse(col(c), F.lit(COMPACT_FORMAT) if not strict else COMPACT_FORMAT)
+    c = col(c)
+    value = F.try_to_timestamp(c, F.lit(COMPACT_FORMAT))
+    return _strict(c, value, "timestamp") if strict else value
 
 
 def zip5(c: ColumnOrName) -> Column:
@@ -88,7 +98,7 @@ def area_code(c: ColumnOrName, strict: bool = True) -> Column:
 def blank_to_zero(c: ColumnOrName) -> Column:
     """Empty text is 0, NULL stays NULL, anything else is cast."""
     c = col(c)
-    return F.when(F.length(c) == 0, F.lit(0).cast("bigint")).otherwise(c.cast("bigint"))
+    return F.when(F.length(c) == 0, F.lit(0).cast("bigint")).otherwise(text_to_long(c))
 
 
 def indicator(c: ColumnOrName, true_value: str = "Y") -> Column:

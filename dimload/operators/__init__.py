@@ -10,7 +10,7 @@ from .lookup import (
     resolve_key,
     with_registry_base,
 )
-from .overlay import Feed, overlay, overlay_chain, refresh, settle
+from .overlay import Feed, overlay, overlay_chain, refresh, settle, settle_all
 from .roles import pick_by_role, role_keys
 from .scd2 import Loaded, Merged, Scd2Layout, expire, initial_load, new_versions, scd2_merge
 from .shape import align, project, union_rows, upsert_replace, without_keys
@@ -50,6 +50,7 @@ __all__ = [
     "row_numbers",
     "scd2_merge",
     "settle",
+    "settle_all",
     "spread",
     "union_rows",
     "upsert_replace",

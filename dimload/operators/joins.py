@@ -56,15 +56,22 @@ def without(df: DataFrame, names: Sequence[str]) -> list[str]:
 BROADCAST_BYTES = 64 << 20
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the frame, measured by running it, is small enough to copy."""
+def measured_bytes(df: DataFrame) -> int | None:
+    """About what the rows of a frame take in memory, by running it; None if it has
+    columns whose size cannot be told."""
     width = F.lit(16 + 8 * len(df.columns))
     for field in df.schema.fields:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0))
         elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
-            return False
-    return (df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0) <= limit
+            return None
+    return df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame, measured by running it, is small enough to copy."""
+    size = measured_bytes(df)
+    return size is not None and size <= limit
 
 
 def first_match(
@@ -75,7 +82,7 @@ def first_match(
 ) -> DataFrame:
     """One row per key: the first in ``order_by``, or the last if ``latest``.
 
-    NULL comes first. Rows ``order_by`` leaves equal are told apart by their
+    NULL comes first, so the last row is one without NULL if there is one. Rows ``order_by`` leaves equal are told apart by their
     other columns, so the result does not depend on where a row was read. Rows
     are reduced in the task that reads them, before the shuffle, so a key with
     very many rows sends one row per task.

@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import cut_lineage
 from .joins import MATCH, match_one, only_matching, quoted, require_columns, sql_name, without
 from .overlay import replaced
 from .skew import HotKeys
@@ -81,6 +82,7 @@ def resolve_key(
     unique: bool = False,
     hot: HotKeys | None = None,
     small: bool = False,
+    save: bool = False,
     reason: str = "key not found",
 ) -> Resolved:
     """Take the reference's columns (the foreign key) for each row.
@@ -88,11 +90,13 @@ def resolve_key(
     Whether a row is accepted depends on whether its key was found, not on the
     value found. Accepted and rejected rows add up to the input. ``small`` says
     the keys of ``rows`` are known to fit in memory; the reference is then not
-    shuffled.
+    shuffled. ``save`` writes the joined rows once, for when both parts are used.
     """
     if small:
         reference = only_matching(reference, rows, on)
     joined = match_one(rows, reference, on, "left", order_by=order_by, unique=unique, hot=hot)
+    if save:
+        joined = cut_lineage(joined)
     found = F.col(MATCH).isNotNull()
     return Resolved(
         joined.where(found).selectExpr(*replaced(rows, reference, on)),

@@ -9,7 +9,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.scratch import cut_lineage
-from .joins import MATCH, first_match, fits_broadcast, match_one, require_columns, sql_name, without
+from .joins import (
+    BROADCAST_BYTES,
+    MATCH,
+    first_match,
+    match_one,
+    measured_bytes,
+    require_columns,
+    sql_name,
+    without,
+)
 from .skew import SALT, HotKeys, spread
 
 
@@ -63,24 +72,37 @@ def overlay(
 
 @dataclass(frozen=True)
 class Feed:
-    """One step of an overlay chain."""
+    """One step of an overlay chain. ``small``: copied to the executors, so the target
+    is not shuffled for it."""
 
     rows: DataFrame
     order_by: Sequence[str | Column] | None = None
     latest: bool = False
     unique: bool = False
+    small: bool = False
 
 
-def settle(feed: Feed, keys: Sequence[str]) -> Feed:
-    """Reduce a feed to one row per key, write it once and measure it.
+def settle_all(feeds: Sequence[Feed], keys: Sequence[str], limit: int = BROADCAST_BYTES) -> list[Feed]:
+    """Reduce feeds to one row per key, write each once and measure it.
 
-    A feed that turns out small is copied to the executors, and the target it is
-    laid over stays in place. Costs one write of the feed, which is worth it when
-    the target is much larger.
+    Feeds that turn out small are copied to the executors, the smallest first and
+    ``limit`` bytes together at most; if all are, the target they are laid over stays
+    in place. Costs one write of each feed, which is worth it when the target is much
+    larger.
     """
-    rows = feed.rows if feed.unique else first_match(feed.rows, keys, feed.order_by, feed.latest)
-    rows = cut_lineage(rows)
-    return Feed(F.broadcast(rows) if fits_broadcast(rows) else rows, unique=True)
+    rows = [cut_lineage(f.rows if f.unique else first_match(f.rows, keys, f.order_by, f.latest)) for f in feeds]
+    sizes = [measured_bytes(r) for r in rows]
+    small, left = set(), limit
+    for i in sorted((i for i, n in enumerate(sizes) if n is not None), key=lambda i: sizes[i]):
+        if sizes[i] <= left:
+            small.add(i)
+            left -= sizes[i]
+    return [Feed(F.broadcast(r) if i in small else r, unique=True, small=i in small) for i, r in enumerate(rows)]
+
+
+def settle(feed: Feed, keys: Sequence[str]) -> Feed:
+    """``settle_all`` for one feed."""
+    return settle_all([feed], keys)[0]
 
 
 def overlay_chain(

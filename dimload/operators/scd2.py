@@ -25,9 +25,9 @@ from ..functions.scalars import (
     void_flag,
 )
 from ..sources.scratch import cut_lineage
-from .joins import MATCH, first_match, fits_broadcast, match_one, quoted, require_columns, without
+from .joins import MATCH, first_match, fits_broadcast, match_one, only_matching, quoted, require_columns, without
 from .keys import assign_surrogate_keys
-from .lookup import content_anti_join, insert_only, resolve_key
+from .lookup import REJECT_REASON, content_anti_join, insert_only, resolve_key
 from .overlay import replaced
 from .shape import align, union_rows
 from .skew import HotKeys, find_hot_keys
@@ -77,18 +77,52 @@ RULES = {
 
 
 class Loaded(NamedTuple):
-    """New rows ready to append, and staged rows without a parent."""
+    """New rows ready to append, staged rows refused with a reason, and those whose key
+    is stored already. Together they are the staged rows."""
 
     rows: DataFrame
     rejected: DataFrame
+    existing: DataFrame
 
 
 class Merged(NamedTuple):
-    """The whole new table, the versions added, and staged rows without a parent."""
+    """The whole new table, the versions added, staged rows refused with a reason, and those
+    that change nothing; ``closing`` has the keys whose current version is closed. Added,
+    rejected and unchanged rows are together as many as the staged rows."""
 
     table: DataFrame
     added: DataFrame
     rejected: DataFrame
+    unchanged: DataFrame
+    closing: DataFrame
+
+
+NULL_KEY = "NULL in the natural key"
+SUPERSEDED = "another staged row of the key is used"
+NOT_STORED = "no stored version"
+
+
+def _null_key(rows: DataFrame, keys: Sequence[str]) -> Column:
+    missing = F.lit(False)
+    for key in require_columns(rows, keys, "rows"):
+        missing = missing | quoted(key).isNull()
+    return missing
+
+
+def _because(rows: DataFrame, reason: str) -> DataFrame:
+    return rows.withColumn(REJECT_REASON, F.lit(reason))
+
+
+def _superseded(rows: DataFrame, used: DataFrame) -> DataFrame:
+    """The rows that are not among ``used``, which holds some of them once each."""
+    names = [quoted(c) for c in rows.columns]
+    counted = rows.groupBy(*names).agg(F.count("*").alias("__n"))
+    # Structs of equal columns are equal also where both have NULL.
+    taken = used.select(F.struct(*[quoted(c) for c in rows.columns]).alias("__used"))
+    joined = counted.join(taken, F.struct(*names) == F.col("__used"), "left")
+    left = F.col("__n") - F.when(F.col("__used").isNull(), 0).otherwise(1)
+    joined = joined.withColumn("__left", left).where("__left > 0")
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__left").cast("int")))).select(*names)
 
 
 def initial_load(
@@ -100,37 +134,49 @@ def initial_load(
     layout: Scd2Layout,
     order_by: Sequence[str | Column] | None = None,
     *,
+    latest: bool = False,
     parents_unique: bool = False,
     hot_parents: HotKeys | None = None,
 ) -> Loaded:
     """First versions of natural keys the target does not have.
 
-    Several staged rows of one key are reduced to the first in ``order_by``;
-    without ``order_by`` all of them are loaded. Rows whose parent is unknown
-    are returned as rejected and take no surrogate key. ``hot_parents`` spreads
-    parent ids that hold a large share of the staged rows.
+    Several staged rows of one key are reduced to the first in ``order_by``, or the
+    last if ``latest``; without ``order_by`` all of them are loaded. Rows whose parent
+    is unknown, rows with NULL in the natural key and rows another one was preferred
+    to are returned as rejected, with the reason, and take no surrogate key.
+    ``hot_parents`` spreads parent ids that hold a large share of the staged rows.
     """
+    keys = require_columns(staged, layout.natural_key, "staged rows")
+    refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
+    staged = staged.where(~_null_key(staged, keys))
     if order_by:
-        staged = first_match(staged, layout.natural_key, order_by)
+        # Written once: it is measured, looked up and compared with what it leaves out.
+        used = cut_lineage(first_match(staged, keys, order_by, latest))
+        refused = refused.unionByName(_because(_superseded(staged, used), SUPERSEDED))
+    else:
+        used = cut_lineage(staged)
+    few = fits_broadcast(used.select(*[quoted(k) for k in keys]))
+    hot = None if few or order_by else find_hot_keys(used, keys)
     # Written once: the new rows are numbered in two passes and split twice.
-    keys = require_columns(staged, layout.natural_key, "staged rows")
-    few = fits_broadcast(staged.select(*[quoted(k) for k in keys]))
-    new = cut_lineage(insert_only(staged, target, layout.natural_key, small=few))
+    new = cut_lineage(insert_only(used, target, keys, small=few, hot=hot))
+    stored = only_matching(target, used, keys) if few else target
+    existing = match_one(used, stored, keys, "left_semi", hot=hot)
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
     ready = _first_versions(accepted, batch_ts, layout, target)
     ready = ready.drop(*without(ready, target.columns))
     keyed = assign_surrogate_keys(ready, base, layout.surrogate, layout.natural_key)
-    return Loaded(align(keyed, target.schema), rejected)
+    return Loaded(align(keyed, target.schema), rejected.unionByName(refused), existing)
 
 
 def _with_parent(rows, parents, layout, unique, hot=None):
     parents = parents.select(*require_columns(parents, [layout.parent_id, layout.parent], "parents"))
     # ``rows`` have been written before, so measuring them is cheap. Of several
-    # parents of one id the lowest key is used.
+    # parents of one id the lowest key is used. Both parts are used: the join is
+    # written once, so the parents are read once.
     few = fits_broadcast(rows.select(quoted(layout.parent_id)))
     return resolve_key(
-        rows, parents, [layout.parent_id], [layout.parent], unique=unique, hot=hot, small=few,
-        reason=f"{layout.parent} not found",
+        rows, parents, [layout.parent_id], [layout.parent], unique=unique, hot=None if few else hot, small=few,
+        save=True, reason=f"{layout.parent} not found",
     )
 
 
@@ -261,9 +307,11 @@ def expire(
 
     if small:
         return closed(stored, F.broadcast(closing))
+    # Rows with NULL in the key match nothing and would meet in one task.
+    no_key = _null_key(stored, keys)
     if all_versions:
-        return closed(stored, closing)
-    return closed(stored.where(is_current), closing).unionByName(stored.where(is_history))
+        return closed(stored.where(~no_key), closing).unionByName(stored.where(no_key))
+    return closed(stored.where(is_current & ~no_key), closing).unionByName(stored.where(is_history | no_key))
 
 
 def scd2_merge(
@@ -275,6 +323,7 @@ def scd2_merge(
     layout: Scd2Layout,
     order_by: Sequence[str | Column],
     *,
+    latest: bool = False,
     compat: str = CORRECTED,
     effective: str | None = None,
     begin_offset_days: int = 1,
@@ -284,20 +333,27 @@ def scd2_merge(
 ) -> Merged:
     """Close changed versions and add their successors.
 
-    Several staged rows of one natural key are reduced to the first in
-    ``order_by``. Staged keys without a current version are left to
-    ``initial_load``. ``hot`` spreads natural keys that hold a large share of
-    ``target`` (for ``expire_all`` rules, where the history takes part in the
+    Several staged rows of one natural key are reduced to the first in ``order_by``,
+    or the last if ``latest``. ``hot`` spreads natural keys that hold a large share
+    of ``target`` (for ``expire_all`` rules, where the history takes part in the
     join), ``hot_parents`` parent ids that hold a large share of ``staged``.
 
-    ``compat`` names a set of ``RULES``. The default closes only what it
-    replaces: the current version, if its content differs from the staged one
-    and its parent is known. The others also close unchanged rows and rewrite
-    the end of closed ones, for loads that have to agree with that behaviour.
+    ``compat`` names a set of ``RULES``. The default closes only what it replaces:
+    the current version, if its content differs from the staged one and its parent
+    is known. A key whose versions are all closed gets a new one, numbered after the
+    last. The others also close unchanged rows and rewrite the end of closed ones, for
+    loads that have to agree with that behaviour; they know current versions only.
+
+    Staged keys that are not stored are left to ``initial_load``: they come back as
+    rejected with that reason, as do rows with NULL in the key, rows another one was
+    preferred to and rows without a parent.
     """
     rules = RULES[compat]
     keys = list(layout.natural_key)
-    incoming = first_match(staged, keys, order_by)
+    names = staged.columns
+    refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
+    staged = staged.where(~_null_key(staged, keys))
+    incoming = first_match(staged, keys, order_by, latest)
     current = target.where(quoted(layout.current) == 1)
 
     # Staged rows and new versions are written once each and then measured. The
@@ -305,34 +361,43 @@ def scd2_merge(
     # to write the result, and is not shuffled for a small load.
     if rules.number_first:
         incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
-    else:
-        incoming = cut_lineage(incoming)
-    side = F.broadcast(incoming) if fits_broadcast(incoming) else incoming
+    incoming = cut_lineage(incoming)
+    few = fits_broadcast(incoming)
+    side = F.broadcast(incoming) if few else incoming
+    once = incoming.select(*[quoted(c) for c in names])
+    refused = refused.unionByName(_because(_superseded(staged, once), SUPERSEDED))
+    options = dict(effective=effective, begin_offset_days=begin_offset_days, hot=None if few else hot)
+    unseen = cut_lineage(insert_only(once, current, keys, small=few))
 
     if rules.number_first:
-        versions = new_versions(
-            current, side, layout, batch_ts,
-            changed_only=False, effective=effective, begin_offset_days=begin_offset_days,
-        )
+        versions = new_versions(current, side, layout, batch_ts, changed_only=False, **options)
         versions = cut_lineage(versions)
         if rules.compare == "global":
             content = versions.select(*[quoted(c) for c in layout.content])
+            small = fits_broadcast(content)
             versions = cut_lineage(
                 content_anti_join(
                     versions, target, layout.content, scope="global",
-                    hot=find_hot_keys(content, layout.content), small=fits_broadcast(content),
+                    hot=None if small else find_hot_keys(content, layout.content), small=small,
                 )
             )
         added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         closing = incoming.select(*[quoted(c) for c in keys + ([effective] if effective else [])])
     else:
-        versions = new_versions(
-            current, side, layout, batch_ts,
-            changed_only=rules.compare != "none", effective=effective, begin_offset_days=begin_offset_days,
-        )
-        accepted, rejected = _with_parent(
-            cut_lineage(versions), parents, layout, parents_unique, hot_parents
-        )
+        versions = new_versions(current, side, layout, batch_ts, changed_only=rules.compare != "none", **options)
+        if not unseen.isEmpty():
+            history = target.where((quoted(layout.current) != 1) | quoted(layout.current).isNull())
+            if fits_broadcast(unseen.select(*[quoted(k) for k in keys])):
+                history = only_matching(history, unseen, keys)
+            else:
+                history = match_one(history, unseen, keys, "left_semi", unique=True, hot=hot)
+            last = cut_lineage(first_match(history, keys, [layout.version], latest=True))
+            versions = versions.unionByName(
+                new_versions(last, unseen, layout, batch_ts, changed_only=False, **options)
+            )
+            unseen = match_one(unseen, last, keys, "left_anti", unique=True)
+        versions = cut_lineage(versions)
+        accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
         added = assign_surrogate_keys(accepted, base, layout.surrogate, keys)
         closing = added.select(*[quoted(c) for c in keys])
         if effective:
@@ -340,9 +405,11 @@ def scd2_merge(
             closing = added.select(*[quoted(c) for c in keys], ended)
 
     added = align(added, target.schema)
+    unchanged = match_one(match_one(once, unseen, keys, "left_anti", unique=True), versions, keys, "left_anti")
+    rejected = union_rows(rejected, _because(unseen, NOT_STORED), refused)
     # The closing keys come from rows in the checkpoint folder, so measuring them is cheap.
     stored = expire(
         target, closing, layout, batch_ts,
         all_versions=rules.expire_all, effective=effective, small=fits_broadcast(closing), hot=hot,
     )
-    return Merged(union_rows(stored, added), added, rejected)
+    return Merged(union_rows(stored, added), added, rejected, unchanged, closing)

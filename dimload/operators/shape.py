@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import match_one, sql_name
+from .joins import match_one, quoted, require_columns, sql_name
+from .skew import HotKeys
 
 
 def project(df: DataFrame, columns: Mapping[str, str | Column]) -> DataFrame:
@@ -44,14 +45,40 @@ def union_rows(first: DataFrame, *others: DataFrame) -> DataFrame:
     return first
 
 
-def without_keys(target: DataFrame, keys: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
-    """The target without the rows whose key is in ``keys`` (delete by key)."""
-    return match_one(target, keys, on, "left_anti", unique=unique)
-
-
-def upsert_replace(target: DataFrame, staged: DataFrame, on: Sequence[str], unique: bool = False) -> DataFrame:
+def without_keys(
+    target: DataFrame,
+    keys: DataFrame,
+    on: Sequence[str],
+    unique: bool = False,
+    *,
+    small: bool = False,
+    hot: HotKeys | None = None,
+) -> DataFrame:
+    """The target without the rows whose key is in ``keys`` (delete by key).
+
+    Where the keys are known to be ``small`` (see ``fits_broadcast``) they are
+    copied to the executors and the target stays in place. ``hot`` spreads
+    frequent target keys otherwise.
+    """
+    if small:
+        few = keys.select(*[quoted(k) for k in require_columns(keys, on, "keys")])
+        return match_one(target, F.broadcast(few if unique else few.distinct()), on, "left_anti", unique=True)
+    return match_one(target, keys, on, "left_anti", unique=unique, hot=hot)
+
+
+def upsert_replace(
+    target: DataFrame,
+    staged: DataFrame,
+    on: Sequence[str],
+    unique: bool = False,
+    *,
+    small: bool = False,
+    hot: HotKeys | None = None,
+) -> DataFrame:
     """Staged rows replace target rows of the same key whole; new ones are added.
 
     A target column the staged rows do not have is NULL in a replaced row.
+    ``small`` and ``hot`` as in ``without_keys``.
     """
-    return without_keys(target, staged, on, unique).unionByName(align(staged, target.schema))
+    rest = without_keys(target, staged, on, unique, small=small, hot=hot)
+    return rest.unionByName(align(staged, target.schema))

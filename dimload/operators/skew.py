@@ -1,14 +1,15 @@
 """Finding and spreading keys that hold a large share of a table.
 
 A join moves all rows of one key to one task. When a single key holds a third
-of a table that task decides the run time. ``find_hot_keys`` measures such keys
-once, from the key columns only; the joins of this package then cut each hot
-key into pieces ("salts") and copy its one row of the other side to every
-piece. All other keys take the ordinary join in the same plan.
-
-The salt of a row is taken from the number of the task that reads it, not from
-a random generator: a task that is run again after an executor is lost gives
-its rows the same salt, so no row is lost or doubled.
+of a table that task decides the run time. ``find_hot_keys`` counts keys once,
+from the key columns only; the joins of this package then cut each hot key into
+pieces ("salts") and copy its one row of the other side to every piece. All
+other keys take the ordinary join in the same plan.
+
+The salt of a row is a hash of its other columns. It does not depend on where
+the row lies, so a table that keeps a key together in one file or bucket is cut
+as well as any other, and a task that is run again after an executor is lost
+gives its rows the same salts: no row is lost or doubled.
 """
 
 from __future__ import annotations
@@ -19,19 +20,18 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SALT = "__salt"
-TRACKED = 8192
-MERGE_WAYS = 64
 
 
 @dataclass(frozen=True)
 class HotKeys:
     """Key hashes by the number of pieces each is cut into.
 
-    Holds at most ``TRACKED`` hashes, and the pieces add up to at most twice
-    the number of shuffle partitions plus the number of keys, so what the joins
-    copy does not grow with the data.
+    A hot key fills more than one shuffle partition, so there are fewer of them
+    than shuffle partitions, and the pieces add up to at most three times that
+    number: what the joins copy does not grow with the data.
     """
 
     pieces: dict[int, list[int]] = field(default_factory=dict)
@@ -47,15 +47,30 @@ class HotKeys:
             out = F.when(key_hash.isin(hashes), F.lit(n)).otherwise(out)
         return out
 
-    def salt(self, keys: Sequence[str]) -> Column:
-        """For the side whose rows are spread."""
-        return F.pmod(F.spark_partition_id(), self.count_for(keys))
+    def salt(self, keys: Sequence[str], others: Sequence[Column]) -> Column:
+        """For the side whose rows are spread, by their ``others``. Rows that are
+        nothing but their key are told apart by the task that reads them."""
+        pieces = self.count_for(keys)
+        by = F.xxhash64(*others) if others else F.spark_partition_id()
+        return F.when(pieces > 1, F.pmod(by, pieces).cast("int")).otherwise(F.lit(0))
 
     def all_salts(self, keys: Sequence[str]) -> Column:
         """For the side with one row per key: explode to one row per piece."""
         return F.explode(F.sequence(F.lit(0), self.count_for(keys) - 1))
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
+def _name(column: str) -> Column:
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def spread(df: DataFrame, keys: Sequence[str], hot: HotKeys | None) -> DataFrame:
     """Add the salt column for several joins on the same keys, if any key is hot.
 
@@ -64,43 +79,25 @@ def spread(df: DataFrame, keys: Sequence[str], hot: HotKeys | None) -> DataFrame
     """
     if not hot or SALT in df.columns:
         return df
-    return df.withColumn(SALT, hot.salt([f"`{k}`" for k in keys]))
+    lowered = {k.lower() for k in keys}
+    others = [_name(f.name) for f in df.schema.fields if f.name.lower() not in lowered and _hashable(f.dataType)]
+    return df.withColumn(SALT, hot.salt([f"`{k}`" for k in keys], others))
 
 
-def find_hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = 0.001) -> HotKeys:
-    """Keys that hold at least ``min_share`` of the rows of ``df``.
+def find_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
+    """Keys with more rows than a shuffle partition has on average.
 
-    One pass over the key columns. Every task keeps a frequent-items sketch of
-    fixed size, the sketches are merged in two steps, and one row reaches the
-    driver. A sketch misses only keys far below ``min_share``. A NULL key counts
-    as a key. The result only steers how rows are spread, never which rows a
-    join returns.
+    Counts every key exactly, from its hash: counts are added up in the tasks
+    that read the rows before two longs a key are shuffled. Only keys above the
+    average reach the driver, which cannot be more than there are partitions. A
+    NULL key counts as a key. The result only steers how rows are spread, never
+    which rows a join returns.
     """
-    if not 2 * 3.5 / TRACKED <= min_share <= 1:
-        raise ValueError(f"min_share must lie between {7 / TRACKED:.5f} and 1")
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    top = (
-        df.select(
-            F.xxhash64(*[F.col(k) for k in keys]).alias("h"),
-            F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way"),
-        )
-        .groupBy("way")
-        .agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("sketch"), F.count("*").alias("n"))
-        # Grouped by a constant: no rows give no result rather than a bad sketch.
-        .groupBy(F.lit(0).alias("all"))
-        .agg(
-            F.expr(
-                f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {math.ceil(1 / min_share)})"
-            ).alias("top"),
-            F.sum("n").alias("n"),
-        )
-        .first()
-    )
+    total = df.count()
+    counts = df.groupBy(F.xxhash64(*[F.col(k) for k in keys]).alias("h")).agg(F.count("*").alias("n"))
     pieces: dict[int, list[int]] = {}
-    for item in top["top"] if top else []:
-        share = item["count"] / top["n"]
-        # A key that fills less than one shuffle partition needs no cutting.
-        if share >= min_share and share * partitions > 1:
-            n = 2 ** math.ceil(math.log2(share * partitions))
-            pieces.setdefault(n, []).append(item["item"])
+    for key in counts.where(F.col("n") * partitions > total).collect():
+        n = 2 ** math.ceil(math.log2(key["n"] / total * partitions))
+        pieces.setdefault(n, []).append(key["h"])
     return HotKeys(pieces)

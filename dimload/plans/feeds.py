@@ -90,7 +90,7 @@ def contact_feed(staged: DataFrame, batch_ts: str | datetime | None) -> DataFram
 def purge_feed(history: DataFrame) -> DataFrame:
     return project(
         history.where(F.col("RECORD_TYPE") == PURGE_RECORD),
-        {"CUSTOMER_ID": text_to_long(ACCOUNT), "PURGED_DT": "ROW_CREATED_DATE", "PURGED_IND": F.lit(1)},
+        {"CUSTOMER_ID": text_to_long(ACCOUNT), "PURGED_DT": text_to_timestamp("ROW_CREATED_DATE"), "PURGED_IND": F.lit(1)},
     )
 
 
@@ -111,7 +111,7 @@ def merge_feed(history: DataFrame, source: str = "deleted") -> DataFrame:
         {
             "CUSTOMER_ID": text_to_long(key),
             "MERGED_SOURCE_ACCT_ID": text_to_long(origin),
-            "MERGED_DT": "ROW_CREATED_DATE",
+            "MERGED_DT": text_to_timestamp("ROW_CREATED_DATE"),
             "MERGED_IND": F.lit(1),
         },
     )

@@ -5,13 +5,14 @@ and so on), so it can be used and tested without tables. Run order:
 ``insert_customers``, ``insert_addresses``, ``refresh_customers`` (or the three
 single-feed refreshes), ``update_addresses``, ``set_address_keys``.
 
-``batch_ts`` is the time of the load. ``order_by`` arguments say which of several
-staged rows of one key is used.
+``batch_ts`` is the time of the load. Of several staged rows of one key the latest is
+used: the last by the times and then the other columns named here, a row without a
+time before those that have one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators import (
     HotKeys,
     advance_registry,
     assign_surrogate_keys,
+    expire,
     find_hot_keys,
     first_match,
     fits_broadcast,
@@ -33,12 +35,12 @@ from ..operators import (
     registry_base,
     role_keys,
     scd2_merge,
-    settle,
+    settle_all,
     spread,
     upsert_replace,
 )
 from ..operators.skew import SALT
-from ..sources import append, cut_lineage, replace, require_table
+from ..sources import append, cut_lineage, partition_columns, recover, replace, replace_open, require_table
 from . import feeds
 from .layout import ADDRESS_LAYOUT, ADDRESS_ROLES, CONTACT_ALSO_ERASED, Tables
 
@@ -50,28 +52,45 @@ CUSTOMER_KEY = "CUSTOMER_KEY"
 ADDRESS_KEY = "CUSTOMER_ADDRESS_KEY"
 # Which staged row is used when an extract has several of one customer.
 ORGANISATION_ORDER = ["SOURCE_CREATE_DT", "PRIMARY_PHONE_NUMBER", "DIGITAL_CUSTOMER_ID", "MARKET_PLACE_CUST_ID"]
-CONTACT_ORDER = ["CUSTOMER_SINCE_DT", "CLIC_EMAIL_LAST_UPDT", "CLIC_EMAIL_ADDRESS", "LAST_NAME", "FIRST_NAME"]
+CONTACT_TIMES = ["CUSTOMER_SINCE_DT", "CLIC_EMAIL_LAST_UPDT"]
+CONTACT_ORDER = [*CONTACT_TIMES, "CLIC_EMAIL_ADDRESS", "LAST_NAME", "FIRST_NAME"]
 ADDRESS_ORDER = list(ADDRESS_LAYOUT.content)
 
 
+def contact_order() -> OrderBy:
+    """The contact extract's dates are text: by time where they are one, then by text."""
+    return [*[F.col(c).try_cast("timestamp") for c in CONTACT_TIMES], *CONTACT_ORDER]
+
+
+Hot = HotKeys | Callable[[], HotKeys] | None
+
+
+def _needed(hot: Hot, steps: Sequence[Feed]) -> HotKeys | None:
+    """Hot keys of a target, looked for only if some feed has to be joined by a shuffle."""
+    if not callable(hot):
+        return hot
+    return None if all(s.small for s in steps) else hot()
+
+
 # Frame to frame
 
 
 def customers_to_insert(
     staged: DataFrame, target: DataFrame, base: int, batch_ts: BatchTs, on_duplicate: str = "keep"
 ) -> DataFrame:
-    """New customers with their keys.
+    """New customers with their keys. NULL is a customer id like any other.
 
-    ``on_duplicate``: ``keep`` loads every staged row of a new customer, ``first``
-    only one.
+    ``on_duplicate``: ``keep`` loads every staged row of a new customer, ``latest`` (or
+    ``first``) only one.
     """
+    if on_duplicate not in ("keep", "latest", "first"):
+        raise ValueError("on_duplicate is 'keep', 'latest' or 'first'")
     rows = feeds.new_customers(staged, batch_ts)
     few = fits_broadcast(rows.select(*CUSTOMER))
-    new = insert_only(rows, target, CUSTOMER, unique=True, small=few)
-    if on_duplicate == "first":
-        new = first_match(new, CUSTOMER, ORGANISATION_ORDER)
-    elif on_duplicate != "keep":
-        raise ValueError("on_duplicate is 'keep' or 'first'")
+    hot = None if few else find_hot_keys(rows, CUSTOMER)
+    new = insert_only(rows, target, CUSTOMER, unique=True, null_safe=True, small=few, hot=hot)
+    if on_duplicate != "keep":
+        new = first_match(new, CUSTOMER, ORGANISATION_ORDER, latest=on_duplicate == "latest")
     return assign_surrogate_keys(new, base, CUSTOMER_KEY, CUSTOMER + ORGANISATION_ORDER)
 
 
@@ -89,7 +108,7 @@ def contact_refreshed(
     *,
     on_missing: str = "keep",
     stamp_all: bool = False,
-    hot: HotKeys | None = None,
+    hot: Hot = None,
     settled: bool = False,
 ) -> DataFrame:
     """Customers with the contact extract's columns.
@@ -98,10 +117,10 @@ def contact_refreshed(
     ``stamp_all`` gives every customer the batch number, also untouched ones.
     """
     rows = feeds.contact_feed(staged, None if on_missing == "null" or stamp_all else batch_ts)
-    (feed,) = _settle([Feed(rows, CONTACT_ORDER)], settled)
+    (feed,) = _settle([Feed(rows, contact_order(), latest=True)], settled)
     out = refresh(
-        target, feed.rows, CUSTOMER, feed.order_by,
-        unique=feed.unique, on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED, hot=hot,
+        target, feed.rows, CUSTOMER, feed.order_by, latest=feed.latest,
+        unique=feed.unique, on_missing=on_missing, also_erase=CONTACT_ALSO_ERASED, hot=_needed(hot, [feed]),
     )
     return feeds.stamp(out, batch_ts) if stamp_all else out
 
@@ -112,14 +131,15 @@ def organisation_refreshed(
     batch_ts: BatchTs,
     *,
     on_missing: str = "keep",
-    hot: HotKeys | None = None,
+    hot: Hot = None,
     settled: bool = False,
 ) -> DataFrame:
     """Customers with the organisation extract's columns; ``on_missing`` as above."""
     rows = feeds.organisation_feed(staged, batch_ts)
-    (feed,) = _settle([Feed(rows, ORGANISATION_ORDER)], settled)
+    (feed,) = _settle([Feed(rows, ORGANISATION_ORDER, latest=True)], settled)
     return refresh(
-        target, feed.rows, CUSTOMER, feed.order_by, unique=feed.unique, on_missing=on_missing, hot=hot
+        target, feed.rows, CUSTOMER, feed.order_by, latest=feed.latest,
+        unique=feed.unique, on_missing=on_missing, hot=_needed(hot, [feed]),
     )
 
 
@@ -131,7 +151,8 @@ def purge_and_merge_feeds(
     merged = feeds.merge_feed(history, merge_source)
     if batch_ts is not None:
         purged, merged = feeds.stamp(purged, batch_ts), feeds.stamp(merged, batch_ts)
-    return [Feed(purged, ["PURGED_DT"]), Feed(merged, ["MERGED_DT", "MERGED_SOURCE_ACCT_ID"])]
+    order = ["MERGED_DT", "MERGED_SOURCE_ACCT_ID"]
+    return [Feed(purged, ["PURGED_DT"], latest=True), Feed(merged, order, latest=True)]
 
 
 def history_marked(
@@ -140,16 +161,16 @@ def history_marked(
     *,
     batch_ts: BatchTs | None = None,
     merge_source: str = "deleted",
-    hot: HotKeys | None = None,
+    hot: Hot = None,
     settled: bool = False,
 ) -> DataFrame:
     """Customers with their purge and merge events."""
-    steps = purge_and_merge_feeds(history, batch_ts, merge_source)
-    return overlay_chain(target, _settle(steps, settled), CUSTOMER, hot=hot)
+    steps = _settle(purge_and_merge_feeds(history, batch_ts, merge_source), settled)
+    return overlay_chain(target, steps, CUSTOMER, hot=_needed(hot, steps))
 
 
 def _settle(steps: Sequence[Feed], settled: bool) -> list[Feed]:
-    return [settle(step, CUSTOMER) if settled else step for step in steps]
+    return settle_all(steps, CUSTOMER) if settled else list(steps)
 
 
 def address_keys_set(
@@ -181,7 +202,7 @@ def refreshed_customers(
     merge_source: str = "deleted",
     current_only: bool = True,
     key_only: bool = False,
-    hot: HotKeys | None = None,
+    hot: Hot = None,
     settled: bool = False,
 ) -> DataFrame:
     """All feeds laid over the customers, one after the other.
@@ -191,14 +212,17 @@ def refreshed_customers(
     by customer key but brought together by customer id, which the key determines.
     ``key_only`` compares the customer key alone, for keys handed out to several
     customers; this shuffles the customers a second time. ``settled`` writes and
-    measures every feed first, see ``settle``.
+    measures every feed first, see ``settle_all``.
     """
     steps = [
-        Feed(feeds.organisation_feed(organisation, batch_ts), ORGANISATION_ORDER),
-        Feed(feeds.contact_feed(contact, batch_ts), CONTACT_ORDER),
+        Feed(feeds.organisation_feed(organisation, batch_ts), ORGANISATION_ORDER, latest=True),
+        Feed(feeds.contact_feed(contact, batch_ts), contact_order(), latest=True),
         *purge_and_merge_feeds(history, batch_ts, merge_source),
     ]
-    customers = overlay_chain(spread(target, CUSTOMER, hot), _settle(steps, settled), CUSTOMER, hot=hot)
+    steps = _settle(steps, settled)
+    # The address roles are joined by the same key, so they count as one more step.
+    hot = hot() if callable(hot) else hot
+    customers = overlay_chain(spread(target, CUSTOMER, hot), steps, CUSTOMER, hot=hot)
     if key_only:
         return address_keys_set(customers.drop(SALT), addresses, batch_ts, current_only=current_only)
     return address_keys_set(
@@ -209,10 +233,17 @@ def refreshed_customers(
 # Table to table
 
 
+def _ready(spark: SparkSession, *names: str) -> None:
+    """Finish what a load that died left half done, then insist on the tables."""
+    for name in names:
+        recover(spark, name)
+        require_table(spark, name)
+
+
 def insert_customers(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), on_duplicate: str = "keep"
 ) -> None:
-    require_table(spark, tables.customer_dim)
+    _ready(spark, tables.customer_dim, tables.registry)
     registry = spark.table(tables.registry)
     base = registry_base(registry, tables.customer_registry_name)
     rows = customers_to_insert(
@@ -223,11 +254,14 @@ def insert_customers(
 
 
 def upsert_customers(spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables()) -> None:
-    require_table(spark, tables.customer_dim)
+    _ready(spark, tables.customer_dim, tables.registry)
     base = registry_base(spark.table(tables.registry), tables.customer_registry_name)
+    target = spark.table(tables.customer_dim)
     rows = customers_to_upsert(spark.table(tables.organisation), base, batch_ts)
     _take_keys(spark, tables, tables.customer_registry_name, rows, CUSTOMER_KEY, base)
-    replace(upsert_replace(spark.table(tables.customer_dim), rows, CUSTOMER), tables.customer_dim)
+    few = fits_broadcast(rows.select(*CUSTOMER))
+    hot = None if few else find_hot_keys(target, CUSTOMER)
+    replace(upsert_replace(target, rows, CUSTOMER, small=few, hot=hot), tables.customer_dim)
 
 
 def refresh_from_contact(
@@ -238,10 +272,11 @@ def refresh_from_contact(
     on_missing: str = "keep",
     stamp_all: bool = False,
 ) -> None:
+    _ready(spark, tables.customer_dim)
     target = spark.table(tables.customer_dim)
     rows = contact_refreshed(
         target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all,
-        hot=find_hot_keys(target, CUSTOMER),
+        hot=lambda: find_hot_keys(target, CUSTOMER),
         settled=True,
     )
     replace(rows, tables.customer_dim)
@@ -250,10 +285,11 @@ def refresh_from_contact(
 def refresh_from_organisation(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, on_missing: str = "keep"
 ) -> None:
+    _ready(spark, tables.customer_dim)
     target = spark.table(tables.customer_dim)
     rows = organisation_refreshed(
         target, spark.table(tables.organisation), batch_ts, on_missing=on_missing,
-        hot=find_hot_keys(target, CUSTOMER),
+        hot=lambda: find_hot_keys(target, CUSTOMER),
         settled=True,
     )
     replace(rows, tables.customer_dim)
@@ -266,10 +302,11 @@ def mark_history(
     batch_ts: BatchTs | None = None,
     merge_source: str = "deleted",
 ) -> None:
+    _ready(spark, tables.customer_dim)
     target = spark.table(tables.customer_dim)
     rows = history_marked(
         target, spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source,
-        hot=find_hot_keys(target, CUSTOMER),
+        hot=lambda: find_hot_keys(target, CUSTOMER),
         settled=True,
     )
     replace(rows, tables.customer_dim)
@@ -284,6 +321,7 @@ def refresh_customers(
     current_only: bool = True,
     key_only: bool = False,
 ) -> None:
+    _ready(spark, tables.customer_dim)
     target = spark.table(tables.customer_dim)
     rows = refreshed_customers(
         target,
@@ -295,7 +333,7 @@ def refresh_customers(
         merge_source=merge_source,
         current_only=current_only,
         key_only=key_only,
-        hot=find_hot_keys(target, CUSTOMER),
+        hot=lambda: find_hot_keys(target, CUSTOMER),
         settled=True,
     )
     replace(rows, tables.customer_dim)
@@ -304,6 +342,7 @@ def refresh_customers(
 def set_address_keys(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, current_only: bool = True
 ) -> None:
+    _ready(spark, tables.customer_dim)
     target = spark.table(tables.customer_dim)
     rows = address_keys_set(
         target, spark.table(tables.address_dim), batch_ts, current_only=current_only,
@@ -318,10 +357,16 @@ def insert_addresses(
     tables: Tables = Tables(),
     *,
     created: str = "timestamp",
-    on_duplicate: str = "first",
+    on_duplicate: str = "latest",
 ) -> DataFrame:
-    """Append first versions of new addresses; returns the rejected rows."""
-    require_table(spark, tables.address_dim)
+    """Append first versions of new addresses; returns the rejected rows with reasons.
+
+    ``on_duplicate``: ``latest`` (or ``first``) of several staged rows of a new address, or
+    ``keep`` for all of them.
+    """
+    if on_duplicate not in ("keep", "latest", "first"):
+        raise ValueError("on_duplicate is 'keep', 'latest' or 'first'")
+    _ready(spark, tables.address_dim, tables.registry)
     base = registry_base(spark.table(tables.registry), tables.address_registry_name)
     staged = feeds.address_feed(spark.table(tables.address), created).withColumn("PRIVACY_IND", F.lit(0))
     loaded = initial_load(
@@ -331,7 +376,8 @@ def insert_addresses(
         base,
         batch_ts,
         ADDRESS_LAYOUT,
-        ADDRESS_ORDER if on_duplicate == "first" else None,
+        None if on_duplicate == "keep" else ADDRESS_ORDER,
+        latest=on_duplicate == "latest",
         # A customer may have any number of addresses.
         hot_parents=find_hot_keys(staged, CUSTOMER),
     )
@@ -352,8 +398,12 @@ def update_addresses(
 ) -> DataFrame:
     """Merge the address extract into the address versions.
 
-    Returns the rejected rows. ``compat`` and ``effective`` as in ``scd2_merge``.
+    Returns the rejected rows with reasons. ``compat`` and ``effective`` as in
+    ``scd2_merge``. A table partitioned by its current flag keeps the files of its
+    history: only current rows are written again, and those now closed are added. Void
+    flags of its history are then taken as set when the rows were closed.
     """
+    _ready(spark, tables.address_dim, tables.registry)
     base = registry_base(spark.table(tables.registry), tables.address_registry_name)
     target = spark.table(tables.address_dim)
     staged = feeds.address_feed(spark.table(tables.address), created, effective)
@@ -366,6 +416,7 @@ def update_addresses(
         batch_ts,
         ADDRESS_LAYOUT,
         ADDRESS_ORDER,
+        latest=True,
         compat=compat,
         effective=effective,
         hot=find_hot_keys(target, keys) if compat != "corrected" else None,
@@ -373,16 +424,36 @@ def update_addresses(
     )
     rejected = cut_lineage(merged.rejected)
     _take_keys(spark, tables, tables.address_registry_name, merged.added, ADDRESS_KEY, base)
-    replace(merged.table, tables.address_dim)
+    flag = ADDRESS_LAYOUT.current
+    if compat == "corrected" and partition_columns(spark, tables.address_dim) == [flag]:
+        current = expire(
+            target.where(F.col(flag) == 1), merged.closing, ADDRESS_LAYOUT, batch_ts,
+            effective=effective, small=fits_broadcast(merged.closing),
+        )
+        # Written once: the rows replace the partition they are read from.
+        current = cut_lineage(current.unionByName(merged.added))
+        open_rows, closed = current.where(F.col(flag) == 1), current.where(F.col(flag) == 0)
+        replace_open(open_rows, closed, tables.address_dim, flag, ADDRESS_KEY)
+    else:
+        replace(merged.table, tables.address_dim)
     return rejected
 
 
+class RegistryMoved(Exception):
+    pass
+
+
 def _take_keys(spark, tables: Tables, name: str, rows: DataFrame, key: str, base: int) -> None:
     """Raise the registry before the rows are written.
 
     A load that stops in between leaves a gap in the keys; the other order could
-    hand out a key twice.
+    hand out a key twice. If another load has taken keys since ``base`` was read, this
+    one fails and writes nothing.
     """
     used = largest_key(rows, key, base)
+    spark.catalog.refreshTable(tables.registry)
+    now = registry_base(spark.table(tables.registry), name)
+    if now != base:
+        raise RegistryMoved(f"the registry of {name} went from {base} to {now} during the load; run it again")
     if used > base:
         replace(advance_registry(spark.table(tables.registry), name, used), tables.registry)

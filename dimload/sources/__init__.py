@@ -1,12 +1,14 @@
 from .scratch import cut_lineage, scratch_dir
-from .tables import TableMissing, append, recover, replace, require_table, scan
+from .tables import TableMissing, append, partition_columns, recover, replace, replace_open, require_table, scan
 
 __all__ = [
     "TableMissing",
     "append",
     "cut_lineage",
+    "partition_columns",
     "recover",
     "replace",
+    "replace_open",
     "require_table",
     "scan",
     "scratch_dir",

@@ -6,6 +6,7 @@ schema must exist, and the frame is fitted to that schema before it is written.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,27 +38,41 @@ def scan(
     return project(df, columns)
 
 
+def facts(spark: SparkSession, table: str) -> dict[str, str]:
+    """What the catalog says of a table, by name."""
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+
+
 def bucketing(spark: SparkSession, table: str) -> tuple[int, list[str]]:
     """Number of buckets and bucket columns of a table; 0 if it has none."""
-    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
-    columns = facts.get("Bucket Columns", "[]").strip("[]")
-    return int(facts.get("Num Buckets", 0)), [c.strip(" `") for c in columns.split(",") if c.strip()]
+    known = facts(spark, table)
+    columns = known.get("Bucket Columns", "[]").strip("[]")
+    return int(known.get("Num Buckets", 0)), [c.strip(" `") for c in columns.split(",") if c.strip()]
 
 
-def append(df: DataFrame, table: str) -> None:
-    """Add rows to an existing table.
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
-    Rows for a bucketed table are brought together by bucket first. Otherwise
-    every task would write a file into every bucket. A bucket with very many
-    rows is split over several tasks and files.
+
+def gathered(rows: DataFrame, table: str) -> DataFrame:
+    """Rows brought together by the table's partitions and buckets.
+
+    Otherwise every task would write a file into every one of them. A partition
+    or bucket with very many rows is split over several tasks and files.
     """
+    spark = rows.sparkSession
+    buckets, columns = bucketing(spark, table)
+    columns = partition_columns(spark, table) + columns
+    if not columns:
+        return rows
+    return rows.hint("rebalance", *([buckets] if buckets else []), *columns)
+
+
+def append(df: DataFrame, table: str) -> None:
+    """Add rows to an existing table, gathered by its partitions and buckets."""
     spark = df.sparkSession
     require_table(spark, table)
-    rows = align(df, spark.table(table).schema)
-    buckets, columns = bucketing(spark, table)
-    if buckets:
-        rows = rows.hint("rebalance", buckets, *columns)
-    rows.write.insertInto(table)
+    gathered(align(df, spark.table(table).schema), table).write.insertInto(table)
 
 
 def _side_names(table: str) -> tuple[str, str, str]:
@@ -67,33 +82,101 @@ def _side_names(table: str) -> tuple[str, str, str]:
 
 
 def recover(spark: SparkSession, table: str) -> None:
-    """Finish or undo a replacement that stopped half way.
+    """Finish or undo a replacement that stopped half way; every load begins with it.
 
     Without the target, the version before it is renamed back. With the target,
-    leftovers of the replacement are dropped.
+    leftovers of the replacement are dropped, and rows that ``replace_open`` has taken
+    out of the open partition are filed.
     """
     following, before, table = _side_names(table)
     if not spark.catalog.tableExists(table) and spark.catalog.tableExists(before):
         spark.sql(f"ALTER TABLE {before} RENAME TO {table}")
     if spark.catalog.tableExists(table):
         spark.sql(f"DROP TABLE IF EXISTS {before}")
+        if spark.catalog.tableExists(f"{table}__closed"):
+            _file_closed(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {following}")
 
 
+def _properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _file_closed(spark: SparkSession, table: str) -> None:
+    """Add closed rows that are not filed yet, if they have left the open partition."""
+    side = f"{table}__closed"
+    known = _properties(spark, side)
+    if known.get("dimload.complete") == "true":
+        key, flag = known["dimload.key"], known["dimload.flag"]
+        closed, stored = spark.table(side), spark.table(table)
+        still_open = stored.where(f"`{flag}` = 1").join(closed.select(key), key, "left_semi")
+        if still_open.isEmpty():
+            filed = stored.where(f"`{flag}` = 0").select(key)
+            append(closed.join(filed, key, "left_anti"), table)
+    spark.sql(f"DROP TABLE {side}")
+
+
+def replace_open(open_rows: DataFrame, closed_rows: DataFrame, table: str, flag: str, key: str) -> None:
+    """Replace the open rows of a table partitioned by its open flag (1 or 0), and add
+    closed ones to the others. Files of closed rows are neither read nor written again.
+
+    Neither frame may read the table any more (see ``cut_lineage``). The closed rows go to
+    ``<table>__closed`` first and are filed after the open partition is written;
+    ``recover`` finishes that. ``key`` tells rows apart.
+    """
+    spark = open_rows.sparkSession
+    recover(spark, table)
+    side, schema = f"{table}__closed", spark.table(table).schema
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    spark.sql(f"CREATE TABLE {side} ({columns}) USING parquet TBLPROPERTIES ('dimload.key' = '{key}', 'dimload.flag' = '{flag}')")
+    align(closed_rows, schema).write.insertInto(side)
+    spark.sql(f"ALTER TABLE {side} SET TBLPROPERTIES ('dimload.complete' = 'true')")
+    fitted = align(open_rows, schema).where(f"`{flag}` = 1").drop(flag)
+    buckets, by = bucketing(spark, table)
+    if buckets:
+        fitted = fitted.hint("rebalance", buckets, *by)
+    view = "open_" + uuid.uuid4().hex
+    fitted.createOrReplaceTempView(view)
+    names = ", ".join(f"`{c}`" for c in fitted.columns)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (`{flag}` = 1) SELECT {names} FROM {view}")
+    spark.catalog.dropTempView(view)
+    spark.catalog.refreshTable(table)
+    append(spark.table(side), table)
+    spark.sql(f"DROP TABLE {side}")
+
+
+def _like(spark: SparkSession, table: str, new: str) -> None:
+    """A new empty table with the layout, comment and properties of another."""
+    spark.sql(f"CREATE TABLE {new} LIKE {table}")
+    passing = ("transient_", "spark.sql.", "numFiles", "totalSize")
+    kept = {k: v for k, v in _properties(spark, table).items() if not k.startswith(passing)}
+    literal = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if kept:
+        pairs = ", ".join(f"{literal(k)} = {literal(v)}" for k, v in kept.items())
+        spark.sql(f"ALTER TABLE {new} SET TBLPROPERTIES ({pairs})")
+    comment = facts(spark, table).get("Comment")
+    if comment:
+        spark.sql(f"COMMENT ON TABLE {new} IS {literal(comment)}")
+
+
 def replace(df: DataFrame, table: str) -> None:
     """Replace all rows of a table, also with a frame that reads that table.
 
-    The rows go to a new table with the target's format, partitioning and
-    bucketing, which then takes its name. The target is untouched until the new
-    rows are complete, and its old rows are kept until the new table is in place.
+    The rows go to a new table with the target's format, partitioning, bucketing,
+    comment and properties, which then takes its name. The target is untouched
+    until the new rows are complete, and its old rows are kept until the new table
+    is in place. An external table is refused: its files would not move with the
+    name.
     """
     spark = df.sparkSession
     following, before, table = _side_names(table)
     recover(spark, table)
     require_table(spark, table)
+    if facts(spark, table).get("Type") == "EXTERNAL":
+        raise ValueError(f"{table} is external: replacing it by name would leave its files and location behind")
     fitted = align(df, spark.table(table).schema)
-    spark.sql(f"CREATE TABLE {following} LIKE {table}")
-    fitted.write.insertInto(following)
+    _like(spark, table, following)
+    gathered(fitted, table).write.insertInto(following)
     spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
     spark.sql(f"ALTER TABLE {following} RENAME TO {table}")
     spark.sql(f"DROP TABLE {before}")

@@ -119,7 +119,7 @@ def test_run_order(spark, tables):
         [address("11", "SHIPADDR0", "New st"), address("11", "BILLADDR1", "B st"), address("12", "SHIPADDR0", "C st")],
     )
     rejected = jobs.update_addresses(spark, DAY3)
-    assert rejected.count() == 0
+    assert [(r["CUSTOMER_ID"], r["REJECT_REASON"]) for r in rejected.collect()] == [(12, "no stored version")]
     versions = by(spark, t.address_dim, "CUSTOMER_ADDRESS_KEY")
     assert set(versions) == {501, 502, 503}
     assert versions[501] == {**addresses[11, "BILLADDR1"]}
@@ -188,6 +188,129 @@ def test_duplicate_staged_customers(spark, tables):
     assert sorted((r["CUSTOMER_ID"], r["CUSTOMER_KEY"]) for r in first.collect()) == [(11, 1), (12, 2)]
 
 
+def test_latest_staged_row_wins(spark, tables):
+    """By typed time, and a row without a time never before one that has it."""
+    t = tables
+    phones = {"2019-10-01 08:00:00": "1115550000", "2019-10-09 08:00:00": "2225550000", None: "9995550000"}
+    text_table(spark, t.organisation, ORGANISATION, [organisation("11", phone=p, ROW_CREATED_DATE=d) for d, p in phones.items()])
+    jobs.insert_customers(spark, DAY1, on_duplicate="latest")
+    assert by(spark, t.customer_dim, "CUSTOMER_ID")[11]["DERIVED_AREA_CODE"] == 222
+    jobs.refresh_from_organisation(spark, DAY1)
+    assert by(spark, t.customer_dim, "CUSTOMER_ID")[11]["DERIVED_AREA_CODE"] == 222
+    names = {"2019-9-30 00:00:00": "Old", "2019-10-02": "New", None: "Undated", "not a date": "Odd"}
+    text_table(spark, t.contact, CONTACT, [{ACCOUNT: "11", "FIRST_NAME": n, "CUSTOMER_SINCE_DATE": d} for d, n in names.items()])
+    jobs.refresh_from_contact(spark, DAY1)
+    assert by(spark, t.customer_dim, "CUSTOMER_ID")[11]["FIRST_NAME"] == "New"
+    marks = [{ACCOUNT: "11", DELETED_ACCOUNT: a, "RECORD_TYPE": "Merged Account", "ROW_CREATED_DATE": d}
+             for a, d in (("1", "2019-9-30 00:00:00"), ("2", "2019-10-02 00:00:00"), ("3", None))]
+    text_table(spark, t.history, HISTORY, marks)
+    jobs.mark_history(spark)
+    assert by(spark, t.customer_dim, "CUSTOMER_ID")[11]["MERGED_SOURCE_ACCT_ID"] == 2
+    dated = {"20191001080000": "A st", "20191109080000": "B st", None: "Z st"}
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", line, created=d) for d, line in dated.items()])
+    rejected = jobs.insert_addresses(spark, DAY1, created="compact")
+    assert by(spark, t.address_dim, "CUSTOMER_ID")[11]["ADDR_LINE1_TXT"] == "B st"
+    assert sorted(r["ADDR_LINE1_TXT"] for r in rejected.collect()) == ["A st", "Z st"]
+    dated = {"20191001080000": "C st", "20191110080000": "D st", None: "Z st"}
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", line, created=d) for d, line in dated.items()])
+    jobs.update_addresses(spark, DAY2)
+    assert by(spark, t.address_dim, "ETL_CURRENT_IND")[1]["ADDR_LINE1_TXT"] == "D st"
+
+
+def test_null_keys_are_loaded_once_or_refused(spark, tables):
+    t = tables
+    text_table(spark, t.organisation, ORGANISATION, [organisation(None), organisation("11")])
+    for day in (DAY1, DAY2):
+        jobs.insert_customers(spark, day)
+        assert sorted(map(str, by(spark, t.customer_dim, "CUSTOMER_ID"))) == ["11", "None"]
+        assert spark.table(t.customer_dim).count() == 2
+    text_table(spark, t.address, ADDRESS, [address("11", None, "A st"), address("11", "SHIPADDR0", "B st")])
+    for day in (DAY1, DAY2):
+        rejected = jobs.insert_addresses(spark, day, created="compact")
+        assert [r["REJECT_REASON"] for r in rejected.collect()] == ["NULL in the natural key"]
+        assert spark.table(t.address_dim).count() == 1
+
+
+def test_a_moved_registry_stops_the_load(spark, tables, monkeypatch):
+    t = tables
+    largest = jobs.largest_key
+
+    def meanwhile(*args):
+        spark.createDataFrame(
+            [(t.customer_registry_name, 150), (t.address_registry_name, 500)], "TABLE_NAME string, MAX_VALUE_KEY long"
+        ).write.insertInto(t.registry, overwrite=True)
+        return largest(*args)
+
+    monkeypatch.setattr(jobs, "largest_key", meanwhile)
+    with pytest.raises(jobs.RegistryMoved, match="100 to 150"):
+        jobs.insert_customers(spark, DAY1)
+    assert spark.table(t.customer_dim).count() == 0
+    assert registry_base(spark.table(t.registry), t.customer_registry_name) == 150
+
+
+@pytest.mark.parametrize("name", ["customer_dim", "registry"])
+def test_a_load_begins_with_recovery(spark, tables, name):
+    """A replacement that died between its two renames."""
+    table = getattr(tables, name)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__before")
+    jobs.insert_customers(spark, DAY1)
+    assert spark.table(tables.customer_dim).count() == 2
+    spark.sql(f"ALTER TABLE {tables.customer_dim} RENAME TO {tables.customer_dim}__before")
+    jobs.mark_history(spark)
+    assert by(spark, tables.customer_dim, "CUSTOMER_ID")[12]["PURGED_IND"] == 1
+
+
+def partitioned(spark, table):
+    """The address table partitioned by its current flag, with its rows."""
+    rows = spark.createDataFrame(spark.table(table).collect(), ADDRESS_SCHEMA)
+    spark.sql(f"DROP TABLE {table}")
+    rows.write.partitionBy("ETL_CURRENT_IND").saveAsTable(table)
+
+
+def history_files(spark, table):
+    files = spark.table(table).where("ETL_CURRENT_IND = 0").select("_metadata.file_path", "_metadata.file_modification_time")
+    return {tuple(r) for r in files.distinct().collect()}
+
+
+@pytest.mark.parametrize("stops_at", [None, "INSERT OVERWRITE", "append"])
+def test_history_partition_is_left_alone(spark, tables, monkeypatch, stops_at):
+    """Only current rows are written; whatever stops the load, the next one finishes it."""
+    from dimload.sources import tables as store
+
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    jobs.insert_addresses(spark, DAY1, created="compact")
+    partitioned(spark, t.address_dim)
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", "B st", created="20191102080000")])
+    jobs.update_addresses(spark, DAY2)
+    before = history_files(spark, t.address_dim)
+    assert before
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", "C st", created="20191103080000")])
+    if stops_at:
+        sql, append = type(spark).sql, store.append
+
+        def stop(*args, **kwargs):
+            raise RuntimeError("stopped")
+
+        with monkeypatch.context() as broken:
+            if stops_at == "append":
+                broken.setattr(store, "append", stop)
+            else:
+                broken.setattr(type(spark), "sql", lambda self, text, *a: stop() if stops_at in text else sql(self, text, *a))
+            with pytest.raises(RuntimeError):
+                jobs.update_addresses(spark, DAY3)
+        assert store.append is append
+    jobs.update_addresses(spark, DAY3)
+    jobs.update_addresses(spark, DAY3)
+    rows = spark.table(t.address_dim).where("ADDR_NAME = 'SHIPADDR0'").collect()
+    assert sorted((r["ADDR_LINE1_TXT"], r["ETL_VERSION_NBR"], r["ETL_CURRENT_IND"]) for r in rows) == [
+        ("A st", 1, 0), ("B st", 2, 0), ("C st", 3, 1)
+    ]
+    assert spark.table(t.address_dim).count() == 4
+    assert before <= history_files(spark, t.address_dim)
+    assert not spark.catalog.tableExists(f"{t.address_dim}__closed")
+
+
 @pytest.mark.parametrize("source,key,origin", [("deleted", 11, 99), ("survivor", 99, 11), ("same", 11, 11)])
 def test_merge_direction(spark, tables, source, key, origin):
     (row,) = feeds.merge_feed(spark.table(tables.history), source).collect()

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from dimload.operators import (
     Feed,
     find_hot_keys,
+    settle_all,
+    spread,
     first_match,
     lookup_overlay,
     match_one,
@@ -114,6 +116,48 @@ def test_hot_rows_are_spread_over_tasks(spark):
     assert len(per_task) > 2 and max(r["count"] for r in per_task) < 15000
 
 
+@pytest.mark.parametrize("clustered", ["bucketed", "by key", "spread"])
+def test_salts_do_not_depend_on_where_rows_lie(spark, clustered):
+    """One key with half of the rows, which one task reads."""
+    rows = spark.range(0, 4000, 1, 8).selectExpr("IF(id % 2 = 0, -1, id) AS k", "id", "string(id) AS v")
+    spark.sql("DROP TABLE IF EXISTS clustered_rows")
+    if clustered == "bucketed":
+        rows.write.bucketBy(4, "k").saveAsTable("clustered_rows")
+    elif clustered == "by key":
+        rows.repartition(4, "k").write.saveAsTable("clustered_rows")
+    else:
+        rows.write.saveAsTable("clustered_rows")
+    table = spark.table("clustered_rows")
+    hot = find_hot_keys(table, ["k"])
+    (pieces,) = hot.pieces
+    assert pieces == 4
+    salts = spread(table, ["k"], hot).where("k = -1").groupBy("__salt").count().collect()
+    assert len(salts) == pieces and max(r["count"] for r in salts) < 2 * 2000 / pieces
+    assert spread(table, ["k"], hot).where("k <> -1 and __salt <> 0").count() == 0
+    spark.sql("DROP TABLE clustered_rows")
+
+
+def test_a_key_just_above_a_partition_is_found(spark):
+    """A share of 0.0009 at 5,000 partitions."""
+    rows = spark.range(0, 100_000, 1, 8).selectExpr("IF(id < 90, -1, id) AS k")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        assert {n: len(h) for n, h in find_hot_keys(rows.coalesce(2), ["k"]).pieces.items()} == {8: 1}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_small_feeds_together_stay_below_the_limit(spark):
+    """Which feeds are copied changes the plan, never the rows."""
+    target = spark.range(0, 300).selectExpr("id AS k", "'old' AS a", "'old' AS b", "'old' AS c")
+    feeds = [Feed(spark.range(0, n).selectExpr("id AS k", f"string(id) AS {c}"), [c]) for n, c in ((50, "a"), (200, "b"), (100, "c"))]
+    want = rows(overlay_chain(target, feeds, ["k"]))
+    for limit, small in ((1 << 20, [True] * 3), (7000, [True, False, True]), (0, [False] * 3)):
+        settled = settle_all(feeds, ["k"], limit)
+        assert [f.small for f in settled] == small
+        assert rows(overlay_chain(target, settled, ["k"])) == want
+
+
 def test_types_must_agree_for_hashed_keys(spark, left):
     feed = spark.createDataFrame([(1, "x")], "k int, v string")
     with pytest.raises(ValueError, match="same type"):

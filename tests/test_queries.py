@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from dimload.checks import registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+registry.load_all()
+QUERIES, ORACLE = registry.QUERIES, registry.ORACLE
 TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",

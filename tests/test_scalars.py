@@ -3,6 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from dimload import functions as scalars
 from dimload.functions import (
     area_code,
     batch_number,
@@ -54,7 +55,7 @@ def test_parse_compact_and_batch_number(spark):
 
 @pytest.mark.parametrize("bad", ["", "0x1A", "abc"])
 def test_bad_number_fails_or_is_null(spark, bad):
-    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+    with pytest.raises(Exception, match="not a number"):
         one(spark, text_to_long(text(bad)))
     assert one(spark, text_to_long(text(bad), strict=False)) is None
 
@@ -84,3 +85,15 @@ def test_rest(spark):
     assert one(spark, void_flag(early, late)) == 0
     assert one(spark, void_flag(early, early)) == 0
     assert one(spark, void_flag(early, F.lit(None).cast("timestamp"))) == 0
+
+
+@pytest.mark.parametrize(
+    "value", ["text_to_long", "text_to_timestamp", "parse_compact", "blank_to_zero", "area_code"]
+)
+def test_strict_without_ansi(spark, value):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a (number|timestamp): "):
+            one(spark, getattr(scalars, value)(text("abcdef")))
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

@@ -67,6 +67,10 @@ def by_key(df):
     return {r["cak"]: r.asDict() for r in df.collect()}
 
 
+def reasons(rejected):
+    return sorted((r["id"], r["REJECT_REASON"]) for r in rejected.collect())
+
+
 def short(row):
     return (row["id"], row["name"], row["line1"], row["end"], row["cur"], row["ver"], row["void"])
 
@@ -89,7 +93,8 @@ def test_corrected(stored, staged, parents, monkeypatch, limit):
     merged = scd2_merge(stored, staged, parents, 100, BATCH, LAYOUT, ["line1"])
     assert merged.table.columns == stored.columns
     assert merged.table.count() == 8
-    assert merged.rejected.count() == 0
+    assert reasons(merged.rejected) == [(14, "no stored version")]
+    assert [r["id"] for r in merged.unchanged.collect()] == [12]
     out = by_key(merged.table)
     untouched(out[1], 0)
     assert short(out[2])[3:] == (NOW, 0, 2, 0) and out[2]["upd"] == 20191122100000
@@ -148,7 +153,7 @@ def test_unresolved_parent_is_rejected_before_closing(stored, staged, parents):
     merged = scd2_merge(stored, staged, parents.where("id <> 11"), 100, BATCH, LAYOUT, ["line1"])
     out = by_key(merged.table)
     untouched(out[2], 1)
-    assert [(r["id"], r["REJECT_REASON"]) for r in merged.rejected.collect()] == [(11, "ck not found")]
+    assert reasons(merged.rejected) == [(11, "ck not found"), (14, "no stored version")]
     check_new(out[101], 101, "B st", 2)
 
 
@@ -164,7 +169,8 @@ def test_initial_load(stored, staged, parents, spark):
     (row,) = loaded.rows.collect()
     assert (row["cak"], row["ck"], row["line1"], row["ver"], row["cur"], row["void"]) == (101, 104, "M st", 1, 1, 0)
     assert (row["begin"], row["end"]) == (START, OPEN)
-    assert loaded.rejected.count() == 0
+    assert reasons(loaded.rejected) == [(14, "another staged row of the key is used")]
+    assert sorted(r["id"] for r in loaded.existing.collect()) == [11, 12, 13]
     assert initial_load(more, stored, parents, 100, BATCH, LAYOUT).rows.count() == 2
     none = initial_load(staged, stored, parents.where("id <> 14"), 100, BATCH, LAYOUT, ["line1"])
     assert none.rows.count() == 0 and [r["id"] for r in none.rejected.collect()] == [14]
@@ -172,6 +178,64 @@ def test_initial_load(stored, staged, parents, spark):
     assert sorted(r["cak"] for r in empty.rows.collect()) == [101, 102, 103, 104]
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_a_key_without_a_current_version_is_opened_again(stored, parents, spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr("dimload.operators.scd2.fits_broadcast", lambda df: False)
+    closed = stored.where("cak <> 2 and cak <> 6").withColumn("cur", F.when(F.col("cak") == 5, 0).otherwise(F.col("cur")))
+    staged = spark.createDataFrame(
+        [(11, "SHIPADDR0", "CLIC", "A st"), (13, "MKTADDR", "CLIC", "G st"), (13, "BILLADDR1", "CLIC", "D st")],
+        "id long, name string, src string, line1 string",
+    )
+    merged = scd2_merge(closed, staged, parents, 100, BATCH, LAYOUT, ["line1"])
+    out = by_key(merged.table)
+    check_new(out[101], 101, "A st", 2)
+    check_new(out[102], 102, "G st", 2)
+    untouched(out[1], 0)
+    assert merged.rejected.count() == 0 and [r["name"] for r in merged.unchanged.collect()] == ["BILLADDR1"]
+    loaded = initial_load(staged, closed, parents, 100, BATCH, LAYOUT, ["line1"])
+    assert loaded.rows.count() == 0 and loaded.existing.count() == 3
+    again = scd2_merge(merged.table.cache(), staged, parents, 102, BATCH, LAYOUT, ["line1"])
+    assert again.added.count() == 0 and again.unchanged.count() == 3
+
+
+@pytest.mark.parametrize("latest", [False, True])
+@pytest.mark.parametrize("compat", ["corrected", "reference_without_compare"])
+def test_no_staged_row_is_lost(stored, staged, parents, spark, compat, latest):
+    more = spark.createDataFrame(
+        [(11, "SHIPADDR0", "CLIC", "X st"), (11, "SHIPADDR0", "CLIC", None), (None, "SHIPADDR0", "CLIC", "N st"),
+         (13, None, "CLIC", "N st"), (15, "SHIPADDR0", "CLIC", "O st"), (14, "SHIPADDR0", "CLIC", "N st")],
+        "id long, name string, src string, line1 string",
+    )
+    everything = staged.union(more)
+    merged = scd2_merge(stored, everything, parents, 100, BATCH, LAYOUT, ["line1"], compat=compat, latest=latest)
+    parts = [merged.added.count(), merged.rejected.count(), merged.unchanged.count()]
+    assert sum(parts) == everything.count() and merged.rejected.where("REJECT_REASON is null").count() == 0
+    assert merged.rejected.where("REJECT_REASON = 'NULL in the natural key'").count() == 2
+    assert [r["line1"] for r in merged.added.where("id = 11").collect()] == ["X st" if latest else None]
+    loaded = initial_load(everything, stored, parents, 100, BATCH, LAYOUT, ["line1"], latest=latest)
+    parts = [loaded.rows.count(), loaded.rejected.count(), loaded.existing.count()]
+    assert sum(parts) == everything.count()
+    loaded = initial_load(everything, stored, parents, 100, BATCH, LAYOUT)
+    assert loaded.rows.count() + loaded.rejected.count() + loaded.existing.count() == everything.count()
+
+
+def test_parents_are_read_once(stored, staged, spark):
+    """Accepted and rejected rows come from one written join."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(rows):
+        for row in rows:
+            read.add(1)
+            yield row
+
+    parents = spark.createDataFrame([(11, 101), (12, 102), (13, 103)], "id long, ck long").rdd.mapPartitions(seen).toDF("id long, ck long")
+    merged = scd2_merge(stored, staged, parents, 100, BATCH, LAYOUT, ["line1"], parents_unique=True)
+    once = read.value
+    merged.added.collect(), merged.rejected.collect(), merged.table.collect()
+    assert read.value == once == 3
+
+
 @pytest.mark.parametrize("compat", ["corrected", "reference", "reference_without_compare"])
 def test_a_third_of_all_rows_under_one_key(spark, compat):
     """Hot keys are spread without changing a row of the result."""

@@ -31,6 +31,48 @@ def test_append_writes_one_file_per_bucket(spark, table):
     assert spark.table(table).select("_metadata.file_path").distinct().count() == 4
 
 
+def files(spark, table):
+    return spark.table(table).select("_metadata.file_path").distinct().count()
+
+
+@pytest.mark.parametrize("write", [append, replace])
+def test_files_follow_buckets_and_partitions(spark, table, write):
+    """Rows lie in 32 tasks by another column; files don't multiply by them."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = spark.range(0, 3200, 1, 32).selectExpr("id % 97 AS k", "string(id) AS v", "int(id % 5) AS w")
+        write(rows, table)
+        assert files(spark, table) == 4 and spark.table(table).count() == 3200
+        spark.sql("DROP TABLE IF EXISTS dim_p")
+        spark.sql("CREATE TABLE dim_p (K BIGINT, V STRING, W INT) USING parquet PARTITIONED BY (W)")
+        write(rows, "dim_p")
+        assert files(spark, "dim_p") == 5 and spark.table("dim_p").count() == 3200
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.sql("DROP TABLE IF EXISTS dim_p")
+
+
+def test_replace_keeps_comment_and_properties(spark, table):
+    spark.sql(f"COMMENT ON TABLE {table} IS 'it''s a \\\\ dimension'")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('owner.team' = 'o''neil', 'x' = '1')")
+    described = lambda: {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    comment = described()["Comment"]
+    replace(spark.range(3).selectExpr("id AS k"), table)
+    assert described()["Comment"] == comment and "dimension" in comment
+    kept = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    assert kept["owner.team"] == "o'neil" and kept["x"] == "1"
+
+
+def test_replace_refuses_external_tables(spark, tmp_path):
+    spark.sql("DROP TABLE IF EXISTS dim_x")
+    spark.sql(f"CREATE TABLE dim_x (K BIGINT) USING parquet LOCATION '{tmp_path}/x'")
+    append(spark.range(2).selectExpr("id AS k"), "dim_x")
+    with pytest.raises(ValueError, match="external"):
+        replace(spark.range(1).selectExpr("id AS k"), "dim_x")
+    assert spark.table("dim_x").count() == 2
+    spark.sql("DROP TABLE dim_x")
+
+
 def test_target_must_exist(spark):
     for write in (append, replace):
         with pytest.raises(TableMissing):
