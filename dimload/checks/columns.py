@@ -26,11 +26,6 @@ from ..plans.feeds import stamp
 from .registry import BATCH_TS, TestTables, plain_times, query
 
 
-@query("SELECT * FROM customer")
-def scan_full_table(spark, sf):
-    return TestTables(spark, sf).customer
-
-
 @query("""
 SELECT c_custkey AS customer_id, c_custkey AS merged_source_id, c_name AS customer_name,
        c_nationkey AS billing_nation, c_nationkey AS primary_nation
@@ -182,14 +177,3 @@ def batch_audit_stamp(spark, sf):
             },
         )
     )
-
-
-@query("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
-def filter_record_type(spark, sf):
-    return TestTables(spark, sf).events.where(F.col("event_type") == "error").select("event_id", "user_id", "ts")
-
-
-@query("SELECT count(*) AS n, CAST(sum(l_quantity * 100) AS BIGINT) AS q FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag = 'R'")
-def filter_conjunction(spark, sf):
-    rows = TestTables(spark, sf).lineitem.where((F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R"))
-    return rows.agg(F.count("*").alias("n"), F.sum(F.col("l_quantity") * 100).cast("bigint").alias("q"))

@@ -1,22 +1,56 @@
-"""Writes to catalog tables, read back."""
+"""Catalog tables written and read back."""
 
 import uuid
 
 from pyspark.sql import functions as F
 
 from ..operators import project, without_keys
-from ..sources import append, replace, scan, scratch_dir
+from ..sources import append, cut_lineage, replace, scan, scratch_dir
 from .registry import TestTables, query
 
-DATABASE = "dimload_scratch"
 
+class ScratchTable:
+    """A new empty table with the columns of ``like``, in a database of its own."""
 
-def scratch_table(spark, like):
-    """A new empty table in the shared folder with the columns of ``like``."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {DATABASE} LOCATION '{scratch_dir(spark)}/{DATABASE}-{uuid.uuid4().hex}'")
-    name = f"{DATABASE}.t_{uuid.uuid4().hex}"
-    like.limit(0).write.saveAsTable(name)
-    return name
+    def __init__(self, spark, like, layout=""):
+        self.spark, self.database = spark, f"dimload_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_dir(spark)}/{self.database}'")
+        self.name = f"{self.database}.t"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
+        spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet {layout}")
+
+    def result(self, rows):
+        """The rows, written apart; the table is dropped."""
+        rows = cut_lineage(rows)
+        self.spark.sql(f"DROP DATABASE {self.database} CASCADE")
+        return rows
+
+
+@query("SELECT * FROM customer")
+def scan_full_table(spark, sf):
+    customer = TestTables(spark, sf).customer
+    table = ScratchTable(spark, customer)
+    append(customer, table.name)
+    return table.result(scan(spark, table.name))
+
+
+@query("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
+def filter_record_type(spark, sf):
+    events = TestTables(spark, sf).events
+    table = ScratchTable(spark, events)
+    append(events, table.name)
+    names = {c: c for c in ("event_id", "user_id", "ts")}
+    return table.result(scan(spark, table.name, names, where="event_type = 'error'"))
+
+
+@query("SELECT count(*) AS n, CAST(sum(l_quantity * 100) AS BIGINT) AS q FROM lineitem WHERE l_linestatus = 'O' AND l_returnflag = 'R'")
+def filter_conjunction(spark, sf):
+    lines = TestTables(spark, sf).lineitem
+    table = ScratchTable(spark, lines)
+    append(lines, table.name)
+    both = (F.col("l_linestatus") == "O") & (F.col("l_returnflag") == "R")
+    rows = scan(spark, table.name, {"quantity": "l_quantity"}, where=both)
+    return table.result(rows.agg(F.count("*").alias("n"), F.sum(F.col("quantity") * 100).cast("bigint").alias("q")))
 
 
 @query("""
@@ -26,30 +60,48 @@ SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL FROM supplier
 """)
 def append_roundtrip(spark, sf):
     t = TestTables(spark, sf)
-    table = scratch_table(spark, t.customer)
-    append(t.customer, table)
+    table = ScratchTable(spark, t.customer)
+    append(t.customer, table.name)
     append(
         project(
             t.supplier,
             {"c_acctbal": "s_acctbal", "c_custkey": "s_suppkey", "C_NAME": "s_name", "c_nationkey": "s_nationkey"},
         ),
-        table,
+        table.name,
     )
-    return scan(spark, table)
+    return table.result(scan(spark, table.name))
 
 
-@query("""
+SWAPPED = """
 SELECT c_custkey + 1000000 AS c_custkey, c_name, c_nationkey, c_acctbal, 'moved' AS c_mktsegment
 FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_acctbal <= 0
-""")
+"""
+
+
+def swapped(spark, sf, layout=""):
+    t = TestTables(spark, sf)
+    table = ScratchTable(spark, t.customer, layout)
+    append(t.customer, table.name)
+    gone = scan(spark, table.name, {"c_custkey": "c_custkey"}, "c_mktsegment = 'BUILDING' AND c_acctbal > 0")
+    replace(without_keys(scan(spark, table.name), gone, ["c_custkey"], unique=True), table.name)
+    moved = {"c_mktsegment": F.lit("moved"), "c_custkey": F.col("c_custkey") + 1000000}
+    replace(scan(spark, table.name).withColumns(moved), table.name)
+    return table.result(scan(spark, table.name))
+
+
+@query(SWAPPED)
 def replace_swap_roundtrip(spark, sf):
     """Replaces a table with rows computed from it, twice."""
-    t = TestTables(spark, sf)
-    table = scratch_table(spark, t.customer)
-    append(t.customer, table)
-    gone = scan(spark, table, {"c_custkey": "c_custkey"}, "c_mktsegment = 'BUILDING' AND c_acctbal > 0")
-    replace(without_keys(scan(spark, table), gone, ["c_custkey"], unique=True), table)
-    replace(
-        scan(spark, table).withColumns({"c_mktsegment": F.lit("moved"), "c_custkey": F.col("c_custkey") + 1000000}), table
+    return swapped(spark, sf)
+
+
+@query(SWAPPED)
+def replace_swap_bucketed(spark, sf):
+    return swapped(spark, sf, "CLUSTERED BY (c_custkey) INTO 4 BUCKETS")
+
+
+@query(SWAPPED)
+def replace_swap_partitioned(spark, sf):
+    return swapped(spark, sf, "PARTITIONED BY (c_mktsegment)").select(
+        "c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"
     )
-    return scan(spark, table)

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -82,10 +83,10 @@ def first_match(
 ) -> DataFrame:
     """One row per key: the first in ``order_by``, or the last if ``latest``.
 
-    NULL comes first, so the last row is one without NULL if there is one. Rows ``order_by`` leaves equal are told apart by their
-    other columns, so the result does not depend on where a row was read. Rows
-    are reduced in the task that reads them, before the shuffle, so a key with
-    very many rows sends one row per task.
+    NULL comes first, so the last row is one without NULL if there is one. Rows
+    ``order_by`` leaves equal are told apart by their other columns, so the result
+    does not depend on where a row was read. Rows are reduced in the task that reads
+    them, before the shuffle, so a key with very many rows sends one row per task.
     """
     keys = require_columns(df, keys, "first_match input")
     return _reduced(df, keys, order_by, latest, list(keys)).selectExpr(
@@ -97,21 +98,15 @@ def _reduced(df, keys, order_by, latest, group, carry=()) -> DataFrame:
     if not order_by:
         raise ValueError("order_by is required: which of several matching rows wins must be stated")
     payload = [c for c in df.columns if c not in keys and c not in carry] or [keys[0]]
-    pick = F.max if latest else F.min
-    # The order columns come first in the struct, so its smallest value is the
-    # first row; the columns after them settle ties.
     by_name = require_columns(df, [o for o in order_by if isinstance(o, str)], "order_by")
     names = iter(by_name)
-    first = [
-        quoted(next(names)) if isinstance(o, str) else o.alias(f"__order{i}") for i, o in enumerate(order_by)
-    ]
-    rest = [quoted(c) for c in payload if c not in by_name]
-    if any(not _orderable(df.schema[c].dataType) for c in payload):
-        by = F.max_by if latest else F.min_by
-        value = by(F.expr(sql_struct(payload)), F.struct(*first))
-    else:
-        value = pick(F.struct(*first, *rest))
-    return df.groupBy(*[quoted(g) for g in group]).agg(value.alias(MATCH))
+    first = [quoted(next(names)) if isinstance(o, str) else o for o in order_by]
+    # The other columns settle ties.
+    rest = [quoted(c) for c in payload if c not in by_name and _orderable(df.schema[c].dataType)]
+    # Rows that are first in their task are found before the shuffle.
+    order = W.partitionBy(*[quoted(g) for g in group]).orderBy(*[c.desc() if latest else c.asc() for c in [*first, *rest]])
+    kept = df.withColumn("__place", F.row_number().over(order)).where("__place = 1")
+    return kept.selectExpr(*[sql_name(g) for g in group], f"{sql_struct(payload)} AS {MATCH}")
 
 
 def _orderable(dtype: T.DataType) -> bool:
