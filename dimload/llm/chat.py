@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: Characters of conversations encoded at a time (one conversation at least).
+CHUNK = 200_000
+
+
 @dataclass(frozen=True)
 class ChatTemplate:
     """Each turn is ``open``, its role, ``middle``, its text, ``close``.
@@ -87,35 +91,52 @@ _FORMATTED = (
 
 
 def _formatter(file: str, template: ChatTemplate, learned: frozenset[str]):
+    names = [n.split() for n in _FORMATTED.split(", ")]
+    kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+    def formatted(tokenizer, ids: list, conversations: list[list[dict]], like: pa.DataType) -> pa.RecordBatch:
+        out: dict[str, list] = {n: [] for n, _ in names}
+        spans = []
+        for turns in conversations:
+            text, at = template.render([(t["role"] or "", t["text"] or "") for t in turns])
+            out["formatted"].append(text)
+            out["n_turns"].append(len(turns))
+            spans.append([s for s, t in zip(at, turns) if (t["role"] or "") in learned and s[0] < s[1]])
+        for own, e in zip(spans, tokenizer.encode_batch(out["formatted"], add_special_tokens=False)):
+            at = np.array(e.offsets, np.int64).reshape(-1, 2)
+            token, begin, end = overlap(at[:, 0], at[:, 1], np.array(own, np.int64).reshape(-1, 2))
+            out["ids"].append(np.array(e.ids, np.int32))
+            for name, values in (
+                ("token_start", at[:, 0]),
+                ("token_end", at[:, 1]),
+                ("loss_token", token),
+                ("loss_start", begin),
+                ("loss_end", end),
+            ):
+                out[name].append(values.astype(np.int32))
+        columns = [pa.array(ids, like), *(pa.array(out[n], kinds[k]) for n, k in names)]
+        return pa.RecordBatch.from_arrays(columns, ["conv_id", *out])
+
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(file)
         tokenizer.encode_special_tokens = True  # a special token's string in a text is text
         for batch in batches:
-            out: dict[str, list] = {n.split()[0]: [] for n in _FORMATTED.split(", ")}
-            rendered, spans = [], []
-            for turns in batch.column(1).to_pylist():
-                text, at = template.render([(t["role"] or "", t["text"] or "") for t in turns])
-                rendered.append(text)
-                spans.append([s for s, t in zip(at, turns) if (t["role"] or "") in learned and s[0] < s[1]])
-                out["n_turns"].append(len(turns))
-            for text, own, e in zip(rendered, spans, tokenizer.encode_batch(rendered, add_special_tokens=False)):
-                at = np.array(e.offsets, np.int64).reshape(-1, 2)
-                token, begin, end = overlap(at[:, 0], at[:, 1], np.array(own, np.int64).reshape(-1, 2))
-                out["formatted"].append(text)
-                out["ids"].append(e.ids)
-                for name, values in (
-                    ("token_start", at[:, 0]),
-                    ("token_end", at[:, 1]),
-                    ("loss_token", token),
-                    ("loss_start", begin),
-                    ("loss_end", end),
-                ):
-                    out[name].append(values.astype(np.int32))
-            kinds = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
-            columns = [pa.array(out[n], kinds[k]) for n, k in (x.split() for x in _FORMATTED.split(", "))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["conv_id", *out])
+            key, turns = batch.column(0), batch.column(1)
+            ids, found, size = [], [], 0
+            for i in range(batch.num_rows):
+                ids.append(key[i].as_py())
+                found.append(turns[i].as_py())
+                size += sum(len(t["text"] or "") for t in found[-1])
+                if size >= CHUNK:
+                    yield formatted(tokenizer, ids, found, key.type)
+                    ids, found, size = [], [], 0
+            if found:
+                yield formatted(tokenizer, ids, found, key.type)
 
     return form
 
@@ -167,7 +188,8 @@ def digests(formatted: DataFrame, template: ChatTemplate = ChatTemplate()) -> Da
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {n.split()[0]: [] for n in schema.split(", ")[1:]}
-            for text, begin, end in zip(*(batch.column(n) for n in ("formatted", "loss_start", "loss_end"))):
+            for i in range(batch.num_rows):
+                text, begin, end = (batch.column(n)[i] for n in ("formatted", "loss_start", "loss_end"))
                 text = text.as_py()
                 turns = template.parse(text)
                 loss = "".join(masked_texts(text, *(x.values.to_numpy() for x in (begin, end)), template))
