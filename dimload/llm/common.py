@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +45,101 @@ def share_below(key: Column, share: Column | float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("share")), F.lit(1 << 30)) < F.lit(float(1 << 30)) * share
 
 
+class WordIndex:
+    """Numbers the distinct words of texts, for what is worked out once a word.
+
+    Words are byte strings up to one of the six ASCII white-space characters. They are
+    told apart in arrays, by a 64-bit hash of up to ``LONG`` bytes or of Python for longer
+    ones; only the distinct words of a window of text become Python objects. ``learn``
+    gets new words in the order of their numbers. The index empties itself, and calls
+    ``forget``, before it holds many more than ``most`` words."""
+
+    LONG, WINDOW = 48, 1 << 18
+    _P = 0x9E3779B97F4A7C15
+
+    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], most: int):
+        self.learn, self.forget, self.most = learn, forget, most
+        self.index: dict[bytes, int] = {}
+        self.white = np.zeros(256, bool)
+        self.white[[9, 10, 11, 12, 13, 32]] = True
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def _prepare(self, n: int) -> None:
+        if len(self.powers) <= n:
+            steps = np.full(n + 1, self._P, np.uint64), np.full(n + 1, pow(self._P, -1, 1 << 64), np.uint64)
+            for s in steps:
+                s[0] = 1
+            self.powers, self.inverse = (np.multiply.accumulate(s) for s in steps)
+
+    def _window(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(text, np.uint8)
+        solid = np.concatenate([[False], ~self.white[data], [False]])
+        edge = np.flatnonzero(solid[1:] != solid[:-1])
+        start, stop = edge[::2], edge[1::2]
+        if not len(start):
+            return start, start
+        self._prepare(len(data))
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], out=sums[1:])
+        length = stop - start
+        key = (sums[stop] - sums[start]) * self.inverse[start] ^ (length.astype(np.uint64) << np.uint64(57))
+        for i in np.flatnonzero(length > self.LONG).tolist():
+            key[i] = hash(text[start[i] : stop[i]]) & 0xFFFFFFFFFFFFFFFF
+        _, first, at = np.unique(key, return_index=True, return_inverse=True)
+        words = [text[a:b] for a, b in zip(start[first].tolist(), stop[first].tolist())]
+        known = list(map(self.index.get, words))
+        new = [w for w, k in zip(words, known) if k is None]
+        if new:
+            numbers = range(len(self.index), len(self.index) + len(new))
+            self.index.update(zip(new, numbers))
+            self.learn(new)
+            known = list(map(self.index.__getitem__, words))
+        return start, np.array(known, np.int64)[at]
+
+    def rows(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all words in order, and where in them each text ends."""
+        if len(self.index) > self.most:
+            self.index.clear()
+            self.forget()
+        whole = b"\n".join(texts)
+        places, rows, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while at < len(whole):
+            to = min(at + self.WINDOW, len(whole))
+            while to < len(whole) and not self.white[whole[to]]:
+                to += 1
+            start, row = self._window(whole[at:to])
+            places.append(start + at)
+            rows.append(row)
+            at = to
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        return np.concatenate(rows), np.searchsorted(np.concatenate(places), ends)
+
+
+def chunks(texts: Sequence[bytes], size: int) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive texts of about ``size`` bytes together, each with the place of the first."""
+    at = 0
+    while at < len(texts):
+        first, n, found = at, 0, []
+        while at < len(texts) and (at == first or n < size):
+            found.append(texts[at])
+            n += len(found[-1])
+            at += 1
+        yield first, found
+
+
+class Texts:
+    """An Arrow column of bytes, read one at a time; NULL is empty."""
+
+    def __init__(self, column: pa.Array):
+        self.column = column
+
+    def __len__(self) -> int:
+        return len(self.column)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.column[i].as_py() or b""
+
+
 def as_rows(docs: DataFrame, text: str, **named: str) -> DataFrame:
     """Each row of ``docs`` in one struct ``row``, the key of its text as ``key``, and columns
     of it under other names: nothing can clash with what the rows are joined to."""
@@ -63,6 +162,20 @@ def back(rows: DataFrame, like: DataFrame, text: str, body: Column | None = None
     return rows.select(*out)
 
 
+#: What a join may copy to every executor, measured.
+BROADCAST_BYTES = 48 << 20
+
+
+def decided(rows: DataFrame, decisions: DataFrame, on: Column, how: str, width: Column) -> DataFrame:
+    """``rows`` joined with what was decided of them, which must have been written.
+
+    Rows carry whole texts. Where the decisions, measured by their ``width``, are few
+    they are copied to the executors and no text is moved; otherwise both sides are
+    shuffled. The rows are the same either way."""
+    size = decisions.agg(F.sum(width + 48)).first()[0] or 0
+    return rows.join(F.broadcast(decisions) if size <= BROADCAST_BYTES else decisions, on, how)
+
+
 def once(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with one row per key; they are only moved if some key repeats."""
     repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")

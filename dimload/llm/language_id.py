@@ -9,17 +9,17 @@ what that language's own texts reach is rejected.
 
 from __future__ import annotations
 
+import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterator, Sequence
+from dataclasses import InitVar, dataclass, field
 
 import numpy as np
-import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimload.llm.common import share_below, utf8
+from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
 
 ORDER = 5
 #: Of each language so many documents (about) are learned from, chosen by a hash of the text.
@@ -29,10 +29,9 @@ MAX_GRAMS = 200_000
 UNDETERMINED = "und"
 BEGIN, END = "\x02", "\x03"
 LETTERS = r"\p{L}[\p{L}\p{M}]*"
-_LETTERS = regex.compile(LETTERS)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that a task keeps the scores of, and bytes of text scored at a time.
-CACHE_WORDS, CHUNK = 200_000, 1 << 20
+CACHE_WORDS, CHUNK = 200_000, 1 << 18
 TEMPERATURES = [1.0, 2.0, 4.0, 8.0, 16.0, 32.0, 64.0, 128.0]
 
 
@@ -51,6 +50,30 @@ def _codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+def letter_runs(tokens: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of letters (and marks on them) in lower-cased tokens: their code points one
+    after the other, each with ``pad`` beginnings before and an end after it; how long
+    each is with these; which token it comes from."""
+    codes = _codes(b"\n".join(tokens).decode("utf-8", "replace").lower())
+    known, at = np.unique(codes, return_inverse=True)
+    kind = [unicodedata.category(chr(c))[0] for c in known.tolist()]
+    letter = np.array([k == "L" for k in kind], bool)[at]
+    inside = letter | np.array([k == "M" for k in kind], bool)[at]
+    edge = np.diff(np.concatenate([[0], inside.astype(np.int8), [0]]))
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    letters = np.append(np.flatnonzero(letter), len(codes))
+    start = letters[np.searchsorted(letters, start)]  # a mark on nothing begins no run
+    start, stop = start[start < stop], stop[start < stop]
+    owner = np.cumsum(codes == 10)[start]
+    n, total = stop - start, stop - start + pad + 1
+    ends = np.cumsum(total)
+    out = np.full(total.sum(), ord(BEGIN), np.uint64)
+    place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    out[np.repeat(ends - total + pad, n) + place] = codes[np.repeat(start, n) + place]
+    out[ends - 1] = ord(END)
+    return out, total, owner
+
+
 def _sorted(entries: dict[str, float], order: int) -> tuple[np.ndarray, np.ndarray]:
     """A sorted array of hashes and the values beside it."""
     keys, values = list(entries), np.array(list(entries.values()), np.float64)
@@ -64,9 +87,10 @@ def _sorted(entries: dict[str, float], order: int) -> tuple[np.ndarray, np.ndarr
 
 
 def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each key is there, and the value (or row of values) at its place."""
     hashes, values = table
     if not len(hashes):
-        return np.zeros(len(keys), bool), np.zeros(len(keys))
+        return np.zeros(len(keys), bool), np.zeros((len(keys), *values.shape[1:]))
     at = np.minimum(np.searchsorted(hashes, keys), len(hashes) - 1)
     return hashes[at] == keys, values[at]
 
@@ -78,6 +102,7 @@ class CharacterModel:
     grams: list[tuple[np.ndarray, np.ndarray]]
     backoff: list[tuple[np.ndarray, np.ndarray]]
     unseen: float
+    names: list[list[str]]
 
     @classmethod
     def fit(cls, counts: dict[str, int], order: int) -> CharacterModel:
@@ -109,12 +134,13 @@ class CharacterModel:
             grams.append(_sorted({g: float(np.log(p)) for g, p in here.items()}, n))
             backoff.append(_sorted({h: float(np.log(w)) for h, w in weight.items()}, n - 1))
             below = here
-        return cls(grams, backoff, -float(np.log(alphabet)))
+        return cls(grams, backoff, -float(np.log(alphabet)), [[], *map(list, by_order[1:])])
 
     def log_probabilities(self, hashes: list[np.ndarray], histories: list[np.ndarray]) -> np.ndarray:
-        """Of each character, given hashes of the n characters up to it and before it."""
+        """Of each character, given hashes of the n characters up to it and before it, for
+        n from 0 to the order to begin with."""
         out, open_ = np.zeros(len(hashes[0])), np.arange(len(hashes[0]))
-        for n in range(len(self.grams) - 1, 0, -1):
+        for n in range(len(hashes) - 1, 0, -1):
             seen, value = _find(self.grams[n], hashes[n][open_])
             out[open_[seen]] += value[seen]
             open_ = open_[~seen]
@@ -124,90 +150,123 @@ class CharacterModel:
         return out
 
 
+def _together(models: list[CharacterModel], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All n-grams of any language by hash, with the log probability in every language."""
+    names = sorted(set().union(*(m.names[n] for m in models)))
+    hashes = _hashes(_codes("".join(names)), n)
+    before = [np.concatenate([h[:1], h[:-1]])[n - 1 :: n] for h in hashes]
+    hashes = [h[n - 1 :: n] for h in hashes]
+    values = np.stack([m.log_probabilities(hashes, before) for m in models], axis=1)
+    at = np.argsort(hashes[n])
+    return hashes[n][at], values[at]
+
+
+def _weights_together(models: list[CharacterModel], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """All histories of n-grams by hash, with the log back-off weight in every language
+    (none, so zero, where a language doesn't know the history)."""
+    keys = np.unique(np.concatenate([m.backoff[n][0] for m in models]))
+    found = [_find(m.backoff[n], keys) for m in models]
+    return keys, np.stack([np.where(seen, value, 0.0) for seen, value in found], axis=1)
+
+
 @dataclass
 class LanguageModels:
+    """The models of all languages in common sorted hash arrays, so that one search
+    serves all of them: place 0 is not used, place n has what concerns n-grams."""
+
     order: int
     languages: list[str] = field(default_factory=list)
-    models: list[CharacterModel] = field(default_factory=list)
+    models: InitVar[list[CharacterModel]] = ()
     #: The highest cross-entropy accepted, by language; the sharpness of the score.
     highest: list[float] = field(default_factory=list)
     temperature: float = 16.0
 
+    def __post_init__(self, models):
+        if models:
+            orders = range(1, self.order + 1)
+            self.grams = [None, *(_together(models, n) for n in orders)]
+            self.backoff = [None, *(_weights_together(models, n) for n in orders)]
+            self.unseen = np.array([m.unseen for m in models])
+
+    def log_probabilities(self, hashes: list[np.ndarray], histories: list[np.ndarray]) -> np.ndarray:
+        """Of each character in every language."""
+        out, open_ = np.zeros((len(hashes[0]), len(self.languages))), np.arange(len(hashes[0]))
+        for n in range(self.order, 0, -1) if self.languages else ():
+            seen, value = _find(self.grams[n], hashes[n][open_])
+            out[open_[seen]] += value[seen]
+            open_ = open_[~seen]
+            known, value = _find(self.backoff[n], histories[n - 1][open_])
+            out[open_[known]] += value[known]
+        if self.languages:
+            out[open_] += self.unseen
+        return out
+
     def word_scores(self, tokens: list[bytes]) -> np.ndarray:
         """For each token the summed log probability by language, then its characters, ends included."""
         out = np.zeros((len(tokens), len(self.languages) + 1))
-        pad, parts, owner = BEGIN * (self.order - 1), [], []
-        for i, token in enumerate(tokens):
-            for run in _LETTERS.findall(token.decode("utf-8", "replace").lower()):
-                parts.append(pad + run + END)
-                owner.append(i)
-        if not parts:
+        codes, lengths, owner = letter_runs(tokens, self.order - 1)
+        if not len(lengths):
             return out
-        codes, lengths = _codes("".join(parts)), np.fromiter(map(len, parts), np.int64, len(parts))
         hashes = _hashes(codes, self.order)
         histories = [np.concatenate([h[:1], h[:-1]]) for h in hashes]
         start = np.cumsum(lengths) - lengths
-        place = np.arange(len(codes)) - np.repeat(start, lengths)
-        event = place >= self.order - 1
+        event = np.arange(len(codes)) - np.repeat(start, lengths) >= self.order - 1
         hashes, histories = [h[event] for h in hashes], [h[event] for h in histories]
-        ends = np.cumsum(lengths - (self.order - 1))
-        first = np.concatenate([[0], ends[:-1]])
-        columns = [m.log_probabilities(hashes, histories) for m in self.models] + [np.ones(int(event.sum()))]
-        for k, values in enumerate(columns):
-            np.add.at(out[:, k], owner, np.add.reduceat(values, first))
+        first = start - np.arange(len(start)) * (self.order - 1)
+        scores = self.log_probabilities(hashes, histories)
+        scores = np.concatenate([scores, np.ones((len(scores), 1))], axis=1)
+        np.add.at(out, owner, np.add.reduceat(scores, first))
         return out
 
-    def entropies(self, batches: Iterator[list[bytes]]) -> Iterator[np.ndarray]:
+    def entropies(self, batches: Iterator[Sequence[bytes]]) -> Iterator[np.ndarray]:
         """For each batch of texts their cross-entropy by language, then their characters."""
-        cache: dict[bytes, int] = {}
-        scores = np.zeros((0, len(self.languages) + 1))
+        scores = [np.zeros((0, len(self.languages) + 1))]
+
+        def learn(new: list[bytes]) -> None:
+            scores[0] = np.concatenate([scores[0], self.word_scores(new)])
+
+        def forget() -> None:
+            scores[0] = scores[0][:0]
+
+        index = WordIndex(learn, forget, CACHE_WORDS)
         for texts in batches:
             out = np.zeros((len(texts), len(self.languages) + 1))
-            at = 0
-            while at < len(texts):
-                chunk, size = [], 0
-                while at + len(chunk) < len(texts) and (not chunk or size < CHUNK):
-                    text = texts[at + len(chunk)]
-                    chunk.append(text.split())
-                    size += len(text)
-                if len(cache) > CACHE_WORDS:
-                    cache, scores = {}, scores[:0]
-                new = list({w for found in chunk for w in found}.difference(cache))
-                if new:
-                    cache.update(zip(new, range(len(cache), len(cache) + len(new))))
-                    scores = np.concatenate([scores, self.word_scores(new)])
-                for found in chunk:
-                    if found:
-                        rows = np.fromiter(map(cache.__getitem__, found), np.int64, len(found))
-                        out[at] = scores[rows].sum(axis=0)
-                    at += 1
+            for first, chunk in chunks(texts, CHUNK):
+                row, ends = index.rows(chunk)
+                found = scores[0][row]
+                total = np.concatenate([np.zeros((1, found.shape[1])), np.cumsum(found, axis=0)])
+                out[first : first + len(chunk)] = total[ends] - total[np.concatenate([[0], ends[:-1]])]
             n = out[:, -1:]
             out[:, :-1] = -out[:, :-1] / np.maximum(n, 1)
             yield out
 
-    def decide(self, entropies: np.ndarray) -> pd.DataFrame:
+    def decide(self, entropies: np.ndarray) -> dict[str, np.ndarray]:
         per, n = entropies[:, :-1], entropies[:, -1]
         if not self.languages:
-            return pd.DataFrame({"lang_pred": [UNDETERMINED] * len(n), "score": 0.0, "entropy": np.nan, "accepted": False})
+            return {
+                "lang_pred": np.full(len(n), UNDETERMINED, object),
+                "score": np.zeros(len(n)),
+                "entropy": np.full(len(n), np.nan),
+                "accepted": np.zeros(len(n), bool),
+            }
         best = per.argmin(axis=1)
         low = per[np.arange(len(n)), best]
         score = 1 / np.exp(-self.temperature * (per - low[:, None])).sum(axis=1)
         letters = n > 0
-        return pd.DataFrame(
-            {
-                "lang_pred": np.where(letters, np.array(self.languages, dtype=object)[best], UNDETERMINED),
-                "score": np.where(letters, score, 0.0),
-                "entropy": np.where(letters, low, np.nan),
-                "accepted": letters & (low <= np.array(self.highest)[best]),
-            }
-        )
+        return {
+            "lang_pred": np.where(letters, np.array(self.languages, dtype=object)[best], UNDETERMINED),
+            "score": np.where(letters, score, 0.0),
+            "entropy": np.where(letters, low, np.nan),
+            "accepted": letters & (low <= np.array(self.highest)[best]),
+        }
 
 
 def _entropy_udf(models: LanguageModels):
-    @F.pandas_udf("array<double>")
-    def entropies(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for out in models.entropies([x or b"" for x in batch] for batch in texts):
-            yield pd.Series(list(out))
+    @F.arrow_udf("array<double>")
+    def entropies(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for out in models.entropies(map(Texts, texts)):
+            ends = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
 
     return entropies
 
@@ -287,10 +346,11 @@ def train(
 
 def identify_udf(models: LanguageModels):
     """A column function from the bytes of a text to ``lang_pred, score, entropy, accepted``."""
-    @F.pandas_udf("lang_pred string, score double, entropy double, accepted boolean")
-    def identify(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for out in models.entropies([x or b"" for x in batch] for batch in texts):
-            yield models.decide(out)
+    @F.arrow_udf("lang_pred string, score double, entropy double, accepted boolean")
+    def identify(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for out in models.entropies(map(Texts, texts)):
+            found = models.decide(out)
+            yield pa.StructArray.from_arrays([pa.array(v) for v in found.values()], list(found))
 
     return identify
 

@@ -52,16 +52,30 @@ def test_kneser_ney():
     for w in words:
         padded = BEGIN * 3 + w + END
         counts.update(padded[i : i + 4] for i in range(len(padded) - 3))
-    models = LanguageModels(4, ["x"], [CharacterModel.fit(dict(counts), 4)], [math.inf])
+    other = Counter({"\x02\x02\x02a": 3, "\x02\x02az": 2, "\x02az\x03": 1, "abcz": 2})
+    one, two = CharacterModel.fit(dict(counts), 4), CharacterModel.fit(dict(other), 4)
+    models = LanguageModels(4, ["x", "y"], [one, two], [math.inf] * 2)
     tried = ["abc", "a", "zz", "cabz", "bbbbbbb", "aab"]
     got = models.word_scores([w.encode() for w in tried])
-    for w, (score, n) in zip(tried, got):
+    for w, (score, second, n) in zip(tried, got):
         assert n == len(w) + 1 and score == pytest.approx(plain_probability(counts, 4, w))
+        assert second == pytest.approx(plain_probability(other, 4, w))
     # Probabilities of what may follow a history add up to one, the unseen character included.
-    total = sum(math.exp(models.models[0].log_probabilities(*hashed(h))[-1]) for h in ("\x02ab" + c for c in "abc\x03?"))
+    total = sum(math.exp(one.log_probabilities(*hashed(h))[-1]) for h in ("\x02ab" + c for c in "abc\x03?"))
     assert total == pytest.approx(1, abs=1e-9)
 
 
+@pytest.mark.parametrize("pad", [0, 3])
+def test_letter_runs(pad):
+    tokens = ["It's", "12", "", "é\u0301x", "\u0301ab", "中文-ÄÖ", "\u0301", "a1b2"]
+    codes, lengths, owner = language_id.letter_runs([t.encode() for t in tokens], pad)
+    text = "".join(map(chr, codes.tolist()))
+    ends = np.cumsum(lengths)
+    runs = [text[e - n : e] for e, n in zip(ends, lengths)]
+    want = [(0, "it"), (0, "s"), (3, "é\u0301x"), (4, "ab"), (5, "中文"), (5, "äö"), (7, "a"), (7, "b")]
+    assert list(zip(owner.tolist(), runs)) == [(i, BEGIN * pad + w + END) for i, w in want]
+
+
 def hashed(text):
     hashes = language_id._hashes(language_id._codes(text), 4)
     return hashes, [np.concatenate([h[:1], h[:-1]]) for h in hashes]
