@@ -19,6 +19,10 @@ def scratch_dir(spark: SparkSession) -> str:
     return own
 
 
+def is_local_folder(path: str) -> bool:
+    return path.startswith(("file:", "/"))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared checkpoint folder and read them from there.
 
@@ -26,6 +30,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     from here on, also when executors are lost.
     """
     sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(scratch_dir(df.sparkSession))
+    folder = scratch_dir(df.sparkSession)
+    known = sc.getCheckpointDir()
+    if not known:
+        sc.setCheckpointDir(folder)
+    elif is_local_folder(known) and not sc.master.startswith("local") and not is_local_folder(folder):
+        raise ValueError(f"the context's checkpoint folder {known} is not {folder}, which all executors share")
     return df.checkpoint(eager=True)
