@@ -49,17 +49,17 @@ class WordIndex:
     """Numbers the distinct words of texts, for what is worked out once a word.
 
     Words are byte strings up to one of the six ASCII white-space characters. They are
-    told apart in arrays, by a 64-bit hash of up to ``LONG`` bytes or of Python for longer
-    ones; only the distinct words of a window of text become Python objects. ``learn``
-    gets new words in the order of their numbers. The index empties itself, and calls
-    ``forget``, before it holds many more than ``most`` words."""
+    known by 64 bits: a polynomial hash and the length of up to ``LONG`` bytes, Python's
+    hash of longer ones. ``learn`` gets new words in the order of their numbers. The index
+    empties itself, and calls ``forget``, before it holds many more than ``most`` words.
+    Texts are looked at in windows of about ``window`` bytes."""
 
-    LONG, WINDOW = 48, 1 << 18
+    LONG = 48
     _P = 0x9E3779B97F4A7C15
 
-    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], most: int):
-        self.learn, self.forget, self.most = learn, forget, most
-        self.index: dict[bytes, int] = {}
+    def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], most: int, window: int):
+        self.learn, self.forget, self.most, self.window = learn, forget, most, window
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.white = np.zeros(256, bool)
         self.white[[9, 10, 11, 12, 13, 32]] = True
         self.powers = self.inverse = np.ones(1, np.uint64)
@@ -85,26 +85,36 @@ class WordIndex:
         key = (sums[stop] - sums[start]) * self.inverse[start] ^ (length.astype(np.uint64) << np.uint64(57))
         for i in np.flatnonzero(length > self.LONG).tolist():
             key[i] = hash(text[start[i] : stop[i]]) & 0xFFFFFFFFFFFFFFFF
-        _, first, at = np.unique(key, return_index=True, return_inverse=True)
-        words = [text[a:b] for a, b in zip(start[first].tolist(), stop[first].tolist())]
-        known = list(map(self.index.get, words))
-        new = [w for w, k in zip(words, known) if k is None]
-        if new:
-            numbers = range(len(self.index), len(self.index) + len(new))
-            self.index.update(zip(new, numbers))
-            self.learn(new)
-            known = list(map(self.index.__getitem__, words))
-        return start, np.array(known, np.int64)[at]
+        order = np.argsort(key)
+        key = key[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        key, first = key[new], order[new]
+        place = np.searchsorted(self.keys, key)
+        if len(self.keys):
+            unknown = self.keys[np.minimum(place, len(self.keys) - 1)] != key
+        else:
+            unknown = np.ones(len(key), bool)
+        number = np.empty(len(key), np.int64)
+        number[~unknown] = self.numbers[place[~unknown]]
+        if unknown.any():
+            at = first[unknown]
+            number[unknown] = len(self.keys) + np.arange(len(at))
+            self.learn([text[a:b] for a, b in zip(start[at].tolist(), stop[at].tolist())])
+            self.keys = np.insert(self.keys, place[unknown], key[unknown])
+            self.numbers = np.insert(self.numbers, place[unknown], number[unknown])
+        row = np.empty(len(order), np.int64)
+        row[order] = number[np.cumsum(new) - 1]
+        return start, row
 
     def rows(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words in order, and where in them each text ends."""
-        if len(self.index) > self.most:
-            self.index.clear()
+        if len(self.keys) > self.most:
+            self.keys, self.numbers = self.keys[:0], self.numbers[:0]
             self.forget()
         whole = b"\n".join(texts)
         places, rows, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while at < len(whole):
-            to = min(at + self.WINDOW, len(whole))
+            to = min(at + self.window, len(whole))
             while to < len(whole) and not self.white[whole[to]]:
                 to += 1
             start, row = self._window(whole[at:to])

@@ -228,7 +228,7 @@ class LanguageModels:
         def forget() -> None:
             scores[0] = scores[0][:0]
 
-        index = WordIndex(learn, forget, CACHE_WORDS)
+        index = WordIndex(learn, forget, CACHE_WORDS, CHUNK)
         for texts in batches:
             out = np.zeros((len(texts), len(self.languages) + 1))
             for first, chunk in chunks(texts, CHUNK):

@@ -20,37 +20,138 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimload.llm.common import utf8
+from dimload.llm.common import Texts, WordIndex, chunks, utf8
 from dimload.sources.scratch import cut_lineage
 
 CAPACITY = 2048
 #: Distinct words that a task keeps the ids of, and bytes of text encoded at a time.
-CACHE_WORDS, CHUNK = 200_000, 1 << 20
+CACHE_WORDS, CHUNK = 600_000, 1 << 20
 
 
-class WordCache:
-    """Token ids of whole texts, for a tokenizer that drops white space and never joins
-    over it: each distinct word is encoded once, then looked up.
+# How a tokenizer is set up whose words can be encoded apart. It drops white
+# space, and splits words into runs of letters, single digits and runs of other characters.
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+_END_OF_WORD = "</w>"
 
-    Words here end at the six ASCII white-space characters. Any other white space stays
-    inside them, for the tokenizer to treat."""
+
+class Encoder:
+    """Token ids of whole texts.
+
+    For a tokenizer set up as above each distinct word (up to ASCII white space) is encoded
+    once and then looked up. Most words are of ASCII and Latin letters, digits and signs;
+    their case and their pieces are settled for many at a time, and the tokenizer's
+    model does the merges. Any other word goes through the whole tokenizer, and for any
+    other tokenizer whole texts do."""
 
     def __init__(self, file: str):
+        import json
+        import os
+
+        # A task has one core; threads of the library would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.ids: dict[bytes, np.ndarray] = {}
-
-    def encode(self, texts: list[list[bytes]], close: int) -> list[np.ndarray]:
-        if len(self.ids) > CACHE_WORDS:
-            self.ids = {}
-        new = list({w for found in texts for w in found}.difference(self.ids))
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)
-            self.ids.update((w, np.array(e.ids, np.uint32)) for w, e in zip(part, encoded))
+        with open(file, encoding="utf-8") as opened:
+            known = json.load(opened)
+        splits = (known["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.apart = (
+            known["normalizer"] == _NORMALIZER
+            and splits[0].get("pattern") == _SPLIT
+            and splits[1:] == [_BYTES]
+            and known["post_processor"] is None
+            and known["model"].get("end_of_word_suffix") == _END_OF_WORD
+        )
+        if self.apart:
+            plain = known | {"normalizer": None, "added_tokens": []}
+            plain["pre_tokenizer"] = {"type": "CharDelimiterSplit", "delimiter": " "}
+            self.model = Tokenizer.from_str(json.dumps(plain))
+            vocabulary = known["model"]["vocab"]
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for token, i in vocabulary.items() if token.endswith(_END_OF_WORD)]] = True
+            # Bytes as the model's characters: printable ones stand for themselves, the
+            # others, in order, for those from 256 on.
+            byte = np.arange(256)
+            printable = (byte >= 33) & (byte <= 126) | (byte >= 161) & (byte != 173)
+            self.characters = np.where(printable, byte, 255 + np.cumsum(~printable)).astype("<u4")
+            self.characters[32] = 32  # between pieces
+        self.index = WordIndex(self._learn, self._forget, CACHE_WORDS, CHUNK)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.ids, self.start, self.length = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[bytes]) -> None:
+        codes = _codes(words)
+        word = np.cumsum(codes == 10)
+        plain = (codes > 32) & (codes < 127) & (codes != 39)
+        plain |= (codes >= 0xC0) & (codes <= 0x24F) & (codes != 0xD7) & (codes != 0xF7) & (codes != 0x130)
+        plain |= codes == 10
+        plain[:-1] &= ~((codes[:-1] == 60) & (codes[1:] == 124))  # the beginning of a special token
+        odd = np.zeros(len(words), bool)
+        odd[word[~plain]] = True
+        other = [w for w, o in zip(words, odd.tolist()) if o]
+        plain = [w for w, o in zip(words, odd.tolist()) if not o]
+        ids, length = [np.zeros(0, np.uint32)] * 2, np.zeros(len(words), np.int64)
+        if other:
+            encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in other], add_special_tokens=False)
+            found = [np.array(e.ids, np.uint32) for e in encoded]
+            ids[0], length[odd] = np.concatenate(found), [len(f) for f in found]
+        if plain:
+            ids[1], length[~odd] = self._merge(plain)
+        # Numbered as they came: each word's ids lie in one of the two arrays.
+        start = np.zeros(len(words), np.int64)
+        start[odd] = np.cumsum(length[odd]) - length[odd]
+        start[~odd] = len(ids[0]) + np.cumsum(length[~odd]) - length[~odd]
+        self.start = np.concatenate([self.start, len(self.ids) + start])
+        self.length = np.concatenate([self.length, length])
+        self.ids = np.concatenate([self.ids, *ids])
+
+    def _merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, digits and signs one after the other, and how many each has."""
+        codes = _codes(words, lower=True)
+        gap = codes == 10
+        kind = np.where((codes >= 97) & (codes <= 122) | (codes >= 0xC0), 1, np.where((codes >= 48) & (codes <= 57), 2, 3))
+        cut = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        cut &= ~gap[1:] & ~gap[:-1]
+        at = np.flatnonzero(cut) + 1
+        pieces = 1 + np.bincount(np.cumsum(gap)[at], minlength=len(words))
+        codes = np.insert(np.where(gap, 32, codes), at, 32).astype("<u4")
+        data = np.frombuffer(codes.tobytes().decode("utf-32-le").encode(), np.uint8)
+        parts = self.characters[data].tobytes().decode("utf-32-le").split(" ")
+        # Short lines: the tokenizer takes longer for each piece of a long one.
+        lines = [" ".join(parts[i : i + 48]) for i in range(0, len(parts), 48)]
+        encoded = self.model.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, np.uint32) for e in encoded])
+        stop = np.flatnonzero(self.ends[ids])[np.cumsum(pieces) - 1] + 1
+        return ids, np.diff(np.concatenate([[0], stop]))
+
+    def encode(self, texts: list[bytes], close: int) -> list[np.ndarray]:
+        """The ids of each text, then ``close``."""
         end = np.array([close], np.uint32)
-        return [np.concatenate([*map(self.ids.__getitem__, found), end]) for found in texts]
+        if not self.apart:
+            encoded = self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)
+            return [np.concatenate([np.array(e.ids, np.uint32), end]) for e in encoded]
+        row, ends = self.index.rows(texts)
+        length = self.length[row]
+        total = np.cumsum(length)
+        ids = self.ids[np.repeat(self.start[row] - total + length, length) + np.arange(total[-1] if len(total) else 0)]
+        total = np.concatenate([[0], total])[np.concatenate([[0], ends])]
+        return [np.concatenate([ids[a:b], end]) for a, b in zip(total[:-1].tolist(), total[1:].tolist())]
+
+
+def _codes(words: list[bytes], lower: bool = False) -> np.ndarray:
+    text = b"\n".join(words).decode("utf-8", "replace")
+    return np.frombuffer((text.lower() if lower else text).encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
 def _pieces(file: str, capacity: int, close: int, keep_ids: bool) -> Callable:
@@ -58,19 +159,12 @@ def _pieces(file: str, capacity: int, close: int, keep_ids: bool) -> Callable:
     and each piece's rank among the task's pieces of its length."""
 
     def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, task, ranks = WordCache(file), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encoder, task, ranks = Encoder(file), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            key, texts = batch.column(0), batch.column(1)
-            at = 0
-            while at < len(texts):
-                chunk, size, first = [], 0, at
-                while at < len(texts) and (not chunk or size < CHUNK):
-                    text = texts[at].as_py() or b""
-                    chunk.append(text.split())
-                    size += len(text)
-                    at += 1
+            key = batch.column(0)
+            for first, chunk in chunks(Texts(batch.column(1)), CHUNK):
                 owner, piece, start, length, crc, rank, ids = [], [], [], [], [], [], []
-                for i, tokens in enumerate(cache.encode(chunk, close)):
+                for i, tokens in enumerate(encoder.encode(chunk, close)):
                     for n, begin in enumerate(range(0, len(tokens), capacity)):
                         part = tokens[begin : begin + capacity].astype("<u4", copy=False)
                         owner.append(first + i)

@@ -5,6 +5,8 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from dimload.llm import packing
@@ -84,11 +86,37 @@ def test_pack_by_brute_force(odd_docs, rows):
         assert joined[r.sequence_id].ids[r.offset : r.offset + r.length] == r.ids
 
 
-@pytest.mark.parametrize("text", ["<|endoftext|>x", "a<|startoftext|> b", "Ünïcode é   x y", "it's we'll 12'3", "ΑΣ Σ", "\x1c\x85"])
-def test_words_are_encoded_apart(text):
+ODD = ["<|endoftext|>x", "a<|startoftext|> b", "Ünïcode é\u2003 x\u00a0y", "it's we'll 12'3", "ΑΣ Σ", "\x1c\x85", "İstanbul ÿŸ"]
+ODD += ["a1b22c!!x,,", "ǅ ǈ × ÷ ²3", "e\u0301 é", "中文 \U0001f600", "", " ", "A" * 3000 + "!" * 300, "<| |> <|", "\x00\x7f"]
+SIGNS = st.text(alphabet=st.sampled_from("aAbZ é ÉßÖ 0159 ,.!'s't\n<|>-_ æ×ǅΣ中\u0301\u00a0\u2003"), max_size=40)
+
+
+def check_ids(texts):
     """What the cache relies on: encoding words apart is encoding the text."""
-    ids = packing.WordCache(FILE).encode([text.encode().split()], 0)[0].tolist()
-    assert ids == [*Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids, 0]
+    encoder = packing.Encoder(FILE)
+    assert encoder.apart
+    want = [[*e.ids, 0] for e in Tokenizer.from_file(FILE).encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):  # learned, then looked up
+        assert [x.tolist() for x in encoder.encode([t.encode() for t in texts], 0)] == want
+
+
+def test_words_are_encoded_apart():
+    check_ids(ODD)
+    for text in ODD:
+        check_ids([text])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(SIGNS | st.text(max_size=20), min_size=1, max_size=40))
+def test_any_text_is_encoded_alike(texts):
+    check_ids(texts)
+
+
+def test_another_tokenizer():
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    encoder = packing.Encoder(file)
+    want = Tokenizer.from_file(file).encode(" a  b\n c", add_special_tokens=False).ids
+    assert not encoder.apart and encoder.encode([b" a  b\n c"], 7)[0].tolist() == [*want, 7]
 
 
 def test_no_rows(no_docs):
