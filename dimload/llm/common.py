@@ -184,9 +184,3 @@ def decided(rows: DataFrame, decisions: DataFrame, on: Column, how: str, width:
     shuffled. The rows are the same either way."""
     size = decisions.agg(F.sum(width + 48)).first()[0] or 0
     return rows.join(F.broadcast(decisions) if size <= BROADCAST_BYTES else decisions, on, how)
-
-
-def once(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` with one row per key; they are only moved if some key repeats."""
-    repeated = rows.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1")
-    return rows if repeated.isEmpty() else rows.dropDuplicates(keys)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimload.llm.common import as_rows, back, once, text_key, words
+from dimload.llm.common import as_rows, back, decided, text_key, words
 from dimload.operators.keys import row_numbers
 from dimload.sources.scratch import cut_lineage
 
@@ -225,16 +225,20 @@ def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is such a column). A row taken whole keeps its text as it is; else its words keep
     the white space before them. Rows that repeat id, source and text get the columns
     of one of them."""
-    rows, sources, spans = mix(docs, doc_id, text, source, **options)
+    rows, _, spans = mix(docs, doc_id, text, source, **options)
+    repeated = rows.groupBy("doc_id", "source", "text_key").agg(F.count("*").alias("n")).where("n > 1")
     parts = spans.groupBy("sid", "start", "pass").agg(F.sort_array(F.collect_list(F.struct("word_from", "word_to"))).alias("spans"))
     parts = parts.join(rows.where("size > 0"), ["sid", "start"])
     whole = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x.word_to - x.word_from) == F.col("size")
     parts = parts.select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_key").alias("__key"), "spans", whole.alias("whole")
+        F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("text_key").alias("__key"), F.when(~whole, F.col("spans")).alias("spans")
     )
-    rows = once(as_rows(docs, text, id=doc_id, src=source), ["id", "src", "key"])
+    parts = cut_lineage(parts)
+    texts = as_rows(docs, text, id=doc_id, src=source)
+    texts = texts if repeated.isEmpty() else texts.dropDuplicates(["id", "src", "key"])
     there = F.col("id").eqNullSafe(F.col("__id")) & F.col("src").eqNullSafe(F.col("__source")) & (F.col("key") == F.col("__key"))
-    both = rows.join(parts, there)
+    width = F.coalesce(F.octet_length("__source"), F.lit(0)) + 24 * F.coalesce(F.size("spans"), F.lit(0))
+    both = decided(texts, parts, there, "inner", width).withColumn("whole", F.col("spans").isNull())
     units = F.regexp_extract_all(F.col("row")[text], F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     both = both.withColumn("units", F.when(~F.col("whole"), units))
     cut = F.transform("spans", lambda s: F.slice("units", (s.word_from + 1).cast("int"), (s.word_to - s.word_from).cast("int")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.common import WORD, as_rows, back, text_key, words
+from dimload.llm.common import WORD, as_rows, back, decided, text_key, words
 from dimload.sources.scratch import cut_lineage
 
 SYMBOLS = "#*$%&|<>"
@@ -128,9 +128,13 @@ def without_lines(text: Column, removed: Column) -> Column:
 def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", **limits) -> DataFrame:
     """The rows of ``docs`` that are kept, without the lines to remove; a text that loses none
     stays as it is, one that does gets its new ``n_chars``, if there is such a column."""
-    judged = judge(docs, doc_id, text, host, **limits).where("kept")
-    judged = judged.select(F.col("doc_id").alias("of_id"), F.col("host").alias("of_host"), F.col("text_key").alias("of_key"), "removed")
+    judged = judge(docs, doc_id, text, host, **limits).where(~F.col("kept") | (F.size("removed") > 0))
+    keys = [F.col("doc_id").alias("of_id"), F.col("host").alias("of_host"), F.col("text_key").alias("of_key")]
+    judged = judged.select(*keys, F.when(F.col("kept"), F.col("removed")).alias("removed"), F.lit(True).alias("judged"))
+    judged = cut_lineage(judged.dropDuplicates(["of_id", "of_host", "of_key"]))
     rows = as_rows(docs, text, id=doc_id, at=host)
     same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("at").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key"))
-    both = rows.join(judged.dropDuplicates(["of_id", "of_host", "of_key"]), same)
-    return back(both, docs, text, without_lines(F.col("row")[text], F.col("removed")))
+    width = F.coalesce(F.octet_length("of_host"), F.lit(0)) + 8 * F.coalesce(F.size("removed"), F.lit(0))
+    both = decided(rows, judged, same, "left", width).where("judged is null or removed is not null")
+    body = F.col("row")[text]
+    return back(both, docs, text, F.when(F.col("removed").isNull(), body).otherwise(without_lines(body, F.col("removed"))))

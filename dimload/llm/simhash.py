@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.common import as_rows, back, once, text_key, utf8
+from dimload.llm.common import as_rows, back, decided, text_key, utf8
 from dimload.llm.components import connected_components
 from dimload.sources.scratch import cut_lineage
 
@@ -173,8 +173,11 @@ def simhash_components(
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row of ``docs`` for each component, that with the smallest id, as it is."""
-    kept = simhash_components(docs, doc_id, text, **options).where("kept")
-    kept = kept.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"))
+    found = simhash_components(docs, doc_id, text, **options)
+    found = found.groupBy(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"))
+    found = cut_lineage(found.agg(F.any_value("kept").alias("kept"), F.count("*").alias("n")))
     same = F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key"))
-    rows = as_rows(docs, text, id=doc_id).join(kept, same, "left_semi")
-    return back(once(rows, ["id", "key"]), docs, text)
+    rows = decided(as_rows(docs, text, id=doc_id), found.where("not kept"), same, "left_anti", F.lit(0))
+    if not found.where("kept and n > 1").isEmpty():
+        rows = rows.dropDuplicates(["id", "key"])
+    return back(rows, docs, text)
