@@ -10,13 +10,13 @@ what that language's own texts reach is rejected.
 from __future__ import annotations
 
 import unicodedata
-from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import InitVar, dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
@@ -24,8 +24,6 @@ from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
 ORDER = 5
 #: Of each language so many documents (about) are learned from, chosen by a hash of the text.
 SAMPLE_DOCS = 5_000
-#: Of each language the most frequent n-grams of the highest order, so many at most.
-MAX_GRAMS = 200_000
 UNDETERMINED = "und"
 BEGIN, END = "\x02", "\x03"
 LETTERS = r"\p{L}[\p{L}\p{M}]*"
@@ -74,16 +72,14 @@ def letter_runs(tokens: list[bytes], pad: int) -> tuple[np.ndarray, np.ndarray,
     return out, total, owner
 
 
-def _sorted(entries: dict[str, float], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """A sorted array of hashes and the values beside it."""
-    keys, values = list(entries), np.array(list(entries.values()), np.float64)
-    if not keys:
-        return np.zeros(0, np.uint64), values
-    codes = _codes("".join(keys))
-    width = len(keys[0])
-    hashed = _hashes(codes, width)[width][width - 1 :: width] if width else np.zeros(1, np.uint64)
-    at = np.argsort(hashed)
-    return hashed[at], values[at]
+def _row_hashes(codes: np.ndarray) -> np.ndarray:
+    """For each row of characters the hash that ``_hashes`` has for them."""
+    out, power = np.zeros(len(codes), np.uint64), np.uint64(1)
+    with np.errstate(over="ignore"):
+        for column in codes.T[::-1]:
+            power = power * _PRIME
+            out += (column.astype(np.uint64) + np.uint64(1)) * power
+    return out
 
 
 def _find(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,39 +98,42 @@ class CharacterModel:
     grams: list[tuple[np.ndarray, np.ndarray]]
     backoff: list[tuple[np.ndarray, np.ndarray]]
     unseen: float
-    names: list[list[str]]
+    #: The characters of the n-grams, a row each, by order.
+    names: list[np.ndarray]
 
     @classmethod
     def fit(cls, counts: dict[str, int], order: int) -> CharacterModel:
         """``counts``: n-grams of the highest order, words padded in front."""
-        by_order: list[dict[str, float]] = [{} for _ in range(order + 1)]
-        by_order[order] = dict(counts)
+        return cls.fit_rows(_codes("".join(counts)).reshape(-1, order), np.array(list(counts.values()), np.float64))
+
+    @classmethod
+    def fit_rows(cls, codes: np.ndarray, counts: np.ndarray) -> CharacterModel:
+        """``codes``: the characters of each n-gram of the highest order, none twice."""
+        order = codes.shape[1]
+        levels = {order: (codes.astype(np.uint32), counts.astype(np.float64))}
         for n in range(order - 1, 0, -1):
-            lower: dict[str, float] = defaultdict(float)
-            for gram, count in by_order[n + 1].items():
-                # What follows the beginning of a word has one predecessor only: its count stands in.
-                lower[gram[1:]] += count if gram[1] == BEGIN else 1
-            by_order[n] = dict(lower)
-        alphabet = len(by_order[1]) + 1
-        below: dict[str, float] = {}
-        grams, backoff = [(np.zeros(0, np.uint64), np.zeros(0))], [(np.zeros(0, np.uint64), np.zeros(0))]
+            names, count = levels[n + 1]
+            names = names[:, 1:]
+            _, first, at = np.unique(_row_hashes(names), return_index=True, return_inverse=True)
+            # What follows the beginning of a word has one predecessor only: its count stands in.
+            levels[n] = names[first], np.bincount(at, np.where(names[:, 0] == ord(BEGIN), count, 1.0))
+        alphabet = len(levels[1][0]) + 1
+        empty = np.zeros(0, np.uint64), np.zeros(0)
+        grams, backoff = [empty], [empty]
         for n in range(1, order + 1):
-            total, kinds = defaultdict(float), defaultdict(int)
-            for gram, count in by_order[n].items():
-                total[gram[:-1]] += count
-                kinds[gram[:-1]] += 1
-            once = sum(c == 1 for c in by_order[n].values())
-            twice = sum(c == 2 for c in by_order[n].values())
+            names, count = levels[n]
+            histories, at = np.unique(_row_hashes(names[:, :-1]), return_inverse=True)
+            total, kinds = np.bincount(at, count), np.bincount(at)
+            once, twice = int((count == 1).sum()), int((count == 2).sum())
             discount = once / (once + 2 * twice) if once and twice else 0.5
-            weight = {h: discount * kinds[h] / total[h] for h in total}
-            here = {
-                g: (c - discount) / total[g[:-1]] + weight[g[:-1]] * (below[g[1:]] if n > 1 else 1 / alphabet)
-                for g, c in by_order[n].items()
-            }
-            grams.append(_sorted({g: float(np.log(p)) for g, p in here.items()}, n))
-            backoff.append(_sorted({h: float(np.log(w)) for h, w in weight.items()}, n - 1))
-            below = here
-        return cls(grams, backoff, -float(np.log(alphabet)), [[], *map(list, by_order[1:])])
+            weight = discount * kinds / total
+            below = np.exp(_find(grams[-1], _row_hashes(names[:, 1:]))[1]) if n > 1 else 1 / alphabet
+            here = np.log((count - discount) / total[at] + weight[at] * below)
+            hashed = _row_hashes(names)
+            order_by = np.argsort(hashed)
+            grams.append((hashed[order_by], here[order_by]))
+            backoff.append((histories, np.log(weight)))
+        return cls(grams, backoff, -float(np.log(alphabet)), [np.zeros((0, 0), np.uint32), *(levels[n][0] for n in range(1, order + 1))])
 
     def log_probabilities(self, hashes: list[np.ndarray], histories: list[np.ndarray]) -> np.ndarray:
         """Of each character, given hashes of the n characters up to it and before it, for
@@ -152,13 +151,12 @@ class CharacterModel:
 
 def _together(models: list[CharacterModel], n: int) -> tuple[np.ndarray, np.ndarray]:
     """All n-grams of any language by hash, with the log probability in every language."""
-    names = sorted(set().union(*(m.names[n] for m in models)))
-    hashes = _hashes(_codes("".join(names)), n)
-    before = [np.concatenate([h[:1], h[:-1]])[n - 1 :: n] for h in hashes]
-    hashes = [h[n - 1 :: n] for h in hashes]
-    values = np.stack([m.log_probabilities(hashes, before) for m in models], axis=1)
-    at = np.argsort(hashes[n])
-    return hashes[n][at], values[at]
+    names = np.concatenate([m.names[n] for m in models])
+    keys, first = np.unique(_row_hashes(names), return_index=True)
+    names = names[first]
+    hashes = [_row_hashes(names[:, n - k :]) for k in range(n + 1)]
+    before = [_row_hashes(names[:, n - 1 - k : n - 1]) for k in range(n)]
+    return keys, np.stack([m.log_probabilities(hashes, before) for m in models], axis=1)
 
 
 def _weights_together(models: list[CharacterModel], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,7 +275,6 @@ def train(
     lang: str = "lang",
     order: int = ORDER,
     sample_docs: int = SAMPLE_DOCS,
-    max_grams: int = MAX_GRAMS,
     quantile: float = 0.999,
     slack: float = 1.5,
 ) -> LanguageModels:
@@ -286,7 +283,8 @@ def train(
     Learned from a bounded sample: about ``sample_docs`` documents of each language, of
     which a fifth is kept back to calibrate the sharpness of the score and the highest
     accepted cross-entropy (its ``quantile`` among the language's own texts, plus
-    ``slack``). The driver gets n-grams and counts, ``max_grams`` a language at most.
+    ``slack``). The driver gets all n-grams of the sample with their counts, as columns of
+    Arrow, and fits the models in arrays.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
@@ -313,15 +311,14 @@ def train(
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    order_by = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    kept = grams.withColumn("r", F.row_number().over(order_by)).where(F.col("r") <= max_grams)
-    counts: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in kept.collect():
-        counts[r.lang][r.gram] = r.n
-    languages = sorted(counts)
-    models = LanguageModels(
-        order, languages, [CharacterModel.fit(counts[x], order) for x in languages], [float("inf")] * len(languages)
-    )
+    found = grams.toArrow()
+    languages = sorted(pc.unique(found["lang"]).to_pylist())
+    fitted = []
+    for name in languages:
+        own = found.filter(pc.equal(found["lang"], name)).combine_chunks()
+        names = pc.binary_join(pa.ListArray.from_arrays([0, own.num_rows], own["gram"].chunk(0)), "")[0].as_py()
+        fitted.append(CharacterModel.fit_rows(_codes(names).reshape(-1, order), own["n"].to_numpy()))
+    models = LanguageModels(order, languages, fitted, [float("inf")] * len(languages))
     if not languages:
         return models
     scored = rows.where(kept_back & F.col("lang").isin(languages)).select("lang", _entropy_udf(models)(utf8("text")).alias("e"))

@@ -123,3 +123,22 @@ def test_cache_does_not_change_scores(tongues, monkeypatch):
     monkeypatch.setattr(language_id, "CACHE_WORDS", 5)
     monkeypatch.setattr(language_id, "CHUNK", 700)
     assert np.allclose(whole, np.concatenate(list(models.entropies(texts[i : i + 7] for i in range(0, len(texts), 7)))))
+
+
+def test_every_n_gram_counts(spark):
+    """A language with more than 200,000 n-grams, most of them rare, as a large script has."""
+    rnd = random.Random(7)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    data = [(i, " ".join("".join(rnd.choices(letters, k=8)) for _ in range(300)), "zz") for i in range(150)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    models = language_id.train(docs)
+    kept_back = F.pmod(F.xxhash64(F.xxhash64("text"), F.lit("calibrate")), F.lit(5)) == 0
+    counts = Counter()
+    for r in docs.where(~kept_back).collect():
+        for w in r.text.split():
+            padded = BEGIN * 4 + w + END
+            counts.update(padded[i : i + 5] for i in range(len(padded) - 4))
+    assert len(counts) > 250_000 and len(models.grams[5][0]) == len(counts)
+    one = LanguageModels(5, ["zz"], [CharacterModel.fit(dict(counts), 5)], [math.inf])
+    words = [w.encode() for w in data[0][1].split()[:20]]
+    assert np.allclose(models.word_scores(words), one.word_scores(words))
