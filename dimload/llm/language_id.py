@@ -4,7 +4,7 @@ One model per language over the letters of words: the history of a character sta
 at the word's beginning, so the score of a word is the same wherever it stands and is
 computed once per task for each distinct word. The language with the lowest
 cross-entropy per character is chosen; a text whose best cross-entropy lies above
-what that language's own texts reach is rejected.
+what that language's own texts of this length reach is rejected.
 """
 
 from __future__ import annotations
@@ -24,6 +24,10 @@ from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
 ORDER = 5
 #: Of each language so many documents (about) are learned from, chosen by a hash of the text.
 SAMPLE_DOCS = 5_000
+#: Nats per character, over the root of a text's characters, that its cross-entropy may lie
+#: above the limit of a language; nats, over the root of the texts the limit comes from, that
+#: are added to it.
+MARGIN, SLACK = 4.0, 1.5
 UNDETERMINED = "und"
 BEGIN, END = "\x02", "\x03"
 LETTERS = r"\p{L}[\p{L}\p{M}]*"
@@ -175,9 +179,11 @@ class LanguageModels:
     order: int
     languages: list[str] = field(default_factory=list)
     models: InitVar[list[CharacterModel]] = ()
-    #: The highest cross-entropy accepted, by language; the sharpness of the score.
+    #: The highest cross-entropy accepted in an endless text, by language; the sharpness of the score.
     highest: list[float] = field(default_factory=list)
     temperature: float = 16.0
+    #: A text of n characters may lie ``margin / sqrt(n)`` above ``highest``.
+    margin: float = MARGIN
 
     def __post_init__(self, models):
         if models:
@@ -251,11 +257,12 @@ class LanguageModels:
         low = per[np.arange(len(n)), best]
         score = 1 / np.exp(-self.temperature * (per - low[:, None])).sum(axis=1)
         letters = n > 0
+        limit = np.array(self.highest)[best] + self.margin / np.sqrt(np.maximum(n, 1))
         return {
             "lang_pred": np.where(letters, np.array(self.languages, dtype=object)[best], UNDETERMINED),
             "score": np.where(letters, score, 0.0),
             "entropy": np.where(letters, low, np.nan),
-            "accepted": letters & (low <= np.array(self.highest)[best]),
+            "accepted": letters & (low <= limit),
         }
 
 
@@ -269,6 +276,20 @@ def _entropy_udf(models: LanguageModels):
     return entropies
 
 
+def limits(texts: list[np.ndarray], quantile: float, slack: float, margin: float) -> list[float]:
+    """For each language the highest cross-entropy accepted, ``margin`` aside, from the
+    cross-entropies and characters of its texts kept back: the ``quantile`` of what they need,
+    plus ``slack`` over the root of their number. A language without any gets the limit of
+    all languages together."""
+
+    def limit(of: np.ndarray) -> float:
+        need = of[:, 0] - margin / np.sqrt(of[:, 1])
+        return float(np.quantile(need, quantile, method="higher") + slack / np.sqrt(len(of)))
+
+    every = np.concatenate([np.zeros((0, 2)), *texts])
+    return [limit(t if len(t) else every) if len(every) else float("inf") for t in texts]
+
+
 def train(
     docs: DataFrame,
     text: str = "text",
@@ -276,15 +297,16 @@ def train(
     order: int = ORDER,
     sample_docs: int = SAMPLE_DOCS,
     quantile: float = 0.999,
-    slack: float = 1.5,
+    slack: float = SLACK,
+    margin: float = MARGIN,
 ) -> LanguageModels:
     """Models of the languages in ``docs``; rows without text or language are passed over.
 
     Learned from a bounded sample: about ``sample_docs`` documents of each language, of
     which a fifth is kept back to calibrate the sharpness of the score and the highest
-    accepted cross-entropy (its ``quantile`` among the language's own texts, plus
-    ``slack``). The driver gets all n-grams of the sample with their counts, as columns of
-    Arrow, and fits the models in arrays.
+    accepted cross-entropy (``limits``). The driver gets all n-grams of the sample with
+    their counts, as columns of Arrow, and fits the models in arrays; of a text kept back it
+    gets the cross-entropy and the length.
     """
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
@@ -332,9 +354,13 @@ def train(
         return F.sum(t * (own - low) + F.log(F.aggregate(per, F.lit(0.0), lambda a, x: a + F.exp(-t * (x - low)))))
 
     fits = [loss(t).alias(f"loss{k}") for k, t in enumerate(TEMPERATURES)]
-    found = scored.groupBy("lang").agg(F.percentile_approx(own, quantile, 10_000).alias("high"), *fits).collect()
-    high = {r.lang: r.high for r in found}
-    models.highest = [high[x] + slack if high.get(x) is not None else float("inf") for x in languages]
+    texts = F.collect_list(F.struct(own.alias("own"), F.element_at("e", -1).alias("n"))).alias("texts")
+    found = scored.groupBy("lang").agg(texts, *fits).collect()
+    own_texts = {r.lang: np.array(r.texts, np.float64) for r in found}
+    models.highest = limits([own_texts.get(x, np.zeros((0, 2))) for x in languages], quantile, slack, margin)
+    models.margin = margin
+    if not found:  # no better than guessing letters
+        models.highest = [-m.unseen for m in fitted]
     if found:
         losses = [sum(r[f"loss{k}"] or 0.0 for r in found) for k in range(len(TEMPERATURES))]
         models.temperature = TEMPERATURES[int(np.argmin(losses))]

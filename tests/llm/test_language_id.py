@@ -142,3 +142,34 @@ def test_every_n_gram_counts(spark):
     one = LanguageModels(5, ["zz"], [CharacterModel.fit(dict(counts), 5)], [math.inf])
     words = [w.encode() for w in data[0][1].split()[:20]]
     assert np.allclose(models.word_scores(words), one.word_scores(words))
+
+
+def test_foreign_texts_in_the_same_letters(spark, tongues):
+    """Long texts in a language that was not learned are rejected, short ones of a learned one are not."""
+    other = (*TONGUES["aa"][:-1], "rod")
+    data = [(i, prose(900 + i, 400, other), False) for i in range(10)]
+    data += [(100 + i, prose(950 + i, 400 if i % 2 else 4, TONGUES["aa"]), True) for i in range(20)]
+    found = language_id.identify(spark.createDataFrame(data, "doc_id long, text string, own boolean"), language_id.train(tongues))
+    assert [r.doc_id for r in found.collect() if r.language.accepted != r.own] == []
+
+
+def test_limits():
+    rnd = np.random.default_rng(5)
+    many = np.stack([rnd.normal(2, 0.1, 1000), np.full(1000, 400.0)], axis=1)
+    few = many[:4] + [[0.5, 0]]
+    none = np.zeros((0, 2))
+    a, b, c = language_id.limits([many, few, none], 0.999, 1.5, 4.0)
+    assert a == pytest.approx(np.sort(many[:, 0])[-2:].max() - 0.2 + 1.5 / 1000**0.5, abs=0.1)
+    assert b == pytest.approx(few[:, 0].max() - 0.2 + 0.75)
+    assert a <= c < math.inf  # of all texts together
+    models = LanguageModels(1, ["x"], (), [1.0])
+    assert models.decide(np.array([[1.3, 100], [1.3, 1600]]))["accepted"].tolist() == [True, False]
+
+
+def test_few_texts_set_a_limit(spark):
+    """A language whose texts are all learned from accepts no letters that it never saw."""
+    kept_back = F.pmod(F.xxhash64(F.xxhash64("text"), F.lit("calibrate")), F.lit(5)) == 0
+    data = spark.createDataFrame([(i, prose(i, 60, TONGUES["aa"]), "aa") for i in range(12)], "doc_id long, text string, lang string")
+    models = language_id.train(data.where(~kept_back))
+    odd = spark.createDataFrame([(1, "qxjvw xwq vjx " * 50), (2, prose(77, 60, TONGUES["aa"]))], "doc_id long, text string")
+    assert {r.doc_id: r.language.accepted for r in language_id.identify(odd, models).collect()} == {1: False, 2: True}
