@@ -26,6 +26,10 @@ SAMPLE_PAGES = 2_000
 # Names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe svg math select object noframes xmp".split())
+#: Raw text that runs to the end of the page if nothing ends it; of others only the tag is passed over.
+ENDLESS = frozenset("script style textarea title".split())
+#: In these a slash before the bracket ends the element.
+FOREIGN = frozenset(["svg", "math"])
 MAIN = frozenset(["article", "main"])
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button".split())
 BLOCKS = frozenset(
@@ -78,6 +82,18 @@ def _hinted(rest: str, in_main: bool) -> bool:
     return False
 
 
+def _ends(page: str, name: str) -> dict[int, int]:
+    """Where the end tag stands of each element ``name`` that has one, by where it begins."""
+    found, open_ = {}, []
+    passed_over = r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)"
+    for match in re.finditer(rf"{passed_over}|<(?P<close>/?){name}(?=[\s/>])(?P<rest>[^>]*)", page, re.S | re.I | re.A):
+        if match["close"] and open_:
+            found[open_.pop()] = match.start()
+        elif match["close"] == "" and not (name in FOREIGN and match["rest"].endswith("/")):
+            open_.append(match.start())
+    return found
+
+
 def tokens(page: str) -> Iterator[Token]:
     """The page as tokens.
 
@@ -93,6 +109,7 @@ def tokens(page: str) -> Iterator[Token]:
         return kind, len(found.split()), found, False, main
 
     end, lower = len(page), None
+    ends: dict[str, dict[int, int]] = {}
     while at < end:
         match = _TOKEN.search(page, at)
         if match is None:
@@ -114,6 +131,13 @@ def tokens(page: str) -> Iterator[Token]:
                 if stack[i][0] in MAIN | BOILERPLATE and name not in BLOCKS:
                     break  # a stray end tag doesn't close what is around it
         else:
+            if name in RAW - ENDLESS:
+                if name in FOREIGN and match["rest"].endswith("/"):
+                    continue
+                if name not in ends:
+                    ends[name] = _ends(page, name)
+                at = ends[name].get(match.start(), at)
+                continue
             if name in RAW:
                 lower = page.lower() if lower is None else lower
                 if len(lower) != end:  # a few letters change their number when lowered

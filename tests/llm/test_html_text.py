@@ -74,3 +74,23 @@ def test_weights():
 def test_no_rows(spark):
     pages = spark.createDataFrame([], "page_id long, html string")
     assert html_text.main_text(pages, html_text.train(pages)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "before",
+    [
+        '<svg viewBox="0 0 1 1"/>',
+        '<math xmlns="m" />',
+        "<svg><path d='x'><p>",
+        "<select><option>",
+        "<object data=x>",
+        "<select name=a><option>",
+        "<SVG><svg><text>no</text></svg><text>no</text></SVG>",
+        "<svg><!-- <svg> --><text>no</text></svg>",
+    ],
+)
+def test_raw_elements_without_an_end(before):
+    """Nothing of the page is lost behind them, nor up to the end of another of their kind."""
+    body = f"<article>{before}<p>{LONG}</p><svg><text>no</text></svg><select><option>no</select><object>no</object><p>{LONG}</p></article>"
+    assert html_text.extract(page(body), html_text.DEFAULT) == f"{LONG}\n{LONG}"
+    assert html_text.extract(page(f"<article><p>{LONG}</p></article><script>var x = '{LONG}'"), html_text.DEFAULT) == LONG
