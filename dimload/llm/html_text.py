@@ -173,6 +173,8 @@ DEFAULT = {"word:plain": 1.0, "word:link": 0.1, "word:boilerplate": -1.0, "tag:"
 #: In a marked main element words score as plain ones (1 at least), links and all; what is
 #: left out there, and tags, cost next to nothing, so a long advert doesn't part the article.
 MARKED, PASSED_OVER = 1.0, -0.001
+#: Main elements with less than this share of the page's plain words, as teasers, mark nothing.
+FAIR_SHARE = 0.25
 
 
 def weights_from(inside: dict[str, int], outside: dict[str, int]) -> dict[str, float]:
@@ -190,8 +192,9 @@ def weights_from(inside: dict[str, int], outside: dict[str, int]) -> dict[str, f
 
 
 def score(token: Token, weights: dict[str, float], marked: bool = False) -> float:
-    """``marked``: some words of the page stand in a main element; those outside count as boilerplate."""
+    """``marked``: main elements hold the page's text; words outside count as boilerplate."""
     kind, words, _, _, main = token
+    main = main and marked
     if kind[0] == "t":
         return PASSED_OVER if main else weights.get(kind, weights["tag:"])
     if not main:
@@ -202,7 +205,9 @@ def score(token: Token, weights: dict[str, float], marked: bool = False) -> floa
 def extract(page: str, weights: dict[str, float]) -> str:
     """The blocks of the best region, white space as one space, one block a line."""
     line = list(tokens(page))
-    marked = any(t[4] and t[1] and t[0] != "word:boilerplate" for t in line)
+    inside = sum(t[1] for t in line if t[4] and t[0] != "word:boilerplate")
+    outside = sum(t[1] for t in line if not t[4] and t[0] == "word:plain")
+    marked = inside > 0 and inside >= FAIR_SHARE * (inside + outside)
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, token in enumerate(line):
         total += score(token, weights, marked)

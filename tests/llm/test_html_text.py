@@ -94,3 +94,13 @@ def test_raw_elements_without_an_end(before):
     body = f"<article>{before}<p>{LONG}</p><svg><text>no</text></svg><select><option>no</select><object>no</object><p>{LONG}</p></article>"
     assert html_text.extract(page(body), html_text.DEFAULT) == f"{LONG}\n{LONG}"
     assert html_text.extract(page(f"<article><p>{LONG}</p></article><script>var x = '{LONG}'"), html_text.DEFAULT) == LONG
+
+
+def test_teasers_in_articles():
+    """An article without a telling name that holds little of the page doesn't hide the text."""
+    teasers = "<article><a href='/x'>Read this too</a></article><article><h2>More</h2></article>"
+    body = f"{NAV}<div class=content><h1>The head of it all</h1>{f'<p>{LONG}</p>' * 4}</div><div>{teasers}</div>"
+    for weights in (html_text.DEFAULT, html_text.weights_from({"word:plain": 90}, {"word:boilerplate": 50, "tag:div": 9})):
+        assert html_text.extract(page(body), weights).startswith("\n".join(["The head of it all", *[LONG] * 4]))
+    # One that holds a fair share is the text.
+    assert html_text.extract(page(f"<div>{LONG}</div><article><p>{LONG}</p></article>"), html_text.DEFAULT) == LONG
