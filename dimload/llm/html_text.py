@@ -13,6 +13,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -32,6 +33,10 @@ ENDLESS = frozenset("script style textarea title".split())
 FOREIGN = frozenset(["svg", "math"])
 MAIN = frozenset(["article", "main"])
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button".split())
+#: Of a form that is the page's layout, these are left out; controls hold no text or are raw.
+CONTROLS = frozenset(["label", "legend"])
+#: Without an end tag of their own these may hold the rest of the page.
+SWALLOWING = frozenset("nav header aside menu dialog button".split())
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption "
     "figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p "
@@ -94,41 +99,97 @@ def _ends(page: str, name: str) -> dict[int, int]:
     return found
 
 
-def tokens(page: str) -> Iterator[Token]:
+def tokens(page: str) -> list[Token]:
     """The page as tokens.
 
     Kinds: ``word:plain``, ``word:link`` (in a link) and ``word:boilerplate``, and
-    ``tag:<name>``. Raw text of scripts and the like is left out."""
-    stack: list[tuple[str, bool, bool]] = []  # name, in boilerplate, in main
-    boilerplate = main = False
-    links = at = 0
-
-    def text(raw: str) -> Token:
-        found = html.unescape(raw)
-        kind = "word:boilerplate" if boilerplate else "word:link" if links else "word:plain"
-        return kind, len(found.split()), found, False, main
+    ``tag:<name>``. Raw text of scripts and the like is left out. A form, or a menu or the
+    like without an end tag, is no boilerplate if it holds a main element or most of the
+    page's words: of such a form labels and buttons are."""
+    line, layout = _walk(page, frozenset())
+    return _walk(page, layout)[0] if layout else line
+
+
+@dataclass
+class Boilerplate:
+    """An element of ``BOILERPLATE``, the one around it (-1: none), and the page's words before it."""
+
+    name: str
+    parent: int
+    before: int
+    words: int = 0
+    closed: bool = False
+    holds_main: bool = False
+
+
+def _layout(found: list[Boilerplate], words: int) -> frozenset[int]:
+    """Those of ``found`` that the page's text stands in; ``words``: all of the page."""
+    loose = [e.name == "form" or e.name in SWALLOWING and not e.closed for e in found]
+    out = {i for i, e in enumerate(found) if loose[i] and 2 * e.words > words}
+    for i, e in enumerate(found):
+        while e.holds_main and i >= 0 and loose[i]:
+            out.add(i)
+            i = found[i].parent
+    return frozenset(out)
+
+
+@dataclass
+class Open:
+    """An open element: whether it is in boilerplate, in a main element, in a hinted one and in a
+    form that is layout; its own number or that of the one of ``BOILERPLATE`` around it."""
+
+    name: str
+    boilerplate: bool = False
+    main: bool = False
+    hinted: bool = False
+    in_form: bool = False
+    number: int = -1
+    counted: bool = False
+
+
+def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int]]:
+    """The tokens, where ``layout`` are the numbers of elements that are no boilerplate;
+    and the numbers of those that shouldn't be."""
+    root = Open("")
+    stack, line, found = [root], [], []
+    links = at = words = 0
+
+    def text(raw: str) -> None:
+        nonlocal words
+        unescaped, top = html.unescape(raw), stack[-1]
+        n = len(unescaped.split())
+        words += n
+        kind = "word:boilerplate" if top.boilerplate else "word:link" if links else "word:plain"
+        line.append((kind, n, unescaped, False, top.main))
+
+    def leave(first: int, closed: bool) -> None:
+        for i, element in enumerate(stack[first:]):
+            if element.counted:
+                found[element.number].words = words - found[element.number].before
+                found[element.number].closed = closed and not i
+        del stack[first:]
 
     end, lower = len(page), None
     ends: dict[str, dict[int, int]] = {}
     while at < end:
         match = _TOKEN.search(page, at)
         if match is None:
-            yield text(page[at:])
-            return
+            text(page[at:])
+            break
         if match.start() > at:
-            yield text(page[at : match.start()])
+            text(page[at : match.start()])
         at = match.end()
         if match["name"] is None:
             continue
-        name = match["name"].lower()
-        yield f"tag:{name}", 0, "", name in BLOCKS, main
+        name, top = match["name"].lower(), stack[-1]
+        line.append((f"tag:{name}", 0, "", name in BLOCKS, top.main))
         if match["close"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    links -= sum(s[0] == "a" for s in stack[i:])
-                    del stack[i:]
+            for i in range(len(stack) - 1, 0, -1):
+                if stack[i].name == name:
+                    links -= sum(s.name == "a" for s in stack[i:])
+                    leave(i, True)
                     break
-                if stack[i][0] in MAIN | BOILERPLATE and name not in BLOCKS:
+                if stack[i].name in MAIN | BOILERPLATE and name not in BLOCKS:
                     break  # a stray end tag doesn't close what is around it
         else:
             if name in RAW - ENDLESS:
@@ -147,17 +208,26 @@ def tokens(page: str) -> Iterator[Token]:
                 continue
             if name in VOID or match["rest"].endswith("/") and name not in BLOCKS and name != "a":
                 continue
-            while stack and name in CLOSED_BY.get(stack[-1][0], ()):
+            while name in CLOSED_BY.get(stack[-1].name, ()):
                 stack.pop()
             # What is named after something else than the article holds none of it, a main element included.
-            inside = bool(stack) and stack[-1][2]
-            hinted = name not in ("html", "body", "main") and _hinted(match["rest"], inside or name in MAIN)
+            top = stack[-1]
+            hinted = name not in ("html", "body", "main") and _hinted(match["rest"], top.main or name in MAIN)
             # A header in the article is its own.
-            plain = name not in BOILERPLATE or name == "header" and inside
-            boiler = bool(stack) and stack[-1][1] or hinted or not plain
-            stack.append((name, boiler, inside or name in MAIN and not boiler))
+            counted = name in BOILERPLATE and not (name == "header" and top.main)
+            if name in MAIN and top.number >= 0 and not (hinted or top.hinted or top.main):
+                found[top.number].holds_main = True
+            if counted:
+                found.append(Boilerplate(name, top.number, words))
+            number = len(found) - 1 if counted else top.number
+            in_form = top.in_form or counted and name == "form" and number in layout
+            plain = not (counted and number not in layout or in_form and name in CONTROLS)
+            boiler = top.boilerplate or hinted or not plain
+            main = top.main or name in MAIN and not boiler
+            stack.append(Open(name, boiler, main, top.hinted or hinted, in_form, number, counted))
             links += name == "a"
-        boilerplate, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    leave(1, False)
+    return line, _layout(found, words)
 
 
 def kind_counts(page: str) -> tuple[Counter, Counter]:
@@ -204,7 +274,7 @@ def score(token: Token, weights: dict[str, float], marked: bool = False) -> floa
 
 def extract(page: str, weights: dict[str, float]) -> str:
     """The blocks of the best region, white space as one space, one block a line."""
-    line = list(tokens(page))
+    line = tokens(page)
     inside = sum(t[1] for t in line if t[4] and t[0] != "word:boilerplate")
     outside = sum(t[1] for t in line if not t[4] and t[0] == "word:plain")
     marked = inside > 0 and inside >= FAIR_SHARE * (inside + outside)

@@ -104,3 +104,28 @@ def test_teasers_in_articles():
         assert html_text.extract(page(body), weights).startswith("\n".join(["The head of it all", *[LONG] * 4]))
     # One that holds a fair share is the text.
     assert html_text.extract(page(f"<div>{LONG}</div><article><p>{LONG}</p></article>"), html_text.DEFAULT) == LONG
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<form id=aspnetForm><input type=hidden><nav>Home</nav><article><h1>Head</h1><p>{LONG}</p></article><button>Go</button></form>",
+        f"<form><main><h1>Head</h1><label>Your name</label><p>{LONG}</p></main><select><option>no</select></form>",
+        f"<nav><a href=/>Home</a><article><h1>Head</h1><p>{LONG}</p></article>",
+        f"<aside>x<form><article><h1>Head</h1><p>{LONG}</p></article></form>",
+        f"<dialog><p>Read</p><main><h1>Head</h1><p>{LONG}</p></main>",
+    ],
+)
+def test_main_element_in_a_form(body):
+    assert html_text.extract(page(body), html_text.DEFAULT) == f"Head\n{LONG}"
+
+
+def test_form_around_the_page():
+    """A form with most of the page's words is layout; labels and buttons in it, and small forms, are left out."""
+    body = f"<form><nav>Home and more</nav><div><p>{LONG}</p><label>Name of yours</label><button>Send it</button><p>{LONG}</p></div></form>"
+    assert html_text.extract(page(body), html_text.DEFAULT) == f"{LONG}\n{LONG}"
+    body = f"<div><p>{LONG}</p><p>{LONG}</p></div><form><p>{LONG}</p></form>"
+    assert html_text.extract(page(body), html_text.DEFAULT) == f"{LONG}\n{LONG}"
+    # Teasers in an aside, and a form that is named, stay out.
+    body = f"<div><p>{LONG}</p></div><aside><article><p>{LONG}</p></article></aside><form class=search><main>{LONG}</main></form>"
+    assert html_text.extract(page(body), html_text.DEFAULT) == LONG
