@@ -301,11 +301,11 @@ def extract(page: str, weights: dict[str, float]) -> str:
 
 
 def train(pages: DataFrame, html_column: str = "html", sample_pages: int = SAMPLE_PAGES) -> dict[str, float]:
-    """Weights from a bounded sample (about ``sample_pages``, chosen by hash) of the pages
+    """Weights from a bounded sample (about ``sample_pages``, chosen by hash) of the distinct pages
     that mark their main element with ``article`` or ``main``. The driver gets one row
     per kind of token, tags of HTML and no others."""
     marked = pages.where(F.col(html_column).rlike(r"(?i)<(article|main)[\s>]")).select(F.col(html_column).alias("html"))
-    n = marked.count()
+    n = marked.select(F.xxhash64("html")).distinct().count()
     if not n:
         return dict(DEFAULT)
     known = sorted(BLOCKS | VOID | RAW | MAIN | BOILERPLATE | frozenset("a abbr b cite code em i label q s small span strong sub sup u".split()))
@@ -320,6 +320,7 @@ def train(pages: DataFrame, html_column: str = "html", sample_pages: int = SAMPL
             yield pd.Series(found)
 
     sample = marked.where(share_below(F.xxhash64("html"), min(1.0, sample_pages / n)))
+    sample = sample.withColumn("key", F.xxhash64("html")).dropDuplicates(["key"])
     rows = sample.select(F.explode(count(utf8("html"))).alias("t")).select("t.*")
     rows = rows.where(F.col("kind").isin([f"tag:{x}" for x in known]) | F.col("kind").startswith("word:"))
     totals = rows.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
 
 ORDER = 5
-#: Of each language so many documents (about) are learned from, chosen by a hash of the text.
+#: Of each language so many distinct texts (about) are learned from, chosen by their hash.
 SAMPLE_DOCS = 5_000
 #: Nats per character, over the root of a text's characters, that its cross-entropy may lie
 #: above the limit of a language; nats, over the root of the texts the limit comes from, that
@@ -302,7 +302,7 @@ def train(
 ) -> LanguageModels:
     """Models of the languages in ``docs``; rows without text or language are passed over.
 
-    Learned from a bounded sample: about ``sample_docs`` documents of each language, of
+    Learned from a bounded sample: about ``sample_docs`` distinct texts of each language, of
     which a fifth is kept back to calibrate the sharpness of the score and the highest
     accepted cross-entropy (``limits``). The driver gets all n-grams of the sample with
     their counts, as columns of Arrow, and fits the models in arrays; of a text kept back it
@@ -311,15 +311,17 @@ def train(
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     )
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    key = F.xxhash64("text")
+    distinct = rows.select("lang", key.alias("key")).distinct()
+    sizes = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return LanguageModels(order)
     share: Column = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, min(1.0, sample_docs / n)).otherwise(share)
-    key = F.xxhash64("text")
-    rows = rows.where(share_below(key, share))
-    kept_back = F.pmod(F.xxhash64(key, F.lit("calibrate")), F.lit(5)) == 0
+    # Of copies one, so that the sample has the size it is due and no text weighs more than another.
+    rows = rows.where(share_below(key, share)).withColumn("key", key).dropDuplicates(["lang", "key"])
+    kept_back = F.pmod(F.xxhash64(F.col("key"), F.lit("calibrate")), F.lit(5)) == 0
     tokens = (
         rows.where(~kept_back)
         .select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("token"))

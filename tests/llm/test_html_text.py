@@ -129,3 +129,9 @@ def test_form_around_the_page():
     # Teasers in an aside, and a form that is named, stay out.
     body = f"<div><p>{LONG}</p></div><aside><article><p>{LONG}</p></article></aside><form class=search><main>{LONG}</main></form>"
     assert html_text.extract(page(body), html_text.DEFAULT) == LONG
+
+
+def test_copies_are_learned_from_once(spark):
+    pages = [page(f"{NAV}<article><p>{LONG} {i}</p></article><p>x {i}</p>") for i in range(8)]
+    once, often = (spark.createDataFrame([(p,) for p in x], "html string") for x in (pages, pages + pages[:1] * 30))
+    assert html_text.train(once) == html_text.train(often)

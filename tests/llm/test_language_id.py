@@ -173,3 +173,13 @@ def test_few_texts_set_a_limit(spark):
     models = language_id.train(data.where(~kept_back))
     odd = spark.createDataFrame([(1, "qxjvw xwq vjx " * 50), (2, prose(77, 60, TONGUES["aa"]))], "doc_id long, text string")
     assert {r.doc_id: r.language.accepted for r in language_id.identify(odd, models).collect()} == {1: False, 2: True}
+
+
+def test_copies_count_once(spark):
+    """Many copies of a text change neither the models nor the limits."""
+    data = [(i, prose(i, 60, TONGUES["aa"]), "aa") for i in range(30)]
+    once = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    often = spark.createDataFrame(data + [(100 + i, data[i % 3][1], "aa") for i in range(60)], once.schema)
+    a, b = language_id.train(once), language_id.train(often)
+    assert all(np.array_equal(x, y) for n in range(1, 6) for x, y in zip(a.grams[n] + a.backoff[n], b.grams[n] + b.backoff[n]))
+    assert a.highest == b.highest
