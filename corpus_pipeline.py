@@ -32,8 +32,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in token sequences of one length."""
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    """Pieces of documents with their token ids, and their places in sequences of one length."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
 
 
 STAGES = [

@@ -1,6 +1,8 @@
 from collections import defaultdict
 
+import public_tokenizers
 import pytest
+from tokenizers import Tokenizer
 
 import corpus_pipeline
 from pyspark.sql import functions as F
@@ -87,3 +89,15 @@ def test_hot_group(spark, tmp_path):
         docs = stage(spark, docs, str(tmp_path))
     kept = {r.doc_id for r in docs.collect()}
     assert len(kept & set(range(100, 130))) == 1 and len(kept & set(range(60))) >= 58
+
+
+def test_token_ids(spark, folder):
+    """The pipeline ends with the tokens of the corpus, not with their places only."""
+    found = corpus_pipeline.run(spark, folder).collect()
+    assert found and all(len(r.ids) == r.length for r in found)
+    texts = {i: prose(i, 100 + 400 * i) for i in range(8)}
+    packed = corpus_pipeline.sequences(spark, spark.createDataFrame([*texts.items()], "doc_id long, text string"), folder)
+    tokenizer, ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), defaultdict(list)
+    for r in sorted(packed.collect(), key=lambda r: (r.doc_id, r.start)):
+        ids[r.doc_id] += r.ids
+    assert ids == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts.items()}
