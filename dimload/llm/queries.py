@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimload.llm import chat, embeddings, html_text, language_id, mixing, packing, quality_classifier, quality_rules, simhash, warc
+from dimload.llm import (
+    chat,
+    decontamination,
+    embeddings,
+    html_text,
+    language_id,
+    mixing,
+    packing,
+    prefix_trie,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    spelling,
+    warc,
+)
 from dimload.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -170,6 +184,140 @@ FROM m
 """
 
 
+@query
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), "c")
+    return found.select(
+        "doc_id",
+        "c.n_words",
+        "c.n_hit",
+        F.size("c.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("c.items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("c.n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op11_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), win AS (
+  SELECT DISTINCT item, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+  FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS u(i) WHERE len(w) > 0
+), hit AS (
+  SELECT r, i, d.k, g
+  FROM (SELECT r, i, k, array_to_string(w[i : i + k - 1], ' ') AS g
+        FROM d, (SELECT DISTINCT k FROM win), unnest(range(1, len(w) - k + 2)) AS u(i)) AS d
+  SEMI JOIN win USING (k, g)
+), places AS (
+  SELECT r, count(DISTINCT i + o) AS n FROM hit, unnest(range(k)) AS u(o) GROUP BY 1
+), items AS (
+  SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hit JOIN win USING (k, g)) GROUP BY 1
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(places.n, 0)::BIGINT AS n_hit, coalesce(items.n, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(places.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (r) LEFT JOIN items USING (r)
+"""
+
+
+#: crc32 of the texts ``crc_of.s``, as ``crc.h``.
+CRC = r"""crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t
+  FROM range(256) AS r(i)
+), crc_bytes AS (
+  SELECT s, list_transform(range(octet_length(encode(s))), lambda i: ('0x' || substr(hex(encode(s)), 2 * i + 1, 2))::BIGINT) AS b FROM crc_of
+), crc AS (
+  SELECT s, xor(list_reduce(list_prepend(4294967295, b), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS h
+  FROM crc_bytes, crc_table
+)"""
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.narrow(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.branched(turns), ["part", "place"]).drop("node")
+
+
+ORACLE["op12_prefix_trie"] = (
+    """WITH crc_of AS (SELECT DISTINCT conv_id::VARCHAR AS s FROM conversations), """
+    + CRC
+    + r""", turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(octet_length(encode(role)) || ':' || role || text)) AS place, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), own AS (
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY place) AS t FROM turns GROUP BY 1
+), whole AS (
+  SELECT c.conv_id, coalesce(b.t[1 : h % 9], []) || c.t[h % 9 + 1 :] AS t
+  FROM own AS c JOIN crc ON s = c.conv_id::VARCHAR LEFT JOIN own AS b ON b.conv_id = c.conv_id - c.conv_id % 5
+), part AS (
+  SELECT conv_id, d, len(t) AS n, t[1 : d] AS p FROM whole, unnest(range(len(t) + 1)) AS u(d)
+), node AS (
+  SELECT p, any_value(d) AS d, min(conv_id) AS conv_id, count(*) AS n_convs,
+         coalesce((count(*) - 1) * octet_length(encode(any_value(p)[-1].text)), 0) AS saves,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM part GROUP BY p
+), kids AS (
+  SELECT p[1 : d - 1] AS p, count(*) AS n FROM node WHERE d > 0 GROUP BY 1
+), below AS (
+  SELECT p[1 : k] AS p, sum(saves) AS saved, count(*) FILTER (kids.n IS NULL) AS leaves
+  FROM (SELECT node.p, d, saves, kids.n FROM node LEFT JOIN kids ON kids.p = node.p) AS kids, unnest(range(d + 1)) AS u(k) GROUP BY 1
+)
+SELECT node.conv_id, node.d AS depth, above.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+       leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN below ON below.p = node.p LEFT JOIN kids ON kids.p = node.p
+LEFT JOIN node AS above ON node.d > 0 AND above.p = node.p[1 : node.d - 1]
+"""
+)
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), least_length=6, least_count=5, typo_every=199)
+    return spelling.spelling_variants(words, times=5)
+
+
+ORACLE["op13_spelling_variants"] = (
+    r"""
+WITH RECURSIVE run AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS s, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents)
+  GROUP BY 1, 2
+), crc_of AS (SELECT s FROM run), """
+    + CRC
+    + r""", words AS (
+  SELECT w AS word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN left(w, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS w, n FROM run JOIN crc USING (s))
+  WHERE length(w) >= 6 GROUP BY 1 HAVING sum(n) >= 5
+), cut AS (
+  SELECT word, n, i, left(word, i) || substr(word, i + 2) AS v FROM words, unnest(range(length(word))) AS u(i)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut AS a JOIN cut AS b ON a.v = b.v AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut AS a JOIN words AS b ON a.v = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut AS a JOIN words AS b ON a.v = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS n FROM near GROUP BY 1
+), form AS (
+  SELECT words.word, CASE WHEN best.n >= 5 * words.n THEN other END AS form, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN best.n >= 5 * words.n THEN best.n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS here FROM form
+  UNION ALL SELECT way.word, form.form FROM way JOIN form ON form.word = way.here WHERE form.form IS NOT NULL
+)
+SELECT form.word, form.form, here AS root, form.n, form.n_near, form.form_n
+FROM form JOIN way USING (word) JOIN form AS f ON f.word = way.here WHERE f.form IS NULL
+"""
+)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

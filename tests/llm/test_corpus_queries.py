@@ -18,7 +18,7 @@ def plain(value):
 
 
 def test_names():
-    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 11)] == [1] * 10 and "pipeline" in QUERIES
+    assert [sum(n.startswith(f"op{k}_") for n in QUERIES) for k in range(1, 14)] == [1] * 13 and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
