@@ -111,7 +111,7 @@ def search(shared: dict, row: np.ndarray) -> tuple[np.ndarray, set[int]]:
                     met.update(item[first_item[window] : first_item[window + 1]].tolist())
                 edge[at + hit[same]] += 1
                 edge[at + hit[same] + size] -= 1
-                left = (turn + 1 < last) & ~same
+                left = turn + 1 < last
                 hit, turn, last = hit[left], turn[left] + 1, last[left]
     return np.cumsum(edge[:-1]) > 0, met
 
