@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..sources.scratch import cut_lineage
-from .joins import MATCH, match_one, only_matching, quoted, require_columns, sql_name, without
+from .bloom import probably_matching
+from .joins import (
+    MATCH,
+    _require_same_types,
+    fits_broadcast,
+    match_one,
+    only_matching,
+    quoted,
+    require_columns,
+    sql_name,
+    without,
+)
 from .overlay import replaced
 from .skew import HotKeys
 
@@ -32,6 +44,7 @@ def insert_only(
     null_safe: bool = False,
     hot: HotKeys | None = None,
     small: bool = False,
+    prefilter: bool = False,
 ) -> DataFrame:
     """Staged rows whose key the target does not have yet.
 
@@ -39,10 +52,15 @@ def insert_only(
     new key are all returned.
 
     ``small`` says the staged keys are known to fit in memory (see
-    ``fits_broadcast``); the target's keys are then not shuffled.
+    ``fits_broadcast``); the target's keys are then not shuffled. For staged keys that do not,
+    ``prefilter`` shuffles only those of the target's keys that can match, found
+    by a Bloom filter of the staged ones (see ``probably_matching``).
     """
     if small:
         target = only_matching(target, staged, keys, null_safe)
+    elif prefilter:
+        target = target.select(*[quoted(k) for k in require_columns(target, keys, "target")])
+        target = probably_matching(target, staged, keys)
     return match_one(staged, target, keys, "left_anti", unique=unique, null_safe=null_safe, hot=hot)
 
 
@@ -104,6 +122,19 @@ def resolve_key(
     )
 
 
+def content_digest(columns: Sequence[Column]) -> Column:
+    """Sixteen bytes that stand for some values: the MD5 of each one's length and text. NULL has a digest of its own."""
+    parts = []
+    for c in columns:
+        text = c.cast("string")
+        parts.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.md5(F.concat(*parts).cast("binary")))
+
+
+#: Types whose equal values have equal texts.
+_ONE_TEXT = (T.IntegralType, T.StringType, T.BooleanType, T.DateType, T.TimestampNTZType, T.TimestampType, T.DecimalType)
+
+
 def content_anti_join(
     staged: DataFrame,
     target: DataFrame,
@@ -113,6 +144,7 @@ def content_anti_join(
     scope: str = "key",
     hot: HotKeys | None = None,
     small: bool = False,
+    digest: Callable[[Sequence[Column]], Column] = content_digest,
 ) -> DataFrame:
     """Staged rows with content the target does not have.
 
@@ -120,15 +152,40 @@ def content_anti_join(
     current rows to compare with the current version). ``scope="global"``
     compares with every target row, whatever its key. NULL equals NULL.
     ``small`` says the staged columns compared are known to fit in memory.
+
+    Otherwise a target row is moved as sixteen bytes, the digest of its columns, if a Bloom filter of the
+    staged digests lets it through. Where a digest is found on both sides, the columns of its rows
+    are compared, so equal digests of different rows do no harm. Floating-point and
+    nested columns are compared as they are, without digests.
     """
     if scope not in ("key", "global"):
         raise ValueError("scope is 'key' or 'global'")
     if scope == "key" and not keys:
         raise ValueError("scope 'key' needs keys")
     columns = (list(keys) if scope == "key" else []) + list(content)
-    if small:
-        target = only_matching(target, staged, columns, null_safe=True)
-    return match_one(staged, target, columns, "left_anti", null_safe=True, hot=hot)
+    mine, theirs = require_columns(staged, columns, "staged rows"), require_columns(target, columns, "target")
+    digested = all(isinstance(target.schema[c].dataType, _ONE_TEXT) for c in theirs)
+    if small or not digested:
+        if small:
+            target = only_matching(target, staged, columns, null_safe=True)
+        return match_one(staged, target, columns, "left_anti", null_safe=True, hot=hot)
+    _require_same_types(staged, mine, target, theirs)
+
+    # Written once, with a number by which the rows found are taken out again.
+    rows = cut_lineage(staged.withColumns({"__row": F.monotonically_increasing_id(), "__digest": digest([quoted(c) for c in mine])}))
+    stored = target.select(*[quoted(c).alias(m) for c, m in zip(theirs, mine)]).withColumn("__digest", digest([quoted(c) for c in mine]))
+    wanted = rows.select("__digest").distinct()
+    found = match_one(wanted, probably_matching(stored.select("__digest"), wanted, ["__digest"]), ["__digest"], "left_semi")
+    found = cut_lineage(found)
+    if found.isEmpty():
+        return rows.drop("__row", "__digest")
+    if fits_broadcast(found):
+        found = F.broadcast(found)
+    suspects = match_one(rows, found, ["__digest"], "left_semi", unique=True).select(*[quoted(m) for m in mine], "__row", "__digest")
+    stored = match_one(stored, found, ["__digest"], "left_semi", unique=True)
+    known = cut_lineage(match_one(suspects, stored, [*mine, "__digest"], "left_semi", null_safe=True).select("__row"))
+    known = F.broadcast(known) if fits_broadcast(known) else known
+    return match_one(rows, known, ["__row"], "left_anti", unique=True).drop("__row", "__digest")
 
 
 def registry_base(registry: DataFrame, table_name: str) -> int:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import MATCH, match_one, quoted, require_columns
+from ..sources.scratch import cut_lineage
+from .joins import MATCH, fits_broadcast, match_one, quoted, require_columns
 from .skew import HotKeys
 
 
@@ -54,7 +55,7 @@ def role_keys(
     order_by: Sequence[str | Column] | None = None,
     stamp: Mapping[str, Column] | None = None,
     within: str | None = None,
-    hot: HotKeys | None = None,
+    hot: HotKeys | Callable[[], HotKeys] | None = None,
 ) -> DataFrame:
     """Set foreign keys of ``target`` from the roles of ``rows``.
 
@@ -65,10 +66,16 @@ def role_keys(
     ``within`` names a column of both sides that ``key`` determines, such as the
     business key behind a surrogate key. Rows are then brought together by it,
     so a target just joined on ``within`` is not shuffled again. ``hot`` spreads
-    frequent values of ``within`` (or ``key``) in the target.
+    frequent values of ``within`` (or ``key``) in the target. As a function it is called only
+    if it is needed: the picked roles are written and measured first, and where they can be
+    copied to the executors the target stays in place.
     """
     roles = list(dict.fromkeys(r for choices in assign.values() for r in choices))
     picked = pick_by_role(rows, key, value, role, roles, order_by, within)
+    if callable(hot):
+        picked = cut_lineage(picked)
+        small = fits_broadcast(picked)
+        picked, hot = (F.broadcast(picked), None) if small else (picked, hot())
     if within:
         joined = match_one(target, picked, [within], "left", unique=True, also_equal=[key], hot=hot)
     else:

@@ -13,7 +13,9 @@ from datetime import datetime
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.scalars import (
     OPEN_BEGIN,
@@ -25,6 +27,7 @@ from ..functions.scalars import (
     void_flag,
 )
 from ..sources.scratch import cut_lineage
+from .bloom import probably_matching
 from .joins import MATCH, first_match, fits_broadcast, match_one, only_matching, quoted, require_columns, without
 from .keys import assign_surrogate_keys
 from .lookup import REJECT_REASON, content_anti_join, insert_only, resolve_key
@@ -113,16 +116,19 @@ def _because(rows: DataFrame, reason: str) -> DataFrame:
     return rows.withColumn(REJECT_REASON, F.lit(reason))
 
 
-def _superseded(rows: DataFrame, used: DataFrame) -> DataFrame:
-    """The rows that are not among ``used``, which holds some of them once each."""
-    names = [quoted(c) for c in rows.columns]
-    counted = rows.groupBy(*names).agg(F.count("*").alias("__n"))
-    # Structs of equal columns are equal also where both have NULL.
-    taken = used.select(F.struct(*[quoted(c) for c in rows.columns]).alias("__used"))
-    joined = counted.join(taken, F.struct(*names) == F.col("__used"), "left")
-    left = F.col("__n") - F.when(F.col("__used").isNull(), 0).otherwise(1)
-    joined = joined.withColumn("__left", left).where("__left > 0")
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__left").cast("int")))).select(*names)
+#: A staged row's number, given when it is first written.
+ROW = "__row"
+
+
+def _numbered(staged: DataFrame) -> DataFrame:
+    """Staged rows, written once, each with a number that stays the same from here on."""
+    return cut_lineage(staged.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _superseded(rows: DataFrame, used: DataFrame, small: bool) -> DataFrame:
+    """The numbered rows that are not among ``used``. Only numbers are moved where these are ``small``."""
+    taken = used.select(ROW)
+    return match_one(rows, F.broadcast(taken) if small else taken, [ROW], "left_anti", unique=True)
 
 
 def initial_load(
@@ -147,18 +153,18 @@ def initial_load(
     ``hot_parents`` spreads parent ids that hold a large share of the staged rows.
     """
     keys = require_columns(staged, layout.natural_key, "staged rows")
+    staged = _numbered(staged)
     refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
     staged = staged.where(~_null_key(staged, keys))
-    if order_by:
-        # Written once: it is measured, looked up and compared with what it leaves out.
-        used = cut_lineage(first_match(staged, keys, order_by, latest))
-        refused = refused.unionByName(_because(_superseded(staged, used), SUPERSEDED))
-    else:
-        used = cut_lineage(staged)
+    # Written once: it is measured, looked up and compared with what it leaves out.
+    used = cut_lineage(first_match(staged, keys, order_by, latest)) if order_by else staged
     few = fits_broadcast(used.select(*[quoted(k) for k in keys]))
+    if order_by:
+        refused = refused.unionByName(_because(_superseded(staged, used, few), SUPERSEDED))
+    used, refused = used.drop(ROW), refused.drop(ROW)
     hot = None if few or order_by else find_hot_keys(used, keys)
     # Written once: the new rows are numbered in two passes and split twice.
-    new = cut_lineage(insert_only(used, target, keys, small=few, hot=hot))
+    new = cut_lineage(insert_only(used, target, keys, small=few, hot=hot, prefilter=True))
     stored = only_matching(target, used, keys) if few else target
     existing = match_one(used, stored, keys, "left_semi", hot=hot)
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
@@ -168,12 +174,12 @@ def initial_load(
     return Loaded(align(keyed, target.schema), rejected.unionByName(refused), existing)
 
 
-def _with_parent(rows, parents, layout, unique, hot=None):
+def _with_parent(rows, parents, layout, unique, hot=None, small=False):
     parents = parents.select(*require_columns(parents, [layout.parent_id, layout.parent], "parents"))
     # ``rows`` have been written before, so measuring them is cheap. Of several
     # parents of one id the lowest key is used. Both parts are used: the join is
     # written once, so the parents are read once.
-    few = fits_broadcast(rows.select(quoted(layout.parent_id)))
+    few = small or fits_broadcast(rows.select(quoted(layout.parent_id)))
     return resolve_key(
         rows, parents, [layout.parent_id], [layout.parent], unique=unique, hot=None if few else hot, small=few,
         save=True, reason=f"{layout.parent} not found",
@@ -237,6 +243,11 @@ def new_versions(
     joined = match_one(current, side, layout.natural_key, "inner", unique=True, hot=hot)
     if changed_only:
         joined = joined.where(~_content(current, layout, current).eqNullSafe(F.col(f"{MATCH}.{CONTENT}")))
+    return _following(joined, current, incoming, layout, batch_ts, effective, begin_offset_days)
+
+
+def _following(joined, current, incoming, layout, batch_ts, effective, begin_offset_days) -> DataFrame:
+    """New versions from stored rows, the columns of ``current``, with their incoming row as ``__match``."""
     batch = batch_number(timestamp_literal(batch_ts))
     opened = {
         layout.begin: plus_days(_closing_time(batch_ts, effective), begin_offset_days),
@@ -254,6 +265,73 @@ def new_versions(
     return joined.withColumns(typed).selectExpr(*out)
 
 
+STORED, STAGED, CHANGED = "__stored", "__staged", "__changed"
+
+
+class Paired(NamedTuple):
+    """Stored rows with their staged row as ``__match`` and whether they differ as ``__changed``,
+    and staged rows by what became of them: no stored row, none that differs."""
+
+    stored: DataFrame
+    unseen: DataFrame
+    unchanged: DataFrame
+
+
+def _paired(stored: DataFrame, staged: DataFrame, layout: Scd2Layout, small: bool, matching: bool = False) -> Paired:
+    """Stored and staged rows of a key brought together in one shuffle, and decided there.
+
+    ``staged`` has one row per natural key, ``stored`` any number, none with NULL in the key.
+    Both become one frame, tagged by which of two structs is filled; a window over the key
+    gives each stored row its staged row, and each staged row the verdict. The result is written
+    once, and its parts are read from there. Stored rows whose key is not staged are left
+    out before the shuffle: all of them if the staged rows are ``small``, else
+    those that a Bloom filter tells; where ``stored`` is known to be ``matching``, there are none.
+    """
+    keys = require_columns(stored, layout.natural_key, "stored rows")
+    theirs = require_columns(staged, layout.natural_key, "staged rows")
+    typed = staged.withColumns({t: quoted(t).cast(stored.schema[k].dataType) for k, t in zip(keys, theirs)})
+    bare = typed.select(*[quoted(t).alias(k) for k, t in zip(keys, theirs)])
+    candidates = stored
+    if not matching:
+        candidates = only_matching(stored, bare, keys) if small else probably_matching(stored, bare, keys)
+    typed = typed.withColumn(CONTENT, _content(staged, layout, stored))
+    names = [f"k{i}" for i in range(len(keys))]
+    kind = {c: f.dataType.simpleString() for c, f in ((STORED, _struct_type(candidates)), (STAGED, _struct_type(typed)))}
+    old = candidates.select(
+        *[quoted(k).alias(n) for k, n in zip(keys, names)],
+        F.struct(*[quoted(c) for c in candidates.columns]).alias(STORED),
+        F.lit(None).cast(kind[STAGED]).alias(STAGED),
+    )
+    new = typed.select(
+        *[quoted(t).alias(n) for t, n in zip(theirs, names)],
+        F.lit(None).cast(kind[STORED]).alias(STORED),
+        F.struct(*[quoted(c) for c in typed.columns]).alias(STAGED),
+    )
+    of_key = W.partitionBy(*names)
+    both = old.unionAll(new).withColumns(
+        {MATCH: F.first(STAGED, ignorenulls=True).over(of_key), "__n": F.count(STORED).over(of_key)}
+    )
+    content = F.struct(
+        *[F.col(STORED)[c].alias(f"c{i}") for i, c in enumerate(require_columns(stored, layout.content, "stored rows"))]
+    )
+    is_stored = F.col(STORED).isNotNull()
+    differs = is_stored & ~content.eqNullSafe(F.col(f"{MATCH}.{CONTENT}"))
+    both = both.where(F.col(MATCH).isNotNull()).withColumn(CHANGED, differs)
+    both = both.withColumn("__any", F.max(CHANGED).over(of_key))
+    both = cut_lineage(both.selectExpr(STORED, f"CASE WHEN {STORED} IS NOT NULL THEN {MATCH} END AS {MATCH}", STAGED, CHANGED, "__n", "__any"))
+    columns = [F.col(STORED)[c].alias(c) for c in stored.columns]
+    back = both.where(~is_stored).select(*[F.col(STAGED)[c].cast(staged.schema[c].dataType).alias(c) for c in staged.columns], "__n", "__any")
+    return Paired(
+        both.where(is_stored).select(*columns, MATCH, CHANGED),
+        back.where("__n = 0").drop("__n", "__any"),
+        back.where("__n > 0 AND NOT __any").drop("__n", "__any"),
+    )
+
+
+def _struct_type(df: DataFrame):
+    return T.StructField("s", T.StructType([T.StructField(f.name, f.dataType) for f in df.schema.fields]))
+
+
 def _closing_time(batch_ts, effective) -> Column:
     return F.col(f"{MATCH}.`{effective}`") if effective else to_second(timestamp_literal(batch_ts))
 
@@ -351,65 +429,74 @@ def scd2_merge(
     rules = RULES[compat]
     keys = list(layout.natural_key)
     names = staged.columns
+    staged = _numbered(staged)
     refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
     staged = staged.where(~_null_key(staged, keys))
     incoming = first_match(staged, keys, order_by, latest)
-    current = target.where(quoted(layout.current) == 1)
 
-    # Staged rows and new versions are written once each and then measured. The
-    # target, much larger than both, is read once to find the versions and once
-    # to write the result, and is not shuffled for a small load.
+    # Staged rows and what becomes of them are written once each. The target, much
+    # larger than both, is read once to find the versions and once to write the
+    # result, and is not shuffled for a small load.
     if rules.number_first:
         incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
     incoming = cut_lineage(incoming)
     few = fits_broadcast(incoming)
-    side = F.broadcast(incoming) if few else incoming
-    once = incoming.select(*[quoted(c) for c in names])
-    refused = refused.unionByName(_because(_superseded(staged, once), SUPERSEDED))
-    options = dict(effective=effective, begin_offset_days=begin_offset_days, hot=None if few else hot)
-    unseen = cut_lineage(insert_only(once, current, keys, small=few))
+    refused = refused.unionByName(_because(_superseded(staged, incoming, few), SUPERSEDED)).drop(ROW)
+    incoming = incoming.drop(ROW)
+    current = target.where((quoted(layout.current) == 1) & ~_null_key(target, keys))
+    paired = _paired(current, incoming, layout, few)
+    timing = (layout, batch_ts, effective, begin_offset_days)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.select(*[quoted(c) for c in names])
 
+    unseen, unchanged = paired.unseen, paired.unchanged
     if rules.number_first:
-        versions = new_versions(current, side, layout, batch_ts, changed_only=False, **options)
-        versions = cut_lineage(versions)
+        versions = _following(paired.stored, current, incoming, *timing)
         if rules.compare == "global":
             content = versions.select(*[quoted(c) for c in layout.content])
-            small = fits_broadcast(content)
             versions = cut_lineage(
-                content_anti_join(
-                    versions, target, layout.content, scope="global",
-                    hot=None if small else find_hot_keys(content, layout.content), small=small,
-                )
+                content_anti_join(versions, target, layout.content, scope="global", small=fits_broadcast(content))
             )
-        added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
+            seen = _without_rows(incoming, unseen, keys, few)
+            unchanged = _without_rows(seen, versions, keys, few)
+        else:
+            unchanged = unchanged.where("false")
+        added, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents, few)
         closing = incoming.select(*[quoted(c) for c in keys + ([effective] if effective else [])])
+        closing_small = few
     else:
-        versions = new_versions(current, side, layout, batch_ts, changed_only=rules.compare != "none", **options)
+        changed = paired.stored if rules.compare == "none" else paired.stored.where(CHANGED)
+        versions = _following(changed, current, incoming, *timing)
         if not unseen.isEmpty():
-            history = target.where((quoted(layout.current) != 1) | quoted(layout.current).isNull())
-            if fits_broadcast(unseen.select(*[quoted(k) for k in keys])):
+            history = target.where(((quoted(layout.current) != 1) | quoted(layout.current).isNull()) & ~_null_key(target, keys))
+            if few or fits_broadcast(unseen.select(*[quoted(k) for k in keys])):
                 history = only_matching(history, unseen, keys)
             else:
-                history = match_one(history, unseen, keys, "left_semi", unique=True, hot=hot)
-            last = cut_lineage(first_match(history, keys, [layout.version], latest=True))
-            versions = versions.unionByName(
-                new_versions(last, unseen, layout, batch_ts, changed_only=False, **options)
-            )
-            unseen = match_one(unseen, last, keys, "left_anti", unique=True)
-        versions = cut_lineage(versions)
-        accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents)
+                history = match_one(probably_matching(history, unseen, keys), unseen, keys, "left_semi", unique=True, hot=hot)
+            last = first_match(history, keys, [layout.version], latest=True)
+            reopened = _paired(last, unseen, layout, few, matching=True)
+            versions = versions.unionByName(_following(reopened.stored, current, incoming, *timing))
+            unseen = reopened.unseen
+        accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents, few)
         added = assign_surrogate_keys(accepted, base, layout.surrogate, keys)
-        closing = added.select(*[quoted(c) for c in keys])
+        closing = accepted.select(*[quoted(c) for c in keys])
         if effective:
             ended = plus_days(layout.begin, -begin_offset_days).alias(effective)
-            closing = added.select(*[quoted(c) for c in keys], ended)
+            closing = accepted.select(*[quoted(c) for c in keys], ended)
+        # No more keys than were staged; the rows come from the checkpoint folder, so measuring them is cheap.
+        closing_small = few or fits_broadcast(closing)
 
     added = align(added, target.schema)
-    unchanged = match_one(match_one(once, unseen, keys, "left_anti", unique=True), versions, keys, "left_anti")
-    rejected = union_rows(rejected, _because(unseen, NOT_STORED), refused)
-    # The closing keys come from rows in the checkpoint folder, so measuring them is cheap.
+    rejected = union_rows(rejected, _because(plain(unseen), NOT_STORED), refused)
     stored = expire(
         target, closing, layout, batch_ts,
-        all_versions=rules.expire_all, effective=effective, small=fits_broadcast(closing), hot=hot,
+        all_versions=rules.expire_all, effective=effective, small=closing_small, hot=hot,
     )
-    return Merged(union_rows(stored, added), added, rejected, unchanged, closing)
+    return Merged(union_rows(stored, added), added, rejected, plain(unchanged), closing)
+
+
+def _without_rows(rows: DataFrame, others: DataFrame, keys: Sequence[str], small: bool) -> DataFrame:
+    """Rows whose key ``others`` do not have; both hold staged keys only."""
+    others = others.select(*[quoted(k) for k in keys])
+    return match_one(rows, F.broadcast(others.distinct()) if small else others, keys, "left_anti", unique=small)

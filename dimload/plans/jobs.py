@@ -3,7 +3,8 @@
 The frame-to-frame part of a load has a name of its own (``refreshed_customers``
 and so on), so it can be used and tested without tables. Run order:
 ``insert_customers``, ``insert_addresses``, ``refresh_customers`` (or the three
-single-feed refreshes), ``update_addresses``, ``set_address_keys``.
+single-feed refreshes), ``update_addresses``, ``set_address_keys``. Of several loads of one
+table at a time one goes on, the others raise ``LeaseHeld``.
 
 ``batch_ts`` is the time of the load. Of several staged rows of one key the latest is
 used: the last by the times and then the other columns named here, a row without a
@@ -12,7 +13,8 @@ time before those that have one.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +25,7 @@ from ..operators import (
     HotKeys,
     advance_registry,
     assign_surrogate_keys,
+    changed_rows,
     expire,
     find_hot_keys,
     first_match,
@@ -40,7 +43,19 @@ from ..operators import (
     upsert_replace,
 )
 from ..operators.skew import SALT
-from ..sources import append, cut_lineage, partition_columns, recover, replace, replace_open, require_table
+from ..functions.scalars import void_flag
+from ..sources import (
+    Lease,
+    append,
+    cut_lineage,
+    lease,
+    partition_columns,
+    recover,
+    replace,
+    replace_open,
+    require_table,
+    rewrite_rows,
+)
 from . import feeds
 from .layout import ADDRESS_LAYOUT, ADDRESS_ROLES, CONTACT_ALSO_ERASED, Tables
 
@@ -62,6 +77,9 @@ def contact_order() -> OrderBy:
     return [*[F.col(c).try_cast("timestamp") for c in CONTACT_TIMES], *CONTACT_ORDER]
 
 
+#: Seconds to wait for the registry while another load reads or raises it.
+REGISTRY_WAIT = 300.0
+
 Hot = HotKeys | Callable[[], HotKeys] | None
 
 
@@ -88,17 +106,21 @@ def customers_to_insert(
     rows = feeds.new_customers(staged, batch_ts)
     few = fits_broadcast(rows.select(*CUSTOMER))
     hot = None if few else find_hot_keys(rows, CUSTOMER)
-    new = insert_only(rows, target, CUSTOMER, unique=True, null_safe=True, small=few, hot=hot)
+    new = insert_only(rows, target, CUSTOMER, unique=True, null_safe=True, small=few, hot=hot, prefilter=True)
     if on_duplicate != "keep":
         new = first_match(new, CUSTOMER, ORGANISATION_ORDER, latest=on_duplicate == "latest")
     return assign_surrogate_keys(new, base, CUSTOMER_KEY, CUSTOMER + ORGANISATION_ORDER)
 
 
-def customers_to_upsert(staged: DataFrame, base: int, batch_ts: BatchTs) -> DataFrame:
-    """Staged customers with new keys, to replace stored ones whole."""
-    return assign_surrogate_keys(
-        feeds.new_customers(staged, batch_ts), base, CUSTOMER_KEY, CUSTOMER + ORGANISATION_ORDER
-    )
+def customers_to_upsert(
+    staged: DataFrame, base: int, batch_ts: BatchTs, target: DataFrame | None = None
+) -> DataFrame:
+    """Staged customers with new keys, to replace stored ones whole; with a ``target``, only
+    those it does not hold already with the same content (keys and batch numbers aside)."""
+    rows = feeds.new_customers(staged, batch_ts)
+    if target is not None:
+        rows = changed_rows(rows, target, CUSTOMER, ignore=[CUSTOMER_KEY, feeds.UPDATED, feeds.INSERTED])
+    return assign_surrogate_keys(rows, base, CUSTOMER_KEY, CUSTOMER + ORGANISATION_ORDER)
 
 
 def contact_refreshed(
@@ -180,7 +202,7 @@ def address_keys_set(
     *,
     current_only: bool = True,
     within: str | None = None,
-    hot: HotKeys | None = None,
+    hot: Hot = None,
 ) -> DataFrame:
     """Customers with the keys of their shipping, billing and marketing address."""
     if current_only:
@@ -233,35 +255,56 @@ def refreshed_customers(
 # Table to table
 
 
-def _ready(spark: SparkSession, *names: str) -> None:
-    """Finish what a load that died left half done, then insist on the tables."""
-    for name in names:
-        recover(spark, name)
-        require_table(spark, name)
+@contextmanager
+def _writing(spark: SparkSession, target: str) -> Iterator[Lease]:
+    """Hold the target's lease, finish what a load that died left half done, insist on the table."""
+    with lease(spark, target) as held:
+        recover(spark, target)
+        require_table(spark, target)
+        yield held
+
+
+def _base(spark: SparkSession, tables: Tables, name: str) -> int:
+    """The last key handed out, from a registry that no load is writing."""
+    with lease(spark, tables.registry, wait=REGISTRY_WAIT):
+        recover(spark, tables.registry)
+        require_table(spark, tables.registry)
+        spark.catalog.refreshTable(tables.registry)
+        return registry_base(spark.table(tables.registry), name)
 
 
 def insert_customers(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), on_duplicate: str = "keep"
 ) -> None:
-    _ready(spark, tables.customer_dim, tables.registry)
-    registry = spark.table(tables.registry)
-    base = registry_base(registry, tables.customer_registry_name)
-    rows = customers_to_insert(
-        spark.table(tables.organisation), spark.table(tables.customer_dim), base, batch_ts, on_duplicate
-    )
-    _take_keys(spark, tables, tables.customer_registry_name, rows, CUSTOMER_KEY, base)
-    append(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim) as held:
+        base = _base(spark, tables, tables.customer_registry_name)
+        rows = customers_to_insert(
+            spark.table(tables.organisation), spark.table(tables.customer_dim), base, batch_ts, on_duplicate
+        )
+        _take_keys(spark, tables, tables.customer_registry_name, rows, CUSTOMER_KEY, base, held)
+        append(rows, tables.customer_dim)
 
 
-def upsert_customers(spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables()) -> None:
-    _ready(spark, tables.customer_dim, tables.registry)
-    base = registry_base(spark.table(tables.registry), tables.customer_registry_name)
-    target = spark.table(tables.customer_dim)
-    rows = customers_to_upsert(spark.table(tables.organisation), base, batch_ts)
-    _take_keys(spark, tables, tables.customer_registry_name, rows, CUSTOMER_KEY, base)
-    few = fits_broadcast(rows.select(*CUSTOMER))
-    hot = None if few else find_hot_keys(target, CUSTOMER)
-    replace(upsert_replace(target, rows, CUSTOMER, small=few, hot=hot), tables.customer_dim)
+def upsert_customers(
+    spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), unchanged: str = "keep"
+) -> None:
+    """Replace stored customers by staged ones, whole, with new keys.
+
+    ``unchanged="keep"`` leaves a customer alone whose stored rows hold just what is staged, so the same
+    extract again changes nothing; ``"replace"`` replaces these too.
+    """
+    if unchanged not in ("keep", "replace"):
+        raise ValueError("unchanged is 'keep' or 'replace'")
+    with _writing(spark, tables.customer_dim) as held:
+        base = _base(spark, tables, tables.customer_registry_name)
+        target = spark.table(tables.customer_dim)
+        staged = spark.table(tables.organisation)
+        rows = customers_to_upsert(staged, base, batch_ts, target if unchanged == "keep" else None)
+        _take_keys(spark, tables, tables.customer_registry_name, rows, CUSTOMER_KEY, base, held)
+        few = fits_broadcast(rows.select(*CUSTOMER))
+        hot = None if few else find_hot_keys(target, CUSTOMER)
+        merged = upsert_replace(target, rows, CUSTOMER, small=few, hot=hot, null_safe=True)
+        replace(merged, tables.customer_dim)
 
 
 def refresh_from_contact(
@@ -272,27 +315,27 @@ def refresh_from_contact(
     on_missing: str = "keep",
     stamp_all: bool = False,
 ) -> None:
-    _ready(spark, tables.customer_dim)
-    target = spark.table(tables.customer_dim)
-    rows = contact_refreshed(
-        target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all,
-        hot=lambda: find_hot_keys(target, CUSTOMER),
-        settled=True,
-    )
-    replace(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim):
+        target = spark.table(tables.customer_dim)
+        rows = contact_refreshed(
+            target, spark.table(tables.contact), batch_ts, on_missing=on_missing, stamp_all=stamp_all,
+            hot=lambda: find_hot_keys(target, CUSTOMER),
+            settled=True,
+        )
+        replace(rows, tables.customer_dim)
 
 
 def refresh_from_organisation(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, on_missing: str = "keep"
 ) -> None:
-    _ready(spark, tables.customer_dim)
-    target = spark.table(tables.customer_dim)
-    rows = organisation_refreshed(
-        target, spark.table(tables.organisation), batch_ts, on_missing=on_missing,
-        hot=lambda: find_hot_keys(target, CUSTOMER),
-        settled=True,
-    )
-    replace(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim):
+        target = spark.table(tables.customer_dim)
+        rows = organisation_refreshed(
+            target, spark.table(tables.organisation), batch_ts, on_missing=on_missing,
+            hot=lambda: find_hot_keys(target, CUSTOMER),
+            settled=True,
+        )
+        replace(rows, tables.customer_dim)
 
 
 def mark_history(
@@ -302,14 +345,14 @@ def mark_history(
     batch_ts: BatchTs | None = None,
     merge_source: str = "deleted",
 ) -> None:
-    _ready(spark, tables.customer_dim)
-    target = spark.table(tables.customer_dim)
-    rows = history_marked(
-        target, spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source,
-        hot=lambda: find_hot_keys(target, CUSTOMER),
-        settled=True,
-    )
-    replace(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim):
+        target = spark.table(tables.customer_dim)
+        rows = history_marked(
+            target, spark.table(tables.history), batch_ts=batch_ts, merge_source=merge_source,
+            hot=lambda: find_hot_keys(target, CUSTOMER),
+            settled=True,
+        )
+        replace(rows, tables.customer_dim)
 
 
 def refresh_customers(
@@ -321,34 +364,34 @@ def refresh_customers(
     current_only: bool = True,
     key_only: bool = False,
 ) -> None:
-    _ready(spark, tables.customer_dim)
-    target = spark.table(tables.customer_dim)
-    rows = refreshed_customers(
-        target,
-        spark.table(tables.organisation),
-        spark.table(tables.contact),
-        spark.table(tables.history),
-        spark.table(tables.address_dim),
-        batch_ts,
-        merge_source=merge_source,
-        current_only=current_only,
-        key_only=key_only,
-        hot=lambda: find_hot_keys(target, CUSTOMER),
-        settled=True,
-    )
-    replace(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim):
+        target = spark.table(tables.customer_dim)
+        rows = refreshed_customers(
+            target,
+            spark.table(tables.organisation),
+            spark.table(tables.contact),
+            spark.table(tables.history),
+            spark.table(tables.address_dim),
+            batch_ts,
+            merge_source=merge_source,
+            current_only=current_only,
+            key_only=key_only,
+            hot=lambda: find_hot_keys(target, CUSTOMER),
+            settled=True,
+        )
+        replace(rows, tables.customer_dim)
 
 
 def set_address_keys(
     spark: SparkSession, batch_ts: BatchTs, tables: Tables = Tables(), *, current_only: bool = True
 ) -> None:
-    _ready(spark, tables.customer_dim)
-    target = spark.table(tables.customer_dim)
-    rows = address_keys_set(
-        target, spark.table(tables.address_dim), batch_ts, current_only=current_only,
-        hot=find_hot_keys(target, [CUSTOMER_KEY]),
-    )
-    replace(rows, tables.customer_dim)
+    with _writing(spark, tables.customer_dim):
+        target = spark.table(tables.customer_dim)
+        rows = address_keys_set(
+            target, spark.table(tables.address_dim), batch_ts, current_only=current_only,
+            hot=lambda: find_hot_keys(target, [CUSTOMER_KEY]),
+        )
+        replace(rows, tables.customer_dim)
 
 
 def insert_addresses(
@@ -366,25 +409,25 @@ def insert_addresses(
     """
     if on_duplicate not in ("keep", "latest", "first"):
         raise ValueError("on_duplicate is 'keep', 'latest' or 'first'")
-    _ready(spark, tables.address_dim, tables.registry)
-    base = registry_base(spark.table(tables.registry), tables.address_registry_name)
-    staged = feeds.address_feed(spark.table(tables.address), created).withColumn("PRIVACY_IND", F.lit(0))
-    loaded = initial_load(
-        staged,
-        spark.table(tables.address_dim),
-        spark.table(tables.customer_dim),
-        base,
-        batch_ts,
-        ADDRESS_LAYOUT,
-        None if on_duplicate == "keep" else ADDRESS_ORDER,
-        latest=on_duplicate == "latest",
-        # A customer may have any number of addresses.
-        hot_parents=find_hot_keys(staged, CUSTOMER),
-    )
-    rejected = cut_lineage(loaded.rejected)
-    _take_keys(spark, tables, tables.address_registry_name, loaded.rows, ADDRESS_KEY, base)
-    append(loaded.rows, tables.address_dim)
-    return rejected
+    with _writing(spark, tables.address_dim) as held:
+        base = _base(spark, tables, tables.address_registry_name)
+        staged = feeds.address_feed(spark.table(tables.address), created).withColumn("PRIVACY_IND", F.lit(0))
+        loaded = initial_load(
+            staged,
+            spark.table(tables.address_dim),
+            spark.table(tables.customer_dim),
+            base,
+            batch_ts,
+            ADDRESS_LAYOUT,
+            None if on_duplicate == "keep" else ADDRESS_ORDER,
+            latest=on_duplicate == "latest",
+            # A customer may have any number of addresses.
+            hot_parents=find_hot_keys(staged, CUSTOMER),
+        )
+        rejected = cut_lineage(loaded.rejected)
+        _take_keys(spark, tables, tables.address_registry_name, loaded.rows, ADDRESS_KEY, base, held)
+        append(loaded.rows, tables.address_dim)
+        return rejected
 
 
 def update_addresses(
@@ -400,60 +443,68 @@ def update_addresses(
 
     Returns the rejected rows with reasons. ``compat`` and ``effective`` as in
     ``scd2_merge``. A table partitioned by its current flag keeps the files of its
-    history: only current rows are written again, and those now closed are added. Void
-    flags of its history are then taken as set when the rows were closed.
+    history: only current rows are written again, those now closed are added, and files
+    with wrong void flags are rewritten.
     """
-    _ready(spark, tables.address_dim, tables.registry)
-    base = registry_base(spark.table(tables.registry), tables.address_registry_name)
-    target = spark.table(tables.address_dim)
-    staged = feeds.address_feed(spark.table(tables.address), created, effective)
-    keys = list(ADDRESS_LAYOUT.natural_key)
-    merged = scd2_merge(
-        target,
-        staged,
-        spark.table(tables.customer_dim),
-        base,
-        batch_ts,
-        ADDRESS_LAYOUT,
-        ADDRESS_ORDER,
-        latest=True,
-        compat=compat,
-        effective=effective,
-        hot=find_hot_keys(target, keys) if compat != "corrected" else None,
-        hot_parents=find_hot_keys(staged, CUSTOMER),
-    )
-    rejected = cut_lineage(merged.rejected)
-    _take_keys(spark, tables, tables.address_registry_name, merged.added, ADDRESS_KEY, base)
-    flag = ADDRESS_LAYOUT.current
-    if compat == "corrected" and partition_columns(spark, tables.address_dim) == [flag]:
-        current = expire(
-            target.where(F.col(flag) == 1), merged.closing, ADDRESS_LAYOUT, batch_ts,
-            effective=effective, small=fits_broadcast(merged.closing),
+    with _writing(spark, tables.address_dim) as held:
+        base = _base(spark, tables, tables.address_registry_name)
+        target = spark.table(tables.address_dim)
+        staged = feeds.address_feed(spark.table(tables.address), created, effective)
+        keys = list(ADDRESS_LAYOUT.natural_key)
+        merged = scd2_merge(
+            target,
+            staged,
+            spark.table(tables.customer_dim),
+            base,
+            batch_ts,
+            ADDRESS_LAYOUT,
+            ADDRESS_ORDER,
+            latest=True,
+            compat=compat,
+            effective=effective,
+            hot=find_hot_keys(target, keys) if compat != "corrected" else None,
+            hot_parents=find_hot_keys(staged, CUSTOMER),
         )
-        # Written once: the rows replace the partition they are read from.
-        current = cut_lineage(current.unionByName(merged.added))
-        open_rows, closed = current.where(F.col(flag) == 1), current.where(F.col(flag) == 0)
-        replace_open(open_rows, closed, tables.address_dim, flag, ADDRESS_KEY)
-    else:
-        replace(merged.table, tables.address_dim)
-    return rejected
+        rejected = cut_lineage(merged.rejected)
+        _take_keys(spark, tables, tables.address_registry_name, merged.added, ADDRESS_KEY, base, held)
+        flag = ADDRESS_LAYOUT.current
+        if compat == "corrected" and partition_columns(spark, tables.address_dim) == [flag]:
+            current = expire(
+                target.where(F.col(flag) == 1), merged.closing, ADDRESS_LAYOUT, batch_ts,
+                effective=effective, small=fits_broadcast(merged.closing),
+            )
+            # Written once: the rows replace the partition they are read from.
+            current = cut_lineage(current.unionByName(merged.added))
+            open_rows, closed = current.where(F.col(flag) == 1), current.where(F.col(flag) == 0)
+            void = void_flag(ADDRESS_LAYOUT.begin, ADDRESS_LAYOUT.end).cast(target.schema[ADDRESS_LAYOUT.void].dataType)
+            wrong = ~F.col(ADDRESS_LAYOUT.void).eqNullSafe(void)
+            rewrite_rows(spark, tables.address_dim, flag, 0, wrong, {ADDRESS_LAYOUT.void: void})
+            replace_open(open_rows, closed, tables.address_dim, flag, ADDRESS_KEY)
+        else:
+            replace(merged.table, tables.address_dim)
+        return rejected
 
 
 class RegistryMoved(Exception):
     pass
 
 
-def _take_keys(spark, tables: Tables, name: str, rows: DataFrame, key: str, base: int) -> None:
+def _take_keys(spark, tables: Tables, name: str, rows: DataFrame, key: str, base: int, held: Lease) -> None:
     """Raise the registry before the rows are written.
 
     A load that stops in between leaves a gap in the keys; the other order could
-    hand out a key twice. If another load has taken keys since ``base`` was read, this
-    one fails and writes nothing.
+    hand out a key twice. Comparing and raising are one step for all loads, by the
+    registry's own lease. If keys were taken since ``base`` was read, or the target's
+    lease was lost, the load fails here and writes nothing.
     """
     used = largest_key(rows, key, base)
-    spark.catalog.refreshTable(tables.registry)
-    now = registry_base(spark.table(tables.registry), name)
-    if now != base:
-        raise RegistryMoved(f"the registry of {name} went from {base} to {now} during the load; run it again")
-    if used > base:
-        replace(advance_registry(spark.table(tables.registry), name, used), tables.registry)
+    with lease(spark, tables.registry, wait=REGISTRY_WAIT) as alone:
+        recover(spark, tables.registry)
+        spark.catalog.refreshTable(tables.registry)
+        now = registry_base(spark.table(tables.registry), name)
+        if now != base:
+            raise RegistryMoved(f"the registry of {name} went from {base} to {now} during the load; run it again")
+        held.check()
+        if used > base:
+            alone.check()
+            replace(advance_registry(spark.table(tables.registry), name, used), tables.registry)

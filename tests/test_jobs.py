@@ -1,5 +1,6 @@
 """The loads on tables with the real columns, in their run order."""
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dimload.operators import registry_base
 from dimload.plans import ADDRESS_SCHEMA, CUSTOMER_SCHEMA, Tables, feeds, jobs
+from dimload.sources import LeaseHeld, append
 from dimload.plans.layout import (
     ACCOUNT,
     ADDRESS_COPIES,
@@ -178,6 +180,62 @@ def test_upsert_customers(spark, tables):
     assert registry_base(spark.table(t.registry), t.customer_registry_name) == 104
 
 
+def test_upsert_can_be_run_again(spark, tables):
+    """The same extract adds and renumbers nothing; a customer without an id is one row."""
+    t = tables
+    text_table(spark, t.organisation, ORGANISATION, [organisation("11"), organisation(None), organisation("12"), organisation("12")])
+    jobs.upsert_customers(spark, DAY1)
+    first = sorted(map(tuple, spark.table(t.customer_dim).collect()), key=repr)
+    assert len(first) == 4 and spark.table(t.customer_dim).where("CUSTOMER_ID IS NULL").count() == 1
+    jobs.upsert_customers(spark, DAY2)
+    assert sorted(map(tuple, spark.table(t.customer_dim).collect()), key=repr) == first
+    assert registry_base(spark.table(t.registry), t.customer_registry_name) == 104
+    text_table(spark, t.organisation, ORGANISATION, [organisation("11"), organisation(None, phone="9995550000"), organisation("12")])
+    jobs.upsert_customers(spark, DAY2)
+    rows = by(spark, t.customer_dim, "CUSTOMER_ID")
+    assert spark.table(t.customer_dim).count() == 3 and tuple(rows[11].values()) in first
+    assert rows[None]["DERIVED_AREA_CODE"] == 999 and rows[12]["CUSTOMER_KEY"] > 104
+    jobs.upsert_customers(spark, DAY3, unchanged="replace")
+    assert {r["UPD_BATCH_NBR"] for r in spark.table(t.customer_dim).collect()} == {20191122100000}
+    assert spark.table(t.customer_dim).count() == 3
+
+
+def test_loads_of_one_table_exclude_each_other(spark, tables, monkeypatch):
+    """A second load that begins while the first one runs writes nothing; no key is handed out twice."""
+    t, largest, refused = tables, jobs.largest_key, []
+
+    def meanwhile(*args):
+        for load in (jobs.insert_customers, jobs.upsert_customers):
+            with pytest.raises(LeaseHeld):
+                load(spark, DAY2)
+            refused.append(load)
+        return largest(*args)
+
+    monkeypatch.setattr(jobs, "largest_key", meanwhile)
+    jobs.insert_customers(spark, DAY1)
+    monkeypatch.undo()
+    assert len(refused) == 2
+    assert {k: v["CUSTOMER_KEY"] for k, v in by(spark, t.customer_dim, "CUSTOMER_ID").items()} == {11: 101, 12: 102}
+    text_table(spark, t.organisation, ORGANISATION, [organisation(str(i)) for i in range(11, 31)])
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(jobs.insert_customers, spark, DAY2) for _ in range(2)]
+    errors = [r.exception() for r in runs]
+    assert all(e is None or isinstance(e, LeaseHeld) for e in errors) and None in errors
+    keys = [r["CUSTOMER_KEY"] for r in spark.table(t.customer_dim).collect()]
+    assert sorted(keys) == list(range(101, 121))
+
+
+def test_loads_of_two_tables_share_the_registry(spark, tables):
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    text_table(spark, t.organisation, ORGANISATION, [organisation(str(i)) for i in range(11, 21)])
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(jobs.insert_customers, spark, DAY2), pool.submit(jobs.insert_addresses, spark, DAY2, created="compact")]
+    assert [r.exception() for r in runs] == [None, None]
+    registry = {r["TABLE_NAME"]: r["MAX_VALUE_KEY"] for r in spark.table(t.registry).collect()}
+    assert registry == {t.customer_registry_name: 110, t.address_registry_name: 502}
+
+
 def test_duplicate_staged_customers(spark, tables):
     staged = spark.table(tables.organisation)
     staged = staged.union(staged.where(F.col(ACCOUNT) == "11"))
@@ -272,7 +330,7 @@ def history_files(spark, table):
     return {tuple(r) for r in files.distinct().collect()}
 
 
-@pytest.mark.parametrize("stops_at", [None, "INSERT OVERWRITE", "append"])
+@pytest.mark.parametrize("stops_at", [None, "SET LOCATION", "append"])
 def test_history_partition_is_left_alone(spark, tables, monkeypatch, stops_at):
     """Only current rows are written; whatever stops the load, the next one finishes it."""
     from dimload.sources import tables as store
@@ -311,6 +369,39 @@ def test_history_partition_is_left_alone(spark, tables, monkeypatch, stops_at):
     assert not spark.catalog.tableExists(f"{t.address_dim}__closed")
 
 
+def test_void_flags_of_history_files(spark, tables):
+    """The partition path marks history as the other does, and leaves files with right flags as they are."""
+    t = tables
+    jobs.insert_customers(spark, DAY1)
+    jobs.insert_addresses(spark, DAY1, created="compact")
+    for day, line in (("2019-11-21 10:00:00", "B st"), ("2019-11-21 11:00:00", "C st"), ("2019-11-28 10:00:00", "D st")):
+        text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", line)])
+        jobs.update_addresses(spark, day)
+    whole = spark.table(t.address_dim).collect()
+    spark.createDataFrame(whole, ADDRESS_SCHEMA).write.mode("overwrite").saveAsTable("whole_dim")
+    partitioned(spark, t.address_dim)
+    # One more file of history, whose flags are right.
+    right = spark.table("whole_dim").where("ADDR_LINE1_TXT = 'A st'").withColumn("CUSTOMER_ADDRESS_KEY", F.lit(9))
+    append(right, t.address_dim)
+    before = history_files(spark, t.address_dim)
+    wrong = spark.table(t.address_dim).where("ETL_CURRENT_IND = 0 AND VOID_IND <> int(ETL_BEGIN_EFFECTIVE_DT > ETL_END_EFFECTIVE_DT)")
+    wrong = {r["file_path"] for r in wrong.select("_metadata.file_path").collect()}
+    text_table(spark, t.address, ADDRESS, [address("11", "SHIPADDR0", "E st")])
+    jobs.update_addresses(spark, "2019-12-01 10:00:00")
+    after = history_files(spark, t.address_dim)
+    rows = spark.table(t.address_dim).where("CUSTOMER_ADDRESS_KEY <> 9")
+    by_partition = sorted(map(tuple, rows.select(*ADDRESS_SCHEMA.names).collect()), key=repr)
+    spark.sql(f"DROP TABLE {t.address_dim}")
+    spark.createDataFrame(whole, ADDRESS_SCHEMA).write.saveAsTable(t.address_dim)
+    names = [(t.customer_registry_name, 102), (t.address_registry_name, 505)]
+    spark.createDataFrame(names, "TABLE_NAME string, MAX_VALUE_KEY long").write.insertInto(t.registry, overwrite=True)
+    jobs.update_addresses(spark, "2019-12-01 10:00:00")
+    full = sorted(map(tuple, spark.table(t.address_dim).select(*ADDRESS_SCHEMA.names).collect()), key=repr)
+    assert by_partition == full and sum(r["VOID_IND"] for r in spark.table(t.address_dim).collect()) > 0
+    assert wrong and {f for f, _ in before - after} == wrong and before & after
+    spark.sql("DROP TABLE whole_dim")
+
+
 @pytest.mark.parametrize("source,key,origin", [("deleted", 11, 99), ("survivor", 99, 11), ("same", 11, 11)])
 def test_merge_direction(spark, tables, source, key, origin):
     (row,) = feeds.merge_feed(spark.table(tables.history), source).collect()
