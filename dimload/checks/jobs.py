@@ -266,6 +266,27 @@ def job_upsert_customers(spark, sf):
     return s.result("customer_dim")
 
 
+WITHOUT_IDS = {**NEW_CUSTOMER, "CUSTOMER_ID": "CASE WHEN c_custkey % 10 <> 0 THEN c_custkey END"}
+
+
+@query(f"""
+SELECT {columns(CUSTOMER_TYPES, {"CUSTOMER_KEY": f"{CUSTOMER_BASE} + row_number() OVER (ORDER BY {WITHOUT_IDS['CUSTOMER_ID']} NULLS FIRST, substr(c_name, 16, 3) || substr(c_name, 10), c_name)", **WITHOUT_IDS})}
+FROM customer WHERE c_mktsegment = 'BUILDING'
+UNION ALL
+SELECT {columns(CUSTOMER_TYPES, STORED)} FROM customer WHERE c_mktsegment <> 'BUILDING' OR c_custkey % 10 = 0
+""")
+def job_upsert_rerun(spark, sf):
+    """The same extract three times, some customers without an id: all but the first run change nothing."""
+    s = Scratch(spark, sf)
+    s.put("customer_dim", stored_customers(s.t.customer))
+    some = organisation(s.t.customer.where("c_mktsegment = 'BUILDING'"))
+    some = some.withColumn(ACCOUNT, F.when(F.col(ACCOUNT).cast("long") % 10 != 0, F.col(ACCOUNT)))
+    s.put("organisation", some)
+    for batch in (BATCH_TS, "2019-11-23 10:00:00", "2019-11-24 10:00:00"):
+        loads.upsert_customers(spark, batch, s.tables)
+    return s.result("customer_dim")
+
+
 @query(f"WITH {LATEST} SELECT {columns(CUSTOMER_TYPES, laid_over(STORED, 'c.rn', FROM_CONTACT))} FROM {JOINED}")
 def job_refresh_contact(spark, sf):
     s = Scratch(spark, sf)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from .. import operators
 from ..operators import (
     Feed,
     advance_registry,
@@ -10,6 +11,7 @@ from ..operators import (
     first_match,
     insert_only,
     largest_key,
+    lookup_overlay,
     overlay,
     overlay_chain,
     project,
@@ -19,6 +21,7 @@ from ..operators import (
     union_rows,
     upsert_replace,
     with_registry_base,
+    without_copies,
 )
 from .registry import TestTables, query
 
@@ -167,6 +170,14 @@ def insert_only_new(spark, sf):
     return insert_only(t.customer, t.events.select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')")
+def insert_only_prefiltered(spark, sf):
+    """Staged keys as if they were too many to copy: a Bloom filter of them goes to the target's scan."""
+    t = TestTables(spark, sf)
+    stored = t.customer.where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    return insert_only(t.orders.select("o_orderkey", "o_custkey"), stored, ["o_custkey"], unique=True, prefilter=True)
+
+
 @query("""
 SELECT o_orderkey, o_custkey, o_orderpriority FROM orders n WHERE o_orderdate >= TIMESTAMP '2000-01-01'
 AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderdate < TIMESTAMP '2000-01-01' AND o.o_custkey = n.o_custkey AND o.o_orderpriority = n.o_orderpriority)
@@ -224,12 +235,35 @@ def registry_cross(spark, sf):
 
 @query("SELECT DISTINCT user_id FROM events")
 def distinct_keys(spark, sf):
-    return TestTables(spark, sf).events.select("user_id").distinct()
+    return operators.distinct_keys(TestTables(spark, sf).events, ["USER_ID"])
 
 
 @query("SELECT DISTINCT o_custkey, o_orderpriority, o_orderstatus FROM orders")
 def drop_duplicates(spark, sf):
-    return TestTables(spark, sf).orders.select("o_custkey", "o_orderpriority", "o_orderstatus").dropDuplicates()
+    return without_copies(TestTables(spark, sf).orders.select("o_custkey", "o_orderpriority", "o_orderstatus"))
+
+
+@query("""
+SELECT 'key ' || c_custkey AS customer, c_nationkey AS nation, n_name AS nation_name, c_acctbal AS balance
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND n_name < 'M'
+""")
+def plain_functions(spark, sf):
+    """What pipelines do by classes of their own, as functions from frame to frame: a step of
+    several operators, rows to none or one, a side table, filters, a key beside each row."""
+    t = TestTables(spark, sf)
+
+    def above(rows, column, least):
+        return rows.where(F.col(column) > least)
+
+    def with_nations(rows, nations):
+        return lookup_overlay(rows, nations, ["nation"], unique=True).where("nation_name < 'M'")
+
+    def keyed(rows):
+        return rows.withColumn("customer", F.concat(F.lit("key "), F.col("customer").cast("string")))
+
+    nations = project(t.nation, {"nation": "n_nationkey", "nation_name": "n_name"})
+    rows = project(t.customer, {"customer": "c_custkey", "nation": "c_nationkey", "balance": "c_acctbal"})
+    return rows.transform(above, "balance", 0).transform(with_nations, nations).transform(keyed)
 
 
 @query("""

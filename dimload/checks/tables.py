@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..operators import project, without_keys
-from ..sources import append, cut_lineage, replace, scan, scratch_dir
+from ..sources import TableMissing, append, cut_lineage, replace, replace_open, rewrite_rows, scan, scratch_dir
 from .registry import TestTables, query
 
 
@@ -34,6 +34,46 @@ def scan_full_table(spark, sf):
     return table.result(scan(spark, table.name))
 
 
+@query("SELECT *, 1 AS refused FROM supplier")
+def target_must_exist(spark, sf):
+    """A write without its target is refused, makes no table and loses no rows."""
+    suppliers = TestTables(spark, sf).supplier
+    table = ScratchTable(spark, suppliers)
+    missing, refused = f"{table.database}.missing", []
+    for write in (append, replace):
+        try:
+            write(suppliers, missing)
+        except TableMissing:
+            refused.append(not spark.catalog.tableExists(missing))
+    append(suppliers, table.name)
+    return table.result(scan(spark, table.name).withColumn("refused", F.lit(int(refused == [True, True]))))
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_totalprice > 300000 THEN 'large' ELSE o_orderpriority END AS o_orderpriority,
+       CAST(o_orderdate >= TIMESTAMP '2000-01-01' AS INTEGER) AS is_open
+FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' OR o_orderstatus <> 'F'
+UNION ALL
+SELECT o_orderkey, 'X', CASE WHEN o_totalprice > 300000 THEN 'large' ELSE o_orderpriority END, 0
+FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus = 'F'
+""")
+def replace_one_partition(spark, sf):
+    """Closes open rows of a table partitioned by its open flag, and corrects rows of both partitions."""
+    orders = TestTables(spark, sf).orders
+    is_open = (F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).cast("int")
+    rows = orders.select("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice", is_open.alias("is_open"))
+    table = ScratchTable(spark, rows, "PARTITIONED BY (is_open)")
+    append(rows, table.name)
+    wrong, right = F.col("o_totalprice") > 300000, {"o_orderpriority": F.lit("large")}
+    rewrite_rows(spark, table.name, "is_open", 0, wrong, right)
+    current = cut_lineage(scan(spark, table.name, where="is_open = 1"))
+    closed = current.where("o_orderstatus = 'F'").withColumns({"o_orderstatus": F.lit("X"), "is_open": F.lit(0)})
+    replace_open(current.where("o_orderstatus <> 'F'"), closed, table.name, "is_open", "o_orderkey")
+    for flag in (0, 1):
+        rewrite_rows(spark, table.name, "is_open", flag, wrong & (F.col("o_orderpriority") != "large"), right)
+    return table.result(scan(spark, table.name).select("o_orderkey", "o_orderstatus", "o_orderpriority", "is_open"))
+
+
 @query("SELECT event_id, user_id, ts FROM events WHERE event_type = 'error'")
 def filter_record_type(spark, sf):
     events = TestTables(spark, sf).events
