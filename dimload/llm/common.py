@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import hashlib
+import os
+import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -45,17 +50,41 @@ def share_below(key: Column, share: Column | float) -> Column:
     return F.pmod(F.xxhash64(key, F.lit("share")), F.lit(1 << 30)) < F.lit(float(1 << 30)) * share
 
 
+def hand_back() -> None:
+    """Return memory that is free to the system. Spark keeps a Python worker for later tasks,
+    and with it, idle or not, all that the worker's allocators hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def handing_back(f: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``f`` over the batches of a task; what it held is returned before the task ends."""
+
+    def over(batches):
+        yield from f(batches)
+        hand_back()
+
+    return over
+
+
+_WHITE = re.compile(rb"[\x09-\x0d ]")
+
+
 class WordIndex:
     """Numbers the distinct words of texts, for what is worked out once a word.
 
     Words are byte strings up to one of the six ASCII white-space characters. They are
-    known by 64 bits: a polynomial hash and the length of up to ``LONG`` bytes, Python's
-    hash of longer ones. ``learn`` gets new words in the order of their numbers. The index
+    known by 64 bits: a polynomial hash and the length of up to ``LONG`` bytes, BLAKE2 of
+    longer ones; both by keys drawn for the index, so no text can hold a pair of words made to agree.
+    ``learn`` gets new words in the order of their numbers. The index
     empties itself, and calls ``forget``, before it holds many more than ``most`` words.
-    Texts are looked at in windows of about ``window`` bytes."""
+    Texts are looked at in windows of ``window`` bytes at most; a longer word alone, by its BLAKE2."""
 
     LONG = 48
-    _P = 0x9E3779B97F4A7C15
 
     def __init__(self, learn: Callable[[list[bytes]], None], forget: Callable[[], None], most: int, window: int):
         self.learn, self.forget, self.most, self.window = learn, forget, most, window
@@ -63,10 +92,14 @@ class WordIndex:
         self.white = np.zeros(256, bool)
         self.white[[9, 10, 11, 12, 13, 32]] = True
         self.powers = self.inverse = np.ones(1, np.uint64)
+        self.base, self.key = int.from_bytes(os.urandom(8), "little") | 1, os.urandom(16)
+
+    def _long(self, word: bytes) -> int:
+        return int.from_bytes(hashlib.blake2b(word, digest_size=8, key=self.key).digest(), "little")
 
     def _prepare(self, n: int) -> None:
         if len(self.powers) <= n:
-            steps = np.full(n + 1, self._P, np.uint64), np.full(n + 1, pow(self._P, -1, 1 << 64), np.uint64)
+            steps = np.full(n + 1, self.base, np.uint64), np.full(n + 1, pow(self.base, -1, 1 << 64), np.uint64)
             for s in steps:
                 s[0] = 1
             self.powers, self.inverse = (np.multiply.accumulate(s) for s in steps)
@@ -84,7 +117,11 @@ class WordIndex:
         length = stop - start
         key = (sums[stop] - sums[start]) * self.inverse[start] ^ (length.astype(np.uint64) << np.uint64(57))
         for i in np.flatnonzero(length > self.LONG).tolist():
-            key[i] = hash(text[start[i] : stop[i]]) & 0xFFFFFFFFFFFFFFFF
+            key[i] = self._long(text[start[i] : stop[i]])
+        return start, self._numbered(text, start, stop, key)
+
+    def _numbered(self, text: bytes, start: np.ndarray, stop: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The numbers of words with these keys; new ones are learned."""
         order = np.argsort(key)
         key = key[order]
         new = np.concatenate([[True], key[1:] != key[:-1]])
@@ -104,7 +141,7 @@ class WordIndex:
             self.numbers = np.insert(self.numbers, place[unknown], number[unknown])
         row = np.empty(len(order), np.int64)
         row[order] = number[np.cumsum(new) - 1]
-        return start, row
+        return row
 
     def rows(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all words in order, and where in them each text ends."""
@@ -115,9 +152,16 @@ class WordIndex:
         places, rows, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while at < len(whole):
             to = min(at + self.window, len(whole))
-            while to < len(whole) and not self.white[whole[to]]:
-                to += 1
-            start, row = self._window(whole[at:to])
+            if to < len(whole) and not self.white[whole[to]]:  # a word goes on: it is left to the next window
+                gaps = np.flatnonzero(self.white[np.frombuffer(whole, np.uint8, to - at, at)])
+                gap = None if len(gaps) else _WHITE.search(whole, to)
+                to = at + int(gaps[-1]) + 1 if len(gaps) else gap.start() if gap else len(whole)
+            part = whole[at:to]
+            if len(part) > self.window:
+                ends = np.array([0]), np.array([len(part)])
+                start, row = ends[0], self._numbered(part, *ends, np.array([self._long(part)], np.uint64))
+            else:
+                start, row = self._window(part)
             places.append(start + at)
             rows.append(row)
             at = to

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.common import Texts, WordIndex, chunks, share_below, utf8
+from dimload.llm.common import Texts, WordIndex, chunks, hand_back, share_below, utf8
 
 ORDER = 5
 #: Of each language so many distinct texts (about) are learned from, chosen by their hash.
@@ -272,6 +272,7 @@ def _entropy_udf(models: LanguageModels):
         for out in models.entropies(map(Texts, texts)):
             ends = np.arange(len(out) + 1, dtype=np.int32) * out.shape[1]
             yield pa.ListArray.from_arrays(pa.array(ends), pa.array(out.ravel()))
+        hand_back()
 
     return entropies
 
@@ -290,6 +291,22 @@ def limits(texts: list[np.ndarray], quantile: float, slack: float, margin: float
     return [limit(t if len(t) else every) if len(every) else float("inf") for t in texts]
 
 
+#: Characters of a token whose n-grams are taken at a time.
+STRETCH = 1000
+
+
+def _grams(padded: Column, order: int) -> Column:
+    """All runs of ``order`` characters of a text that has as many. A substring is counted off from the
+    beginning of a text, so they are taken from stretches of it: else a long text would take its square."""
+
+    def of(stretch: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(stretch) - (order - 1)), lambda i: F.substring(stretch, i, F.lit(order)))
+
+    firsts = F.sequence(F.lit(0), F.floor((F.length(padded) - order) / STRETCH).cast("int"))
+    stretches = F.transform(firsts, lambda k: F.substring(padded, k * STRETCH + 1, F.lit(STRETCH + order - 1)))
+    return F.flatten(F.transform(stretches, of))
+
+
 def train(
     docs: DataFrame,
     text: str = "text",
@@ -329,9 +346,8 @@ def train(
         .agg(F.count("*").alias("n"))
     )
     padded = F.concat(F.lit(BEGIN * (order - 1)), F.col("token"), F.lit(END))
-    places = F.sequence(F.lit(1), F.length("token") + 1)
     grams = (
-        tokens.select("lang", "n", F.explode(F.transform(places, lambda i: F.substring(padded, i, F.lit(order)))).alias("gram"))
+        tokens.select("lang", "n", F.explode(_grams(padded, order)).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
     )
@@ -376,6 +392,7 @@ def identify_udf(models: LanguageModels):
         for out in models.entropies(map(Texts, texts)):
             found = models.decide(out)
             yield pa.StructArray.from_arrays([pa.array(v) for v in found.values()], list(found))
+        hand_back()
 
     return identify
 

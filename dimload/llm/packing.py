@@ -20,12 +20,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from dimload.llm.common import Texts, WordIndex, chunks, utf8
+from dimload.llm.common import Texts, WordIndex, chunks, decided, handing_back, utf8
 from dimload.sources.scratch import cut_lineage
 
 CAPACITY = 2048
 #: Distinct words that a task keeps the ids of, and bytes of text encoded at a time.
-CACHE_WORDS, CHUNK = 600_000, 1 << 20
+CACHE_WORDS, CHUNK = 300_000, 1 << 19
 
 
 # How a tokenizer is set up whose words can be encoded apart. It drops white
@@ -191,7 +191,7 @@ def _pieces(file: str, capacity: int, close: int, keep_ids: bool) -> Callable:
                     columns["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
                 yield pa.RecordBatch.from_pydict(columns)
 
-    return tokenize
+    return handing_back(tokenize)
 
 
 def tokenized(
@@ -343,18 +343,14 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> Plan:
     return Plan(*columns, total)
 
 
-def _deal(plan: Plan, names: list[str]) -> Callable:
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            lengths, ranks = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("length", "rank"))
-            bins, offsets = plan.place(lengths, ranks)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], pa.array(bins), pa.array(offsets)], [*names, "sequence_id", "offset"]
-            )
+def _deal(plan: Plan) -> Callable:
+    """A column function from length and rank to the place of a piece."""
+
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
+        bins, offsets = plan.place(*(x.to_numpy(zero_copy_only=False) for x in (length, rank)))
+        return pa.StructArray.from_arrays([pa.array(bins, pa.int64()), pa.array(offsets, pa.int64())], ["sequence_id", "offset"])
 
-    return deal
+    return F.arrow_udf(place, "sequence_id long, offset long")
 
 
 def pack(
@@ -376,7 +372,8 @@ def pack(
 
     Texts are encoded once and the pieces written to the checkpoint folder. Then each
     piece's rank among all pieces of its length is its rank in its task plus the
-    number in the tasks before: only counts per task and length meet. The driver gets
+    number in the tasks before: only counts per task and length meet. Where these fit they are
+    copied to the executors and the pieces stay in place (see ``decided``). The driver gets
     the histogram of lengths, ``capacity`` rows at most, and the plan sent to the
     tasks is bounded by ``capacity`` too."""
     found = cut_lineage(tokenized(docs, file, doc_id, text, capacity, close, keep_ids))
@@ -385,11 +382,12 @@ def pack(
     plan = plan_packing(histogram, capacity)
     earlier = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     before = counts.select("length", "task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = found.join(before, ["length", "task"]).withColumn("rank", F.col("rank") + F.col("before"))
+    before = before.withColumnsRenamed({"length": "__length", "task": "__task"})
+    on = (F.col("length") == F.col("__length")) & (F.col("task") == F.col("__task"))
+    ranked = decided(found, cut_lineage(before), on, "inner", F.lit(0))
+    placed = ranked.withColumn("at", _deal(plan)("length", F.col("rank") + F.col("before")))
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
-    ranked = ranked.select(*names, "rank")
-    schema = ", ".join(f"{n} {ranked.schema[n].dataType.simpleString()}" for n in names)
-    return ranked.mapInArrow(_deal(plan, names), schema + ", sequence_id long, offset long")
+    return placed.select(*names, "at.sequence_id", "at.offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

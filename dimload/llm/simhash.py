@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dimload.llm.common import as_rows, back, decided, text_key, utf8
+from dimload.llm.common import as_rows, back, decided, hand_back, text_key, utf8
 from dimload.llm.components import connected_components
 from dimload.sources.scratch import cut_lineage
 
@@ -49,6 +49,7 @@ def fingerprint_udf(shingle: int = 3):
     def simhash(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series([fingerprint(x or b"", shingle) for x in batch], dtype="int64")
+        hand_back()
 
     return simhash
 
