@@ -158,11 +158,15 @@ def format_conversations(
     A conversation is rendered whole and encoded once. Turns are in order of ``turn`` (NULL
     first), then role, then text, so ties and repeated rows have one order and all
     stay. A NULL role or text is empty; empty texts of learned roles add nothing to
-    the mask. Rows with a NULL id are one conversation. Other columns are not looked
+    the mask. A row with a NULL id is a conversation of its own. Bytes that are
+    no UTF-8 become U+FFFD. Other columns are not looked
     at; no rows, no rows. The rows of one conversation meet in one task, as it is one
     sequence; what conversations have in common plays no part."""
-    turn_of = F.struct(F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
-    whole = turns.groupBy(F.col(conv_id).alias("conv_id")).agg(F.sort_array(F.collect_list(turn_of)).alias("turns"))
+    said = [F.make_valid_utf8(F.col(c)).alias(n) for c, n in ((role, "role"), (text, "text"))]
+    turn_of = F.struct(F.col(turn).alias("turn"), *said)
+    alone = F.when(F.col(conv_id).isNull(), F.monotonically_increasing_id())
+    whole = turns.groupBy(F.col(conv_id).alias("conv_id"), alone.alias("alone"))
+    whole = whole.agg(F.sort_array(F.collect_list(turn_of)).alias("turns")).drop("alone")
     kind = turns.schema[conv_id].dataType.simpleString()
     form = _formatter(file, template, frozenset(learned))
     return whole.mapInArrow(form, f"conv_id {kind}, {_FORMATTED}")

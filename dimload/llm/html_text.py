@@ -33,6 +33,8 @@ ENDLESS = frozenset("script style textarea title".split())
 FOREIGN = frozenset(["svg", "math"])
 MAIN = frozenset(["article", "main"])
 BOILERPLATE = frozenset("nav header footer aside form menu dialog button".split())
+#: A stray end tag of an inline element doesn't close what is around these.
+AROUND = MAIN | BOILERPLATE
 #: Of a form that is the page's layout, these are left out; controls hold no text or are raw.
 CONTROLS = frozenset(["label", "legend"])
 #: Without an end tag of their own these may hold the rest of the page.
@@ -63,9 +65,10 @@ HINTS = frozenset(
 #: Beside these, a hint tells of the page's layout, not of the element.
 LAYOUT = frozenset("has with without no wrapper layout page".split())
 
+#: A quote opens a value only after an equals sign; elsewhere it is a character like others.
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)",
+    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?>[^>\"'=]+|=\s*(?:\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))|[=\"'])*)(?:>|\Z)",
     re.S,
 )
 _HINTING = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -126,11 +129,12 @@ def _layout(found: list[Boilerplate], words: int) -> frozenset[int]:
     """Those of ``found`` that the page's text stands in; ``words``: all of the page."""
     loose = [e.name == "form" or e.name in SWALLOWING and not e.closed for e in found]
     out = {i for i, e in enumerate(found) if loose[i] and 2 * e.words > words}
+    around: set[int] = set()
     for i, e in enumerate(found):
-        while e.holds_main and i >= 0 and loose[i]:
-            out.add(i)
+        while e.holds_main and i >= 0 and loose[i] and i not in around:
+            around.add(i)
             i = found[i].parent
-    return frozenset(out)
+    return frozenset(out | around)
 
 
 @dataclass
@@ -152,6 +156,9 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
     and the numbers of those that shouldn't be."""
     root = Open("")
     stack, line, found = [root], [], []
+    # How many elements of a name are open, and how many of them since the last one that a
+    # stray end tag doesn't close: so only end tags of open elements look for them.
+    open_, since = Counter(), [Counter()]
     links = at = words = 0
 
     def text(raw: str) -> None:
@@ -162,12 +169,27 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
         kind = "word:boilerplate" if top.boilerplate else "word:link" if links else "word:plain"
         line.append((kind, n, unescaped, False, top.main))
 
+    def enter(element: Open) -> None:
+        stack.append(element)
+        if element.name in AROUND:
+            since.append(Counter())
+        open_[element.name] += 1
+        since[-1][element.name] += 1
+
+    def drop() -> None:
+        name = stack.pop().name
+        open_[name] -= 1
+        since[-1][name] -= 1
+        if name in AROUND:
+            since.pop()
+
     def leave(first: int, closed: bool) -> None:
         for i, element in enumerate(stack[first:]):
             if element.counted:
                 found[element.number].words = words - found[element.number].before
                 found[element.number].closed = closed and not i
-        del stack[first:]
+        while len(stack) > first:
+            drop()
 
     end, lower = len(page), None
     ends: dict[str, dict[int, int]] = {}
@@ -184,13 +206,12 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
         name, top = match["name"].lower(), stack[-1]
         line.append((f"tag:{name}", 0, "", name in BLOCKS, top.main))
         if match["close"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].name == name:
-                    links -= sum(s.name == "a" for s in stack[i:])
-                    leave(i, True)
-                    break
-                if stack[i].name in MAIN | BOILERPLATE and name not in BLOCKS:
-                    break  # a stray end tag doesn't close what is around it
+            if (open_ if name in BLOCKS else since[-1])[name]:
+                i = len(stack) - 1
+                while stack[i].name != name:
+                    i -= 1
+                links -= sum(s.name == "a" for s in stack[i:])
+                leave(i, True)
         else:
             if name in RAW - ENDLESS:
                 if name in FOREIGN and match["rest"].endswith("/"):
@@ -209,7 +230,7 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
             if name in VOID or match["rest"].endswith("/") and name not in BLOCKS and name != "a":
                 continue
             while name in CLOSED_BY.get(stack[-1].name, ()):
-                stack.pop()
+                drop()
             # What is named after something else than the article holds none of it, a main element included.
             top = stack[-1]
             hinted = name not in ("html", "body", "main") and _hinted(match["rest"], top.main or name in MAIN)
@@ -224,7 +245,7 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
             plain = not (counted and number not in layout or in_form and name in CONTROLS)
             boiler = top.boilerplate or hinted or not plain
             main = top.main or name in MAIN and not boiler
-            stack.append(Open(name, boiler, main, top.hinted or hinted, in_form, number, counted))
+            enter(Open(name, boiler, main, top.hinted or hinted, in_form, number, counted))
             links += name == "a"
     leave(1, False)
     return line, _layout(found, words)

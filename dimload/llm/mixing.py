@@ -154,10 +154,11 @@ def mix(
     draws = spark.range(total).select(
         F.floor(F.col("id") / shard).cast("long").alias("shard"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(max(1, total))).alias("hit")
     )
-    draws = draws.withColumn("cell", F.floor(F.col("hit") / width)).join(cells, "cell")
+    draws = draws.withColumn("in_cell", F.floor(F.col("hit") / width))
+    draws = decided(draws, cut_lineage(cells), F.col("in_cell") == F.col("cell"), "inner", F.lit(0))
     counts = draws.where("low <= hit and hit < high").groupBy("sid", "shard").agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    counts = cut_lineage(counts.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
+    counts = cut_lineage(counts.withColumn("chunk", F.floor(F.col("shard") / CHUNK).cast("long")))
+    counts = cut_lineage(_before(counts, "n", "first", ["sid"], ["shard"], "chunk").drop("chunk"))
 
     # Settlement: what one source was drawn too often goes to those drawn too seldom.
     drawn = counts.groupBy("sid").agg(F.sum("n").alias("drawn"))

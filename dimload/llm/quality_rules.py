@@ -59,6 +59,20 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+#: Hashes are looked for in one of so many lists.
+BUCKETS = 64
+
+
+def _buckets(by: Column) -> Column:
+    """``{bucket: hashes}`` as an array, one list a bucket."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.coalesce(by[b], F.array().cast("array<bigint>")))
+
+
+def _is_in(h: Column, buckets: Column) -> Column:
+    """Whether a hash is in such an array, which is empty where there are no hashes."""
+    return (F.size(buckets) > 0) & F.coalesce(F.array_contains(F.get(buckets, F.pmod(h, F.lit(BUCKETS)).cast("int")), h), F.lit(False))
+
+
 def judge(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -68,7 +82,7 @@ def judge(
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, host, text_key``, the measures, ``base_failed``,
-    ``removed`` (hashes of the lines to go), ``words_left`` and ``kept``.
+    ``removed`` (hashes of the lines to go, in ``BUCKETS`` lists by their remainder, or none), ``words_left`` and ``kept``.
 
     A line is normalised and hashed. Per host the distinct documents that carry it are
     counted; copies of one text are one document. A line above ``max_line_docs`` is
@@ -107,21 +121,23 @@ def judge(
     lost = (
         carried.join(frequent, there)
         .where("text_key != first")
+        .groupBy(*content, F.pmod("h", F.lit(BUCKETS)).cast("int").alias("bucket"))
+        .agg(F.collect_set("h").alias("some"))
         .groupBy(*content)
-        .agg(F.collect_set("h").alias("removed"))
-        .select(F.col("host").alias("in_host"), F.col("text_key").alias("in_key"), "removed")
+        .agg(F.map_from_entries(F.collect_list(F.struct("bucket", "some"))).alias("by"))
+        .select(F.col("host").alias("in_host"), F.col("text_key").alias("in_key"), _buckets(F.col("by")).alias("removed"))
     )
     same = (F.col("text_key") == F.col("in_key")) & F.col("host").eqNullSafe(F.col("in_host"))
-    out = rows.join(lost, same, "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<bigint>")))
-    gone = F.filter("lines", lambda x: F.array_contains("removed", x.h))
+    out = rows.join(lost, same, "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<array<bigint>>")))
+    gone = F.filter("lines", lambda x: _is_in(x.h, F.col("removed")))
     out = out.withColumn("words_left", F.col("n_words") - F.aggregate(gone, F.lit(0).cast("long"), lambda a, x: a + x.w))
     out = out.withColumn("kept", ~F.col("base_failed") & (F.col("words_left") >= min_left * F.col("n_words")))
     return out.drop("lines", "in_host", "in_key")
 
 
 def without_lines(text: Column, removed: Column) -> Column:
-    """The text without the lines whose hash is in ``removed``."""
-    lines = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(removed, F.xxhash64(normalised(x))))
+    """The text without the lines whose hash is in ``removed``, see ``judge``."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: ~_is_in(F.xxhash64(normalised(x)), removed))
     return F.when(F.size(removed) == 0, text).otherwise(F.array_join(lines, "\n"))
 
 
@@ -134,7 +150,7 @@ def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged = cut_lineage(judged.dropDuplicates(["of_id", "of_host", "of_key"]))
     rows = as_rows(docs, text, id=doc_id, at=host)
     same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("at").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key"))
-    width = F.coalesce(F.octet_length("of_host"), F.lit(0)) + 8 * F.coalesce(F.size("removed"), F.lit(0))
+    width = F.coalesce(F.octet_length("of_host"), F.lit(0)) + 8 * F.coalesce(F.size(F.flatten("removed")) + BUCKETS, F.lit(0))
     both = decided(rows, judged, same, "left", width).where("judged is null or removed is not null")
     body = F.col("row")[text]
     return back(both, docs, text, F.when(F.col("removed").isNull(), body).otherwise(without_lines(body, F.col("removed"))))

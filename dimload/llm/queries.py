@@ -100,14 +100,14 @@ WITH t AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), e AS (
-  SELECT *, regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g') AS er, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS et FROM t
+  SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS alone, regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g') AS er, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') AS et FROM t
 )
 SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        sum(25 + length(er) + length(et))::BIGINT AS formatted_chars
-FROM e GROUP BY conv_id
+FROM e GROUP BY conv_id, alone
 """
 
 

@@ -18,6 +18,8 @@ from dimload.sources.scratch import cut_lineage
 SEED = 42
 #: A bucket with more distinct fingerprints than this is cut further before its pairs are compared.
 LARGEST_BUCKET = 256
+#: Fingerprints of a task that are indexed under their 64 variants.
+FAN_OUT = 16_000
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -98,9 +100,10 @@ def fingerprint_links(fingerprints: DataFrame, max_bits: int = 2, largest: int =
     if max_bits not in (0, 1, 2):
         raise ValueError("two segments with one wildcard find fingerprints at most two bits apart")
     other = F.when(F.col("key") < F.lit(32 << 32), F.shiftrightunsigned("fp", 32)).otherwise(F.col("fp"))
-    # A few bytes a fingerprint become a thousand: not too many of them in a task.
+    # A few bytes a fingerprint become a thousand: not too many of them in a task. Dealt by another
+    # expression than the fingerprint, by which they may lie already, in fewer tasks.
     tasks = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = fingerprints.select("fp").repartition(tasks, "fp")
+    rows = fingerprints.select("fp").repartition(max(tasks, fingerprints.count() // FAN_OUT), F.xxhash64("fp"))
     rows = rows.select("fp", F.explode(_variants(F.col("fp"), _segments(0, 64))).alias("key"))
     keys, found = ["key"], []
     low_word = F.col("rest").bitwiseAND(F.lit(0xFFFFFFFF))
@@ -156,7 +159,7 @@ def simhash_components(
     )
     rows = cut_lineage(rows)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("text_key")))
-    distinct = rows.groupBy("fp").agg(first.alias("first"))
+    distinct = cut_lineage(rows.groupBy("fp").agg(first.alias("first")))
     links = fingerprint_links(distinct.select("fp"), max_bits, largest)
     member = connected_components(links).select(F.col("node").alias("fp"), F.col("component").alias("root"))
     placed = distinct.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dimload.llm.common import decided
 from dimload.sources.scratch import cut_lineage, scratch_dir
 
 #: Payloads shorter than this are always written in full.
@@ -161,7 +162,7 @@ def write_archives(
     spark = pages.sparkSession
     folder = folder or f"{scratch_dir(spark)}/warc-{uuid.uuid4().hex}"
     body = F.coalesce(F.col(html).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
+    rows = pages.select(F.col(page_id).alias("id"), F.make_valid_utf8(F.col(url).cast("string")).alias("url"), body.alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     first = (
         rows.where(F.length("payload") >= least_bytes)
@@ -169,7 +170,7 @@ def write_archives(
         .agg(F.min("id").alias("first"), F.count("*").alias("n"))
         .where("n > 1 and first is not null")
     )
-    rows = rows.join(first, F.col("digest") == F.col("of"), "left")
+    rows = decided(rows, cut_lineage(first), F.col("digest") == F.col("of"), "left", F.lit(64 + 16))
     refers = F.when(F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first")), F.col("first").cast("string"))
     rows = rows.select(F.col("id").cast("string").alias("id"), "url", "payload", "digest", refers.alias("refers_to"))
     return cut_lineage(rows.mapInArrow(_writer(folder, records), "archive string, records long"))
@@ -229,6 +230,10 @@ def stored_members(file, size: int) -> dict[str, tuple[int, int]]:
     return found
 
 
+#: Ranges that a task reads, about.
+RANGES = 8
+
+
 def _ranges(bytes_at_once: int):
     def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Of each package the byte ranges of its records, neighbours together."""
@@ -276,19 +281,39 @@ _RECORD = pa.schema(
 )
 
 
+#: Bytes of unpacked records passed on at a time, and of packed ones unpacked at a time.
+BATCH, BLOCK = 16 << 20, 1 << 16
+
+
+def _unpacked(data: bytes) -> Iterator[tuple[int, bytes]]:
+    """The gzip members of a range, each with its place. What is beyond a member's end is copied
+    by ``zlib``, so it gets a block at a time, not the rest of the range."""
+    at = 0
+    while at < len(data):
+        begin, unpack, parts = at, zlib.decompressobj(31), []
+        while not unpack.eof:
+            block = data[at : at + BLOCK]
+            if not block:
+                raise ValueError("a record is cut off")
+            parts.append(unpack.decompress(block))
+            at += len(block)
+        at -= len(unpack.unused_data)
+        yield begin, b"".join(parts)
+
+
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for archive, offset, length in zip(*(c.to_pylist() for c in batch.columns)):
             files, path = file_system(archive)
             with files.open_input_file(path) as file:
                 data = file.read_at(length, offset)
-            rows = []
-            while data:
-                unpack = zlib.decompressobj(31)
-                row = parse_record(unpack.decompress(data))
-                rows.append(row | {"archive": archive, "offset": offset})
-                offset += len(data) - len(unpack.unused_data)
-                data = unpack.unused_data
+            rows, size = [], 0
+            for at, record in _unpacked(data):
+                rows.append(parse_record(record) | {"archive": archive, "offset": offset + at})
+                size += len(record)
+                if size >= BATCH:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
+                    rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
 
 
@@ -298,10 +323,14 @@ def read_archives(spark: SparkSession, archives: DataFrame, bytes_at_once: int =
 
     ``payload`` is NULL for a revisit; size and digest are those of the full payload.
     First the directories and indexes are read, then ranges of a few megabytes are
-    dealt to tasks, so one large package is read by many. A package without records
+    dealt to tasks, ``RANGES`` each or fewer, so one large package is read by many. A package without records
     gives none; a damaged one is an error."""
     found = archives.select("archive").mapInArrow(_ranges(bytes_at_once), "archive string, offset long, length long")
-    found = found.repartition("archive", "offset")
+    # Few rows that are much work: without a number of tasks they would be merged into one.
+    found = cut_lineage(found)
+    total = found.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // (RANGES * bytes_at_once))
+    found = found.repartition(tasks, "archive", "offset")
     schema = (
         "archive string, offset long, record_id string, record_type string, url string, refers_to string, "
         "payload_bytes long, payload_digest string, payload binary"

@@ -93,3 +93,14 @@ def test_no_rows(spark):
 def test_markers_that_texts_could_hold():
     with pytest.raises(ValueError):
         ChatTemplate(open="[INST]")
+
+
+def test_rows_without_an_id_and_bytes_that_are_no_text(spark):
+    rows = [(None, k, "assistant", f"no id {k % 2}") for k in range(6)] + [(1, 0, "user", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    broken = F.unhex(F.lit("6F6BFFFE")).cast("string")
+    df = df.withColumn("text", F.when(F.col("conv_id") == 1, broken).otherwise(F.col("text")))
+    formatted = chat.format_conversations(df, FILE)
+    found = chat.digests(formatted).collect()
+    assert sorted((str(r.conv_id), r.n_turns) for r in found) == [("1", 1), *[("None", 1)] * 6]
+    assert "ok�" in next(r.formatted for r in formatted.collect() if r.conv_id == 1)

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -135,3 +137,26 @@ def test_copies_are_learned_from_once(spark):
     pages = [page(f"{NAV}<article><p>{LONG} {i}</p></article><p>x {i}</p>") for i in range(8)]
     once, often = (spark.createDataFrame([(p,) for p in x], "html string") for x in (pages, pages + pages[:1] * 30))
     assert html_text.train(once) == html_text.train(often)
+
+
+def test_a_quote_opens_a_value_only_after_an_equals_sign():
+    weights = dict(html_text.DEFAULT)
+    body = f'<article><p>{LONG} <a href="x"">more</a></p><p title=don\'t>{LONG}</p><p a="b>c" d = \'>\' e>{LONG}</p></article>'
+    assert html_text.extract(page(body), weights) == f"{LONG} more\n{LONG}\n{LONG}"
+    assert html_text.extract(page(f'<p class="a\'b">{LONG}</p><p x\'>{LONG}</p>'), weights) == f"{LONG}\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "<span>" * 30_000 + "</i>" * 10_000,
+        "<i><article>" + "<span>" * 20_000 + "</i>" * 20_000,
+        "<form>" * 40_000 + "<main>words",
+        "<a href=" + "\"x=' " * 50_000,
+        "<p " + "='" * 100_000,
+    ],
+)
+def test_work_grows_with_the_page(text):
+    began = time.process_time()
+    html_text.extract(text, dict(html_text.DEFAULT))
+    assert time.process_time() - began < 3

@@ -1,5 +1,6 @@
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dimload.llm import language_id
+from dimload.llm.common import WordIndex
 from dimload.llm.language_id import BEGIN, END, CharacterModel, LanguageModels
 
 from corpus_data import prose
@@ -183,3 +185,35 @@ def test_copies_count_once(spark):
     a, b = language_id.train(once), language_id.train(often)
     assert all(np.array_equal(x, y) for n in range(1, 6) for x, y in zip(a.grams[n] + a.backoff[n], b.grams[n] + b.backoff[n]))
     assert a.highest == b.highest
+
+
+def test_grams_of_long_texts_in_stretches(spark):
+    texts = ["abcd", "abcde", "x" * 999 + "yz", "".join(chr(97 + k % 23) for k in range(5003))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", language_id._grams(F.col("t"), 4).alias("g"))
+    for r in df.collect():
+        assert r.g == [r.t[i : i + 4] for i in range(len(r.t) - 3)]
+
+
+def test_a_run_of_a_million_letters(spark):
+    rnd = random.Random(1)
+    run = "".join(rnd.choice("abcdefgh") for _ in range(1_000_000))
+    docs = spark.createDataFrame([(run, "xx"), *[(prose(k, 60), "yy") for k in range(10)]], "text string, lang string")
+    began = time.monotonic()
+    found = language_id.identify(docs, language_id.train(docs)).collect()
+    assert time.monotonic() - began < 90
+    assert {r.lang: r.language.lang_pred for r in found}["yy"] == "yy"
+
+
+@pytest.mark.parametrize("window", [8, 64, 1 << 20])
+def test_words_in_windows(window):
+    """Words longer than a window are known alone; each different word is learned once."""
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("abé") for _ in range(rnd.choice([1, 3, 9, 60, 200]))).encode() for _ in range(60)]
+    texts = [b" ".join(rnd.choices(words, k=rnd.randint(0, 30))) + b" \n" * rnd.randint(0, 2) for _ in range(20)]
+    learned = []
+    index = WordIndex(learned.extend, learned.clear, 10_000, window)
+    for _ in range(2):
+        rows, ends = index.rows(texts)
+        assert [learned[k] for k in rows.tolist()] == [w for t in texts for w in t.split()]
+        assert ends.tolist() == [sum(len(t.split()) for t in texts[: i + 1]) for i in range(len(texts))]
+        assert len(learned) == len(set(learned))

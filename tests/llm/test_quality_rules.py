@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -85,3 +86,20 @@ def test_no_python(odd_docs):
     for df in (quality_rules.judge(odd_docs), quality_rules.clean_documents(odd_docs)):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))
+
+
+def test_documents_of_very_many_frequent_lines(spark):
+    """What a document loses is looked for in short lists, not in all that it loses."""
+    shared = [f"a{k} b{k} c{k} d{k} e{k}" for k in range(8000)]
+    docs = [(i, lines(*shared, f"own line {i} " + "some more words " * 30), "en", "a", None) for i in range(12)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    began = time.monotonic()
+    found = {r.doc_id: (r.words_left, r.kept) for r in quality_rules.judge(df).collect()}
+    took = time.monotonic() - began
+    left = len(docs[0][1].split("\n")[-1].split())
+    assert sorted(w for w, _ in found.values())[:11] == [left] * 11 and took < 60
+    assert sum(k for _, k in found.values()) == 1
+    (kept,) = quality_rules.clean_documents(df).collect()
+    assert len(kept.text.split("\n")) == 8001
+    clean = quality_rules.clean_documents(df, min_left=0.0).collect()
+    assert sorted(len(r.text.split("\n")) for r in clean) == [1] * 11 + [8001]

@@ -97,3 +97,15 @@ def test_no_rows(no_docs):
 def test_bits_that_the_index_cannot_find(spark):
     with pytest.raises(ValueError):
         simhash.fingerprint_links(spark.range(1).withColumnRenamed("id", "fp"), 3)
+
+
+def test_fingerprints_are_dealt_before_they_are_indexed(spark, monkeypatch):
+    """Also where they lie by fingerprint already, and in more tasks where there are many."""
+    plans, written = [], simhash.cut_lineage
+    text = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(simhash, "cut_lineage", lambda df: (plans.append(text(df)), written(df))[1])
+    monkeypatch.setattr(simhash, "FAN_OUT", 10)
+    distinct = spark.range(400).select(F.xxhash64("id").alias("fp")).groupBy("fp").agg(F.count("*").alias("n"))
+    simhash.fingerprint_links(distinct, 2)
+    below = plans[0][plans[0].index("Generate explode") :]
+    assert "REPARTITION_BY_NUM" in below and ", 40)" in below.split("REPARTITION_BY_NUM")[0]

@@ -1,3 +1,4 @@
+import gzip
 import hashlib
 import io
 import struct
@@ -111,3 +112,26 @@ def test_changed_payload_is_an_error():
     assert warc.parse_record(record)["payload"] == b"body"
     with pytest.raises(ValueError):
         warc.parse_record(record.replace(b"body", b"bode"))
+
+
+def test_ranges_are_dealt_to_tasks_by_their_bytes(spark):
+    pages = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "repeat(md5(string(id)), 40) AS html").repartition(2)
+    written = warc.write_archives(pages)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64m")
+    few = warc.read_archives(spark, written, bytes_at_once=1 << 20)
+    many = warc.read_archives(spark, written, bytes_at_once=200)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    tasks = [df.select(F.spark_partition_id().alias("p")).distinct().count() for df in (few, many)]
+    assert tasks[0] <= 8 < 20 < tasks[1]
+    assert few.count() == many.count() == 400
+
+
+def test_records_of_a_range_are_unpacked_block_by_block(monkeypatch):
+    records = [bytes([k % 251]) * (k * 37) for k in range(200)]
+    data = b"".join(gzip.compress(r) for r in records)
+    for block in (1, 100, 1 << 16):
+        monkeypatch.setattr(warc, "BLOCK", block)
+        found = list(warc._unpacked(data))
+        assert [r for _, r in found] == records and [a for a, _ in found] == sorted({a for a, _ in found})
+    with pytest.raises(ValueError, match="cut off"):
+        list(warc._unpacked(data[:-3]))
