@@ -59,18 +59,21 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-#: Hashes are looked for in one of so many lists.
+#: More hashes than so many are looked for in one of so many lists.
 BUCKETS = 64
 
 
 def _buckets(by: Column) -> Column:
-    """``{bucket: hashes}`` as an array, one list a bucket."""
-    return F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.coalesce(by[b], F.array().cast("array<bigint>")))
+    """``{bucket: hashes}`` as an array, one list a bucket; of few hashes one list."""
+    every = F.flatten(F.map_values(by))
+    lists = F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.coalesce(by[b], F.array().cast("array<bigint>")))
+    return F.when(F.size(every) <= BUCKETS, F.array(every)).otherwise(lists)
 
 
 def _is_in(h: Column, buckets: Column) -> Column:
     """Whether a hash is in such an array, which is empty where there are no hashes."""
-    return (F.size(buckets) > 0) & F.coalesce(F.array_contains(F.get(buckets, F.pmod(h, F.lit(BUCKETS)).cast("int")), h), F.lit(False))
+    own = F.get(buckets, F.pmod(h, F.greatest(F.size(buckets), F.lit(1))).cast("int"))
+    return F.coalesce(F.array_contains(own, h), F.lit(False))
 
 
 def judge(
@@ -82,7 +85,7 @@ def judge(
     min_left: float = MIN_LEFT,
 ) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, host, text_key``, the measures, ``base_failed``,
-    ``removed`` (hashes of the lines to go, in ``BUCKETS`` lists by their remainder, or none), ``words_left`` and ``kept``.
+    ``removed`` (hashes of the lines to go, in lists by their remainder, see ``_buckets``), ``words_left`` and ``kept``.
 
     A line is normalised and hashed. Per host the distinct documents that carry it are
     counted; copies of one text are one document. A line above ``max_line_docs`` is
@@ -150,7 +153,7 @@ def clean_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     judged = cut_lineage(judged.dropDuplicates(["of_id", "of_host", "of_key"]))
     rows = as_rows(docs, text, id=doc_id, at=host)
     same = F.col("id").eqNullSafe(F.col("of_id")) & F.col("at").eqNullSafe(F.col("of_host")) & (F.col("key") == F.col("of_key"))
-    width = F.coalesce(F.octet_length("of_host"), F.lit(0)) + 8 * F.coalesce(F.size(F.flatten("removed")) + BUCKETS, F.lit(0))
+    width = F.coalesce(F.octet_length("of_host"), F.lit(0)) + 8 * F.coalesce(F.size(F.flatten("removed")) + 2 * F.size("removed"), F.lit(0))
     both = decided(rows, judged, same, "left", width).where("judged is null or removed is not null")
     body = F.col("row")[text]
     return back(both, docs, text, F.when(F.col("removed").isNull(), body).otherwise(without_lines(body, F.col("removed"))))
