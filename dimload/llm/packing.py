@@ -25,7 +25,7 @@ from dimload.sources.scratch import cut_lineage
 
 CAPACITY = 2048
 #: Distinct words that a task keeps the ids of, and bytes of text encoded at a time.
-CACHE_WORDS, CHUNK = 300_000, 1 << 19
+CACHE_WORDS, CHUNK = 600_000, 1 << 19
 
 
 # How a tokenizer is set up whose words can be encoded apart. It drops white
