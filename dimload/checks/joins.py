@@ -245,7 +245,7 @@ def drop_duplicates(spark, sf):
 
 @query("""
 SELECT 'key ' || c_custkey AS customer, c_nationkey AS nation, n_name AS nation_name, c_acctbal AS balance
-FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND n_name < 'M'
+FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0 AND n_nationkey < 12
 """)
 def plain_functions(spark, sf):
     """What pipelines do by classes of their own, as functions from frame to frame: a step of
@@ -256,7 +256,7 @@ def plain_functions(spark, sf):
         return rows.where(F.col(column) > least)
 
     def with_nations(rows, nations):
-        return lookup_overlay(rows, nations, ["nation"], unique=True).where("nation_name < 'M'")
+        return lookup_overlay(rows, nations, ["nation"], unique=True).where("nation < 12")
 
     def keyed(rows):
         return rows.withColumn("customer", F.concat(F.lit("key "), F.col("customer").cast("string")))
