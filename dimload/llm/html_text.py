@@ -1,9 +1,11 @@
 """Main text of web pages: the contiguous region with the highest sum of scores.
 
-A page is a line of words and tags. Words score above zero and tags below, by how
-often tokens of their kind stand inside and outside the main element of pages that
-mark it themselves; words in menus, adverts and the like score below zero too. One
-pass finds the contiguous region with the largest sum.
+A page is a line of words and tags. Weights are learned from pages that mark their
+main element: the log odds of a token inside it against outside. A word's score is the
+sum of those of three things that need no list of names: whether it stands in a link, which
+block it stands in, and how many words that block has. Tags score below zero. One pass
+finds the contiguous region with the largest sum. Names of menus, adverts and the like
+add a fourth weight, below zero, and their words are left out of the region.
 """
 
 from __future__ import annotations
@@ -75,8 +77,9 @@ _HINTING = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\
 _PARTS = re.compile(r"[a-z]+")
 
 #: A token: its kind, its number of words (0 for a tag), the words, whether a block begins
-#: at it, whether it stands in a main element.
-Token = tuple[str, int, str, bool, bool]
+#: at it, whether it stands in a main element; of words, the features beside the kind: whether
+#: in a link, the block around and the number of words in the block.
+Token = tuple[str, int, str, bool, bool, tuple[str, ...]]
 
 
 def _hinted(rest: str, in_main: bool) -> bool:
@@ -110,7 +113,24 @@ def tokens(page: str) -> list[Token]:
     like without an end tag, is no boilerplate if it holds a main element or most of the
     page's words: of such a form labels and buttons are."""
     line, layout = _walk(page, frozenset())
-    return _walk(page, layout)[0] if layout else line
+    return _sized(_walk(page, layout)[0] if layout else line)
+
+
+def _sized(line: list[Token]) -> list[Token]:
+    """The tokens with the size of their block, in powers of two, as a feature of the words."""
+    out, first, words = [], 0, 0
+    for i in range(len(line) + 1):
+        if i == len(line) or line[i][3]:
+            size = f"size:{min(words.bit_length(), LARGEST)}"
+            out += [(*t[:5], (*t[5], size)) if t[1] else t for t in line[first:i]]
+            first, words = i, 0
+        if i < len(line):
+            words += line[i][1]
+    return out
+
+
+#: Blocks of 2 ** (LARGEST - 1) words and more have one weight.
+LARGEST = 7
 
 
 @dataclass
@@ -140,7 +160,8 @@ def _layout(found: list[Boilerplate], words: int) -> frozenset[int]:
 @dataclass
 class Open:
     """An open element: whether it is in boilerplate, in a main element, in a hinted one and in a
-    form that is layout; its own number or that of the one of ``BOILERPLATE`` around it."""
+    form that is layout; its own number or that of the one of ``BOILERPLATE`` around it; the
+    name of the block it is in."""
 
     name: str
     boilerplate: bool = False
@@ -149,6 +170,7 @@ class Open:
     in_form: bool = False
     number: int = -1
     counted: bool = False
+    block: str = ""
 
 
 def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int]]:
@@ -167,7 +189,7 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
         n = len(unescaped.split())
         words += n
         kind = "word:boilerplate" if top.boilerplate else "word:link" if links else "word:plain"
-        line.append((kind, n, unescaped, False, top.main))
+        line.append((kind, n, unescaped, False, top.main, ("word:link" if links else "word:plain", f"block:{top.block}")))
 
     def enter(element: Open) -> None:
         stack.append(element)
@@ -204,7 +226,7 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
         if match["name"] is None:
             continue
         name, top = match["name"].lower(), stack[-1]
-        line.append((f"tag:{name}", 0, "", name in BLOCKS, top.main))
+        line.append((f"tag:{name}", 0, "", name in BLOCKS, top.main, ()))
         if match["close"]:
             if (open_ if name in BLOCKS else since[-1])[name]:
                 i = len(stack) - 1
@@ -245,69 +267,93 @@ def _walk(page: str, layout: frozenset[int]) -> tuple[list[Token], frozenset[int
             plain = not (counted and number not in layout or in_form and name in CONTROLS)
             boiler = top.boilerplate or hinted or not plain
             main = top.main or name in MAIN and not boiler
-            enter(Open(name, boiler, main, top.hinted or hinted, in_form, number, counted))
+            block = name if name in BLOCKS else top.block
+            enter(Open(name, boiler, main, top.hinted or hinted, in_form, number, counted, block))
             links += name == "a"
     leave(1, False)
     return line, _layout(found, words)
 
 
+#: What a page counts in all, inside its main element and outside.
+PAGE = 1_000_000
+
+
 def kind_counts(page: str) -> tuple[Counter, Counter]:
-    """How many words and tags of each kind stand in the main element, and outside."""
-    inside, outside = Counter(), Counter()
-    for kind, words, _, _, main in tokens(page):
-        (inside if main else outside)[kind] += words if kind[0] == "w" else 1
+    """The share of each kind of token and feature of words in the main element, and outside,
+    in parts of ``PAGE``: so a long page counts as a short one. What the main element holds
+    of adverts and the like is outside."""
+    counts = Counter(), Counter()
+    for kind, words, _, _, main, features in tokens(page):
+        found = counts[not main or kind == "word:boilerplate"]
+        if kind[0] == "t":
+            found[kind] += 1
+        for feature in features if words else ():
+            found[feature] += words
+        if kind == "word:boilerplate":
+            found[kind] += words
+    inside, outside = (Counter({k: round(PAGE * n / _size(c, "word:", "tag:")) for k, n in c.items()}) for c in counts)
     return +inside, +outside
 
 
-#: Weights where no page marks its main element.
-DEFAULT = {"word:plain": 1.0, "word:link": 0.1, "word:boilerplate": -1.0, "tag:": -0.5}
-#: In a marked main element words score as plain ones (1 at least), links and all; what is
-#: left out there, and tags, cost next to nothing, so a long advert doesn't part the article.
+def _size(counts: dict[str, int], *groups: str) -> int:
+    """How many tokens of these groups there are; boilerplate is a feature of words, counted as such."""
+    return sum(n for k, n in counts.items() if k.startswith(groups) and k != "word:boilerplate")
+
+
+#: Weights where no page marks its main element; boilerplate's is added to that of the word.
+DEFAULT = {"word:plain": 1.0, "word:link": 0.1, "word:boilerplate": -2.0, "tag:": -0.5}
+#: Words of a main element score this at least, links and all; what is left out there, and
+#: tags, cost next to nothing, so a long advert doesn't part the article.
 MARKED, PASSED_OVER = 1.0, -0.001
-#: Main elements with less than this share of the page's plain words, as teasers, mark nothing.
-FAIR_SHARE = 0.25
 
 
-def weights_from(inside: dict[str, int], outside: dict[str, int]) -> dict[str, float]:
-    """Log odds of inside against outside, with one added to each count. Words outside
-    boilerplate keep a weight above zero (0.1 at least), boilerplate and tags one below
-    (-0.05 at most), nothing is beyond 3; ``tag:`` is the weight of tags never seen."""
-    n_in, n_out = sum(inside.values()) + 1, sum(outside.values()) + 1
+def weights_from(inside: dict[str, int], outside: dict[str, int], page: int = 1) -> dict[str, float]:
+    """Log odds of inside against outside, with one ``page`` added to each count. Words and tags
+    are shares of all tokens, the other features shares of words. Tags have a weight below
+    zero (-0.05 at most), boilerplate too (-0.5); ``tag:`` is that of tags never seen."""
     out = dict(DEFAULT)
+    n_in, n_out = (_size(c, "word:", "tag:") + page for c in (inside, outside))
+    words_in, words_out = (_size(c, "word:") + page for c in (inside, outside))
     for kind in set(inside) | set(outside):
-        odds = math.log((inside.get(kind, 0) + 1) / n_in) - math.log((outside.get(kind, 0) + 1) / n_out)
-        odds = max(-3.0, min(3.0, odds))
-        out[kind] = max(0.1, odds) if kind in ("word:plain", "word:link") else min(-0.05, odds)
+        token = kind.startswith("tag:") or kind in ("word:plain", "word:link")
+        a, b = (n_in, n_out) if token else (words_in, words_out)
+        odds = math.log((inside.get(kind, 0) + page) / a) - math.log((outside.get(kind, 0) + page) / b)
+        out[kind] = min(-0.05, odds) if kind.startswith("tag:") else odds
     out["word:boilerplate"] = min(out["word:boilerplate"], -0.5)
     return out
 
 
-def score(token: Token, weights: dict[str, float], marked: bool = False) -> float:
-    """``marked``: main elements hold the page's text; words outside count as boilerplate."""
-    kind, words, _, _, main = token
-    main = main and marked
+def score(token: Token, weights: dict[str, float], share: float = 0.0) -> float:
+    """``share``: of the page's words, how many stand in main elements. So far the page's own
+    marks are believed: a word outside counts for the text by ``1 - share``, against it by ``share``."""
+    kind, words, _, _, main, features = token
     if kind[0] == "t":
         return PASSED_OVER if main else weights.get(kind, weights["tag:"])
-    if not main:
-        return words * weights["word:boilerplate" if marked else kind]
-    return words * (PASSED_OVER if kind == "word:boilerplate" else max(MARKED, weights["word:plain"]))
+    if not words:
+        return 0.0
+    value = sum(weights.get(f, 0.0) for f in features)
+    if kind == "word:boilerplate":
+        # It is left out of the text, so it never speaks for a region.
+        return words * (PASSED_OVER if main else min(PASSED_OVER, value + weights[kind]))
+    if main:
+        return words * max(MARKED, value)
+    return words * (value * (1 - 2 * share) if value > 0 else value)
 
 
 def extract(page: str, weights: dict[str, float]) -> str:
     """The blocks of the best region, white space as one space, one block a line."""
     line = tokens(page)
-    inside = sum(t[1] for t in line if t[4] and t[0] != "word:boilerplate")
-    outside = sum(t[1] for t in line if not t[4] and t[0] == "word:plain")
-    marked = inside > 0 and inside >= FAIR_SHARE * (inside + outside)
+    words = [(t[1], t[4]) for t in line if t[0] in ("word:plain", "word:link")]
+    share = sum(n for n, main in words if main) / max(1, sum(n for n, _ in words))
     best, best_at, total, start = 0.0, (0, 0), 0.0, 0
     for i, token in enumerate(line):
-        total += score(token, weights, marked)
+        total += score(token, weights, share)
         if total <= 0:
             total, start = 0.0, i + 1
         elif total > best:
             best, best_at = total, (start, i + 1)
     blocks, block = [], []
-    for kind, _, text, breaks, _ in line[slice(*best_at)]:
+    for kind, _, text, breaks, *_ in line[slice(*best_at)]:
         if breaks:
             blocks.append(block)
             block = []
@@ -343,9 +389,9 @@ def train(pages: DataFrame, html_column: str = "html", sample_pages: int = SAMPL
     sample = marked.where(share_below(F.xxhash64("html"), min(1.0, sample_pages / n)))
     sample = sample.withColumn("key", F.xxhash64("html")).dropDuplicates(["key"])
     rows = sample.select(F.explode(count(utf8("html"))).alias("t")).select("t.*")
-    rows = rows.where(F.col("kind").isin([f"tag:{x}" for x in known]) | F.col("kind").startswith("word:"))
+    rows = rows.where(F.col("kind").isin([f"tag:{x}" for x in known]) | ~F.col("kind").startswith("tag:"))
     totals = rows.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()
-    return weights_from({r.kind: r.inside for r in totals}, {r.kind: r.outside for r in totals})
+    return weights_from({r.kind: r.inside for r in totals}, {r.kind: r.outside for r in totals}, PAGE)
 
 
 def main_text(pages: DataFrame, weights: dict[str, float], html_column: str = "html", into: str = "text") -> DataFrame:

@@ -1,3 +1,4 @@
+import re
 import time
 
 import pytest
@@ -160,3 +161,43 @@ def test_work_grows_with_the_page(text):
     began = time.process_time()
     html_text.extract(text, dict(html_text.DEFAULT))
     assert time.process_time() - began < 3
+
+
+def nameless(text):
+    """The page with every telling element as a ``div`` without attributes."""
+    text = re.sub(r"(</?)(article|main|nav|header|footer|aside|form|section)\b", r"\1div", text)
+    return re.sub(r"\s(class|id|role)=(\"[^\"]*\"|[^\s>]+)", "", text)
+
+
+def test_learned_weights_find_the_text_without_names(spark):
+    """Weights learned from pages that mark their article leave out menus, adverts and footers that no name tells."""
+    def article(i):
+        paragraphs = "".join(f"<p>{' '.join([f'w{i}x{k}'] * (20 + 3 * k))}</p>" for k in range(4))
+        return f"<h1>About the number {i}</h1>{paragraphs}<p>{LONG}</p>"
+
+    def whole(i):
+        return page(f"{NAV}<div class=ad>Buy one of these now, {i} left</div><article>{article(i)}</article><footer>All rights with us, {i}</footer>")
+
+    weights = html_text.train(spark.createDataFrame([(whole(i),) for i in range(60)], "html string"))
+    for i in range(60, 80):
+        marked = html_text.extract(whole(i), weights)
+        assert marked.startswith(f"About the number {i}\n") and marked.endswith(LONG)
+        assert html_text.extract(nameless(whole(i)), weights) == marked
+    assert weights["word:link"] < 0 < weights["size:5"] and weights["block:li"] < 0 < weights["block:p"]
+
+
+def test_main_elements_are_believed_by_their_share():
+    """Words outside count less the more of the page main elements hold, and nothing from one half on."""
+    token = ("word:plain", 5, "a b c d e", False, False, ("word:plain", "block:p"))
+    scores = [html_text.score(token, html_text.DEFAULT, k / 10) for k in range(11)]
+    assert scores == sorted(scores, reverse=True) and scores[0] == 5 and scores[5] == 0 and scores[10] == -5
+    # A word that scores below zero anyway stays there; inside, marks only add.
+    assert html_text.score(token, html_text.DEFAULT | {"word:plain": -1.0}, 1.0) == -5
+    inside = (*token[:4], True, token[5])
+    assert html_text.score(inside, html_text.DEFAULT | {"word:plain": -1.0}, 0.1) == 5
+
+
+def test_pages_count_alike_however_long():
+    short, long = (html_text.kind_counts(page(f"{NAV}<article>{'<p>a b c d</p>' * n}</article>")) for n in (1, 1000))
+    for a, b in zip(short, long):
+        assert abs(a["size:3"] - b["size:3"]) <= 1 and a["word:link"] == b["word:link"]
