@@ -307,17 +307,17 @@ DEFAULT = {"word:plain": 1.0, "word:link": 0.1, "word:boilerplate": -2.0, "tag:"
 MARKED, PASSED_OVER = 1.0, -0.001
 
 
-def weights_from(inside: dict[str, int], outside: dict[str, int], page: int = 1) -> dict[str, float]:
-    """Log odds of inside against outside, with one ``page`` added to each count. Words and tags
+def weights_from(inside: dict[str, int], outside: dict[str, int], added: int = 1) -> dict[str, float]:
+    """Log odds of inside against outside, with ``added`` to each count. Words and tags
     are shares of all tokens, the other features shares of words. Tags have a weight below
     zero (-0.05 at most), boilerplate too (-0.5); ``tag:`` is that of tags never seen."""
     out = dict(DEFAULT)
-    n_in, n_out = (_size(c, "word:", "tag:") + page for c in (inside, outside))
-    words_in, words_out = (_size(c, "word:") + page for c in (inside, outside))
+    n_in, n_out = (_size(c, "word:", "tag:") + added for c in (inside, outside))
+    words_in, words_out = (_size(c, "word:") + added for c in (inside, outside))
     for kind in set(inside) | set(outside):
         token = kind.startswith("tag:") or kind in ("word:plain", "word:link")
         a, b = (n_in, n_out) if token else (words_in, words_out)
-        odds = math.log((inside.get(kind, 0) + page) / a) - math.log((outside.get(kind, 0) + page) / b)
+        odds = math.log((inside.get(kind, 0) + added) / a) - math.log((outside.get(kind, 0) + added) / b)
         out[kind] = min(-0.05, odds) if kind.startswith("tag:") else odds
     out["word:boilerplate"] = min(out["word:boilerplate"], -0.5)
     return out
@@ -391,7 +391,8 @@ def train(pages: DataFrame, html_column: str = "html", sample_pages: int = SAMPL
     rows = sample.select(F.explode(count(utf8("html"))).alias("t")).select("t.*")
     rows = rows.where(F.col("kind").isin([f"tag:{x}" for x in known]) | ~F.col("kind").startswith("tag:"))
     totals = rows.groupBy("kind").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).collect()
-    return weights_from({r.kind: r.inside for r in totals}, {r.kind: r.outside for r in totals}, PAGE)
+    # A tenth of a page: a kind found on a few pages alone decides little, one on all of them does.
+    return weights_from({r.kind: r.inside for r in totals}, {r.kind: r.outside for r in totals}, PAGE // 10)
 
 
 def main_text(pages: DataFrame, weights: dict[str, float], html_column: str = "html", into: str = "text") -> DataFrame:
