@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from dimload.llm import language_id, mixing, packing, quality_rules, simhash
+from dimload.sources import files
 from dimload.sources.scratch import scratch_dir
 
 
@@ -49,10 +50,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written and read again."""
+    """All stages over ``documents``; what a stage returns is written and read again.
+
+    A stage's rows are deleted once the next one's are written; the last one's stay for the caller."""
     folder = f"{scratch_dir(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:
+            files.delete(spark, f"{folder}/{k - 1}")
     return docs

@@ -4,7 +4,6 @@ Which staged column fills which target column is written out twice, here by stag
 and below by target name, so that a swapped pair shows.
 """
 
-import uuid
 from dataclasses import fields
 
 from pyspark.sql import functions as F
@@ -22,9 +21,9 @@ from ..plans.layout import (
     NEW_CUSTOMER_ZEROES,
     SHIPPING,
 )
-from ..sources import cut_lineage, scratch_dir
+from ..sources import cut_lineage
 from .customers import history
-from .registry import BATCH_TS, TestTables, plain_times, query
+from .registry import BATCH_TS, TestTables, plain_times, query, scratch_database
 
 FIRST_BATCH = "2019-11-20 10:00:00"
 CUSTOMER_BASE, ADDRESS_BASE = 3000000, 2000000
@@ -35,8 +34,7 @@ class Scratch:
 
     def __init__(self, spark, sf):
         self.spark, self.t = spark, TestTables(spark, sf)
-        self.database = f"dimload_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_dir(spark)}/{self.database}'")
+        self.database = scratch_database(spark)
         place = {f.name: f"{self.database}.{f.default}" for f in fields(Tables) if not f.name.endswith("registry_name")}
         self.tables = Tables(**place)
         names = [(self.tables.customer_registry_name, CUSTOMER_BASE), (self.tables.address_registry_name, ADDRESS_BASE)]

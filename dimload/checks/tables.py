@@ -1,20 +1,17 @@
 """Catalog tables written and read back."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..operators import project, without_keys
-from ..sources import TableMissing, append, cut_lineage, replace, replace_open, rewrite_rows, scan, scratch_dir
-from .registry import TestTables, query
+from ..sources import TableMissing, append, cut_lineage, replace, replace_open, rewrite_rows, scan
+from .registry import TestTables, query, scratch_database
 
 
 class ScratchTable:
     """A new empty table with the columns of ``like``, in a database of its own."""
 
     def __init__(self, spark, like, layout=""):
-        self.spark, self.database = spark, f"dimload_{uuid.uuid4().hex}"
-        spark.sql(f"CREATE DATABASE {self.database} LOCATION '{scratch_dir(spark)}/{self.database}'")
+        self.spark, self.database = spark, scratch_database(spark)
         self.name = f"{self.database}.t"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in like.schema.fields)
         spark.sql(f"CREATE TABLE {self.name} ({columns}) USING parquet {layout}")
