@@ -8,6 +8,7 @@ import corpus_pipeline
 from pyspark.sql import functions as F
 
 from dimload.llm import mixing, simhash
+from dimload.sources import files, scratch_dir
 
 from corpus_data import prose
 from test_mixing import plain_targets
@@ -65,7 +66,11 @@ def test_every_stage_by_brute_force(spark, folder, rows):
 
 def test_run(spark, folder):
     assert corpus_pipeline.ORACLE_SQL is None
+    before = set(files.children(spark, scratch_dir(spark)))
     assert corpus_pipeline.run(spark, folder).count() > 0
+    made = [f for f in set(files.children(spark, scratch_dir(spark))) - before if "/corpus-" in f]
+    # Only what the last stage returned is left.
+    assert [f.rsplit("/", 1)[1] for m in made for f in files.children(spark, m)] == ["4"]
 
 
 def test_empty_and_null_tables(spark, no_docs, tmp_path):
