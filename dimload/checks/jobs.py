@@ -363,9 +363,13 @@ FIRST_VERSION = {
 }
 
 
-def with_addresses(spark, sf, customers):
-    """Customers stored and the older addresses loaded."""
+def with_addresses(spark, sf, customers, layout=""):
+    """Customers stored and the older addresses loaded, into a table of that layout."""
     s = Scratch(spark, sf)
+    if layout:
+        spark.sql(f"DROP TABLE {s.tables.address_dim}")
+        kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ADDRESS_SCHEMA.fields)
+        spark.sql(f"CREATE TABLE {s.tables.address_dim} ({kinds}) USING parquet {layout}")
     s.put("customer_dim", stored_customers(customers(s.t)))
     s.put("address", addresses(s.t).where("ROW_CREATED_DATE < '20000101000000'"))
     loads.insert_addresses(spark, FIRST_BATCH, s.tables, created="compact")
@@ -409,10 +413,7 @@ def job_scd2_addresses(spark, sf):
 @query(MERGED)
 def job_scd2_addresses_by_partition(spark, sf):
     """The same, of a table partitioned by its current flag: history is not written again."""
-    s = with_addresses(spark, sf, not_building)
-    rows = cut_lineage(spark.table(s.tables.address_dim))
-    spark.sql(f"DROP TABLE {s.tables.address_dim}")
-    rows.write.partitionBy("ETL_CURRENT_IND").saveAsTable(s.tables.address_dim)
+    s = with_addresses(spark, sf, not_building, "PARTITIONED BY (ETL_CURRENT_IND)")
     s.put("address", addresses(s.t).where("ROW_CREATED_DATE >= '20000101000000'"))
     loads.update_addresses(spark, BATCH_TS, s.tables)
     return s.result("address_dim").select(*ADDRESS_SCHEMA.names)

@@ -37,10 +37,14 @@ def _place(keys: Sequence[str], blocks: int) -> tuple[Column, Column, Column]:
 def bloom_filter(keys: DataFrame, blocks: int) -> DataFrame:
     """``__block, __words``: bits of the rows of a frame of key columns, words a row of ``blocks``."""
     block, word, mask = _place(keys.columns, blocks)
-    words = keys.groupBy(block.alias("__block"), word.alias("w")).agg(F.bit_or(mask).alias("bits"))
-    found = words.groupBy("__block").agg(F.map_from_entries(F.collect_list(F.struct("w", "bits"))).alias("m"))
-    at = F.transform(F.sequence(F.lit(0), F.lit(WORDS - 1)), lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long")))
-    return found.select("__block", at.alias("__words"))
+    # Every block gets all of its words, so they are in place once sorted.
+    empty = keys.sparkSession.range(blocks).select(
+        F.col("id").cast("int").alias("__block"), F.explode(F.sequence(F.lit(0), F.lit(WORDS - 1))).alias("w"), F.lit(0).cast("long").alias("bits")
+    )
+    words = keys.select(block.alias("__block"), word.alias("w"), mask.alias("bits")).unionAll(empty)
+    words = words.groupBy("__block", "w").agg(F.bit_or("bits").alias("bits"))
+    found = words.groupBy("__block").agg(F.array_sort(F.collect_list(F.struct("w", "bits"))).alias("m"))
+    return found.select("__block", F.col("m.bits").alias("__words"))
 
 
 def probably_matching(df: DataFrame, few: DataFrame, keys: Sequence[str], most_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -115,6 +115,11 @@ def resolve_key(
     joined = match_one(rows, reference, on, "left", order_by=order_by, unique=unique, hot=hot)
     if save:
         joined = cut_lineage(joined)
+    return resolved(joined, rows, reference, on, reason)
+
+
+def resolved(joined: DataFrame, rows: DataFrame, reference: DataFrame, on: Sequence[str], reason: str) -> Resolved:
+    """Rows with their reference row, or NULL, as ``__match``, split by whether there is one."""
     found = F.col(MATCH).isNotNull()
     return Resolved(
         joined.where(found).selectExpr(*replaced(rows, reference, on)),

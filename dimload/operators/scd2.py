@@ -28,12 +28,12 @@ from ..functions.scalars import (
 )
 from ..sources.scratch import cut_lineage
 from .bloom import probably_matching
-from .joins import MATCH, first_match, fits_broadcast, match_one, only_matching, quoted, require_columns, without
+from .joins import MATCH, _total_order, first_match, fits_broadcast, match_one, only_matching, quoted, require_columns, without
 from .keys import assign_surrogate_keys
-from .lookup import REJECT_REASON, content_anti_join, insert_only, resolve_key
+from .lookup import REJECT_REASON, content_anti_join, insert_only, resolve_key, resolved
 from .overlay import replaced
 from .shape import align, union_rows
-from .skew import HotKeys, find_hot_keys
+from .skew import SALT, HotKeys, find_hot_keys, spread
 
 
 @dataclass(frozen=True)
@@ -131,6 +131,47 @@ def _superseded(rows: DataFrame, used: DataFrame, small: bool) -> DataFrame:
     return match_one(rows, F.broadcast(taken) if small else taken, [ROW], "left_anti", unique=True)
 
 
+#: A staged row's place among those of its key: 1 is used.
+PLACE = "__place"
+
+
+def _placed(
+    staged: DataFrame, keys: Sequence[str], order_by, latest: bool, parent_id: str, hot_parents: HotKeys | None
+) -> tuple[DataFrame, HotKeys | None]:
+    """All staged rows with their place, for extracts too large to copy, and the hot parents they are spread by.
+
+    Rows are moved once, by the parent's id where that is part of the key, so a join with
+    the parents finds them in place. Rows of hot ids are cut into pieces; the first ones of
+    a key's pieces meet once more, as many as it has pieces.
+    """
+    by = [parent_id] if parent_id in keys else list(keys)
+    hot = hot_parents if hot_parents is not None and parent_id in keys else find_hot_keys(staged, [f"`{k}`" for k in by])
+    rows = spread(staged, by, hot)
+    columns = [*by, *([SALT] if hot else []), *[k for k in keys if k not in by]]
+    order = _total_order(staged, [c for c in staged.columns if c not in keys], order_by, latest)
+    rows = rows.repartition(*[quoted(c) for c in columns[: len(by) + bool(hot)]])
+    rows = rows.withColumn(PLACE, F.row_number().over(W.partitionBy(*[quoted(c) for c in columns]).orderBy(*order)))
+    if hot:
+        rows = cut_lineage(rows)
+        first = (F.col(PLACE) == 1) & (hot.count_for([f"`{k}`" for k in by]) > 1) & ~_null_key(staged, keys)
+        of_key = W.partitionBy(*[quoted(k) for k in keys]).orderBy(*order)
+        rows = rows.where(~first).unionByName(rows.where(first).withColumn(PLACE, F.row_number().over(of_key)))
+    if by != [parent_id]:
+        return rows.drop(SALT), hot_parents
+    return rows, hot
+
+
+def _refused(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows with NULL in the key, and those another one is preferred to."""
+    no_key = _null_key(placed, keys)
+    reason = F.when(no_key, F.lit(NULL_KEY)).otherwise(F.lit(SUPERSEDED))
+    return placed.where(no_key | (F.col(PLACE) > 1)).drop(PLACE).withColumn(REJECT_REASON, reason)
+
+
+def _used(placed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return placed.where(~_null_key(placed, keys) & (F.col(PLACE) == 1)).drop(PLACE)
+
+
 def initial_load(
     staged: DataFrame,
     target: DataFrame,
@@ -153,6 +194,8 @@ def initial_load(
     ``hot_parents`` spreads parent ids that hold a large share of the staged rows.
     """
     keys = require_columns(staged, layout.natural_key, "staged rows")
+    if order_by and not fits_broadcast(staged.select(*[quoted(k) for k in keys])):
+        return _large_load(staged, target, parents, base, batch_ts, layout, order_by, latest, parents_unique, hot_parents)
     staged = _numbered(staged)
     refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
     staged = staged.where(~_null_key(staged, keys))
@@ -168,10 +211,38 @@ def initial_load(
     stored = only_matching(target, used, keys) if few else target
     existing = match_one(used, stored, keys, "left_semi", hot=hot)
     accepted, rejected = _with_parent(new, parents, layout, parents_unique, hot_parents)
+    return Loaded(_numbered_versions(accepted, base, batch_ts, layout, target), rejected.unionByName(refused), existing)
+
+
+def _large_load(staged, target, parents, base, batch_ts, layout, order_by, latest, parents_unique, hot_parents) -> Loaded:
+    """``initial_load`` of an extract too large to copy: places and parents are found in one shuffle and written once."""
+    keys, on = require_columns(staged, layout.natural_key, "staged rows"), [layout.parent_id]
+    parents = parents.select(*require_columns(parents, [layout.parent_id, layout.parent], "parents"))
+    placed, hot = _placed(staged, keys, order_by, latest, *require_columns(staged, on, "staged rows"), hot_parents)
+    joined = match_one(placed, parents, on, "left", order_by=[layout.parent], unique=parents_unique, hot=hot)
+    joined = cut_lineage(joined.drop(SALT))
+    used = _used(joined, keys)
+    stored = target.select(*[quoted(k) for k in require_columns(target, keys, "target")])
+    few = fits_broadcast(stored)
+    if few:
+        stored = F.broadcast(stored.distinct())
+        new = match_one(used, stored, keys, "left_anti", unique=True)
+    else:
+        # Written once: the new rows are numbered in two passes and split twice.
+        new = cut_lineage(insert_only(used, stored, keys, prefilter=True))
+    existing = match_one(used, stored, keys, "left_semi", unique=few)
+    accepted, rejected = resolved(new, staged, parents, on, f"{layout.parent} not found")
+    refused = _refused(joined, keys).drop(MATCH)
+    return Loaded(
+        _numbered_versions(accepted, base, batch_ts, layout, target), rejected.unionByName(refused), existing.drop(MATCH)
+    )
+
+
+def _numbered_versions(accepted, base, batch_ts, layout, target) -> DataFrame:
     ready = _first_versions(accepted, batch_ts, layout, target)
     ready = ready.drop(*without(ready, target.columns))
     keyed = assign_surrogate_keys(ready, base, layout.surrogate, layout.natural_key)
-    return Loaded(align(keyed, target.schema), rejected.unionByName(refused), existing)
+    return align(keyed, target.schema)
 
 
 def _with_parent(rows, parents, layout, unique, hot=None, small=False):
@@ -429,20 +500,31 @@ def scd2_merge(
     rules = RULES[compat]
     keys = list(layout.natural_key)
     names = staged.columns
-    staged = _numbered(staged)
-    refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
-    staged = staged.where(~_null_key(staged, keys))
-    incoming = first_match(staged, keys, order_by, latest)
 
     # Staged rows and what becomes of them are written once each. The target, much
     # larger than both, is read once to find the versions and once to write the
     # result, and is not shuffled for a small load.
-    if rules.number_first:
-        incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
-    incoming = cut_lineage(incoming)
-    few = fits_broadcast(incoming)
-    refused = refused.unionByName(_because(_superseded(staged, incoming, few), SUPERSEDED)).drop(ROW)
-    incoming = incoming.drop(ROW)
+    if not fits_broadcast(staged.select(*[quoted(k) for k in require_columns(staged, keys, "staged rows")])):
+        placed, _ = _placed(
+            staged, require_columns(staged, keys, "staged rows"), order_by, latest,
+            *require_columns(staged, [layout.parent_id], "staged rows"), hot_parents,
+        )
+        placed = cut_lineage(placed.drop(SALT))
+        refused, incoming = _refused(placed, keys), _used(placed, keys)
+        if rules.number_first:
+            incoming = cut_lineage(assign_surrogate_keys(incoming, base, layout.surrogate, keys))
+        few = fits_broadcast(incoming)
+    else:
+        staged = _numbered(staged)
+        refused = _because(staged.where(_null_key(staged, keys)), NULL_KEY)
+        staged = staged.where(~_null_key(staged, keys))
+        incoming = first_match(staged, keys, order_by, latest)
+        if rules.number_first:
+            incoming = assign_surrogate_keys(incoming, base, layout.surrogate, keys)
+        incoming = cut_lineage(incoming)
+        few = fits_broadcast(incoming)
+        refused = refused.unionByName(_because(_superseded(staged, incoming, few), SUPERSEDED)).drop(ROW)
+        incoming = incoming.drop(ROW)
     current = target.where((quoted(layout.current) == 1) & ~_null_key(target, keys))
     paired = _paired(current, incoming, layout, few)
     timing = (layout, batch_ts, effective, begin_offset_days)

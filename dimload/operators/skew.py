@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SALT = "__salt"
+#: Groups of keys counted to find hot ones, for each shuffle partition.
+GROUPS = 64
 
 
 @dataclass(frozen=True)
@@ -87,15 +89,20 @@ def spread(df: DataFrame, keys: Sequence[str], hot: HotKeys | None) -> DataFrame
 def find_hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
     """Keys with more rows than a shuffle partition has on average.
 
-    Counts every key exactly, from its hash: counts are added up in the tasks
-    that read the rows before two longs a key are shuffled. Only keys above the
-    average reach the driver, which cannot be more than there are partitions. A
+    Counts groups of keys first, a fixed number of them, which are added up in the tasks
+    that read the rows: no key has more rows than its group. Only if some group has more
+    than the average are keys counted exactly, from their hash, and two longs a key shuffled.
+    Only keys above the average reach the driver, which cannot be more than there are partitions. A
     NULL key counts as a key. The result only steers how rows are spread, never
     which rows a join returns.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    total = df.count()
-    counts = df.groupBy(F.xxhash64(*[F.col(k) for k in keys]).alias("h")).agg(F.count("*").alias("n"))
+    hashed = df.select(F.xxhash64(*[F.col(k) for k in keys]).alias("h"))
+    groups = hashed.groupBy(F.pmod("h", F.lit(GROUPS * partitions)).alias("g")).agg(F.count("*").alias("n"))
+    total, largest = groups.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    if largest * partitions <= total:
+        return HotKeys()
+    counts = hashed.groupBy("h").agg(F.count("*").alias("n"))
     pieces: dict[int, list[int]] = {}
     for key in counts.where(F.col("n") * partitions > total).collect():
         n = 2 ** math.ceil(math.log2(key["n"] / total * partitions))
