@@ -550,16 +550,25 @@ def scd2_merge(
     else:
         changed = paired.stored if rules.compare == "none" else paired.stored.where(CHANGED)
         versions = _following(changed, current, incoming, *timing)
-        if not unseen.isEmpty():
-            history = target.where(((quoted(layout.current) != 1) | quoted(layout.current).isNull()) & ~_null_key(target, keys))
+        history = target.where(((quoted(layout.current) != 1) | quoted(layout.current).isNull()) & ~_null_key(target, keys))
+        if not (unseen.isEmpty() or history.isEmpty()):
             if few or fits_broadcast(unseen.select(*[quoted(k) for k in keys])):
                 history = only_matching(history, unseen, keys)
             else:
                 history = match_one(probably_matching(history, unseen, keys), unseen, keys, "left_semi", unique=True, hot=hot)
             last = first_match(history, keys, [layout.version], latest=True)
+            never = None
+            if not few:
+                # Written once: it is measured, and mostly few of the keys were closed before. Then
+                # the other staged rows stay where they are.
+                last = cut_lineage(last)
+                closed = last.select(*[quoted(k) for k in keys])
+                if fits_broadcast(closed):
+                    never = match_one(unseen, F.broadcast(closed), keys, "left_anti", unique=True)
+                    unseen = only_matching(unseen, closed, keys)
             reopened = _paired(last, unseen, layout, few, matching=True)
             versions = versions.unionByName(_following(reopened.stored, current, incoming, *timing))
-            unseen = reopened.unseen
+            unseen = reopened.unseen.unionByName(never) if never is not None else reopened.unseen
         accepted, rejected = _with_parent(versions, parents, layout, parents_unique, hot_parents, few)
         added = assign_surrogate_keys(accepted, base, layout.surrogate, keys)
         closing = accepted.select(*[quoted(c) for c in keys])

@@ -102,6 +102,23 @@ def test_large_and_small_merges_give_the_same_rows(spark, monkeypatch, compat):
     assert [rows(d) for d in want] == [rows(d) for d in got]
 
 
+@pytest.mark.parametrize("some", [True, False])
+def test_staged_rows_that_were_never_closed_stay_in_place(spark, stored, staged, parents, monkeypatch, written, some):  # noqa: F811
+    """Only the rows of keys with closed versions alone are paired with these."""
+    closed = stored.where("cak <> 2").withColumn("cur", F.when(F.col("cak") == 5, 0).otherwise(F.col("cur")))
+    target = closed if some else closed.where("cur = 1")
+    new = staged.replace("B st", "D st")
+    want = scd2_merge(target, new, parents, 100, BATCH, LAYOUT, ["line1"])
+    paired, asked = [], []
+    pair = merges._paired
+    monkeypatch.setattr(merges, "_paired", lambda *a, **b: (paired.append(a[1].count()), pair(*a, **b))[1])
+    # Not the extract and what is staged or unseen, but the closed keys fit.
+    monkeypatch.setattr(merges, "fits_broadcast", lambda df: (asked.append(1), len(asked) == 4)[1])
+    got = scd2_merge(target, new, parents, 100, BATCH, LAYOUT, ["line1"], hot_parents=HotKeys())
+    assert [rows(d) for d in want] == [rows(d) for d in got]
+    assert paired == ([4, 1] if some else [4]) and got.added.count() == (1 if some else 0)
+
+
 def test_a_parent_id_outside_the_key(spark, monkeypatch):
     layout = merges.Scd2Layout(**{**LAYOUT.__dict__, "natural_key": ["name", "src"]})
     staged, stored, parents = many(spark)
